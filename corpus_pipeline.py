@@ -1,8 +1,56 @@
-"""Language ID, exact dedup, near dedup, secret scans, packing."""
+"""A training corpus from documents, stage by stage; each stage's rows are written before the next."""
 
-STAGES: list = []
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from gridspark.llm import exact_dedup, language_id, ngram_jaccard, packing, secret_scan
+from gridspark.llm.common import stored, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return language_id.drop_unknown_languages(docs)
+
+
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest doc_id."""
+    return exact_dedup.drop_exact_duplicates(docs)
+
+
+def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates (five words, 0.8) the document with the smallest doc_id."""
+    return ngram_jaccard.drop_near_duplicates(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced in their texts."""
+    return secret_scan.redact_secrets(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("exact", distinct_texts),
+    ("near", distinct_contents),
+    ("secrets", without_secrets),
+    ("packing", packed),
+]
+
+#: Trained models and tokens are beyond SQL; a brute-force version tests the pipeline instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
