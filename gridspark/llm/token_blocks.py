@@ -203,9 +203,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """Segments with start: the number of ids in all segments before it."""
     segments = spark.read.schema(SEGMENT).parquet(path)
-    # One row a file written: sums over these, not over documents, run in one task.
+    # One row a writing task: few enough to sum in one task and to send to all.
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    return segments.join(parts, "part").withColumn("start", F.col("before") + F.col("start_in_part"))
+    return segments.join(F.broadcast(parts), "part").withColumn("start", F.col("before") + F.col("start_in_part"))
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
