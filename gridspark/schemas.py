@@ -1,0 +1,9 @@
+"""Tables of the library, as DDL."""
+
+GRID_OBS = "dataset string, variable string, time timestamp_ntz, lat_idx int, lon_idx int, latitude double, longitude double, value float, revision int, is_final boolean"
+GRID_AXES = "dataset string, dim string, idx int, coord double"
+GRID_CHUNKS = "dataset string, variable string, t_chunk int, y_chunk int, x_chunk int, t_len int, y_len int, x_len int, values array<float>, digest string"
+RASTER_TILE = "path string, time timestamp_ntz, band int, width int, height int, transform array<double>, nodata double, pixels array<float>"
+MANIFEST = "dataset string, period string, period_start timestamp_ntz, name string, location string, size_bytes bigint, revision int, is_final boolean"
+GRID_ATTRS = "dataset string, variable string, attrs map<string,string>"
+CATALOG_ITEMS = "id string, collection string, bbox array<double>, geometry string, start_datetime string, end_datetime string, asset_href string"
