@@ -162,7 +162,7 @@ def _sets(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataF
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=["k1", "k2", "tokens", "second", "third"])
 
-    return docs.mapInArrow(run, "k1 long, k2 long, tokens array<long>, second array<int>, third array<int>").dropDuplicates(["k1", "k2"])
+    return docs.mapInArrow(run, "k1 long, k2 long, tokens array<long>, second array<int>, third array<int>")
 
 
 def _prefix(tokens: np.ndarray, seed: int, percent: int) -> np.ndarray:
@@ -176,14 +176,21 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b)) >= percent * F.greatest(a, b)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of pairs that pass the other orders' filters and are similar enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """Links (a, b) of pairs that pass the other orders' filters and are similar enough.
+
+    Sets are made again from the texts of the documents that are in a pair, and of no others.
+    """
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    # A list of ids of a checked size goes to all executors; a longer one is joined by a shuffle.
+    chosen = docs.join(F.broadcast(wanted) if wanted.count() <= LISTED else wanted, "doc_id", "left_semi")
+    sets = stored(_sets(chosen, size, percent, levels))
     both = pairs
     for x in "ab":
         both = both.join(sets.toDF(f"{x}1", f"{x}2", *(f"{x}_{c}" for c in sets.columns[2:])), [f"{x}1", f"{x}2"])
     both = both.where(F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third"))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.where(100 * shared >= percent * (F.size("a_tokens") + F.size("b_tokens") - shared)).select("a", "b")
+    return stored(both.where(100 * shared >= percent * (F.size("a_tokens") + F.size("b_tokens") - shared)).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -217,11 +224,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     stars = postings.select(F.col("first.n").alias("an"), F.col("first.k1").alias("a1"), F.col("first.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
     stars = stars.where(((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & _close(F.col("an"), F.col("bn"), percent)).select("a1", "a2", "b1", "b2").distinct()
     stars = stored(with_reps(stars))
-    wanted = stored(postings.select("k1", "k2").distinct().join(reps, ["k1", "k2"]).select(F.col("rep").alias("doc_id")).distinct())
-    # A list of ids of a checked size goes to all executors; a longer one is joined by a shuffle.
-    chosen = named.join(F.broadcast(wanted) if wanted.count() <= LISTED else wanted, "doc_id", "left_semi")
-    sets = stored(_sets(chosen, size, percent, levels))
-    links = stored(_verified(stars, sets, percent))
+    links = _verified(stars, named, size, percent, levels)
     found = components(links)
 
     members = postings.select("token", "n", "k1", "k2").join(reps, ["k1", "k2"])
@@ -232,8 +235,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     rest = side["a"].join(side["b"], "token").where((F.col("a_label") < F.col("b_label")) & _close(F.col("an"), F.col("bn"), percent))
     rest = rest.select("a1", "a2", "b1", "b2", "a", "b").distinct()
     done = stars.select("a1", "a2", "b1", "b2").unionByName(stars.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
-    more = stored(_verified(rest.join(done, ["a1", "a2", "b1", "b2"], "left_anti"), sets, percent))
-    if more.head(1):
+    rest = stored(rest.join(done, ["a1", "a2", "b1", "b2"], "left_anti"))
+    if rest.head(1) and (more := _verified(rest, named, size, percent, levels)).head(1):
         found = components(links.unionByName(more))
 
     # Rows of one doc_id with different texts are one node.
