@@ -11,6 +11,9 @@ Documents with equal sets are one from the start. Under the first order, all set
 prefix token are compared with the smallest of them; then components are formed, and only pairs
 of sets that share a prefix token and are in different components are left to compare. So a
 group of copies costs about one comparison for each, and no link between components is lost.
+
+Before sets are moved, a bound is tried: how many tokens of each set fall in each of some parts
+of the hash range. The sum of the parts' smaller numbers is at least the size of the overlap.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from gridspark.llm.text_hash import U, Words, bytes_of, mix, runs, words
 COUNTERS_LOG2 = 16
 #: Seeds of the orders after the first.
 ORDERS = (0x1F3D5B79A2C4E68F, 0x7A96B5D4E3F20189)
+#: Parts of the hash range in which each set's tokens are counted.
+PARTS_LOG2 = 8
 #: So many documents to verify are sent to all executors as a list of ids (8 bytes each); more are found by a shuffle.
 LISTED = 500_000
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 64, dtype=np.uint64) | U(1)
@@ -87,6 +92,17 @@ def _digests(tokens: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _part_counts(tokens: np.ndarray, first: np.ndarray) -> pa.Array:
+    """By text, tokens in each part of the hash range; null where a count is beyond 16 bits."""
+    n_docs, parts = len(first) - 1, 1 << PARTS_LOG2
+    doc = np.repeat(np.arange(n_docs), np.diff(first))
+    part = ((tokens & _VALUE) >> U(60 - PARTS_LOG2)).astype(np.int64)
+    counts = np.bincount(doc * parts + part, minlength=n_docs * parts).reshape(n_docs, parts)
+    over = counts.max(axis=1, initial=0) > 32767
+    flat = pa.array(np.minimum(counts, 32767).astype(np.int16).ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(n_docs + 1, dtype=np.int32) * parts), flat, mask=pa.array(over))
+
+
 def _texts(batches: Iterator[pa.RecordBatch], size: int, levels: np.ndarray | None = None):
     """doc_ids, words, tokens and where they begin, for runs of whole texts."""
     for batch in batches:
@@ -97,7 +113,9 @@ def _texts(batches: Iterator[pa.RecordBatch], size: int, levels: np.ndarray | No
 
 
 def _summary(docs: DataFrame, size: int) -> DataFrame:
-    """A row a document: doc_id, n, k1, k2; and rows counter, seen of word counts."""
+    """A row a document: doc_id, n, k1, k2, parts; and rows counter, seen of word counts."""
+    names = ["doc_id", "n", "k1", "k2", "parts", "counter", "seen"]
+    parts_type = pa.list_(pa.int16())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << COUNTERS_LOG2, np.int64)
@@ -105,12 +123,12 @@ def _summary(docs: DataFrame, size: int) -> DataFrame:
             seen += np.bincount((w.hashes >> U(64 - COUNTERS_LOG2)).astype(np.int64), minlength=len(seen))
             n, (k1, k2) = np.diff(first), _digests(tokens, first)
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(n), pa.array(k1), pa.array(k2), none, none], names=["doc_id", "n", "k1", "k2", "counter", "seen"])
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(n), pa.array(k1), pa.array(k2), _part_counts(tokens, first), none, none], names=names)
         at = np.flatnonzero(seen)
         none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(at), pa.array(seen[at])], names=["doc_id", "n", "k1", "k2", "counter", "seen"])
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(at), parts_type), pa.array(at), pa.array(seen[at])], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, counter long, seen long")
+    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, parts array<short>, counter long, seen long")
 
 
 def _rarity(summary: DataFrame) -> np.ndarray:
@@ -209,21 +227,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     levels = _rarity(summary)
     listed = summary.where("counter is null").select("doc_id", "n", "k1", "k2")
     named = docs.where("doc_id is not null")
-    reps = stored(listed.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")))
+    sets = summary.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("parts").alias("parts"))
+    sets = stored(sets)
+    reps = sets.select("k1", "k2", "rep")
 
     key = F.struct("n", "k1", "k2")
     token = Window.partitionBy("token")
     postings = _postings(named, size, percent, levels).select("*", F.min(key).over(token).alias("first"), F.max(key).over(token).alias("last"))
     postings = stored(postings.where("first <> last").select("token", "n", "k1", "k2", "first"))
 
-    def with_reps(pairs: DataFrame) -> DataFrame:
+    def possible(pairs: DataFrame) -> DataFrame:
+        """pairs (a1, a2, b1, b2) that the bound on the overlap lets pass, with doc_ids a and b."""
         for x in "ab":
-            pairs = pairs.join(reps.toDF(f"{x}1", f"{x}2", x), [f"{x}1", f"{x}2"])
-        return pairs
+            pairs = pairs.join(sets.toDF(f"{x}1", f"{x}2", x, f"{x}_n", f"{x}_parts"), [f"{x}1", f"{x}2"])
+        most = F.aggregate(F.zip_with("a_parts", "b_parts", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+        fits = F.coalesce(100 * most >= percent * (F.col("a_n") + F.col("b_n") - most), F.lit(True))
+        return pairs.where(fits).select("a1", "a2", "b1", "b2", "a", "b")
 
     stars = postings.select(F.col("first.n").alias("an"), F.col("first.k1").alias("a1"), F.col("first.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
     stars = stars.where(((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & _close(F.col("an"), F.col("bn"), percent)).select("a1", "a2", "b1", "b2").distinct()
-    stars = stored(with_reps(stars))
+    stars = stored(possible(stars))
     links = _verified(stars, named, size, percent, levels)
     found = components(links)
 
@@ -233,7 +256,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = stored(members.select("token", "n", "k1", "k2", "rep", "label").distinct())
     side = {x: members.toDF("token", f"{x}n", f"{x}1", f"{x}2", x, f"{x}_label") for x in "ab"}
     rest = side["a"].join(side["b"], "token").where((F.col("a_label") < F.col("b_label")) & _close(F.col("an"), F.col("bn"), percent))
-    rest = rest.select("a1", "a2", "b1", "b2", "a", "b").distinct()
+    rest = possible(rest.select("a1", "a2", "b1", "b2").distinct())
     done = stars.select("a1", "a2", "b1", "b2").unionByName(stars.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
     rest = stored(rest.join(done, ["a1", "a2", "b1", "b2"], "left_anti"))
     if rest.head(1) and (more := _verified(rest, named, size, percent, levels)).head(1):
