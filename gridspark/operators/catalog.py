@@ -67,6 +67,17 @@ def walk_catalog(catalog: DataFrame, level: str = "item") -> DataFrame:
     return reached.join(items, ["href", "id"]).select("collection", "id", "version")
 
 
+def listing(walked: DataFrame) -> DataFrame:
+    """line: 'id version' of each item; of an id that is there more than once, the largest version."""
+    return walked.groupBy("id").agg(F.max("version").alias("version")).select(F.concat_ws(" ", "id", "version").alias("line"))
+
+
+def listing_json(walked: DataFrame) -> DataFrame:
+    """document: one JSON object of versions by id, ids sorted. For listings that fit one document."""
+    each = walked.groupBy("id").agg(F.max("version").alias("version"))
+    return each.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("id", "version"))))).alias("document"))
+
+
 def find(catalog: DataFrame, name: str) -> DataFrame:
     """Entries with exactly this id."""
     return catalog.where(F.col("id") == name)

@@ -38,6 +38,14 @@ def select_band(df: DataFrame, band: int, column: str = "band") -> DataFrame:
     return df.where(F.col(column) == band).drop(column)
 
 
+def squeeze(df: DataFrame, dim: str) -> DataFrame:
+    """df without a dimension that has one label; a second label is an error (one aggregate tells)."""
+    ends = df.agg(F.min(dim).alias("a"), F.max(dim).alias("b")).first()
+    if ends["a"] != ends["b"]:
+        raise ValueError(f"{dim} has more than one label")
+    return df.drop(dim)
+
+
 def standardize(df: DataFrame, by: DataFrame, final_only: bool = False, value: str = "band1") -> DataFrame:
     """variable, time, latitude, longitude, revision, is_final, value (float).
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from gridspark.functions import calendars as cal
 from gridspark.functions import columns as fn
 from gridspark.operators import catalog, chunks, combine, manifest, quality, regrid, select, standardize, stats
-from gridspark.sources import files
+from gridspark.session import scratch
+from gridspark.sources import files, store
 from gridspark.sources.fixtures import view, with_views
 from gridspark.streaming import streams
 
@@ -439,6 +440,11 @@ def catalog_walk(spark, d):
     return catalog.walk_catalog(catalog.build_catalog(view(spark, d, "catalog_input")))
 
 
+@query("SELECT concat(item, ' ', max(version)) AS line FROM catalog_input WHERE version <> 'null' GROUP BY item")
+def catalog_listing(spark, d):
+    return catalog.listing(catalog.walk_catalog(catalog.build_catalog(view(spark, d, "catalog_input"))))
+
+
 @query("""
 SELECT path, CAST(r.range AS INT) AS out_row, CAST(c.range AS INT) AS out_col, value FROM grid_pixels, range(17) r, range(20) c
 WHERE pix_row = floor((r.range + 0.5) * 42 / 17) AND pix_col = floor((c.range + 0.5) * 50 / 20)""")
@@ -670,6 +676,56 @@ def qc_coord_range(spark, d):
     return quality.qc_coord_range(stats.axes(raw(spark, d).withColumnRenamed("short_name", "dataset"), ("latitude", "longitude")))
 
 
+# Stores and streams ---------------------------------------------------------------------------
+
+CELL = ["dataset", "time", "lat_idx", "lon_idx"]
+
+
+@query("""
+SELECT 'dense' AS dataset, time, lat_idx, lon_idx, revision, value FROM grid_dense
+QUALIFY row_number() OVER (PARTITION BY time, lat_idx, lon_idx ORDER BY revision DESC, value DESC NULLS LAST) = 1""")
+def store_versions(spark, d):
+    rows = stats.latest_revision(view(spark, d, "grid_dense").withColumn("dataset", F.lit("dense")), [*CELL, "revision"], [F.desc_nulls_last("value")])
+    root = scratch(spark)
+    store.instantiate(rows.where("revision <= 3"), root)
+    store.append(rows.where("revision >= 3"), root)
+    return store.read_version(spark, root)
+
+
+def event_stream(spark, d) -> DataFrame:
+    """The events file as a stream, with its columns as a batch reads them; a stream takes one file by a pattern only."""
+    return spark.readStream.schema(view(spark, d, "events").schema).parquet(f"{d}/[e]vents.parquet")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def append_stream(spark, d):
+    out = scratch(spark)
+    for replay in "ab":  # the second run has forgotten the first, and adds nothing
+        streams.append_stream(event_stream(spark, d), f"{out}/data", ["event_id"], f"{out}/{replay}").awaitTermination()
+    return spark.read.parquet(f"{out}/data").select("event_id", "user_id", "event_type", "value")
+
+
+@query("""
+SELECT user_id, event_type, event_id, value, CAST(year(ts) AS INT) AS year FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type, year(ts) ORDER BY event_id DESC, value DESC NULLS LAST) = 1""")
+def revise_stream(spark, d):
+    out = scratch(spark)
+    rows = event_stream(spark, d).select("user_id", "event_type", "event_id", "value", F.year("ts").alias("year"))
+    for replay in "ab":
+        streams.revise_stream(rows, f"{out}/data", ["user_id", "event_type", "year"], f"{out}/{replay}", f"{out}/new", revision="event_id").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{out}/data")
+
+
+@query("""
+, w AS (SELECT dataset, CAST(date_trunc('day', time) AS TIMESTAMP) AS window_start, max(time) AS latest, count(*) AS n FROM obs_hourly GROUP BY 1, 2)
+SELECT * FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(time) FROM obs_hourly) - INTERVAL 1 HOUR""")
+def freshness_stream(spark, d):
+    out = scratch(spark)
+    stream = event_stream(spark, d).select(F.col("event_type").alias("dataset"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"))
+    streams.freshness_stream(stream, f"{out}/data", f"{out}/c").awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
 # Streaming windows, as a batch over the same operator ------------------------------------------
 
 

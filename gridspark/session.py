@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -10,3 +13,12 @@ def session(name: str = "gridspark", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     usual = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
     return builder.config(map=usual | {k.replace("_", "."): v for k, v in settings.items()}).getOrCreate()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder under spark.checkpoint.dir, which driver and executors share; without that setting, a local one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="spark-scratch-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
