@@ -23,16 +23,19 @@ from pyspark.sql import functions as F
 
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object select head-none".split())
+RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object select button".split())
+#: Of these, what is never closed reaches to the end of the page.
+TO_END = frozenset("script style title textarea xmp".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var br img wbr button input".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th", "tbody", "thead"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("table ul ol dl article section div body main aside nav form".split())
-#: Never main text, whatever the model says: they hold controls.
-CONTROLS = frozenset("form button fieldset menu dialog".split())
+#: Never main text, whatever the model says: they hold controls. Nor is what a page hides.
+CONTROLS = frozenset("form fieldset menu dialog".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|data-label|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HIDDEN = re.compile(r"""\shidden(?=[\s=]|$)|\sstyle\s*=\s*["'][^"']*display\s*:\s*none|\saria-hidden\s*=\s*["']?true""", re.I)
 _SPACE = re.compile(r"\s+")
 
 #: Names of parts in classes, ids and roles.
@@ -62,6 +65,7 @@ class Node:
     below_linked: int = 0
     children: int = 0
     copyright: bool = False
+    hidden: bool = False
 
 
 @dataclass
@@ -126,7 +130,7 @@ def parse(source: str) -> Page:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
-            if end is None and tag in {"svg", "math", "object", "select"}:
+            if end is None and tag not in TO_END:
                 continue
             at = len(source) if end is None else end.start()
             continue
@@ -158,7 +162,7 @@ def parse(source: str) -> Page:
         parent = stack[-1][1]
         said = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(found[3])}
         label = said.pop("data-label", None)
-        nodes.append(Node(tag, parent, " ".join(said.values()), nodes[parent].label if label is None else int(label)))
+        nodes.append(Node(tag, parent, " ".join(said.values()), nodes[parent].label if label is None else int(label), hidden=bool(_HIDDEN.search(found[3]))))
         nodes[parent].children += 1
         stack.append((tag, len(nodes) - 1))
     flush()
@@ -370,7 +374,7 @@ def main_text(model: TreeModel, source: str) -> str:
     belief, _ = model.marginals(page)
     barred = [False] * len(page.nodes)
     for i, node in enumerate(page.nodes):
-        barred[i] = node.tag in CONTROLS or node.parent >= 0 and barred[node.parent]
+        barred[i] = node.tag in CONTROLS or node.hidden or node.parent >= 0 and barred[node.parent]
     return "\n\n".join(text for i, text in page.blocks if belief[i] > 0.5 and not barred[i])
 
 
