@@ -8,9 +8,11 @@ documents in a table of a fixed size, so that words and passages that many docum
 last and lie in no prefix.
 
 Documents with equal sets are one from the start. Under the first order, all sets that hold a
-prefix token are compared with the smallest of them; then components are formed, and only pairs
-of sets that share a prefix token and are in different components are left to compare. So a
-group of copies costs about one comparison for each, and no link between components is lost.
+prefix token are compared with the smallest and the largest of them; then components are formed,
+and only pairs of sets that share a prefix token and are in different components are left to
+compare. So a group of copies costs about two comparisons for each, and no link between
+components is lost. Where few sets hold a token these pairs are joined; where many do, blocks of
+them are compared within tasks, which return only pairs that the bound below lets pass.
 
 Before sets are moved, a bound is tried: how many tokens of each set fall in each of some parts
 of the hash range. The sum of the parts' smaller numbers is at least the size of the overlap.
@@ -30,11 +32,13 @@ from gridspark.llm.components import components
 from gridspark.llm.text_hash import U, Words, bytes_of, mix, runs, words
 
 #: Counters of words: a table of this size is made over all documents and sent to the tasks.
-COUNTERS_LOG2 = 16
+COUNTERS_LOG2 = 18
 #: Seeds of the orders after the first.
 ORDERS = (0x1F3D5B79A2C4E68F, 0x7A96B5D4E3F20189)
 #: Parts of the hash range in which each set's tokens are counted.
 PARTS_LOG2 = 8
+#: Sets of a token that are paired by a join; sets of a block, where there are more.
+FEW, BLOCK = 16, 256
 #: So many documents to verify are sent to all executors as a list of ids (8 bytes each); more are found by a shuffle.
 LISTED = 500_000
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, 64, dtype=np.uint64) | U(1)
@@ -211,6 +215,40 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, levels
     return stored(both.where(100 * shared >= percent * (F.size("a_tokens") + F.size("b_tokens") - shared)).select("a", "b"))
 
 
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a1, a2, b1, b2, a, b) of sets of one token with different labels that the bound lets pass.
+
+    members: token, size, k1, k2, rep, n, parts, label. A token's sets are dealt to blocks; each
+    two blocks are a group of a bounded size.
+    """
+    cuts = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = members.withColumn("block", F.pmod(F.xxhash64("k1", "k2"), cuts).cast("int"))
+    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), cuts - 1)))
+    pairs = pairs.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "k1", "k2", "rep", "n", "parts", "label")
+
+    def compared(key, table):
+        lo, hi = key[1].as_py(), key[2].as_py()
+        n, label = table.column("n").to_numpy(), table.column("label").to_numpy()
+        parts = np.full((len(n), 1 << PARTS_LOG2), 32767, np.int16)  # where counts are missing, the other set's count
+        column = table.column("parts").combine_chunks()
+        given = np.flatnonzero(~np.asarray(column.is_null()))
+        parts[given] = column.drop_null().flatten().to_numpy().reshape(-1, 1 << PARTS_LOG2)
+        block = table.column("block").to_numpy()
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        found = []
+        for k, i in enumerate(left.tolist()):
+            to = right[k + 1 :] if lo == hi else right
+            to = to[(label[to] != label[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i]))]
+            most = np.minimum(parts[to], parts[i]).sum(axis=1, dtype=np.int64)
+            to = to[100 * most >= percent * (n[to] + n[i] - most)]
+            found.append(np.stack([np.full(len(to), i), to]))
+        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        columns = {name: table.column(name).to_numpy() for name in ("k1", "k2", "rep")}
+        return pa.table({"a1": columns["k1"][a], "a2": columns["k2"][a], "b1": columns["k1"][b], "b2": columns["k2"][b], "a": columns["rep"][a], "b": columns["rep"][b]})
+
+    return pairs.groupBy("token", "lo", "hi").applyInArrow(compared, "a1 long, a2 long, b1 long, b2 long, a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row a row of docs: doc_id, n_shingles, component_id.
 
@@ -222,6 +260,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     has no links and no component. Rows of one doc_id are one node, each with its own count.
     An empty table gives no rows; other columns are not read.
     """
+    if not (1 <= size < len(_FACTORS) and 1 <= percent <= 100):
+        raise ValueError("size has to be from 1 to 63, percent from 1 to 100")
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     summary = stored(_summary(docs, size))
     levels = _rarity(summary)
@@ -234,7 +274,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     key = F.struct("n", "k1", "k2")
     token = Window.partitionBy("token")
     postings = _postings(named, size, percent, levels).select("*", F.min(key).over(token).alias("first"), F.max(key).over(token).alias("last"))
-    postings = stored(postings.where("first <> last").select("token", "n", "k1", "k2", "first"))
+    postings = stored(postings.where("first <> last").select("token", "n", "k1", "k2", "first", "last"))
 
     def possible(pairs: DataFrame) -> DataFrame:
         """pairs (a1, a2, b1, b2) that the bound on the overlap lets pass, with doc_ids a and b."""
@@ -244,9 +284,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         fits = F.coalesce(100 * most >= percent * (F.col("a_n") + F.col("b_n") - most), F.lit(True))
         return pairs.where(fits).select("a1", "a2", "b1", "b2", "a", "b")
 
-    stars = postings.select(F.col("first.n").alias("an"), F.col("first.k1").alias("a1"), F.col("first.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
-    stars = stars.where(((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & _close(F.col("an"), F.col("bn"), percent)).select("a1", "a2", "b1", "b2").distinct()
-    stars = stored(possible(stars))
+    def star(end: str) -> DataFrame:
+        pairs = postings.select(F.col(f"{end}.n").alias("an"), F.col(f"{end}.k1").alias("a1"), F.col(f"{end}.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
+        return pairs.where(((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & _close(F.col("an"), F.col("bn"), percent)).select("a1", "a2", "b1", "b2")
+
+    stars = stored(possible(star("first").unionByName(star("last")).distinct()))
     links = _verified(stars, named, size, percent, levels)
     found = components(links)
 
@@ -254,9 +296,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
     members = members.select("*", F.min("label").over(token).alias("least"), F.max("label").over(token).alias("most")).where("least < most")
     members = stored(members.select("token", "n", "k1", "k2", "rep", "label").distinct())
-    side = {x: members.toDF("token", f"{x}n", f"{x}1", f"{x}2", x, f"{x}_label") for x in "ab"}
+    sized = members.withColumn("size", F.count(F.lit(1)).over(token))
+    side = {x: sized.where(F.col("size") <= FEW).drop("size").toDF("token", f"{x}n", f"{x}1", f"{x}2", x, f"{x}_label") for x in "ab"}
     rest = side["a"].join(side["b"], "token").where((F.col("a_label") < F.col("b_label")) & _close(F.col("an"), F.col("bn"), percent))
     rest = possible(rest.select("a1", "a2", "b1", "b2").distinct())
+    many = sized.where(F.col("size") > FEW)
+    rest = rest.unionByName(_blocks(many.drop("n").join(sets, ["k1", "k2", "rep"]), percent)).distinct()
     done = stars.select("a1", "a2", "b1", "b2").unionByName(stars.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
     rest = stored(rest.join(done, ["a1", "a2", "b1", "b2"], "left_anti"))
     if rest.head(1) and (more := _verified(rest, named, size, percent, levels)).head(1):
