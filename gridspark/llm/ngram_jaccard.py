@@ -8,7 +8,8 @@ documents in a table of a fixed size, so that words and passages that many docum
 last and lie in no prefix.
 
 Documents with equal sets are one from the start. Under the first order, all sets that hold a
-prefix token are compared with the smallest and the largest of them; then components are formed,
+prefix token are compared with the largest of them and with the one that shares its prefix with
+most others, which of a group of copies is the least changed; then components are formed,
 and only pairs of sets that share a prefix token and are in different components are left to
 compare. So a group of copies costs about two comparisons for each, and no link between
 components is lost. Where few sets hold a token these pairs are joined; where many do, blocks of
@@ -273,8 +274,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     key = F.struct("n", "k1", "k2")
     token = Window.partitionBy("token")
-    postings = _postings(named, size, percent, levels).select("*", F.min(key).over(token).alias("first"), F.max(key).over(token).alias("last"))
-    postings = stored(postings.where("first <> last").select("token", "n", "k1", "k2", "first", "last"))
+    postings = _postings(named, size, percent, levels).select("*", F.min(key).over(token).alias("first"), F.max(key).over(token).alias("last"), F.count(F.lit(1)).over(token).alias("size"))
+    postings = stored(postings.where("first <> last").select("token", "n", "k1", "k2", "last", "size"))
+    shared = postings.groupBy("k1", "k2").agg(F.sum("size").alias("shared"))
+    centred = postings.join(shared, ["k1", "k2"]).withColumn("centre", F.max(F.struct("shared", "n", "k1", "k2")).over(token))
 
     def possible(pairs: DataFrame) -> DataFrame:
         """pairs (a1, a2, b1, b2) that the bound on the overlap lets pass, with doc_ids a and b."""
@@ -285,10 +288,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         return pairs.where(fits).select("a1", "a2", "b1", "b2", "a", "b")
 
     def star(end: str) -> DataFrame:
-        pairs = postings.select(F.col(f"{end}.n").alias("an"), F.col(f"{end}.k1").alias("a1"), F.col(f"{end}.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
+        pairs = centred.select(F.col(f"{end}.n").alias("an"), F.col(f"{end}.k1").alias("a1"), F.col(f"{end}.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
         return pairs.where(((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & _close(F.col("an"), F.col("bn"), percent)).select("a1", "a2", "b1", "b2")
 
-    stars = stored(possible(star("first").unionByName(star("last")).distinct()))
+    stars = stored(possible(star("centre").unionByName(star("last")).distinct()))
     links = _verified(stars, named, size, percent, levels)
     found = components(links)
 
