@@ -711,8 +711,8 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type, year(ts) ORDER BY e
 def revise_stream(spark, d):
     out = scratch(spark)
     rows = event_stream(spark, d).select("user_id", "event_type", "event_id", "value", F.year("ts").alias("year"))
-    for replay in "ab":
-        streams.revise_stream(rows, f"{out}/data", ["user_id", "event_type", "year"], f"{out}/{replay}", f"{out}/new", revision="event_id").awaitTermination()
+    for i, part in enumerate(("event_id % 2 = 1", "true", "event_id < 50")):  # the last brings old revisions only
+        streams.revise_stream(rows.where(part), f"{out}/data", ["user_id", "event_type", "year"], f"{out}/{i}", f"{out}/new", revision="event_id").awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{out}/data")
 
 

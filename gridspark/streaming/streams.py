@@ -13,8 +13,8 @@ from gridspark.operators.stats import latest_revision
 
 
 def _there(spark: SparkSession, path: str) -> bool:
-    """Has anything been written to path."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    """Is there such a folder; reads of it give their schema, as it may hold no file yet."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
@@ -29,7 +29,7 @@ def append_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str
         spark = batch.sparkSession
         new = batch.dropDuplicates(keys)
         if _there(spark, path):
-            new = append_new(spark.read.parquet(path), new, keys)
+            new = append_new(spark.read.schema(new.schema).parquet(path), new, keys)
         new.write.mode("append").parquet(path)
 
     return _each_batch(stream, checkpoint, write)
