@@ -56,7 +56,7 @@ def exact_duplicates(docs: DataFrame, hot_least: int = HOT_LEAST, salts: int = S
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with their columns."""
+    """The rows of docs that stay, with their columns. Rows without doc_id can't be told apart: all stay if one does."""
     kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 

@@ -323,5 +323,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs whose doc_id is its component's smallest, with their columns; rows without doc_id stay."""
-    gone = near_duplicates(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
+    gone = stored(near_duplicates(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct())
+    # A list of ids of a checked size goes to all executors, so that no text is shuffled; a longer one is joined by a shuffle.
+    gone = F.broadcast(gone) if gone.count() <= LISTED else gone
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
