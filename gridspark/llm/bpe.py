@@ -32,7 +32,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _PLAIN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Longer pieces are encoded but not kept; so many pieces are kept.
-KEPT_CHARS, KEPT_PIECES = 200, 500_000
+KEPT_CHARS, KEPT_PIECES = 200, 300_000
 
 #: Up to U+024F, where a table of classes is short: what the byte-level pattern calls white space, letters and numbers.
 _S, _L, _N = "\\t-\\r \x85\xa0", "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"

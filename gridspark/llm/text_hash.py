@@ -53,7 +53,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8), offsets
 
 
-def runs(offsets: np.ndarray, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def runs(offsets: np.ndarray, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Bounds of runs of whole texts with about max_bytes bytes each."""
     first, n = 0, len(offsets) - 1
     while first < n:
