@@ -33,8 +33,11 @@ SCOPES = frozenset("table ul ol dl article section div body main aside nav form"
 #: Never main text, whatever the model says: they hold controls. Nor is what a page hides.
 CONTROLS = frozenset("form fieldset menu dialog".split())
 
+#: The attribute of written training pages that says what is content (1) and what is not (0).
+LABEL = "data-gridspark-label"
+
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|data-label|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|data-gridspark-label|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?=[\s=]|$)|\sstyle\s*=\s*["'][^"']*display\s*:\s*none|\saria-hidden\s*=\s*["']?true""", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -74,8 +77,11 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)  # of a node, in page order
 
 
-def parse(source: str) -> Page:
-    """The block elements of a page and the texts directly in them. Never fails: what is left open ends with the page."""
+def parse(source: str, written: bool = True) -> Page:
+    """The block elements of a page and the texts directly in them. Never fails: what is left open ends with the page.
+
+    written: labels that write_page gives are read; on pages from elsewhere they say nothing.
+    """
     page = Page([Node("#root", -1)])
     nodes, blocks = page.nodes, page.blocks
     stack: list[tuple[str, int]] = [("#root", 0)]  # tag, and its node: of an inline element that of its block
@@ -161,8 +167,9 @@ def parse(source: str) -> Page:
         flush()
         parent = stack[-1][1]
         said = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(found[3])}
-        label = said.pop("data-label", None)
-        nodes.append(Node(tag, parent, " ".join(said.values()), nodes[parent].label if label is None else int(label), hidden=bool(_HIDDEN.search(found[3]))))
+        label = said.pop(LABEL, None)
+        label = int(label) if written and label in {"0", "1"} else nodes[parent].label
+        nodes.append(Node(tag, parent, " ".join(said.values()), label, hidden=bool(_HIDDEN.search(found[3]))))
         nodes[parent].children += 1
         stack.append((tag, len(nodes) - 1))
     flush()
@@ -293,7 +300,7 @@ def label_by_article(page: Page) -> bool:
 
 
 def write_page(rng: np.random.Generator, words: list[str]) -> str:
-    """A page with data-label on what is content and what is not."""
+    """A page with LABEL on what is content and what is not."""
     pick = lambda *x: x[int(rng.integers(0, len(x)))]
     some = lambda p: rng.random() < p
     say = lambda a, b: " ".join(words[i] for i in rng.integers(0, len(words), int(rng.integers(a, b))))
@@ -304,7 +311,7 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
     def part(tag: str, name: str, body: str, label: int | None = None, only: bool = False) -> str:
         tag = tag if semantic or only else "div"
         name = f' {pick("class", "id", "class")}="{name}"' if name and (named or tag == "div" and label == 0) else ""
-        return f"<{tag}{name}{'' if label is None else f' data-label={label}'}>{body}</{tag}>"
+        return f"<{tag}{name}{'' if label is None else f' {LABEL}={label}'}>{body}</{tag}>"
 
     links = lambda n: "<ul>" + "".join(f'<li><a href="/{k}">{say(1, 4)}</a></li>' for k in range(int(rng.integers(2, n)))) + "</ul>"
     advert = lambda: part("div", pick("ad", "advert", "ad-banner", "sponsored", "promo", "ads box"), pick(sentence(), f'<a href="#">{say(2, 8)}</a>', f"<p>{sentence()}</p>"), 0, True)
@@ -353,7 +360,7 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
 def fit(sources: list[str], written: int = 260, seed: int = 2) -> TreeModel:
     """Trains on these pages, where they have an article or main element, and on written ones."""
     rng = np.random.default_rng(seed)
-    pages = [p for p in map(parse, sources) if label_by_article(p)]
+    pages = [p for p in (parse(x, written=False) for x in sources) if label_by_article(p)]
     words = [w for p in pages[:50] for _, text in p.blocks for w in text.split()[:200]] or "a of the and in to is that it was for on with as be this are from at by".split()
     pages += [parse(write_page(rng, words)) for _ in range(written)]
     return TreeModel().train(pages)
@@ -368,7 +375,7 @@ def sample(pages: DataFrame, n: int = 100) -> list[str]:
 
 def main_text(model: TreeModel, source: str) -> str:
     """The texts of content elements, in page order, two line feeds between them."""
-    page = parse(source)
+    page = parse(source, written=False)
     if not page.blocks:
         return ""
     belief, _ = model.marginals(page)

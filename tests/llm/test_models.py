@@ -213,6 +213,15 @@ def test_page_edges(spark, tree):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_data_labels_of_sites_are_no_training_labels(spark, tree):
+    source = '<body><article data-label=""><p>A sentence, which stays here.</p><table><tr><td data-label="Price">Ten, and two more.</td><td data-label=0>Red, and green.</td></tr></table></article></body>'
+    assert html_text.main_text(tree, source) == html_text.main_text(tree, re.sub(r" data-label=[^>]*", "", source)) != ""
+    assert all(n.label is None for n in html_text.parse(source).nodes)
+    assert all(n.label is None for n in html_text.parse(f"<p {html_text.LABEL}=1>x", written=False).nodes)
+    df = spark.createDataFrame([(i, "u", source) for i in range(3)], "page_id long, url string, html string")
+    assert all("stays here" in r["text"] for r in html_text.extract(df).collect())
+
+
 def test_sql_of_registered_queries(spark):
     db = duckdb.connect()
     for name in ("documents", "embeddings"):
