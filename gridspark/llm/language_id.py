@@ -4,8 +4,9 @@ A text is the average of the embeddings of its subwords, the byte n-grams of its
 their borders, hashed to a table. Embeddings and softmax are trained in numpy by stochastic
 gradient descent on a bounded sample of labelled rows. Both are linear, so for prediction each
 subword carries its scores and a text's are their average. A temperature and two lower bounds,
-for the score and for the share of subwords seen in training, are set on labelled rows kept
-from training; texts below a bound are rejected.
+for the score and for the share of subwords seen in training, are low quantiles of labelled rows
+kept from training, by language; texts below a bound are rejected. Languages with few kept rows
+take half the quantile of all.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from gridspark.llm.text_hash import bytes_of, runs
 SIZES, BUCKETS_LOG2, DIM = (2, 3, 4), 16, 12
 #: Labelled rows sampled for a language, about; epochs; share kept for calibration.
 PER_LANGUAGE, EPOCHS, KEPT_SHARE = 500, 4, 0.25
+#: Bounds for a language: this quantile of its kept rows and pieces, if they are so many; the known share
+#: may be lower by MARGIN, as other texts have other words, and a score from SURE on is no reason to reject.
+LOW, ENOUGH, MARGIN, SURE = 0.01, 20, 0.08, 0.9
 _BORDER = np.uint8(32)
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[65:91] = np.arange(97, 123)
@@ -68,9 +72,9 @@ class Model:
     languages: list[str]
     scores: np.ndarray  # bucket, language: float32; the last column: 1 where the bucket was seen in training
     bias: np.ndarray
+    least_score: np.ndarray  # by language
+    least_known: np.ndarray
     temperature: float = 1.0
-    least_score: float = 0.0
-    least_known: float = 0.0
 
     def averages(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Average scores and share of known subwords of each text of a run."""
@@ -100,7 +104,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
     languages = sorted(set(labels))
     y = np.array([languages.index(x) for x in labels], np.int64)
     if not languages:
-        return Model([], np.zeros((1 << BUCKETS_LOG2, 1), np.float32), np.zeros(0))
+        return Model([], np.zeros((1 << BUCKETS_LOG2, 1), np.float32), np.zeros(0), least_score=np.zeros(0), least_known=np.zeros(0))
     kept = rng.random(len(texts)) < KEPT_SHARE
     if kept.all() or not kept.any():
         kept[:] = False
@@ -140,7 +144,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
             # Subwords of an average share its step; scaled up so that each moves about as in a text of 20.
             table[at] -= (rate * np.minimum(1.0, n * 20))[:, None] * back
     scores = np.concatenate([table @ weights, seen[:, None]], axis=1).astype(np.float32)
-    model = Model(languages, scores, bias.astype(np.float64))
+    model = Model(languages, scores, bias.astype(np.float64), least_score=np.full(len(languages), min(1.2 / len(languages), 0.5)), least_known=np.zeros(len(languages)))
     check = np.flatnonzero(kept) if kept.any() else np.arange(len(texts))
     averages = model.averages(*_pack_texts([whole[i] for i in check]))
     temperatures = np.geomspace(0.05, 20, 60)
@@ -149,10 +153,23 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
         model.temperature = float(t)
         losses.append(-np.log(np.maximum(model.probabilities(averages)[np.arange(len(check)), y[check]], 1e-9)).mean())
     model.temperature = float(temperatures[int(np.argmin(losses))])
-    # Bounds well below what labelled texts of enough subwords reach.
-    known = averages[[len(whole[i]) >= 20 for i in check], -1]
-    model.least_known = 0.5 * float(known.min()) if len(known) else 0.0
-    model.least_score = min(1.2 / len(languages), 0.5)
+    # Bounds: what nearly all kept rows of a language reach, whole and in short pieces.
+    pieces = []
+    for i in check:
+        words = whole[i].split()
+        if words:
+            a = int(rng.integers(0, len(words)))
+            pieces.append((b" ".join(words[a : a + int(rng.integers(5, 30))]), y[i]))
+    rows = [(text, label) for text, label in [*((whole[i], y[i]) for i in check), *pieces] if len(text) >= 20]
+    if rows:
+        averages, label = model.averages(*_pack_texts([x for x, _ in rows])), np.array([x for _, x in rows])
+        score, known = model.probabilities(averages).max(axis=1), averages[:, -1]
+        for k in range(len(languages)):
+            own = label == k
+            enough = kept.any() and own.sum() >= ENOUGH
+            own, part = (own, 1.0) if enough else (np.ones(len(rows), bool), 0.5)
+            model.least_known[k] = part * max(0.0, float(np.quantile(known[own], LOW)) - MARGIN)
+            model.least_score[k] = max(model.least_score[k], min(part * np.quantile(score[own], LOW), SURE))
     return model
 
 
@@ -188,12 +205,14 @@ def predict(model: Model, texts: pa.Array) -> dict[str, pa.Array]:
         own = offsets[a : b + 1]
         averages, letters = model.averages(data, own), _has_letter(data, own)
         pred, score, known = np.full(b - a, "und", object), np.zeros(b - a), averages[:, -1]
+        rejected = ~letters
         if model.languages:
             p = model.probabilities(averages)
             best = p.argmax(axis=1)
             pred = np.where(letters, np.array(model.languages, object)[best], "und")
             score = np.where(letters, p[np.arange(b - a), best], 0.0)
-        rejected = (pred == "und") | (score < model.least_score) | (known < model.least_known)
+            rejected |= (score < model.least_score[best]) | (known < model.least_known[best])
+        rejected |= pred == "und"
         for column, x in zip(out.values(), (pred, score, known, rejected)):
             column.append(x)
     kinds = {"lang_pred": pa.string(), "score": pa.float64(), "known": pa.float64(), "rejected": pa.bool_()}
@@ -207,7 +226,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     given; lang, source and doc_id are no inputs. score is the calibrated probability of
     lang_pred. Null texts and texts without a letter are 'und' with score 0, as all are where no
     row has a label. rejected: 'und', or score or known (the share of subwords seen in training)
-    below the model's bounds. Rows that repeat are predicted each; an empty table gives no rows.
+    below the model's bounds for it. Rows that repeat are predicted each; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     model = docs.sparkSession.sparkContext.broadcast(model or fit(*sample(docs)))

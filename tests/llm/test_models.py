@@ -52,6 +52,18 @@ def test_language_edges(spark):
     assert {i for i, *_ in docs} <= {r["doc_id"] for r in kept.collect()}
 
 
+@pytest.mark.parametrize("out", ["de", "es"])
+def test_languages_that_were_not_learned_are_rejected(out):
+    rows = [(i, t, x) for i, t, x in documents() if x and t]
+    learned = [(t, x) for i, t, x in rows if x != out and zlib.crc32(str(i).encode()) % 4 != 2]
+    noisy = [("zqxj vvkq wpfh qqzz kjhg xcvb", "en")]  # one bad label moves no bound
+    model = language_id.fit([t for t, _ in learned + noisy], [x for _, x in learned + noisy])
+    share = lambda texts: np.mean(language_id.predict(model, pa.array(texts))["rejected"].to_pylist())
+    assert share([t for _, t, x in rows if x == out]) >= 0.9
+    assert share([t for i, t, x in rows if x != out and zlib.crc32(str(i).encode()) % 4 == 2]) <= 0.02
+    assert share(["xq zvkw jjhg qqpw zxcv bnmk wrtp lkjh gfds", "asdkjh qwlekj zxmcnb qpwoei alskdj"]) == 1
+
+
 def plain_base(text):
     """The patterns as they are stated, one after the other."""
     found = []
