@@ -30,6 +30,10 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th", "tbody", "thead"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("table ul ol dl article section div body main aside nav form".split())
+#: Of these, those that can stand around a whole page: around these parts, or so much prose in blocks of so many characters.
+WRAPPERS = frozenset("form fieldset".split())
+PARTS = frozenset("article main nav header footer".split())
+PROSE_CHARS, WRAPPED_CHARS = 80, 500
 #: Never main text, whatever the model says: they hold controls. Nor is what a page hides.
 CONTROLS = frozenset("form fieldset menu dialog".split())
 
@@ -37,8 +41,9 @@ CONTROLS = frozenset("form fieldset menu dialog".split())
 LABEL = "data-gridspark-label"
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|data-gridspark-label|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\shidden(?=[\s=]|$)|\sstyle\s*=\s*["'][^"']*display\s*:\s*none|\saria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
+_NAMING = ("class", "id", "role", "itemprop", "aria-label")
+_UNSHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 
 #: Names of parts in classes, ids and roles.
@@ -77,6 +82,19 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)  # of a node, in page order
 
 
+def attributes(raw: str) -> dict[str, str]:
+    """Names and values as HTML reads them: of a name that repeats the first."""
+    said: dict[str, str] = {}
+    if raw:
+        for m in _ATTRIBUTE.finditer(raw):
+            said.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return said
+
+
+def _hidden(said: dict[str, str]) -> bool:
+    return "hidden" in said or said.get("aria-hidden", "").strip().lower() == "true" or bool(_UNSHOWN.search(said.get("style", "")))
+
+
 def parse(source: str, written: bool = True) -> Page:
     """The block elements of a page and the texts directly in them. Never fails: what is left open ends with the page.
 
@@ -166,10 +184,10 @@ def parse(source: str, written: bool = True) -> Page:
                     break
         flush()
         parent = stack[-1][1]
-        said = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(found[3])}
-        label = said.pop(LABEL, None)
+        said = attributes(found[3])
+        label = said.get(LABEL)
         label = int(label) if written and label in {"0", "1"} else nodes[parent].label
-        nodes.append(Node(tag, parent, " ".join(said.values()), label, hidden=bool(_HIDDEN.search(found[3]))))
+        nodes.append(Node(tag, parent, " ".join(said[x] for x in _NAMING if x in said), label, hidden=_hidden(said)))
         nodes[parent].children += 1
         stack.append((tag, len(nodes) - 1))
     flush()
@@ -179,9 +197,27 @@ def parse(source: str, written: bool = True) -> Page:
         if node.parent >= 0:
             nodes[node.parent].below += node.below
             nodes[node.parent].below_linked += node.below_linked
+    _unwrap(nodes)
     return page
 
 
+def _unwrap(nodes: list[Node]) -> None:
+    """Forms and fieldsets around an article, a page's parts or its prose are read as plain divisions."""
+    if not any(n.tag in WRAPPERS for n in nodes):
+        return
+    prose, parts = [0] * len(nodes), [False] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        node = nodes[i]
+        if node.chars >= PROSE_CHARS and node.marks >= 2 and 2 * node.linked < node.chars:
+            prose[i] += node.chars
+        if node.parent >= 0:
+            prose[node.parent] += prose[i]
+            parts[node.parent] |= parts[i] or node.tag in PARTS and node.below > 0
+    for i, node in enumerate(nodes):
+        if node.tag in WRAPPERS and (parts[i] or prose[i] >= WRAPPED_CHARS or 2 * prose[i] > prose[0]):
+            node.tag, node.names = "div", ""
+
+
 def _size(n: int) -> int:
     return min(n.bit_length(), 12)
 

@@ -234,6 +234,27 @@ def test_data_labels_of_sites_are_no_training_labels(spark, tree):
     assert all("stays here" in r["text"] for r in html_text.extract(df).collect())
 
 
+def test_only_what_is_hidden_is_hidden(tree):
+    prose = "A sentence, which stays here. Another one follows, and it is longer. The third one ends the paragraph."
+    text, paragraphs = "\n\n".join([prose] * 4), f"<p>{prose}</p>" * 4
+    for said in ('data-title="The hidden cost of tea"', 'aria-label="A hidden gem here"', 'class="post hidden md:block"', "data-x='a style=\"display:none\"'", 'title="see aria-hidden=true"', 'aria-hidden="false"'):
+        assert html_text.main_text(tree, f"<body><article {said}>{paragraphs}</article></body>") == text
+    for said in ("hidden", 'HIDDEN=""', 'style="color:red; display : none"', "aria-hidden=true", "class=x hidden"):
+        assert html_text.main_text(tree, f"<body><article>{paragraphs}<div {said}><p>{prose} Not this.</p></div></article></body>") == text
+
+
+def test_a_form_around_a_page_keeps_its_article(tree):
+    prose = "A sentence, which stays here. Another one follows, and it is longer. The third one ends the paragraph, at some length."
+    text = "\n\n".join([prose] * 4)
+    paragraphs = "".join(f"<p>{prose}</p>" for _ in range(4))
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Item {k}</a></li>" for k in range(6)) + "</ul>"
+    for inner in (f"<article>{paragraphs}</article>", f"<div class=content>{paragraphs}</div>", f"<fieldset><div class=content>{paragraphs}</div></fieldset>"):
+        got = html_text.main_text(tree, f'<body><form id="aspnetForm" method=post><div class=menu>{menu}</div>{inner}<div class=footer>Copyright, all of it.</div></form></body>')
+        assert got == text
+    small = "<form class=search><label>Find</label><input name=q><p>Type a word, and press the key.</p></form>"
+    assert html_text.main_text(tree, f"<body><form id=form1><article>{paragraphs}{small}</article></form></body>") == text
+
+
 def test_sql_of_registered_queries(spark):
     db = duckdb.connect()
     for name in ("documents", "embeddings"):
