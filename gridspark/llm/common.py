@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +34,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sampled(df: DataFrame, key: str, text: str, n: int) -> list[str]:
+    """Texts of about n distinct rows of key and text, and at most 2 n: those with the smallest hashes of both.
+
+    Rows that repeat count once and rows without a key are drawn like others.
+    """
+    place = F.pmod(F.xxhash64(key, text), F.lit(1 << 30))
+    rows = df.where(F.col(text).isNotNull()).select(key, text)
+    distinct = rows.select(F.approx_count_distinct(F.xxhash64(key, text))).first()[0]
+    share = int((1 << 30) * min(1.0, n / max(distinct, 1)))
+    chosen = rows.where(place < share).groupBy(key, text).agg(F.first(place).alias("place")).orderBy("place", key, text).limit(2 * n).collect()
+    return [r[text] for r in sorted(chosen, key=lambda r: (r[key] is None, r[key] or 0, r[text]))]
+
+
 def text_groups(texts: list[str], max_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Bounds of runs of whole texts with about max_chars characters each."""
     start = size = 0

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import sampled
+
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object select button".split())
@@ -403,10 +405,8 @@ def fit(sources: list[str], written: int = 260, seed: int = 2) -> TreeModel:
 
 
 def sample(pages: DataFrame, n: int = 100) -> list[str]:
-    """html of the about n pages with the smallest hashes of their ids."""
-    share = min(1.0, n / max(pages.count(), 1))
-    rows = pages.where(F.col("html").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("page_id", "html").collect()
-    return [r["html"] for r in sorted(rows, key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))]
+    """html of about n pages, at most 2 n."""
+    return sampled(pages, "page_id", "html", n)
 
 
 def main_text(model: TreeModel, source: str) -> str:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import sampled
 from gridspark.llm.text_hash import NOT_ALNUM, U, Words, bytes_of, mix, runs, words
 
 # What notices of each family say.
@@ -226,10 +227,8 @@ def scan_texts(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple
 
 
 def sample(docs: DataFrame) -> list[str]:
-    """About LINES lines of the about DOCUMENTS documents with the smallest hashes of their ids."""
-    share = min(1.0, DOCUMENTS / max(docs.count(), 1))
-    rows = docs.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("doc_id", "text").collect()
-    lines = [x for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"])) for x in r["text"].split("\n") if x.strip()]
+    """About LINES lines of about DOCUMENTS documents, at most twice as many."""
+    lines = [x for text in sampled(docs, "doc_id", "text", DOCUMENTS) for x in text.split("\n") if x.strip()]
     rng = np.random.default_rng(6)
     return lines if len(lines) <= LINES else [lines[i] for i in sorted(rng.choice(len(lines), LINES, replace=False))]
 

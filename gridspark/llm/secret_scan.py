@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import sampled
 from gridspark.llm.text_hash import LOWER, bytes_of, runs
 
 # The patterns, the fewest characters of a secret in each, and their order.
@@ -257,11 +258,8 @@ def fit(texts: list[str], seed: int = 9) -> Field:
 
 
 def sample(docs: DataFrame, n: int = SAMPLE) -> list[str]:
-    """Texts of the about n documents with the smallest hashes of their ids."""
-    total = docs.count()
-    share = min(1.0, n / max(total, 1))
-    rows = docs.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))).select("doc_id", "text").collect()
-    return [r["text"] for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))]
+    """Texts of about n documents, at most 2 n."""
+    return sampled(docs, "doc_id", "text", n)
 
 
 def added_spans(model: Field, text: str, at: list[tuple[int, int]], base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:

@@ -255,6 +255,17 @@ def test_a_form_around_a_page_keeps_its_article(tree):
     assert html_text.main_text(tree, f"<body><form id=form1><article>{paragraphs}{small}</article></form></body>") == text
 
 
+def test_training_samples_are_bounded(spark):
+    rows = [(None, f"text {i}", None, "") for i in range(4000)] + [(7, "the same", None, "")] * 4000 + [(i, f"more {i}", None, "") for i in range(4000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = secret_scan.sample(docs, 300)
+    assert 150 <= len(got) <= 600 and len(set(got)) == len(got)
+    assert 0.3 <= sum(x.startswith("text") for x in got) / len(got) <= 0.7
+    assert got == secret_scan.sample(docs.repartition(5), 300)
+    assert 0 < len(license_scan.sample(docs)) <= 2 * license_scan.DOCUMENTS
+    assert 50 <= len(html_text.sample(docs.selectExpr("doc_id page_id", "text html"), 100)) <= 200
+
+
 def test_sql_of_registered_queries(spark):
     db = duckdb.connect()
     for name in ("documents", "embeddings"):
