@@ -1,8 +1,8 @@
 """Secrets in texts: three fixed patterns, and a linear-chain conditional random field for others.
 
 The field tags tokens as secret begin, inside or outside (B, I, O). Tokens are runs of value
-characters; plain ones (short, or letters without a digit) can only be outside, so the best
-path splits at them and is decoded by Viterbi over each run of other tokens, with features of
+characters; plain ones (short, or letters without a digit, and beside no secret word or
+assignment mark) can only be outside, so the best path splits at them and is decoded by Viterbi over each run of other tokens, with features of
 their shapes, the words and marks beside them and their file. It is trained in numpy on a
 bounded sample of documents: what the patterns find there is secret, and secrets of other
 kinds and harmless numbers are written into them.
@@ -42,12 +42,23 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _HEX = np.zeros(256, bool)
 _HEX[[*range(48, 58), *range(97, 103)]] = True
-#: Tokens that can be secret: so many characters with a digit, or so many of any.
+_MARK = np.zeros(256, bool)
+_MARK[[58, 61]] = True  # : and =
+#: Tokens that can be secret wherever they stand: so many characters with a digit, or so many of any.
 SHORT, LONG = 8, 24
 #: Documents sampled for training, about; epochs.
 SAMPLE, EPOCHS = 300, 12
 _NEAR = re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|private|jwt|sig", re.I)
 _TAGS = "OBI"
+#: A value beside a word that names secrets or after an assignment mark, password characters included.
+_NAMED = r"(?:pass(?:words?|wd|phrase|code|wort)?|pwd|secrets?|tokens?|keys?|auth|bearer|credentials?|private|jwt|sig|signature)"
+_STRONG = re.compile(r"(?:passwords?|passwd|passphrase|passcode|passwort|pwd|secrets?|credentials?)[^A-Za-z]*$", re.I)
+_NAMES_SECRET = re.compile(rf"{_NAMED}[0-9_-]{{0,4}}[\"']?\s{{0,3}}$", re.I)
+_PASSWORD = r"[A-Za-z0-9+/_.=@!#$%&*^~?-]+"
+_PLACED = re.compile(rf"[:=]>?[\"'\x20]{{0,4}}({_PASSWORD})")
+_SAID = re.compile(rf"{_NAMED}(?:\x20+(?:is|was))?\x20+[\"']?({_PASSWORD})", re.I)
+#: What _SAID needs, in bytes of lower case; assignment marks are found one by one.
+_SAID_WORDS = re.compile(rb"(?:pass(?:word|wd|phrase|code|wort)?|pwd|secret|token|key|auth|bearer|credential|private|jwt|sig|signature)s?(?: +(?:is|was))? ")
 
 
 def _runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +120,7 @@ def sequences(text: str, at: list[tuple[int, int]]) -> list[list[Token]]:
     out: list[list[Token]] = []
     last = -1
     for a, b in at:
-        while b - a > 1 and text[b - 1] in ".=-":
+        while b - a > 1 and text[b - 1] in ".=-?":
             b -= 1
         before, after = text[max(0, a - 40) : a], text[b : b + 2]
         gap = text[last:a] if last >= 0 else "x"
@@ -118,6 +129,7 @@ def sequences(text: str, at: list[tuple[int, int]]) -> list[list[Token]]:
         features.append(f"mark before {mark[0].strip()[-2:] if mark else 'no'}")
         words = re.findall(r"[A-Za-z_]+", before)
         features.append(f"word before {bool(words and _NEAR.search(words[-1]))}")
+        features.append(f"names secret {bool(_STRONG.search(before))} {bool(mark)}")
         features.append(f"words before {any(_NEAR.search(x) for x in words[-3:-1])}")
         features.append(f"after {after[:1]}" if after[:1] in {'"', "'", ",", ";", ")"} else "after else")
         if any(c.isalpha() for c in gap):
@@ -193,8 +205,49 @@ _FORBIDDEN[0, 2] = -np.inf
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of value characters, in code points, that can be secret."""
-    return [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text) if _can_be_secret(m[0])]
+    """Runs of value characters, in code points, that can be secret, and values beside secret words and marks."""
+    return with_placed(text, [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text) if _can_be_secret(m[0])])
+
+
+def placed(text: str) -> list[tuple[int, int]]:
+    """Values that can be secret because of where they stand.
+
+    After a secret word and a mark any value; after the word alone or another mark one that mixes
+    letters with digits or password characters.
+    """
+    found = []
+    for m in _PLACED.finditer(text):
+        if _NAMES_SECRET.search(text, max(0, m.start() - 24), m.start()) or _mixed(m[1]):
+            found.append((m.start(1), m.end(1)))
+    return found + [(m.start(1), m.end(1)) for m in _SAID.finditer(text) if _mixed(m[1])]
+
+
+def _mixed(value: str) -> bool:
+    value = value.rstrip(".=-!?")
+    return len(value) >= 4 and any(map(str.isalpha, value)) and any(c.isdigit() or c in "@!#$%&*^~?" for c in value) and not value.startswith("//")
+
+
+def with_placed(text: str, at: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """at and the placed values; where they overlap one candidate from the placed value's start to the later end."""
+    out: list[tuple[int, int]] = []
+    more = {}
+    for a, b in placed(text):
+        more[a] = max(b, more.get(a, b))
+    starts, rest = sorted(more), []
+    for a, b in at:
+        i = bisect_right(starts, a)
+        if i and more[starts[i - 1]] > a:  # begins within a placed value
+            more[starts[i - 1]] = max(more[starts[i - 1]], b)
+        elif i < len(starts) and starts[i] < b:  # a name and its mark lead to the value
+            more[starts[i]] = max(more[starts[i]], b)
+        else:
+            rest.append((a, b))
+    for a, b in sorted([*more.items(), *rest]):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def _can_be_secret(value: str) -> bool:
@@ -225,6 +278,35 @@ def _harmless(rng: np.random.Generator) -> str:
     return (f"{n(1900, 2030)}-{n(10, 13)}-{n(10, 29)}", f"+{n(1, 99)}-{n(200, 999)}-{n(1000, 9999)}-{n(100, 999)}", f"{n(1, 255)}.{n(1, 255)}.{n(100, 255)}.{n(10, 255)}", f"{n(10**15, 10**16 - 1)}", f"version-{n(1, 30)}.{n(0, 20)}.{n(100, 999)}", f"user{n(10, 9999)}.name", f"www.example{n(1, 99)}.org/page/{n(1, 999)}", f"data/part-{n(10000, 99999)}.parquet", f"chapter_{n(1, 40)}_section_{n(1, 99)}", f"{n(10**8, 10**10)}")[n(0, 10)]
 
 
+def _written_password(rng: np.random.Generator, words: list[str]) -> tuple[str, str]:
+    """What leads to a password, and a password: short, of letters, or with other characters."""
+    pick = lambda x: x[int(rng.integers(0, len(x)))]
+    letters = lambda n: "".join(chr(97 + int(i)) for i in rng.integers(0, 26, n))
+    word = lambda: re.sub(r"[^A-Za-z]", "", pick(words)) or letters(5)
+    n, mark = int(rng.integers(1, 10000)), pick("@!#$%&*")
+    value = pick((
+        f"{word()}{mark}{n}",
+        f"{mark}{word().capitalize()}{n}{pick('!#$')}",
+        f"P{mark}ss{letters(3)}{n}",
+        f"{word().lower()}{word().lower()}{word().lower()}",
+        f"{letters(3)}{n % 100}",
+        f"{letters(2)}{mark}{letters(3)}{n}",
+        letters(int(rng.integers(5, 14))),
+    ))
+    strong = pick(("password", "pwd", "Password", "passwd", "db_password", "passphrase", "secret", "credential"))
+    weak = pick(("auth", "token", "key", "api key"))
+    plain = value.isalpha()
+    lead = pick((f"{strong}: ", f"{strong}=", f"{strong} = ", f'{strong}: "', *(() if plain else (f"{weak}: ", f"{weak}=", f"{strong} is ", f"the {strong} "))))
+    return lead, value
+
+
+def _harmless_value(rng: np.random.Generator, words: list[str]) -> str:
+    """A value after a mark or a secret word that is none."""
+    pick = lambda x: x[int(rng.integers(0, len(x)))]
+    n, word = int(rng.integers(1, 1000)), pick(words)
+    return pick((f"key: {word}", f"the key = {n}", f"note: {word}", f"size: {n}px", f"width={n}", f"x={n}a{n}", f"at {n % 24}:{n % 60:02d}pm", f"see: chapter{n}", f"a key {word}", f"token {n}", f"tokens: {n}", f"ratio: {n}%", f"mail: {word}@example.org", f"https://example.org/{word}{n}", f"author: {word}{n % 10}", f"monkey: {word}", f"version: v{n}", f"id=item{n}", f"private: {word}", f"sig: {n}"))
+
+
 def fit(texts: list[str], seed: int = 9) -> Field:
     """Trains on these texts, with secrets and harmless numbers written into copies of them."""
     rng = np.random.default_rng(seed)
@@ -254,6 +336,18 @@ def fit(texts: list[str], seed: int = 9) -> Field:
         else:
             text, added = f"{head} {_harmless(rng)} {tail}", []
         learn(text, added + [(a, b) for a, _, b in base_spans(text) if not any(c <= a < d for c, d in added)])
+    vocabulary = [w for x in texts[:100] for w in x.split()[:50]] or ["the"]
+    for k in range(6 * SAMPLE):
+        words = texts[k % len(texts)].split(" ")
+        a = int(rng.integers(0, len(words)))
+        head, tail = " ".join(words[a : a + int(rng.integers(1, 12))]), " ".join(words[: int(rng.integers(1, 12))])
+        if k % 2:
+            lead, value = _written_password(rng, vocabulary)
+            start = len(head) + 1 + len(lead)
+            text, added = f"{head} {lead}{value} {tail}", [(start, start + len(value))]
+        else:
+            text, added = f"{head} {_harmless_value(rng, vocabulary)} {tail}", []
+        learn(text, added + [(a, b) for a, _, b in base_spans(text) if not any(c < b and a < d for c, d in added)])
     return Field().train(data)
 
 
@@ -272,7 +366,33 @@ def added_spans(model: Field, text: str, at: list[tuple[int, int]], base: list[t
                 found[-1][2] = t.end
             elif tag == "B":
                 found.append([t.start, "crf", t.end])
-    return [tuple(x) for x in found if not any(a < x[2] and x[0] < b for a, _, b in base)]
+    return [(a, kind, b) for start, kind, end in found for a, b in _left(text, start, end, base)]
+
+
+#: Names with their mark, and quotes and marks alone, are no part of a secret.
+_LABEL = re.compile(r"[A-Za-z_.-]*[A-Za-z][A-Za-z0-9_.-]*[:=]+")
+_BARE = "\"' \t\r\n.=:,;-"
+
+
+def _left(text: str, start: int, end: int, base: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
+    """What the patterns' spans leave of a span: all of it, or its parts beside them that say something."""
+    over = sorted((a, b) for a, _, b in base if a < end and start < b)
+    if not over:
+        return [(start, end)]
+    parts, at = [], start
+    for a, b in [*over, (end, end)]:
+        if at < a:
+            parts.append((at, a))
+        at = max(at, b)
+    out = []
+    for a, b in parts:
+        while a < b and text[a] in _BARE:
+            a += 1
+        while a < b and text[b - 1] in _BARE and not _LABEL.fullmatch(text, a, b):
+            b -= 1
+        if a < b and not _LABEL.fullmatch(text, a, b):
+            out.append((a, b))
+    return out
 
 
 def scan_texts(model: Field, column: pa.Array) -> Iterator[tuple[list, list]]:
@@ -299,6 +419,10 @@ def scan_texts(model: Field, column: pa.Array) -> Iterator[tuple[list, list]]:
         start, end = start[can], end[can]
         first = np.searchsorted(start, own)
         look |= np.diff(first) > 0
+        near = np.zeros(b - a, bool)  # a mark that a value may follow, or a secret word before one
+        near[np.searchsorted(own, np.flatnonzero(_MARK[raw]), side="right") - 1] = True
+        near[np.searchsorted(own, np.array([m.start() for m in _SAID_WORDS.finditer(low)], np.int64), side="right") - 1] = True
+        look |= near
         for d in range(b - a):
             if not look[d]:
                 yield [], []
@@ -309,8 +433,10 @@ def scan_texts(model: Field, column: pa.Array) -> Iterator[tuple[list, list]]:
             if len(text) != len(chunk):
                 lead = np.concatenate([[0], np.cumsum((chunk & 0xC0) != 0x80)])
                 s, e = lead[s], lead[e]
-            base = base_spans(text) if look[d] else []
-            more = added_spans(model, text, list(zip(s.tolist(), e.tolist())), base) if len(s) else []
+            base = base_spans(text)
+            at = list(zip(s.tolist(), e.tolist()))
+            at = with_placed(text, at) if near[d] else at
+            more = added_spans(model, text, at, base) if at else []
             yield base, sorted(base + more, key=lambda x: (x[0], KINDS.index(x[1])))
 
 
@@ -318,8 +444,7 @@ def find_secrets(docs: DataFrame, model: Field | None = None) -> DataFrame:
     """One row a row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     Spans are kind:start:end in code points of the whole text, end exclusive, by start and kind,
-    joined by commas: those of the patterns, and as kind crf those that the field adds where no
-    pattern matched. base_sha256 is the digest of the patterns' spans alone. Null and empty
+    joined by commas: those of the patterns, and as kind crf what the field adds beside them. base_sha256 is the digest of the patterns' spans alone. Null and empty
     texts have no spans. Repeated rows are scanned each; other columns are not read; an empty
     table gives no rows. The model is trained on a bounded sample of docs unless one is given.
     """
