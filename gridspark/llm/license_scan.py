@@ -1,6 +1,6 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by comparison with templates.
 
-Each line is a paragraph. A sparse logistic regression over its words, word pairs and word
+Each line is a paragraph, and so are neighbouring lines over which a notice is wrapped. A sparse logistic regression over its words, word pairs and word
 triples says which licence family it names, or none; it is trained in numpy on variations of
 the templates and on ordinary lines from a bounded sample of documents. A paragraph counts for a
 family only if the calibrated probability is high enough and a template of that family agrees
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import sampled
-from gridspark.llm.text_hash import NOT_ALNUM, U, Words, bytes_of, mix, runs, words
+from gridspark.llm.text_hash import LOWER, NOT_ALNUM, U, Words, bytes_of, mix, runs, words
 
 # What notices of each family say.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -38,8 +38,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
-    "LGPL": ("This library is licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"),
-    "AGPL": ("This program is licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0-only"),
+    "LGPL": ("This library is licensed under the GNU Lesser General Public License, version 2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    "AGPL": ("This program is licensed under the GNU Affero General Public License, version 3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: AGPL-3.0-only"),
     "BSD": (
         "Distributed under the BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
@@ -61,6 +61,10 @@ BUCKETS_LOG2, EPOCHS = 16, 6
 LINES, DOCUMENTS = 3000, 300
 #: Least share of a template's word pairs in the paragraph that confirms its family.
 AGREES = 0.6
+#: Longer lines aren't hard-wrapped; a notice is looked for in so many lines before and after one that holds a word of notices.
+WRAPPED_CHARS, AROUND = 120, 7
+_NOTICE_WORDS = re.compile(rb"licen[cs]|permission|redistribut|domain|cc0")
+_LEADER = re.compile(r"\s*(?:(?:/\*+|\*+|//+|#+|--+|;+|%+|!+|<!--|>+|\||\(\*|dnl\b|rem\b|\.\\\")\s*)*", re.I)
 _FACTORS = np.random.Generator(np.random.PCG64(23)).integers(1, 2**63, 3, dtype=np.uint64) | U(1)
 _SEPARATORS = NOT_ALNUM.copy()
 
@@ -204,6 +208,71 @@ def decide(model: Model, p: np.ndarray, text: str) -> str:
     return best if p[model.families.index(best)] >= model.least and agreement(best, text) >= AGREES else UNKNOWN
 
 
+def wrapped_notice(model: Model, lines: list[str], at: int) -> tuple[str, int, int] | None:
+    """Family and first and past-the-last line of the notice that is wrapped over lines around this one, if there is one.
+
+    lines: neighbours without blank ones between them. Lines are taken from both ends as long as
+    the best template's agreement doesn't fall, then the joined lines are judged as a paragraph.
+    """
+    lines = [x[_LEADER.match(x).end() :].strip() for x in lines]
+    joined = " ".join(lines)
+    share = {f: agreement(f, joined) for f in TEMPLATES}
+    found = []
+    for family, best in share.items():
+        if best < AGREES:
+            continue
+        a, b = 0, len(lines)
+        while b - 1 > at and agreement(family, " ".join(lines[a : b - 1])) >= best:
+            b -= 1
+        while a < at and agreement(family, " ".join(lines[a + 1 : b])) >= best:
+            a += 1
+        text = " ".join(lines[a:b])
+        if b - a > 1 and decide(model, model.probabilities(_words_of([text]))[0], text) == family:
+            found.append((best, b - a, family, a, b))
+    return max(found)[2:] if found else None
+
+
+def join_wrapped(model: Model, data: np.ndarray, bounds: np.ndarray, doc: np.ndarray, filled: np.ndarray, verdicts: dict[int, tuple[str, float]]) -> dict[int, tuple[int, str]]:
+    """Notices over several lines, by first line: past-the-last line and family.
+
+    Looked for around lines that hold a word of notices and name no family alone. filled: lines
+    that hold words; verdicts: of single lines; those of joined lines leave it, as do unknown ones in the
+    same unbroken lines.
+    """
+    out: dict[int, tuple[int, str]] = {}
+    begin, done = int(bounds[0]), -1
+    low = LOWER[data[begin : int(bounds[-1])]].tobytes()
+    known = lambda i: i in verdicts and verdicts[i][0] != UNKNOWN
+    goes = lambda i, d: doc[i] == d and filled[i] and bounds[i + 1] - bounds[i] <= 4 * WRAPPED_CHARS and not known(i)
+    seeds = np.unique(np.searchsorted(bounds, np.array([m.start() for m in _NOTICE_WORDS.finditer(low)], np.int64) + begin, side="right") - 1)
+    for i in seeds.tolist():
+        d = doc[i]
+        if i < done or not goes(i, d):
+            continue
+        a, b = i, i + 1
+        while a > max(done, 0) and i - a < AROUND and goes(a - 1, d):
+            a -= 1
+        while b < len(doc) and b - i <= AROUND and goes(b, d):
+            b += 1
+        if b - a < 2:
+            continue
+        lines = [data[bounds[j] : bounds[j + 1]].tobytes().decode() for j in range(a, b)]
+        # Only as far as lines are short enough to be wrapped.
+        while lines and a < i and any(len(x) > WRAPPED_CHARS for x in lines[: i - a]):
+            a, lines = a + 1, lines[1:]
+        stop = next((j for j in range(i - a, len(lines)) if len(lines[j]) > WRAPPED_CHARS), len(lines))
+        lines = lines[:stop]
+        if len(lines) < 2 or stop <= i - a:
+            continue
+        if found := wrapped_notice(model, lines, i - a):
+            family, first, last = found
+            out[a + first] = (a + last, family)
+            done = a + last
+            for j in range(a, a + len(lines)):
+                verdicts.pop(j, None)
+    return out
+
+
 def scan_texts(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple[str, int, int, float]]]]:
     """Of each text its number of non-blank lines and (family, start, end, probability) of notices, in code points."""
     data, offsets = bytes_of(column)
@@ -211,17 +280,24 @@ def scan_texts(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple
         bounds, doc = line_offsets(data, offsets[a : b + 1])
         w = words(data, bounds, _SEPARATORS)
         p = model.probabilities(w)
-        filled = np.bincount(doc[np.diff(w.first) > 0], minlength=b - a)
-        found: dict[int, list] = {}
+        worded = np.diff(w.first) > 0
+        filled = np.bincount(doc[worded], minlength=b - a)
+        verdicts: dict[int, tuple[str, float]] = {}
         for i in np.flatnonzero(p[:, 0] < 0.5).tolist():
-            d = int(doc[i])
-            base = int(offsets[a + d])
             line = data[bounds[i] : bounds[i + 1]].tobytes().decode()
-            start = len(data[base : bounds[i]].tobytes().decode())
             family = decide(model, p[i], line)
             if family == UNKNOWN and not re.search(r"licen[cs]|copyright|permission|rights reserved|redistribut", line, re.I):
                 continue
-            found.setdefault(d, []).append((family, start, start + len(line.rstrip("\r\n")), float(1 - p[i, 0])))
+            verdicts[i] = family, float(1 - p[i, 0])
+        joined = join_wrapped(model, data, bounds, doc, worded, verdicts)
+        spans = [(i, i + 1, family, share) for i, (family, share) in verdicts.items()] + [(i, j, family, float(1 - p[i:j, 0].min())) for i, (j, family) in joined.items()]
+        found: dict[int, list] = {}
+        for i, j, family, share in sorted(spans):
+            d = int(doc[i])
+            base = int(offsets[a + d])
+            start = len(data[base : bounds[i]].tobytes().decode())
+            text = data[bounds[i] : bounds[j]].tobytes().decode()
+            found.setdefault(d, []).append((family, start, start + len(text.rstrip("\r\n")), share))
         for d in range(b - a):
             yield int(filled[d]), found.get(d, [])
 
@@ -236,9 +312,10 @@ def sample(docs: DataFrame) -> list[str]:
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row a row of docs: doc_id, n_paragraphs, n_notices, families, spans.
 
-    Every line of the whole text is classified. n_paragraphs: lines with a word; families: the
+    Every line of the whole text is classified, and short lines without blank ones between them,
+    comment leaders removed, together around words of notices. n_paragraphs: lines with a word; families: the
     distinct families found, 'unknown' among them, sorted and joined by commas; spans:
-    family:start:end of each notice's line in code points, joined by commas. Null, empty and
+    family:start:end of each notice's line or lines in code points, joined by commas. Null, empty and
     blank texts have none. Repeated rows are scanned each; other columns are not read; an empty
     table gives no rows. The model is trained on templates and a bounded sample of docs unless
     one is given.

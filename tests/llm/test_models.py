@@ -182,6 +182,35 @@ def test_licence_edges(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    # What notices say.
+    says = {
+        "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.',
+        "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "GPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "LGPL": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the notice appears in all copies.",
+    }
+    docs, want = [], {}
+    for family, text in says.items():
+        for width in (72, 76, 80):
+            for leader in ("", " * ", "# ", "// "):
+                lines = [leader + x for x in textwrap.wrap(text, width - len(leader))]
+                docs.append((len(docs), "\n".join(["Some text about rivers and stones.", "", *lines, "", "The end of it, at last."]), None, ""))
+                want[len(want)] = (family, lines)
+    plain = "The general public was free to copy the notes,\nand permission to enter was granted\nat the gate to any person with a license."
+    docs.append((len(docs), plain, None, ""))
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(docs, DOCS)).collect()}
+    for i, (family, lines) in want.items():
+        assert got[i]["families"] == family, (docs[i][1], got[i])
+        _, a, b = got[i]["spans"].split(",")[0].rsplit(":", 2)
+        assert docs[i][1][int(a) : int(b)].startswith(lines[0])
+        assert "\n" in docs[i][1][int(a) : int(b)] or license_scan.agreement(family, lines[0]) >= license_scan.AGREES
+    assert not {*got[len(want)]["families"].split(",")} - {"", "unknown"}
+
+
 @pytest.fixture(scope="module")
 def pages():
     return [h for (h,) in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet' ORDER BY page_id").fetchall()]
