@@ -34,7 +34,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -109,9 +109,36 @@ class Encoder:
         return [self._text(pieces[0]) + b"".join(map(ids, pieces[1:])) for pieces in cut]
 
 
-@lru_cache(maxsize=2)
-def json_encoder(path: str) -> Encoder:
-    """Of a file of a byte-level BPE tokenizer; strings of special tokens in a text are ordinary text."""
+class AddedEncoder:
+    """Reads the strings of a file's added tokens in a text as these tokens, as the library's encode does; what stands between them is encoded alone."""
+
+    def __init__(self, encoder: Encoder, added: dict[str, int]):
+        self._encoder, self._ids = encoder, {x: array("I", [i]).tobytes() for x, i in added.items()}
+        self._split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = self._encoder.encode(texts)
+        for i, text in enumerate(texts):
+            if any(x in text for x in self._ids):
+                parts = self._split(text)
+                plain = iter(self._encoder.encode(parts[::2]))
+                out[i] = b"".join(self._ids[x] if k % 2 else next(plain) for k, x in enumerate(parts))
+        return out
+
+
+@lru_cache(maxsize=4)
+def json_encoder(path: str, added: bool = False) -> Encoder | AddedEncoder:
+    """Of a file of a byte-level BPE tokenizer.
+
+    added: strings of the file's added tokens in a text are these tokens, as in the library's
+    encode(text, add_special_tokens=False); else they are ordinary text (its encode_special_tokens).
+    """
+    if added:
+        with open(path) as file:
+            said = json.load(file)["added_tokens"] or []
+        if any(x[k] for x in said for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path} has added tokens that take in what is beside them")
+        return AddedEncoder(json_encoder(path), {x["content"]: x["id"] for x in said}) if said else json_encoder(path)
     from tokenizers import Tokenizer
     from tokenizers.models import BPE
     from tokenizers.pre_tokenizers import ByteLevel

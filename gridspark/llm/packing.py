@@ -82,7 +82,7 @@ class _Bins:
         self.open = {}
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, least: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, least: int = 64, added: bool = False) -> DataFrame:
     """Encodes every whole text, appends end_id, and packs all documents' ids.
 
     One row a piece: doc_id, start (its document's ids before it), length, ids_crc32,
@@ -95,7 +95,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, en
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bins = json_encoder(tokenizer), _Bins(TaskContext.get().partitionId(), capacity)
+        encoder, bins = json_encoder(tokenizer, added), _Bins(TaskContext.get().partitionId(), capacity)
         end = np.array([end_id], "<u4").tobytes()
 
         def out() -> pa.RecordBatch:

@@ -12,14 +12,14 @@ from gridspark.llm.common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
-    "op1_token_blocks": lambda spark, d: token_blocks.token_block_report(table(spark, d, "documents")),
+    "op1_token_blocks": lambda spark, d: token_blocks.token_block_report(table(spark, d, "documents"), added=True),
     "op2_license_scan": lambda spark, d: license_scan.scan(table(spark, d, "documents")),
     "op3_ngram_jaccard": lambda spark, d: ngram_jaccard.near_duplicates(table(spark, d, "documents"), size=4, percent=85),
     "op4_embedding_dedup": lambda spark, d: embedding_dedup.near_duplicate_vectors(table(spark, d, "embeddings")),
     "op5_byte_bpe": lambda spark, d: bpe.encode_decode(table(spark, d, "documents")),
     "op6_exact_dedup": lambda spark, d: exact_dedup.exact_duplicates(table(spark, d, "documents")),
     "op7_html_text": lambda spark, d: html_text.extract(table(spark, d, "pages")),
-    "op8_packing": lambda spark, d: packing.pack(table(spark, d, "documents")),
+    "op8_packing": lambda spark, d: packing.pack(table(spark, d, "documents"), added=True),
     "op9_language_id": lambda spark, d: language_id.identify(table(spark, d, "documents")),
     "op10_secret_scan": lambda spark, d: secret_scan.find_secrets(table(spark, d, "documents")),
 }

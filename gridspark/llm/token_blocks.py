@@ -156,7 +156,7 @@ def decode_block(segment: bytes, i: int) -> np.ndarray:
     return decode_segment(_HEAD.pack(b"PFR1", size, size, 1) + np.array([0, len(body)], "<u4").tobytes() + body)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, block: int = BLOCK, share: float = SHARE) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, block: int = BLOCK, share: float = SHARE, added: bool = False) -> None:
     """Encodes every whole text, appends end_id to each, and writes segments in ascending doc_id order.
 
     Null and empty texts have end_id alone. Null doc_ids come first; rows that repeat a doc_id
@@ -166,7 +166,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = json_encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = json_encoder(tokenizer, added), TaskContext.get().partitionId()
         end, start = np.array([end_id], "<u4").tobytes(), 0
         doc_ids, null, sizes, held = [], [], [], []
 
@@ -227,8 +227,8 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     return read_segments(spark, path).select("start", "doc_ids", "doc_null", "doc_tokens", "payload").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
-def token_block_report(docs: DataFrame) -> DataFrame:
+def token_block_report(docs: DataFrame, added: bool = False) -> DataFrame:
     """Writes documents as segments to the shared folder and reads every id back."""
     path = shared_dir(docs.sparkSession)
-    write_tokens(docs, path)
+    write_tokens(docs, path, added=added)
     return read_tokens(docs.sparkSession, path)

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from gridspark.llm import bpe, packing, token_blocks
+from gridspark.llm.queries import QUERIES
 from gridspark.llm.text_hash import bytes_of, runs, words
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +66,20 @@ def test_pieces_give_the_ids_of_whole_texts(whole):
     assert [np.frombuffer(x, "<u4").tolist() for x in bpe.json_encoder(JSON).encode(texts)] == [whole(x) for x in texts]
 
 
+def test_queries_read_added_tokens_as_the_library_does(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(JSON)
+    ids = lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+    texts = [*TEXTS, "a <|endoftext|> x  <|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext|", "b<|endoftext|>\n c"]
+    spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op1_token_blocks"](spark, str(tmp_path)).collect()}
+    start = 0
+    for i, t in enumerate(texts):
+        want = [*ids(t), 0]
+        assert (got[i]["start"], got[i]["n_tokens"], got[i][3]) == (start, len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+        start += len(want)
+    assert packed_right(QUERIES["op8_packing"](spark, str(tmp_path)).collect(), [*enumerate(texts)], 2048, ids) >= 0
+
+
 def test_ranks_give_the_ids_of_tiktoken_and_decode(ranked):
     texts = odd_texts(seed=2) + [x or "" for x in TEXTS] + ["aaaaaaa" * 9, "xaaaaa aaaaaxx", "\n" * 50]
     table = bpe.rank_decoder(RANKS)
