@@ -110,6 +110,15 @@ def axis_position(coord: Column, origin: float, step: float) -> Column:
     return F.floor((coord - F.lit(origin)) / F.lit(step) + 0.5).cast("int")
 
 
+def pixel_centre(transform: tuple[float, ...], row: Column, col: Column, scale: tuple[float, float] = (1.0, 1.0)) -> tuple[Column, Column]:
+    """Latitude and longitude of a pixel's centre by an affine transform (a, b, c, d, e, f) without rotation.
+
+    scale: rows and columns of the transform's own grid that one row and column here stand for.
+    """
+    a, _, c, _, e, f = map(float, transform)
+    return F.lit(f) + F.lit(e * scale[0]) * (row + 0.5), F.lit(c) + F.lit(a * scale[1]) * (col + 0.5)
+
+
 def geo_ring(west: Column, south: Column, east: Column, north: Column) -> Column:
     """GeoJSON polygon of a box: from south-east round by north."""
     corner = lambda x, y: F.array(x.cast("double"), y.cast("double"))

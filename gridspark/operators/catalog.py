@@ -40,12 +40,26 @@ def stac_items(items: DataFrame) -> DataFrame:
     return items.select(F.col("item").alias("id"), document.alias("document"))
 
 
+def stac_collections(items: DataFrame) -> DataFrame:
+    """id, document: one collection that has items, with links to them and, if items have them, extent and span of all.
+
+    An item without an end leaves the collection's span open (null).
+    """
+    link = F.struct(F.col("rel"), F.col("href"), F.col("title"))
+    of = collection_links(items).groupBy("collection").agg(F.array_sort(F.collect_list(link)).alias("links"))
+    fields = [F.lit("Collection").alias("type"), F.lit("1.0.0").alias("stac_version"), F.col("collection").alias("id")]
+    if {"west", "south", "east", "north", "earliest", "latest"} <= {*items.columns}:
+        of = of.join(collection_extent(items), "collection")
+        spatial = F.struct(F.array(F.array("west", "south", "east", "north")).alias("bbox"))
+        temporal = F.struct(F.array(F.array(iso_time(F.col("earliest")), iso_time(F.col("latest")))).alias("interval"))
+        fields.append(F.struct(spatial.alias("spatial"), temporal.alias("temporal")).alias("extent"))
+    return of.select(F.col("collection").alias("id"), F.to_json(F.struct(*fields, "links")).alias("document"))
+
+
 def build_catalog(items: DataFrame) -> DataFrame:
     """level, id, parent, href, document of the root, the collections that have items, and the items."""
     items = present(items)
-    link = F.struct(F.col("rel"), F.col("href"), F.col("title"))
-    of = collection_links(items).groupBy("collection").agg(F.array_sort(F.collect_list(link)).alias("links"))
-    collections = of.select(F.lit("collection").alias("level"), F.col("collection").alias("id"), F.lit("root").alias("parent"), F.sha2("collection", 256).alias("href"), F.to_json(F.struct(F.lit("Collection").alias("type"), F.col("collection").alias("id"), "links")).alias("document"))
+    collections = stac_collections(items).select(F.lit("collection").alias("level"), "id", F.lit("root").alias("parent"), F.sha2("id", 256).alias("href"), "document")
     down = F.struct(F.lit("child").alias("rel"), F.col("href"), F.col("id").alias("title"))
     root = collections.agg(F.array_sort(F.collect_list(down)).alias("links")).select(F.lit("catalog").alias("level"), F.lit("root").alias("id"), F.lit(None).cast("string").alias("parent"), F.sha2(F.lit("root"), 256).alias("href"), F.to_json(F.struct(F.lit("Catalog").alias("type"), F.lit("root").alias("id"), "links")).alias("document"))
     leaves = items.select(F.lit("item").alias("level"), F.col("item").alias("id"), F.col("collection").alias("parent"), F.concat(F.lit("ver://"), F.col("version")).alias("href"), F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("item").alias("id"), "collection", F.struct(F.struct(F.concat(F.lit("/ver/"), F.col("version")).alias("href")).alias("data")).alias("assets"))).alias("document"))

@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIMS = (("t", "t_idx"), ("y", "lat_idx"), ("x", "lon_idx"))
 
 
-def pack_chunks(obs: DataFrame, sizes: tuple[int, int, int], shape: tuple[int, int, int], keys: tuple[str, ...] = ("dataset",)) -> DataFrame:
+def filled(cells: str, size: Column, absent: Column | None = None) -> Column:
+    """Column cells, an array of structs (k, v) sorted by k, as an array of size values: v at place k, absent elsewhere.
+
+    One pass: each cell brings the absent ones before it. Two cells of one place are an error.
+    """
+    absent = F.lit(None) if absent is None else absent
+    of = F.col(cells)
+
+    def run(x: Column, i: Column) -> Column:
+        before = x["k"] - F.coalesce(F.get(of["k"], i - 1), F.lit(-1)) - 1
+        return F.when(before >= 0, F.concat(F.array_repeat(absent, before), F.array(x["v"]))).otherwise(F.raise_error(F.lit("two rows of one cell")))
+
+    rest = size - 1 - F.coalesce(F.get(of["k"], F.size(of) - 1), F.lit(-1))
+    return F.concat(F.flatten(F.transform(of, run)), F.array_repeat(absent, rest))
+
+
+def pack_chunks(obs: DataFrame, sizes: tuple[int | Column, int | Column, int | Column], shape: tuple[int, int, int], keys: tuple[str, ...] = ("dataset",)) -> DataFrame:
     """keys, t/y/x_chunk, t/y/x_len, values: one row a chunk, values row-major in (t, y, x).
 
     obs: t_idx, lat_idx, lon_idx, value, one row a cell at most. sizes: of the whole array;
-    shape: of a chunk; chunks at an edge are shorter. Absent cells are null; chunks without any
+    which can be columns of obs; shape: of a chunk; chunks at an edge are shorter. Absent cells are null; chunks without any
     cell aren't there. A chunk's place follows from indices alone, whatever was there before.
     """
     out = obs
@@ -21,9 +37,9 @@ def pack_chunks(obs: DataFrame, sizes: tuple[int, int, int], shape: tuple[int, i
     (t, y, x), (ct, cy, cx) = (F.col(i) for _, i in DIMS), shape
     offset = ((t % ct) * F.col("y_len") + y % cy) * F.col("x_len") + x % cx
     names = [f"{d}_{k}" for k in ("chunk", "len") for d in "tyx"]
-    chunks = out.groupBy(*keys, *names).agg(F.map_from_entries(F.collect_list(F.struct(offset.cast("int").alias("k"), F.col("value").alias("v")))).alias("_cells"))
-    dense = F.transform(F.sequence(F.lit(0), F.col("t_len") * F.col("y_len") * F.col("x_len") - 1), lambda i: F.col("_cells")[i])
-    return chunks.withColumn("values", dense).drop("_cells")
+    chunks = out.groupBy(*keys, *names).agg(F.array_sort(F.collect_list(F.struct(offset.cast("int").alias("k"), F.col("value").alias("v")))).alias("_cells"))
+    kind = dict(obs.dtypes)["value"]
+    return chunks.withColumn("values", filled("_cells", F.col("t_len") * F.col("y_len") * F.col("x_len"), F.lit(None).cast(kind))).drop("_cells")
 
 
 def unpack_chunks(chunks: DataFrame, shape: tuple[int, int, int], keys: tuple[str, ...] = ("dataset",)) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.operators.stats import latest_revision
+from gridspark.session import small
 
 
 def concat_time(dfs: list[DataFrame], join: str = "outer", cell: tuple[str, ...] = ("lat_idx", "lon_idx")) -> DataFrame:
@@ -27,16 +28,18 @@ def concat_time(dfs: list[DataFrame], join: str = "outer", cell: tuple[str, ...]
 
 def on_cells(df: DataFrame, axis: DataFrame, cell: tuple[str, ...] = ("lat_idx", "lon_idx"), time: str = "time") -> DataFrame:
     """df on the cells of axis at each of its times; cells that it lacks are null."""
-    frame = axis.withColumn("_times", F.lit(1)).join(df.select(time).distinct().withColumn("_times", F.lit(1)), "_times").drop("_times")
+    # A product by definition: the times are sent to the cells, as long as they are few.
+    frame = axis.crossJoin(small(df.select(time).distinct()))
     return frame.join(df, [time, *cell], "left").select(*df.columns)
 
 
 def densify(df: DataFrame, axes: dict[str, DataFrame]) -> DataFrame:
     """Every combination of the axes' labels, with null values where df has none.
 
-    For bounded windows: as many rows as the product of the axes, which are what is broadcast.
+    As many rows as the product of the axes; those of a checked size are broadcast.
     """
-    frame = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), axes.values())
+    first, *rest = axes.values()
+    frame = reduce(lambda a, b: a.crossJoin(small(b)), rest, first)
     return frame.join(df, list(axes), "left")
 
 

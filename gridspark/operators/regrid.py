@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.functions.columns import axis_position, pixel_centre
+from gridspark.session import small
+
 
 def raster_to_points(tiles: DataFrame) -> DataFrame:
     """Tiles with row-major pixels and an affine transform (a, b, c, d, e, f) to a row a pixel.
@@ -19,16 +22,22 @@ def raster_to_points(tiles: DataFrame) -> DataFrame:
     return pixels.select("path", "time", "band", row.alias("pix_row"), col.alias("pix_col"), (t(5) + t(4) * (row + 0.5)).alias("latitude"), (t(2) + t(0) * (col + 0.5)).alias("longitude"), F.when(~gone, F.col("_v")).alias("value"))
 
 
-def downsample_mean(pixels: DataFrame, k: int, height: int, width: int, keys: tuple[str, ...] = ("path",)) -> DataFrame:
+def downsample_mean(pixels: DataFrame, k: int, height: int, width: int, keys: tuple[str, ...] = ("path",), transform: tuple[float, ...] | None = None) -> DataFrame:
     """keys, out_row, out_col, value: averages of blocks on a grid of height // k x width // k.
 
+    transform: of the source; with it, also latitude and longitude of the coarse pixels' centres.
+
     Where k doesn't divide a side, row r goes to floor(r * out / side), the stretched grid's
     row; pixels aren't split. Missing pixels don't count; a block without any is missing.
     """
     rows, cols = height // k, width // k
     out_row = F.floor(F.col("pix_row") * F.lit(rows) / F.lit(height)).cast("int")
     out_col = F.floor(F.col("pix_col") * F.lit(cols) / F.lit(width)).cast("int")
-    return pixels.groupBy(*keys, out_row.alias("out_row"), out_col.alias("out_col")).agg(F.avg("value").alias("value"))
+    out = pixels.groupBy(*keys, out_row.alias("out_row"), out_col.alias("out_col")).agg(F.avg("value").alias("value"))
+    if transform is None:
+        return out
+    latitude, longitude = pixel_centre(transform, F.col("out_row"), F.col("out_col"), (height / rows, width / cols))
+    return out.withColumns({"latitude": latitude, "longitude": longitude})
 
 
 def regrid_nearest(src: DataFrame, rows: DataFrame, cols: DataFrame, scale: tuple[float, float], keys: tuple[str, ...] = ("path",)) -> DataFrame:
@@ -38,6 +47,19 @@ def regrid_nearest(src: DataFrame, rows: DataFrame, cols: DataFrame, scale: tupl
     target axes and joined by equality; a range condition would compare every pair.
     """
     at = lambda out, k: F.floor((F.col(out) + 0.5) * F.lit(k)).cast("int")
-    rows = F.broadcast(rows.withColumn("pix_row", at("out_row", scale[0])))
-    cols = F.broadcast(cols.withColumn("pix_col", at("out_col", scale[1])))
+    rows = small(rows.withColumn("pix_row", at("out_row", scale[0])))
+    cols = small(cols.withColumn("pix_col", at("out_col", scale[1])))
     return src.join(rows, "pix_row").join(cols, "pix_col").select(*keys, "out_row", "out_col", "value")
+
+
+def regrid_to_axes(src: DataFrame, latitudes: DataFrame, longitudes: DataFrame, transform: tuple[float, ...], keys: tuple[str, ...] = ("path",)) -> DataFrame:
+    """keys, latitude, longitude, value on target axes, from the pixel whose centre is nearest.
+
+    src: pixel rows and columns of a regular grid with this transform; latitudes, longitudes: the
+    targets' labels. Targets beyond the source's pixels have no row. Of a target midway between
+    two pixels the one with the higher index counts.
+    """
+    a, _, c, _, e, f = map(float, transform)
+    rows = small(latitudes.select("latitude", axis_position(F.col("latitude"), f + e / 2, e).alias("pix_row")))
+    cols = small(longitudes.select("longitude", axis_position(F.col("longitude"), c + a / 2, a).alias("pix_col")))
+    return src.join(rows, "pix_row").join(cols, "pix_col").select(*keys, "latitude", "longitude", "value")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.columns import seeded
+from gridspark.session import small
 
 
 def sel_range(df: DataFrame, dim: str, lo: Any = None, hi: Any = None, partition: str | None = None) -> DataFrame:
@@ -46,7 +47,9 @@ def isel(df: DataFrame, axes: DataFrame, dim: str, i: int, dataset: str = "datas
     axis = axes.where(F.col("dim") == dim)
     size = axis.groupBy("dataset").agg((F.max("idx") + 1).alias("_size"))
     at = axis.join(size, "dataset").where(F.col("idx") == (F.lit(i) if i >= 0 else F.col("_size") + i))
-    return df.join(at.select(F.col("dataset").alias(dataset), F.col("coord").alias("_coord")), dataset).where(F.col(dim) == F.col("_coord")).drop("_coord")
+    # One label a dataset, so few rows; the label is part of the join.
+    labels = at.select(F.col("dataset").alias(dataset), F.col("coord").alias(dim))
+    return df.join(small(labels), [dataset, dim]).select(*df.columns)
 
 
 def random_window(axes: DataFrame, dim: str, width: int, seed: int) -> DataFrame:

@@ -32,6 +32,18 @@ def dim_sizes(df: DataFrame, dims: tuple[str, ...], dataset: str = "dataset") ->
     return df.groupBy(dataset).agg(*(F.count_distinct(d).alias(f"n_{d}") for d in dims))
 
 
+def describe(df: DataFrame, dims: tuple[str, ...], variables: tuple[str, ...], dataset: str = "dataset", time: str = "time") -> DataFrame:
+    """dataset, kind ('dimension' or 'variable'), name, n: labels of each dimension, values of each variable.
+
+    A dataset without a time dimension, or without one of the named columns, is an error.
+    """
+    if time not in dims or (missing := [c for c in (*dims, *variables) if c not in df.columns]):
+        raise ValueError("no dimension time" if time not in dims else f"no column {missing[0]}")
+    counts = dim_sizes(df, dims, dataset).join(df.groupBy(dataset).agg(*(F.count(v).alias(f"v_{v}") for v in variables)), dataset)
+    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), F.col(f"{p}_{name}").alias("n")) for kind, p, names in (("dimension", "n", dims), ("variable", "v", variables)) for name in names]
+    return counts.select(F.col(dataset).alias("dataset"), F.inline(F.array(*rows)))
+
+
 def time_span(df: DataFrame, dataset: str = "dataset", time: str = "time") -> DataFrame:
     """Earliest and latest time that any row of the dataset has."""
     return df.groupBy(dataset).agg(F.min(time).alias("earliest"), F.max(time).alias("latest"))

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions import calendars as cal
 from gridspark.functions import columns as fn
 from gridspark.operators import catalog, chunks, combine, manifest, quality, regrid, select, standardize, stats
-from gridspark.session import scratch
+from gridspark.session import scratch, small
 from gridspark.sources import files, store
 from gridspark.sources.fixtures import view, with_views
 from gridspark.streaming import streams
@@ -54,20 +54,28 @@ LONG = "CASE short_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fn.LON
 
 @query("SELECT short_name, valid_time AS time, lat AS latitude, lon AS longitude, revision, expver, band1 FROM grid_raw")
 def scan_grid(spark, d):
-    return raw(spark, d)
+    path = scratch(spark)
+    view(spark, d, "grid_raw").write.parquet(path)
+    return files.read_grid(spark, path)
 
 
 @query("SELECT short_name, valid_time AS time, lat AS latitude, lon AS longitude, revision, CASE WHEN short_name <> 't2m' THEN expver END AS expver, band1 FROM grid_raw")
 def scan_multi(spark, d):
-    grid = raw(spark, d)
-    return combine.concat_time([grid.where("short_name <> 't2m'"), grid.where("short_name = 't2m'").drop("expver")])
+    grid, path = view(spark, d, "grid_raw"), scratch(spark)
+    grid.where("short_name <> 't2m'").write.parquet(f"{path}/a")
+    grid.where("short_name = 't2m'").drop("expver").write.parquet(f"{path}/b")
+    return files.read_grid(spark, f"{path}/a", f"{path}/b")
+
+
+TRANSFORM = (0.5, 0.0, -10.0, 0.0, -0.25, 60.0)
 
 
 def tiles(spark, d) -> DataFrame:
     """Three rasters of 42 x 50 with an affine transform; absent pixels hold the nodata value."""
-    cells = view(spark, d, "grid_pixels").groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct((F.col("pix_row") * 50 + F.col("pix_col")).alias("k"), F.col("value").alias("v")))).alias("m"))
-    pixels = F.transform(F.sequence(F.lit(0), F.lit(42 * 50 - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(-9999.0)).cast("float"))
-    transform = F.array(*map(F.lit, (0.5, 0.0, -10.0, 0.0, -0.25, 60.0)))
+    value = F.coalesce(F.col("value"), F.lit(-9999.0)).cast("float")
+    cells = view(spark, d, "grid_pixels").groupBy("path").agg(F.array_sort(F.collect_list(F.struct((F.col("pix_row") * 50 + F.col("pix_col")).alias("k"), value.alias("v")))).alias("cells"))
+    pixels = chunks.filled("cells", F.lit(42 * 50), F.lit(-9999.0).cast("float"))
+    transform = F.array(*map(F.lit, TRANSFORM))
     return cells.select("path", F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz").alias("time"), F.lit(1).alias("band"), F.lit(50).alias("width"), F.lit(42).alias("height"), transform.alias("transform"), F.lit(-9999.0).alias("nodata"), pixels.alias("pixels"))
 
 
@@ -94,11 +102,12 @@ def slab_assign(spark, d):
 SHAPE = (12, 4, 10)
 
 
-def cube(spark, d) -> tuple[DataFrame, int]:
-    """Cells of the dense cube by index, and the number of its times."""
+def cube(spark, d) -> tuple[DataFrame, Column]:
+    """Cells of the dense cube by index, and the number of its times, a column of them."""
     rows = latest(spark, d)
-    axis = stats.numbered(rows.select("time").distinct(), "time").withColumnRenamed("idx", "t_idx")
-    return rows.join(F.broadcast(axis), "time").select(F.lit("dense").alias("dataset"), "t_idx", "lat_idx", "lon_idx", "value"), axis.count()
+    axis = stats.numbered(view(spark, d, "grid_dense").select("time").distinct(), "time").withColumnRenamed("idx", "t_idx")
+    size = axis.agg(F.count(F.lit(1)).cast("int").alias("n_t"))  # one row
+    return rows.join(small(axis), "time").crossJoin(F.broadcast(size)).select(F.lit("dense").alias("dataset"), "t_idx", "lat_idx", "lon_idx", "value", "n_t"), F.col("n_t")
 
 
 CELLS = f""", {LATEST},
@@ -127,13 +136,25 @@ def chunk_roundtrip(spark, d):
     return chunks.unpack_chunks(chunks.pack_chunks(cells, (n, 10, 36), SHAPE), SHAPE)
 
 
-@query()
+DIGESTS = CELLS + """,
+size AS (SELECT count(*) AS n FROM axis),
+k AS (SELECT DISTINCT t_idx // 12 AS t_chunk, lat_idx // 4 AS y_chunk, lon_idx // 10 AS x_chunk FROM cells),
+n AS (SELECT *, least(12, size.n - t_chunk * 12) AS t_len, least(4, 10 - y_chunk * 4) AS y_len, least(10, 36 - x_chunk * 10) AS x_len FROM k, size),
+f AS (SELECT n.*, t.range AS t, y.range AS y, x.range AS x FROM n, range(12) t, range(4) y, range(10) x WHERE t.range < t_len AND y.range < y_len AND x.range < x_len),
+v AS (SELECT 'dense' AS dataset, t_chunk, y_chunk, x_chunk, t_len, y_len, x_len, string_agg(coalesce(CAST(CAST(value AS DOUBLE) AS VARCHAR), 'null'), ',' ORDER BY t, y, x) AS vs
+      FROM f LEFT JOIN cells c ON c.t_idx = t_chunk * 12 + t AND c.lat_idx = y_chunk * 4 + y AND c.lon_idx = x_chunk * 10 + x GROUP BY ALL),
+digests AS (SELECT dataset, t_chunk, y_chunk, x_chunk, t_len, y_len, x_len, sha256(concat('{"dataset":"dense","t_chunk":', t_chunk, ',"y_chunk":', y_chunk, ',"x_chunk":', x_chunk, ',"t_len":', t_len, ',"y_len":', y_len, ',"x_len":', x_len, ',"values":[', vs, ']}')) AS digest FROM v)"""
+
+
+@query(DIGESTS + " SELECT * FROM digests")
 def chunk_digest(spark, d):
     cells, n = cube(spark, d)
     return chunks.chunk_digests(chunks.pack_chunks(cells, (n, 10, 36), SHAPE)).drop("values")
 
 
-@query()
+@query(DIGESTS + """,
+g AS (SELECT substr(digest, 1, 2) AS g, sha256(string_agg(digest, '' ORDER BY digest)) AS d FROM digests GROUP BY 1)
+SELECT sha256(string_agg(concat(g, d), '' ORDER BY concat(g, d))) AS version_id FROM g""")
 def version_id(spark, d):
     return chunks.version_id(chunk_digest(spark, d))
 
@@ -162,6 +183,16 @@ def dim_sizes(spark, d):
     return stats.dim_sizes(raw(spark, d).withColumnRenamed("short_name", "dataset"), ("time", "latitude", "longitude"))
 
 
+@query("""
+SELECT short_name AS dataset, 'dimension' AS kind, 'time' AS name, count(DISTINCT valid_time) AS n FROM grid_raw GROUP BY 1 UNION ALL
+SELECT short_name, 'dimension', 'latitude', count(DISTINCT lat) FROM grid_raw GROUP BY 1 UNION ALL
+SELECT short_name, 'dimension', 'longitude', count(DISTINCT lon) FROM grid_raw GROUP BY 1 UNION ALL
+SELECT short_name, 'variable', 'expver', count(expver) FROM grid_raw GROUP BY 1 UNION ALL
+SELECT short_name, 'variable', 'band1', count(band1) FROM grid_raw GROUP BY 1""")
+def describe(spark, d):
+    return stats.describe(wrapped(spark, d).withColumn("longitude", F.pmod(F.col("longitude") + 360, F.lit(360.0))), ("time", "latitude", "longitude"), ("expver", "band1"))
+
+
 def listing(spark, d) -> DataFrame:
     kind = F.expr("CASE o_orderkey % 4 WHEN 0 THEN 'ppt' WHEN 1 THEN 'tmax' WHEN 2 THEN 'tmin' ELSE 'vpd' END")
     name = F.concat(F.lit('<a href="'), F.lit("PRISM_"), kind, F.lit("_stable_4kmD2_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit('_bil.zip">'))
@@ -256,7 +287,7 @@ def select_band(spark, d):
     return standardize.select_band(view(spark, d, "grid_dense"), 1, "revision")
 
 
-@query()
+@query("SELECT o_orderkey, concat('{', CASE WHEN o_orderkey % 2 <> 0 THEN concat('\"x_', o_orderpriority, '\":\"', o_orderstatus, '\",') ELSE '' END, '\"units\":\"K\"}') AS attrs FROM orders")
 def prune_attrs(spark, d):
     attrs = F.create_map(F.concat(F.when(F.col("o_orderkey") % 2 == 0, "GRIB_").otherwise("x_"), F.col("o_orderpriority")), F.col("o_orderstatus"), F.lit("units"), F.lit("K"))
     kept = fn.without_keys(fn.without_prefix(F.col("attrs"), "GRIB"), "history")
@@ -272,10 +303,10 @@ standard AS (SELECT {LONG} AS variable, valid_time AS time, lat AS latitude,
 
 @query(f""", {STANDARD}
 SELECT variable, min(longitude) AS west, min(latitude) AS south, max(longitude) AS east, max(latitude) AS north, min(time) AS earliest, max(time) AS latest, count(*) AS n, count(value) AS n_valid, sum(CAST(value AS DOUBLE)) AS total
-FROM standard WHERE is_final AND latitude BETWEEN -45 AND 45 AND longitude BETWEEN -90 AND 90 GROUP BY 1""")
+FROM standard WHERE is_final AND latitude BETWEEN -60 AND 90 AND longitude BETWEEN -120 AND 120 GROUP BY 1""")
 def standardize_box(spark, d):
     grid = standardize.standardize(view(spark, d, "grid_raw"), standardize.rules(spark, RULES), final_only=True)
-    box = select.sel_range(select.sel_range(grid, "latitude", -45.0, 45.0), "longitude", -90.0, 90.0)
+    box = select.sel_range(select.sel_range(grid, "latitude", -60.0, 90.0), "longitude", -120.0, 120.0)
     joined = stats.spatial_extent(box, "variable").join(stats.time_span(box, "variable"), "variable")
     value = F.col("value").cast("double")
     return joined.join(box.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_valid"), F.sum(value).alias("total")), "variable")
@@ -384,18 +415,18 @@ first_axis AS (SELECT DISTINCT lat_idx, lon_idx FROM latest WHERE time = (SELECT
 SELECT t.time, a.lat_idx, a.lon_idx, l.revision, l.value FROM (SELECT DISTINCT time FROM latest) t CROSS JOIN first_axis a
 LEFT JOIN latest l ON l.time = t.time AND l.lat_idx = a.lat_idx AND l.lon_idx = a.lon_idx""")
 def concat_left(spark, d):
-    rows = latest(spark, d)
-    start = rows.agg(F.min("time")).first()[0]
-    return combine.concat_time([rows.where(F.col("time") == F.lit(start)), rows.where(F.col("time") > F.lit(start))], "left")
+    start = F.broadcast(view(spark, d, "grid_dense").agg(F.min("time").alias("start")))  # one row
+    rows = latest(spark, d).crossJoin(start)
+    return combine.concat_time([rows.where("time = start").drop("start"), rows.where("time > start").drop("start")], "left")
 
 
 @query(f""", {LATEST}
-SELECT t.time, CAST(y.range AS INT) AS lat_idx, CAST(x.range AS INT) AS lon_idx, l.revision, l.value FROM (SELECT DISTINCT time FROM latest WHERE time >= TIMESTAMP '1996-01-01' AND time < TIMESTAMP '1997-01-01') t, range(10) y, range(36) x
+SELECT t.time, CAST(y.range AS INT) AS lat_idx, CAST(x.range AS INT) AS lon_idx, l.revision, l.value FROM (SELECT DISTINCT time FROM latest) t, range(10) y, range(36) x
 LEFT JOIN latest l ON l.time = t.time AND l.lat_idx = y.range AND l.lon_idx = x.range""")
 def densify(spark, d):
-    rows = select.sel_period(latest(spark, d), "1996")
+    rows = latest(spark, d)
     index = lambda n, name: spark.range(n).select(F.col("id").cast("int").alias(name))
-    return combine.densify(rows, {"time": rows.select("time").distinct(), "lat_idx": index(10, "lat_idx"), "lon_idx": index(36, "lon_idx")})
+    return combine.densify(rows, {"time": view(spark, d, "grid_dense").select("time").distinct(), "lat_idx": index(10, "lat_idx"), "lon_idx": index(36, "lon_idx")})
 
 
 @query(f", {LATEST} SELECT * FROM latest WHERE time >= (SELECT min(time) FROM latest WHERE revision >= 7)")
@@ -413,13 +444,10 @@ def revision_decision(spark, d):
 
 
 @query("""
-, a AS (SELECT dataset, max(time) AS source_latest FROM obs_hourly GROUP BY 1),
-b AS (SELECT dataset, max(time) AS store_latest FROM obs_hourly WHERE cell % 3 = 0 AND dataset <> (SELECT min(dataset) FROM obs_hourly) GROUP BY 1)
+, a AS (SELECT dataset, max(period_start) AS source_latest FROM src_manifest GROUP BY 1), b AS (SELECT dataset, max(period_start) AS store_latest FROM disk_manifest GROUP BY 1)
 SELECT coalesce(a.dataset, b.dataset) AS dataset, source_latest, store_latest, coalesce(source_latest IS NOT NULL AND (store_latest IS NULL OR source_latest > store_latest), false) AS stale FROM a FULL JOIN b ON a.dataset = b.dataset""")
 def freshness(spark, d):
-    obs = view(spark, d, "obs_hourly")
-    least = obs.agg(F.min("dataset").alias("dataset"))
-    return manifest.freshness(obs, obs.where("cell % 3 = 0").join(F.broadcast(least), "dataset", "left_anti"))
+    return manifest.freshness(*(view(spark, d, m).withColumnRenamed("period_start", "time") for m in ("src_manifest", "disk_manifest")))
 
 
 @query("""
@@ -456,9 +484,20 @@ def regrid_nearest(spark, d):
 # Aggregation --------------------------------------------------------------------------------
 
 
-@query("SELECT path, CAST(floor(pix_row * 10 / 42) AS INT) AS out_row, CAST(floor(pix_col * 12 / 50) AS INT) AS out_col, avg(value) AS value FROM grid_pixels GROUP BY 1, 2, 3")
+@query("""
+SELECT path, CAST(floor(pix_row * 10 / 42) AS INT) AS out_row, CAST(floor(pix_col * 12 / 50) AS INT) AS out_col, avg(value) AS value,
+       60::DOUBLE + (-0.25::DOUBLE * (42::DOUBLE / 10)) * (floor(pix_row * 10 / 42) + 0.5::DOUBLE) AS latitude, -10::DOUBLE + (0.5::DOUBLE * (50::DOUBLE / 12)) * (floor(pix_col * 12 / 50) + 0.5::DOUBLE) AS longitude
+FROM grid_pixels GROUP BY 1, 2, 3, 5, 6""")
 def downsample_mean(spark, d):
-    return regrid.downsample_mean(view(spark, d, "grid_pixels"), 4, 42, 50)
+    return regrid.downsample_mean(view(spark, d, "grid_pixels"), 4, 42, 50, transform=TRANSFORM)
+
+
+@query("""
+SELECT path, 49 + y.range * 0.5::DOUBLE AS latitude, -12 + x.range * 0.75::DOUBLE AS longitude, value FROM grid_pixels, range(24) y, range(40) x
+WHERE pix_row = floor((49 + y.range * 0.5::DOUBLE - 59.875::DOUBLE) / -0.25::DOUBLE + 0.5) AND pix_col = floor((-12 + x.range * 0.75::DOUBLE - -9.75::DOUBLE) / 0.5::DOUBLE + 0.5)""")
+def regrid_to_axes(spark, d):
+    axis = lambda n, name, start, step: spark.range(n).select((F.lit(start) + F.col("id") * F.lit(step)).alias(name))
+    return regrid.regrid_to_axes(view(spark, d, "grid_pixels"), axis(24, "latitude", 49.0, 0.5), axis(40, "longitude", -12.0, 0.75), TRANSFORM)
 
 
 @query("SELECT dataset, min(time) AS earliest, max(time) AS latest FROM obs_hourly GROUP BY 1")
@@ -497,25 +536,26 @@ def collection_extent(spark, d):
     return catalog.collection_extent(items(spark, d))
 
 
-def months(spark, d) -> DataFrame:
-    """dataset, time: every month from the first to the last that orders have."""
-    bounds = view(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("dataset")).agg(F.date_trunc("month", F.min("o_orderdate")).cast("timestamp_ntz").alias("start"), F.date_trunc("month", F.max("o_orderdate")).cast("timestamp_ntz").alias("end"))
-    return cal.period_calendar(bounds, "month", keys=("dataset",))
+def days(spark, d) -> DataFrame:
+    """dataset, time: every day from the first to the last that orders have."""
+    day = lambda end: F.date_trunc("day", end("o_orderdate")).cast("timestamp_ntz")
+    bounds = view(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("dataset")).agg(day(F.min).alias("start"), day(F.max).alias("end"))
+    return cal.period_calendar(bounds, "day", keys=("dataset",))
 
 
-def stored_months(spark, d) -> DataFrame:
-    return view(spark, d, "disk_manifest").where("file_id % 50 = 1").select("dataset", F.date_trunc("month", "period_start").cast("timestamp_ntz").alias("time"))
+def stored_days(spark, d) -> DataFrame:
+    return view(spark, d, "disk_manifest").select("dataset", F.date_trunc("day", "period_start").cast("timestamp_ntz").alias("time"))
 
 
-MONTHS = """
-calendar AS (SELECT dataset, unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS time FROM (
-  SELECT o_orderstatus AS dataset, CAST(date_trunc('month', min(o_orderdate)) AS TIMESTAMP) AS a, CAST(date_trunc('month', max(o_orderdate)) AS TIMESTAMP) AS b FROM orders GROUP BY 1)),
-stored AS (SELECT DISTINCT dataset, CAST(date_trunc('month', period_start) AS TIMESTAMP) AS time FROM disk_manifest WHERE file_id % 50 = 1)"""
+DAYS = """
+calendar AS (SELECT dataset, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS time FROM (
+  SELECT o_orderstatus AS dataset, CAST(date_trunc('day', min(o_orderdate)) AS TIMESTAMP) AS a, CAST(date_trunc('day', max(o_orderdate)) AS TIMESTAMP) AS b FROM orders GROUP BY 1)),
+stored AS (SELECT DISTINCT dataset, CAST(date_trunc('day', period_start) AS TIMESTAMP) AS time FROM disk_manifest)"""
 
 
-@query(f", {MONTHS} SELECT c.dataset, count(*) AS expected, count(s.time) AS present, count(*) - count(s.time) AS missing FROM calendar c LEFT JOIN stored s ON s.dataset = c.dataset AND s.time = c.time GROUP BY 1")
+@query(f", {DAYS} SELECT c.dataset, count(*) AS expected, count(s.time) AS present, count(*) - count(s.time) AS missing FROM calendar c LEFT JOIN stored s ON s.dataset = c.dataset AND s.time = c.time GROUP BY 1")
 def coverage_gaps(spark, d):
-    return combine.coverage(months(spark, d), stored_months(spark, d), ["dataset", "time"])
+    return combine.coverage(days(spark, d), stored_days(spark, d), ["dataset", "time"])
 
 
 # Windows, order, sets -----------------------------------------------------------------------
@@ -558,7 +598,7 @@ def sort_axes(spark, d):
     grid, axes = wrapped(spark, d), grid_axes(spark, d)
     for dim, idx in (("latitude", "lat_idx"), ("longitude", "lon_idx")):
         own = axes.where(F.col("dim") == dim).select("dataset", F.col("coord").alias(dim), F.col("idx").alias(idx))
-        grid = grid.join(own, ["dataset", dim])
+        grid = grid.join(small(own), ["dataset", dim])
     return grid.select("dataset", "lat_idx", "lon_idx", "time", "revision", "band1").sortWithinPartitions("dataset", "lat_idx", "lon_idx", "time")
 
 
@@ -568,9 +608,9 @@ def axis_union(spark, d):
     return combine.concat_time([grid.where("short_name = 't2m'").select("lon"), grid.where("short_name <> 't2m'").select("lon")]).distinct()
 
 
-@query(f", {MONTHS} SELECT dataset, time FROM calendar EXCEPT SELECT dataset, time FROM stored")
+@query(f", {DAYS} SELECT dataset, time FROM calendar EXCEPT SELECT dataset, time FROM stored")
 def missing_periods(spark, d):
-    return combine.missing_periods(months(spark, d), stored_months(spark, d), ["dataset", "time"])
+    return combine.missing_periods(days(spark, d), stored_days(spark, d), ["dataset", "time"])
 
 
 # Functions ----------------------------------------------------------------------------------
@@ -631,11 +671,24 @@ def geo_ring(spark, d):
     return items(spark, d).select("item", fn.geo_ring(*map(F.col, ("west", "south", "east", "north"))).alias("geometry"))
 
 
-@query()
+STAC = ITEMS + """,
+s AS (SELECT item, collection, version, CAST(west AS VARCHAR) AS w, CAST(south AS VARCHAR) AS s, CAST(east AS VARCHAR) AS e, CAST(north AS VARCHAR) AS n, strftime(earliest, '%Y-%m-%dT%H:%M:%SZ') AS a, strftime(latest, '%Y-%m-%dT%H:%M:%SZ') AS z FROM items)"""
+
+
+@query(f""", {STAC}
+SELECT item AS id, concat('{{"type":"Feature","stac_version":"1.0.0","id":"', item, '","collection":"', collection, '","bbox":[', w, ',', s, ',', e, ',', n, '],"geometry":{{"type":"Polygon","coordinates":[[[', e, ',', s, '],[', e, ',', n, '],[', w, ',', n, '],[', w, ',', s, '],[', e, ',', s, ']]]}},"properties":{{"start_datetime":"', a, '","end_datetime":"', z, '"}},"assets":{{"data":{{"href":"ver://', version, '"}}}}}}') AS document FROM s""")
 def stac_items(spark, d):
     return catalog.stac_items(items(spark, d))
 
 
+@query(f""", {STAC},
+c AS (SELECT collection, CAST(min(west) AS VARCHAR) AS w, CAST(min(south) AS VARCHAR) AS s, CAST(max(east) AS VARCHAR) AS e, CAST(max(north) AS VARCHAR) AS n, strftime(min(earliest), '%Y-%m-%dT%H:%M:%SZ') AS a, strftime(max(latest), '%Y-%m-%dT%H:%M:%SZ') AS z,
+        string_agg(concat('{{"rel":"item","href":"ver://', version, '","title":"', item, '"}}'), ',' ORDER BY concat('ver://', version), item) AS links FROM items GROUP BY 1)
+SELECT collection AS id, concat('{{"type":"Collection","stac_version":"1.0.0","id":"', collection, '","extent":{{"spatial":{{"bbox":[[', w, ',', s, ',', e, ',', n, ']]}},"temporal":{{"interval":[["', a, '","', z, '"]]}}}},"links":[', links, ']}}') AS document FROM c""")
+def stac_collections(spark, d):
+    return catalog.stac_collections(items(spark, d))
+
+
 @query("SELECT event_id, json_extract_string(props, '$.' || json_keys(props)[1]) AS first_value FROM events WHERE props IS NOT NULL AND json_valid(props)")
 def json_extract(spark, d):
     return view(spark, d, "events").where("props is not null and json_object_keys(props) is not null").select("event_id", F.expr("from_json(props, 'map<string,string>')[json_object_keys(props)[0]]").alias("first_value"))

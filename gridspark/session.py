@@ -1,24 +1,33 @@
-"""A session with the settings that the library's results assume."""
+"""Where jobs keep intermediate tables, and what is small enough to be sent to all tasks."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-
-def session(name: str = "gridspark", **settings: str) -> SparkSession:
-    """UTC, adaptive execution and zstd Parquet; settings, with _ for ., go on top."""
-    builder = SparkSession.builder.appName(name)
-    usual = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
-    return builder.config(map=usual | {k.replace("_", "."): v for k, v in settings.items()}).getOrCreate()
+#: Rows of a table that is sent to all tasks at most.
+SMALL_ROWS = 1_000_000
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir, which driver and executors share; without that setting, a local one."""
+    """A fresh folder under spark.checkpoint.dir, which driver and executors share.
+
+    Without that setting a local folder takes its place where all runs in one process (tests);
+    elsewhere its lack is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """df marked for broadcast if it has no more than so many rows (a count tells, which stops there); a larger one is shuffled."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

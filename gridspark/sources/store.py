@@ -1,14 +1,17 @@
 """A store of immutable versions in plain folders: data/<commit>, and versions that name commits.
 
-A version is a folder of one small table, versions/<n>, which lists the commits it consists of
-and is written after their data, so that a reader sees a version whole or not at all. Data
-folders are never changed; a revision of a period is written anew and takes the old one's place
-by the key's latest revision.
+A version is a folder of one small table, versions/version=<n>, which lists the commits it
+consists of and is written after their data, so that a reader sees a version whole or not at
+all; two writers of one number can't both succeed. It also lists what each commit holds, as a
+digest of its rows, so that versions of equal contents have one id. Data folders are never changed; a revision of a period is
+written anew and takes the old one's place by the key's latest revision. compact() makes a
+version of one commit that holds one row a key and is read as it is.
 """
 
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,63 +20,115 @@ from gridspark.operators.combine import append_new
 from gridspark.operators.stats import latest_revision
 
 KEYS = ["dataset", "time", "lat_idx", "lon_idx"]
+#: Cells of a side of the squares that a dataset's year is dealt to tasks and files by.
+TILE = 128
+_LISTED = "version int, n int, commit string, content string, latest boolean"
+
+
+class Version(NamedTuple):
+    """A version's number, and an id that equal contents have in any store."""
+
+    number: int
+    id: str
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("version int, n int, commit string").parquet(f"{root}/versions")
+    return spark.read.schema(_LISTED).parquet(f"{root}/versions")
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
-    """The newest version, or 0 where there is no store."""
+    """The number of the newest version, or 0 where there is no store."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return 0
     return _versions(spark, root).agg(F.max("version")).first()[0] or 0
 
 
-def _commit(df: DataFrame, root: str, before: list[str]) -> int:
-    spark = df.sparkSession
-    commit = uuid.uuid4().hex
-    df.withColumn("year", F.year("time")).repartition("dataset", "year").sortWithinPartitions("lat_idx", "lon_idx", "time").write.partitionBy("dataset", "year").parquet(f"{root}/data/{commit}")
-    version = latest_version(spark, root) + 1
-    rows = [(version, i, c) for i, c in enumerate([*before, commit])]
-    spark.createDataFrame(rows, "version int, n int, commit string").coalesce(1).write.mode("append").parquet(f"{root}/versions")
-    return version
+def content_id(df: DataFrame) -> str:
+    """32 hex digits of the rows, whatever their order and tasks: their number, and sums of two hashes of each.
+
+    It tells contents apart; it is no safeguard against forgery.
+    """
+    columns = sorted(df.columns)
+    hashes = [F.sum((F.xxhash64(F.lit(k), *columns) % (1 << 40)).cast("decimal(38,0)")) for k in (1, 2, 3)]
+    return df.agg(F.substring(F.sha2(F.concat_ws(",", F.lit(",".join(columns)), F.count(F.lit(1)), *hashes), 256), 1, 32)).first()[0]
 
 
-def instantiate(df: DataFrame, root: str) -> int:
+def version_id(spark: SparkSession, root: str, version: int | None = None) -> str:
+    """The id of a version, the newest by default: of what its commits hold."""
+    names = F.array_join(F.array_sort(F.collect_list("content")), ",")
+    return _versions(spark, root).where(F.col("version") == (version or latest_version(spark, root))).agg(F.sha2(names, 256)).first()[0]
+
+
+def _now(spark: SparkSession, root: str) -> Version:
+    number = latest_version(spark, root)
+    return Version(number, version_id(spark, root, number))
+
+
+def _commit(df: DataFrame, root: str, before: list[tuple[str, str]], latest: bool = False) -> Version:
+    """Writes df once, then lists it after the commits before it (name, content); without rows the version stays."""
+    spark = df.sparkSession
+    commit, df = uuid.uuid4().hex, df.withColumn("year", F.year("time"))
+    tile = [F.floor(F.col(c) / TILE) for c in ("lat_idx", "lon_idx")]
+    df.repartition("dataset", "year", *tile).sortWithinPartitions("dataset", "year", "lat_idx", "lon_idx", "time").write.partitionBy("dataset", "year").parquet(f"{root}/data/{commit}")
+    written = spark.read.schema(df.schema).parquet(f"{root}/data/{commit}")
+    if before and not written.head(1):
+        return _now(spark, root)
+    number = latest_version(spark, root) + 1
+    rows = [(i, c, content, latest) for i, (c, content) in enumerate([*before, (commit, content_id(written))])]
+    spark.createDataFrame(rows, "n int, commit string, content string, latest boolean").coalesce(1).write.parquet(f"{root}/versions/version={number}")
+    return _now(spark, root)
+
+
+def instantiate(df: DataFrame, root: str) -> Version:
     """A new store of dataset, time, lat_idx, lon_idx, value, revision; an existing one is an error."""
     if latest_version(df.sparkSession, root):
         raise FileExistsError(root)
     return _commit(df, root, [])
 
 
-def commits(spark: SparkSession, root: str, version: int | None = None) -> list[str]:
+def _listed(spark: SparkSession, root: str, version: int | None) -> list:
     version = version or latest_version(spark, root)
-    found = [r["commit"] for r in _versions(spark, root).where(F.col("version") == version).orderBy("n").collect()]
+    found = _versions(spark, root).where(F.col("version") == version).orderBy("n").collect()
     if not found:
         raise KeyError(version)
     return found
 
 
+def commits(spark: SparkSession, root: str, version: int | None = None) -> list[str]:
+    return [r["commit"] for r in _listed(spark, root, version)]
+
+
+def _rows(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    first, *rest = (spark.read.parquet(f"{root}/data/{c}") for c in names)
+    for df in rest:
+        first = first.unionByName(df, allowMissingColumns=True)
+    return first
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """A version's rows, the newest by default: of each key the highest revision, ties by the larger value."""
-    found = commits(spark, root, version)
-    parts = [spark.read.parquet(f"{root}/data/{c}") for c in found]
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p, allowMissingColumns=True)
-    return latest_revision(df, KEYS, [F.desc("revision"), F.desc_nulls_last("value")]).drop("year")
+    found = _listed(spark, root, version)
+    df = _rows(spark, root, [r["commit"] for r in found])
+    if not (len(found) == 1 and found[0]["latest"]):
+        df = latest_revision(df, KEYS, [F.desc("revision"), F.desc_nulls_last("value")])
+    return df.drop("year")
+
 
+def append(df: DataFrame, root: str) -> Version:
+    """Stores the rows whose keys and revisions aren't there yet; without any, the version stays.
 
-def append(df: DataFrame, root: str) -> int:
-    """Stores the rows whose keys and revisions aren't there yet; without any, the version stays."""
+    Of what is stored only the years between the new rows' first and last time are looked through.
+    """
     spark = df.sparkSession
-    before = commits(spark, root)
-    stored = spark.read.parquet(f"{root}/data/{before[0]}")
-    for c in before[1:]:
-        stored = stored.unionByName(spark.read.parquet(f"{root}/data/{c}"), allowMissingColumns=True)
-    new = append_new(stored, df, [*KEYS, "revision"])
-    if not new.head(1):
-        return latest_version(spark, root)
-    return _commit(new, root, before)
+    before = [(r["commit"], r["content"]) for r in _listed(spark, root, None)]
+    span = df.agg(F.min("time").alias("a"), F.max("time").alias("b")).first()
+    if span["a"] is None:
+        return _now(spark, root)
+    stored = _rows(spark, root, [c for c, _ in before]).where(F.col("year").between(span["a"].year, span["b"].year) & F.col("time").between(span["a"], span["b"]))
+    return _commit(append_new(stored, df, [*KEYS, "revision"]), root, before)
+
+
+def compact(spark: SparkSession, root: str) -> Version:
+    """A version with the rows that read_version gives, in one commit, so that reads shuffle nothing."""
+    return _commit(read_version(spark, root), root, [], latest=True)

@@ -23,13 +23,20 @@ def _each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame],
 
 
 def append_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Appends the rows whose keys aren't stored, once a key: a replay of old files adds nothing."""
+    """Appends the rows whose keys aren't stored, once a key: a replay of old files adds nothing.
+
+    Of what is stored only rows between the batch's least and largest value of the first key are
+    read, as files say which they hold; so the first key had better grow with time.
+    """
 
     def write(batch: DataFrame) -> None:
         spark = batch.sparkSession
         new = batch.dropDuplicates(keys)
         if _there(spark, path):
-            new = append_new(spark.read.schema(new.schema).parquet(path), new, keys)
+            a, b = batch.agg(F.min(keys[0]), F.max(keys[0])).first()
+            stored = spark.read.schema(new.schema).parquet(path)
+            stored = stored.where(F.col(keys[0]).between(F.lit(a), F.lit(b))) if a is not None else stored.limit(0)
+            new = append_new(stored, new, keys)
         new.write.mode("append").parquet(path)
 
     return _each_batch(stream, checkpoint, write)

@@ -22,16 +22,36 @@ def values(df):
 
 def test_versions(spark, tmp_path):
     root = str(tmp_path / "store")
-    assert store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root) == 1
+    assert store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root).number == 1
     with pytest.raises(FileExistsError):
         store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root)
     new = obs(spark, ((2020, 1, 1), 0, 2.0, 2), ((2021, 1, 1), 0, 3.0, 1))
-    assert store.append(new, root) == 2
-    assert store.append(new, root) == 2  # nothing new
+    second = store.append(new, root)
+    assert second.number == 2
+    assert store.append(new, root) == second  # nothing new
+    assert store.append(new.limit(0), root) == second
     assert values(store.read_version(spark, root)) == [(D(2020, 1, 1), 0, 2.0), (D(2021, 1, 1), 0, 3.0)]
     assert values(store.read_version(spark, root, 1)) == [(D(2020, 1, 1), 0, 1.0)]
     with pytest.raises(KeyError):
         store.read_version(spark, root, 9)
+    before = values(store.read_version(spark, root))
+    assert store.compact(spark, root).number == 3
+    assert values(store.read_version(spark, root)) == before and len(store.commits(spark, root)) == 1
+    assert store.append(obs(spark, ((2020, 1, 1), 0, 7.0, 3)), root).number == 4
+    assert values(store.read_version(spark, root))[0] == (D(2020, 1, 1), 0, 7.0)
+
+
+def test_version_ids_are_of_contents(spark, tmp_path):
+    a = obs(spark, ((2020, 1, 1), 0, 1.0, 1), ((2021, 1, 1), 1, None, 1))
+    ids = [store.instantiate(df, str(tmp_path / str(i))).id for i, df in enumerate((a, a.repartition(5, "lon_idx"), a.limit(1), a.union(a)))]
+    assert ids[0] == ids[1] and len({*ids}) == 3
+
+
+def test_versions_are_never_written_twice(spark, tmp_path):
+    root = str(tmp_path / "store")
+    store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root)
+    with pytest.raises(Exception, match="(?i)exists"):  # as a writer that has read version 0 would
+        spark.range(1).write.parquet(f"{root}/versions/version=1")
 
 
 def test_append_stream_replays_add_nothing(spark, tmp_path):
