@@ -1,11 +1,14 @@
 """Operators on small tables, with every boundary that they have to keep."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from gridspark.functions.columns import axis_position
 from gridspark.operators import catalog, chunks, combine, manifest, quality, regrid, select, standardize, stats
+from gridspark.session import small
 from gridspark.sources import files
 
 D = dt.datetime
@@ -215,3 +218,83 @@ def test_listing(spark):
     lines = spark.createDataFrame([(">PRISM_ppt_stable_4kmD2_19810101_bil.zip<",), ("PRISM_vpd_stable_4kmD2_19810101_bil.zip",), ('<a href="1999/">',), (None,)], "value string")
     assert rows(files.parse_listing(lines), "variable", "day") == [("ppt", dt.date(1981, 1, 1))]
     assert rows(files.listing_years(lines), "year") == [(1999,)]
+
+
+def test_filled_arrays(spark):
+    df = spark.createDataFrame([([(1, 5.0), (3, None)],), ([],), ([(0, 1.0), (4, 2.0)],)], "cells array<struct<k:int,v:double>>")
+    got = [r[0] for r in df.select(chunks.filled("cells", F.lit(5), F.lit(None).cast("double"))).collect()]
+    assert got == [[None, 5.0, None, None, None], [None] * 5, [1.0, None, None, None, 2.0]]
+    twice = spark.createDataFrame([([(1, 5.0), (1, 6.0)],)], "cells array<struct<k:int,v:double>>")
+    with pytest.raises(Exception, match="two rows of one cell"):
+        twice.select(chunks.filled("cells", F.lit(5))).collect()
+
+
+def test_a_large_chunk_is_packed_in_one_pass(spark):
+    n = 250_000
+    cell = F.col("id")
+    obs = spark.range(n).select(F.lit("a").alias("dataset"), F.floor(cell / 625).cast("int").alias("t_idx"), F.floor(cell % 625 / 25).cast("int").alias("lat_idx"), (cell % 25).cast("int").alias("lon_idx"), cell.cast("double").alias("value"))
+    began = time.perf_counter()
+    packed = chunks.pack_chunks(obs.where("id % 3 <> 1"), (400, 25, 25), (400, 25, 25)).select("values").first()[0]
+    assert time.perf_counter() - began < 20
+    assert packed == [None if i % 3 == 1 else float(i) for i in range(n)]
+
+
+def test_small_tables_are_counted(spark):
+    said = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "broadcast" in said(small(spark.range(5), 5)) and "broadcast" not in said(small(spark.range(6), 5))
+
+
+def test_coarse_pixels_have_coordinates(spark):
+    # A transform of 1 degree on 8 x 8 pixels; blocks of 4 have their centres at 2 and 6 degrees.
+    points = regrid.raster_to_points(tile(spark, 8, 8))
+    got = {(r["out_row"], r["out_col"]): (r["latitude"], r["longitude"]) for r in regrid.downsample_mean(points, 4, 8, 8, transform=(1.0, 0, 10.0, 0, -1.0, 50.0)).collect()}
+    assert got == {(0, 0): (48.0, 12.0), (0, 1): (48.0, 16.0), (1, 0): (44.0, 12.0), (1, 1): (44.0, 16.0)}
+    # Where 4 doesn't divide 7, the coarse grid is stretched over all of it.
+    points = regrid.raster_to_points(tile(spark, 7, 8))
+    got = {r["latitude"] for r in regrid.downsample_mean(points, 4, 7, 8, transform=(1.0, 0, 10.0, 0, -1.0, 50.0)).collect()}
+    assert got == {46.5}
+
+
+def test_axis_positions_and_nearest_values(spark):
+    coords = spark.createDataFrame([(x,) for x in (9.4, 9.5, 10.0, 10.49, 10.5, 12.0)], "x double")
+    assert [r[0] for r in coords.select(axis_position(F.col("x"), 10.0, 1.0)).collect()] == [-1, 0, 0, 0, 1, 2]
+    src = spark.createDataFrame([("p", r, c, float(10 * r + c)) for r in range(3) for c in range(3)], "path string, pix_row int, pix_col int, value double")
+    axis = lambda name, *x: spark.createDataFrame([(v,) for v in x], f"{name} double")
+    got = regrid.regrid_to_axes(src, axis("latitude", 49.9, 48.6, 40.0), axis("longitude", 9.9, 10.2, 12.9), (1.0, 0, 10.0, 0, -1.0, 50.0))
+    assert rows(got, "latitude", "longitude", "value") == [(48.6, 10.2, 10.0), (48.6, 12.9, 12.0), (49.9, 10.2, 0.0), (49.9, 12.9, 2.0)]
+
+
+def test_squeeze(spark):
+    df = spark.createDataFrame([(1, 5), (1, 6)], "a int, b int")
+    assert standardize.squeeze(df, "a").columns == ["b"]
+    with pytest.raises(ValueError):
+        standardize.squeeze(df, "b")
+
+
+def test_describe(spark):
+    df = spark.createDataFrame([("a", 1, 2, None), ("a", 1, 3, 5.0), ("b", 2, 2, 1.0)], "dataset string, time int, x int, v double")
+    got = rows(stats.describe(df, ("time", "x"), ("v",)), "dataset", "kind", "name", "n")
+    assert got == sorted([("a", "dimension", "time", 1), ("a", "dimension", "x", 2), ("a", "variable", "v", 1), ("b", "dimension", "time", 1), ("b", "dimension", "x", 1), ("b", "variable", "v", 1)], key=str)
+    for dims, variables in ((("x",), ("v",)), (("time", "y"), ("v",)), (("time",), ("w",))):
+        with pytest.raises(ValueError):
+            stats.describe(df, dims, variables)
+
+
+def test_listings_and_documents_as_files(spark, tmp_path):
+    walked = spark.createDataFrame([("c", "x", "v1"), ("d", "x", "v2"), ("c", "a", "v3")], "collection string, id string, version string")
+    assert catalog.listing_json(walked).first()[0] == '{"a":"v3","x":"v2"}'
+    files.write_documents(catalog.listing_json(walked), str(tmp_path / "out"))
+    assert {(r["item"], r["version"]) for r in files.read_versions(spark, str(tmp_path / "out")).collect()} == {("a", "v3"), ("x", "v2")}
+
+
+def test_collections_have_the_extent_of_their_items(spark):
+    import json
+
+    items = spark.createDataFrame([("c", "x", "v1", 1.0, 2.0, 3.0, 4.0, D(2020, 1, 1), D(2020, 2, 1)), ("c", "y", "v2", 0.0, 3.0, 2.0, 9.0, D(2019, 1, 1), None)], "collection string, item string, version string, west double, south double, east double, north double, earliest timestamp_ntz, latest timestamp_ntz")
+    said = json.loads(catalog.stac_collections(items).first()["document"])
+    assert said["extent"]["spatial"]["bbox"] == [[0.0, 2.0, 3.0, 9.0]]
+    assert said["extent"]["temporal"]["interval"] == [["2019-01-01T00:00:00Z", None]]
+    assert [x["title"] for x in said["links"]] == ["x", "y"]
+    assert rows(catalog.walk_catalog(catalog.build_catalog(items)), "id") == [("x",), ("y",)]
+    document = json.loads(catalog.stac_items(items.where("item = 'x'")).first()["document"])
+    assert document["bbox"] == [1.0, 2.0, 3.0, 4.0] and document["geometry"]["coordinates"][0][0] == [3.0, 2.0]
