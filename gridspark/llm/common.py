@@ -2,32 +2,60 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.session import scratch
 
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is absent (tests on one machine) a local folder takes its place.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+#: Settings of a job over large texts, which queries and the pipeline make: rows and bytes of the batches that tasks
+#: exchange with Python, of which an executor holds several at once; and shuffle files go when the write that
+#: needed them has ended, as what is read again is a written table.
+JOB = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
+def configure(spark: SparkSession) -> None:
+    """Sets the session to JOB; results don't depend on it."""
+    for name, value in JOB.items():
+        spark.conf.set(name, value)
+
+
+#: Where tables that stored() wrote lie, as long as they are held.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh folder under spark.checkpoint.dir, which driver and executors share."""
+    return scratch(spark)
 
 
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """df written as a table in the shared folder and read again: later stages start there."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path, partitionBy=list(partition_by) or None)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[made] = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that stored() wrote and that nothing will read again."""
+    for df in tables:
+        path = _PATHS.pop(df, None)
+        if path:
+            jvm, context = df.sparkSession._jvm, df.sparkSession.sparkContext
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,16 +75,15 @@ def sampled(df: DataFrame, key: str, text: str, n: int) -> list[str]:
     return [r[text] for r in sorted(chosen, key=lambda r: (r[key] is None, r[key] or 0, r[text]))]
 
 
-def text_groups(texts: list[str], max_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of whole texts with about max_chars characters each."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > max_chars:
-            yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+def slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """A batch cut into runs of whole rows with about max_bytes of a text column each, so that Python holds the strings of one run only."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first, done = 0, 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
+        yield batch.slice(first, last - first)
+        first, done = last, int(ends[last - 1])
 
 
 def strings(column: pa.Array) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import stored
+from gridspark.llm.common import discard, stored
 
 
 def _state(links: DataFrame) -> tuple:
@@ -38,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     links = stored(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     state = _state(links)
     while state[0]:
-        links = stored(_small_star(_large_star(links)))
+        old, links = links, stored(_small_star(_large_star(links)))
+        discard(old)
         before, state = state, _state(links)
         if before == state:
             break

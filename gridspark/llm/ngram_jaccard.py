@@ -15,8 +15,13 @@ compare. So a group of copies costs about two comparisons for each, and no link
 components is lost. Where few sets hold a token these pairs are joined; where many do, blocks of
 them are compared within tasks, which return only pairs that the bound below lets pass.
 
-Before sets are moved, a bound is tried: how many tokens of each set fall in each of some parts
-of the hash range. The sum of the parts' smaller numbers is at least the size of the overlap.
+Before the other orders' prefixes and then whole sets are moved, a bound is tried: how many tokens
+of each set fall in each of some parts of the hash range. The sum of the parts' smaller numbers is
+at least the size of the overlap. Whole sets are compared last.
+
+Tokens are 60 bits of a hash and sets are told apart by 128: of a pair with 1000 tokens each, one
+false common token has odds of about 1 in 10**12, and two sets that are taken for one about
+1 in 10**38 a pair.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import stored
+from gridspark.llm.common import discard, stored
 from gridspark.llm.components import components
 from gridspark.llm.text_hash import U, Words, bytes_of, mix, runs, words
 
@@ -69,11 +74,8 @@ def _shingles(w: Words, size: int, levels: np.ndarray | None) -> tuple[np.ndarra
         tokens |= least[at].astype(U) << U(60)
     short = np.flatnonzero((counts > 0) & (counts < size))
     if len(short):
-        of = []
-        for d in short.tolist():
-            own = slice(w.first[d], w.first[d + 1])
-            of.append((w.hashes[own] * _FACTORS[: counts[d]]).sum(dtype=U) + _FACTORS[size] * U(counts[d]))
-        extra = mix(np.array(of, U)) & _VALUE
+        of = [(w.hashes[w.first[d] : w.first[d + 1]] * _FACTORS[: counts[d]]).sum(dtype=U, keepdims=True) for d in short.tolist()]
+        extra = mix(np.concatenate(of) + _FACTORS[size] * counts[short].astype(U)) & _VALUE
         if level is not None:
             extra |= np.array([level[w.first[d] : w.first[d + 1]].min() for d in short.tolist()], U) << U(60)
         tokens, doc = np.concatenate([tokens, extra]), np.concatenate([doc, short])
@@ -146,7 +148,7 @@ def _rarity(summary: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """token, n, k1, k2 for the first order's prefix of each set, once a task."""
+    """token, k1 for the first order's prefix of each set, once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
@@ -162,9 +164,9 @@ def _postings(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> D
             sizes = prefix_size(n[take], percent)
             row = np.repeat(take, sizes)
             at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[row]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[at].view(np.int64)), pa.array(n[row].astype(np.int32)), pa.array(k1[row]), pa.array(k2[row])], names=["token", "n", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[at].view(np.int64)), pa.array(k1[row])], names=["token", "k1"])
 
-    return docs.mapInArrow(run, "token long, n int, k1 long, k2 long")
+    return docs.mapInArrow(run, "token long, k1 long")
 
 
 def _sets(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
@@ -208,24 +210,38 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, levels
     # A list of ids of a checked size goes to all executors; a longer one is joined by a shuffle.
     chosen = docs.join(F.broadcast(wanted) if wanted.count() <= LISTED else wanted, "doc_id", "left_semi")
     sets = stored(_sets(chosen, size, percent, levels))
-    both = pairs
-    for x in "ab":
-        both = both.join(sets.toDF(f"{x}1", f"{x}2", *(f"{x}_{c}" for c in sets.columns[2:])), [f"{x}1", f"{x}2"])
-    both = both.where(F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third"))
+
+    def both(pairs: DataFrame, *columns: str) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(sets.select("k1", "k2", *columns).toDF(f"{x}1", f"{x}2", *(f"{x}_{c}" for c in columns)), [f"{x}1", f"{x}2"])
+        return pairs
+
+    # The other orders' prefixes decide which pairs' whole sets are moved at all.
+    pairs = both(pairs, "second", "third").where(F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third"))
+    pairs = both(pairs.select("a1", "a2", "b1", "b2", "a", "b"), "tokens")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return stored(both.where(100 * shared >= percent * (F.size("a_tokens") + F.size("b_tokens") - shared)).select("a", "b"))
+    links = stored(pairs.where(100 * shared >= percent * (F.size("a_tokens") + F.size("b_tokens") - shared)).select("a", "b"))
+    discard(wanted, sets)
+    return links
 
 
 def _blocks(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a1, a2, b1, b2, a, b) of sets of one token with different labels that the bound lets pass.
 
-    members: token, size, k1, k2, rep, n, parts, label. A token's sets are dealt to blocks; each
-    two blocks are a group of a bounded size.
+    members: token, k1, k2, rep, n, parts, label, top and most (the label with most sets of the
+    token, and how many), others (all its other sets). The others are dealt to blocks of a
+    bounded size, as are the sets of top; each two blocks of others are a group, and each of
+    others with each of top. Sets of top never meet each other, so one large component costs as
+    many comparisons as there are sets outside it.
     """
-    cuts = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = members.withColumn("block", F.pmod(F.xxhash64("k1", "k2"), cuts).cast("int"))
-    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), cuts - 1)))
-    pairs = pairs.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "k1", "k2", "rep", "n", "parts", "label")
+    cut = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("k1", "k2"), n).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    is_top = F.col("label") == F.col("top")
+    own = members.withColumn("block", F.when(is_top, cut("others") + place(cut("most"))).otherwise(place(cut("others"))))
+    # Blocks of others are numbered from 0, those of top after them.
+    own = own.withColumn("other", F.explode(F.when(is_top, upto(cut("others"))).otherwise(upto(cut("others") + cut("most")))))
+    pairs = own.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "k1", "k2", "rep", "n", "parts", "label")
 
     def compared(key, table):
         lo, hi = key[1].as_py(), key[2].as_py()
@@ -272,12 +288,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sets = stored(sets)
     reps = sets.select("k1", "k2", "rep")
 
-    key = F.struct("n", "k1", "k2")
-    token = Window.partitionBy("token")
-    postings = _postings(named, size, percent, levels).select("*", F.min(key).over(token).alias("first"), F.max(key).over(token).alias("last"), F.count(F.lit(1)).over(token).alias("size"))
-    postings = stored(postings.where("first <> last").select("token", "n", "k1", "k2", "last", "size"))
-    shared = postings.groupBy("k1", "k2").agg(F.sum("size").alias("shared"))
-    centred = postings.join(shared, ["k1", "k2"]).withColumn("centre", F.max(F.struct("shared", "n", "k1", "k2")).over(token))
+    # A token's counts come from sums within tasks; what is joined to them by token can be split.
+    prefixes = _postings(named, size, percent, levels)
+    shared = prefixes.groupBy("token").agg(F.min("k1").alias("least"), F.max("k1").alias("most"), F.count(F.lit(1)).alias("size"))
+    shared = stored(shared.where("least <> most").select("token", "size"))
+    postings = stored(prefixes.join(shared, "token").join(sets.drop("parts"), "k1").select("token", "size", "n", "k1", "k2", "rep").distinct())
 
     def possible(pairs: DataFrame) -> DataFrame:
         """pairs (a1, a2, b1, b2) that the bound on the overlap lets pass, with doc_ids a and b."""
@@ -287,29 +302,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         fits = F.coalesce(100 * most >= percent * (F.col("a_n") + F.col("b_n") - most), F.lit(True))
         return pairs.where(fits).select("a1", "a2", "b1", "b2", "a", "b")
 
-    def star(end: str) -> DataFrame:
-        pairs = centred.select(F.col(f"{end}.n").alias("an"), F.col(f"{end}.k1").alias("a1"), F.col(f"{end}.k2").alias("a2"), F.col("n").alias("bn"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
-        return pairs.where(((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & _close(F.col("an"), F.col("bn"), percent)).select("a1", "a2", "b1", "b2")
-
-    stars = stored(possible(star("centre").unionByName(star("last")).distinct()))
+    weights = postings.groupBy("k1", "k2").agg(F.sum("size").alias("weight"))
+    key = F.struct("n", "k1", "k2")
+    ends = postings.join(weights, ["k1", "k2"]).groupBy("token").agg(F.max(F.struct("weight", key.alias("key"))).alias("centre"), F.max(key).alias("last"))
+    ends = ends.select("token", F.explode(F.array_distinct(F.array("centre.key", "last"))).alias("end"))
+    pairs = postings.join(ends, "token").where(((F.col("end.k1") != F.col("k1")) | (F.col("end.k2") != F.col("k2"))) & _close(F.col("end.n"), F.col("n"), percent))
+    stars = stored(possible(pairs.select(F.col("end.k1").alias("a1"), F.col("end.k2").alias("a2"), F.col("k1").alias("b1"), F.col("k2").alias("b2")).distinct()))
     links = _verified(stars, named, size, percent, levels)
     found = components(links)
 
-    members = postings.select("token", "n", "k1", "k2").join(reps, ["k1", "k2"])
-    members = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
-    members = members.select("*", F.min("label").over(token).alias("least"), F.max("label").over(token).alias("most")).where("least < most")
-    members = stored(members.select("token", "n", "k1", "k2", "rep", "label").distinct())
-    sized = members.withColumn("size", F.count(F.lit(1)).over(token))
-    side = {x: sized.where(F.col("size") <= FEW).drop("size").toDF("token", f"{x}n", f"{x}1", f"{x}2", x, f"{x}_label") for x in "ab"}
+    members = postings.drop("size").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
+    labels = members.groupBy("token", "label").count()
+    labels = labels.groupBy("token").agg(F.sum("count").alias("size"), F.max(F.struct(F.col("count").alias("most"), F.col("label").alias("top"))).alias("top")).select("token", "size", "top.*")
+    members = stored(members.join(labels.where("most < size"), "token"))
+    few = members.where(F.col("size") <= FEW)
+    side = {x: few.select("token", F.col("n").alias(f"{x}n"), F.col("k1").alias(f"{x}1"), F.col("k2").alias(f"{x}2"), F.col("label").alias(f"{x}_label")) for x in "ab"}
     rest = side["a"].join(side["b"], "token").where((F.col("a_label") < F.col("b_label")) & _close(F.col("an"), F.col("bn"), percent))
     rest = possible(rest.select("a1", "a2", "b1", "b2").distinct())
-    many = sized.where(F.col("size") > FEW)
-    rest = rest.unionByName(_blocks(many.drop("n").join(sets, ["k1", "k2", "rep"]), percent)).distinct()
+    many = members.where(F.col("size") > FEW).withColumn("others", F.col("size") - F.col("most"))
+    rest = rest.unionByName(_blocks(many.join(sets.select("k1", "k2", "parts"), ["k1", "k2"]), percent)).distinct()
     done = stars.select("a1", "a2", "b1", "b2").unionByName(stars.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
     rest = stored(rest.join(done, ["a1", "a2", "b1", "b2"], "left_anti"))
     if rest.head(1) and (more := _verified(rest, named, size, percent, levels)).head(1):
         found = components(links.unionByName(more))
 
+    discard(shared, postings, stars, members, rest)
+
     # Rows of one doc_id with different texts are one node.
     same = listed.where("n > 0 and doc_id is not null").join(reps, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     several = same.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most")).where("least < most").select("a")

@@ -29,7 +29,7 @@ def _power_tables(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, at least n of each."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 20), base, dtype=U)
+            steps = np.full(max(n, 1 << 18), base, dtype=U)
             steps[0] = 1
             _powers[k] = np.cumprod(steps)
     return _powers
@@ -53,7 +53,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8), offsets
 
 
-def runs(offsets: np.ndarray, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def runs(offsets: np.ndarray, max_bytes: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Bounds of runs of whole texts with about max_bytes bytes each."""
     first, n = 0, len(offsets) - 1
     while first < n:
