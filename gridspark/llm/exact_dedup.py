@@ -1,4 +1,10 @@
-"""Exact duplicates with built-in functions only, safe where one text fills much of a table."""
+"""Exact duplicates with built-in functions only, safe where one text fills much of a table.
+
+Three stages, the same for every text and every table. Each compares whole texts, as they are
+among the grouping keys: a task combines its own rows by text and salt before anything is
+shuffled; the salted groups of a text are merged; the winners of its salts are combined, at most
+SALTS rows however many copies there are. The salt is a hash of the row's doc_id.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Texts with more copies than rows / HOT_SHARE, and more than HOT_LEAST, are dealt to SALTS groups.
-#: So there are under HOT_SHARE of them, whatever the table: 8 bytes each, which is what is broadcast.
-HOT_SHARE, HOT_LEAST, SALTS = 10_000, 256, 64
+#: Groups that the rows of a text are dealt to; bits of a long, so 64 at most.
+SALTS = 64
 
 
 def ascii_lower(text: Column) -> Column:
@@ -16,49 +21,54 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def exact_duplicates(docs: DataFrame, hot_least: int = HOT_LEAST, salts: int = SALTS) -> DataFrame:
+def _salted(docs: DataFrame, salts: int, *more: Column) -> DataFrame:
+    """doc_id, norm (the text that is compared), text_sha256, salt, and more, of each row."""
+    if not 1 <= salts <= 64:
+        raise ValueError("salts has to be from 1 to 64")
+    doc_id, text = docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = docs.select(doc_id.alias("doc_id"), ascii_lower(text).alias("norm"), F.pmod(F.xxhash64(doc_id), F.lit(salts)).cast("int").alias("salt"), *more)
+    return rows.withColumn("text_sha256", F.sha2("norm", 256))
+
+
+def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """One row a row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; the largest doc_id of equal texts
     stays. Null counts as the empty text. Of rows with the same text and doc_id all are shown,
     and all count; a null doc_id stays only where every doc_id of its text is null. Other
-    columns are not read, whatever their names. An empty table gives no rows.
+    columns are not read, whatever their names. An empty table gives no rows. Two different
+    texts with one SHA-256 (none are known) would end the job with an error.
 
-    Each aggregate groups by the digest and the whole text, and combines within a task before
-    its shuffle. Texts with very many copies are combined by salt first, then the winners of
-    the salts; their rows find the winner again by the text's digest, salt and content.
+    Texts are shuffled for the groups alone. The rows find their text's winner by its digest,
+    which stands for one text as has been checked, and their salt, for which the winner has a
+    row if the text has rows of that salt. Rows that repeat text and doc_id have one salt;
+    adaptive execution splits such a partition.
+    """
+    rows = _salted(docs, salts)
+    merged = rows.groupBy("text_sha256", "norm", "salt").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
+    # Dealt by digest, so that the texts of a digest meet without another shuffle.
+    winners = merged.repartition("text_sha256").groupBy("text_sha256", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("size").alias("group_size"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("has"))
+    winners = winners.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.max("has").alias("has"))
+    size = F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts with one SHA-256")))
+    salt = F.explode(F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.expr("has").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) != 0))
+    winners = winners.select("text_sha256", "keep_id", size.alias("group_size"), salt.alias("salt"))
+    out = rows.select("doc_id", "text_sha256", "salt").join(winners, ["text_sha256", "salt"])
+    kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
+    return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+
+def drop_exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """One row of each text, with all its columns: that with the largest doc_id.
+
+    A null doc_id is the smallest. Of rows with the same text and doc_id one stays, by a hash of
+    all their columns. The rows go through the stages
+    themselves, so nothing is joined and no list of documents is made.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # Equal texts have equal rough keys, so that hot texts are found from 8 bytes a row.
-    rough = F.xxhash64(F.lower("text"))
-    counts = rows.select(rough.alias("rough")).groupBy("rough").count()
-    total = rows.select(F.count(F.lit(1)).alias("total"))
-    hot = counts.where(F.col("count") > hot_least).crossJoin(F.broadcast(total)).where(F.col("count") > F.col("total") / HOT_SHARE).select("rough")
-    rows = rows.withColumn("rough", rough)
-    text = ascii_lower(F.col("text"))
-    digest = F.sha2(F.col("norm"), 256).alias("text_sha256")
-
-    def prepared(df: DataFrame) -> DataFrame:
-        return df.select("doc_id", text.alias("norm")).select("doc_id", "norm", digest)
-
-    # Groups of a bounded size.
-    cold = prepared(rows.join(F.broadcast(hot), "rough", "left_anti"))
-    cold = cold.groupBy("text_sha256", "norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), F.collect_list(F.struct("doc_id")).alias("ids"))
-    cold = cold.select(F.explode("ids").alias("id"), "keep_id", "group_size", "text_sha256").select("id.doc_id", "keep_id", "group_size", "text_sha256")
-
-    warm = prepared(rows.join(F.broadcast(hot), "rough", "left_semi")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    winners = warm.groupBy("text_sha256", "norm", "salt").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    winners = winners.groupBy("text_sha256", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    winners = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    warm = warm.join(winners, ["text_sha256", "salt", "norm"]).select("doc_id", "keep_id", "group_size", "text_sha256")
-    out = cold.unionByName(warm)
-    return out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
-
-
-def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with their columns. Rows without doc_id can't be told apart: all stay if one does."""
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    plain = [docs[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = _salted(docs, salts, F.struct(docs["doc_id"].cast("long"), F.xxhash64(*plain)).alias("place"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    for keys in (("text_sha256", "norm", "salt"), ("text_sha256", "norm")):
+        rows = rows.groupBy(*keys).agg(F.max_by("row", "place").alias("row"), F.max("place").alias("place"))
+    return rows.select("row.*")
 
 
 ORACLE = f"""
