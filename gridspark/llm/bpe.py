@@ -25,7 +25,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import strings, text_groups
+from gridspark.llm.common import slices, strings
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -34,6 +34,7 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 #: Longer pieces are encoded but not kept; so many pieces are kept.
 KEPT_CHARS, KEPT_PIECES = 200, 300_000
 
+# The byte-level pattern's classes.
 #: Up to U+024F, where a table of classes is short: what the byte-level pattern calls white space, letters and numbers.
 _S, _L, _N = "\\t-\\r \x85\xa0", "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _LATIN = re.compile("[\0-ɏ]*")
@@ -41,7 +42,7 @@ _LATIN_PRETOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^
 
 
 def byte_chars() -> list[str]:
-    """The character that stands for each byte: printable Latin-1 bytes for themselves, the others from U+0100 on."""
+    """The character that stands for each byte (fixed values): printable Latin-1 bytes for themselves, the others from U+0100 on."""
     plain = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
     spare = iter(range(256, 512))
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
@@ -74,28 +75,24 @@ class Encoder:
     """Texts to ids, as little-endian unsigned 32-bit integers.
 
     pretokens: the parts of a text that are merged separately; model: the library's BPE over
-    characters that stand for bytes; exact: ids of a part that count where the model differs.
+    characters that stand for bytes.
     """
 
-    def __init__(self, pretokens: Callable[[str], list[str]], model, exact: Callable[[str], list[int]] | None = None):
-        self._pretokens, self._merge, self._exact = pretokens, model.tokenize, exact
+    def __init__(self, pretokens: Callable[[str], list[str]], model):
+        self._pretokens, self._merge = pretokens, model.tokenize
         self._shown = dict(enumerate(byte_chars()))
         self._parts, self._after_space = _Kept(self._part), _Kept(self._piece)
 
     def _part(self, part: str) -> bytes:
-        shown = part.encode().decode("latin-1").translate(self._shown)
-        return self._merged(shown, part)
+        return self._merged(part.encode().decode("latin-1").translate(self._shown))
 
-    def _merged(self, shown: str, part: str) -> bytes:
-        ids = [x.id for x in self._merge(shown)]
-        if self._exact and ids != (want := self._exact(part)):
-            ids = want
-        return array("I", ids).tobytes()
+    def _merged(self, shown: str) -> bytes:
+        return array("I", [x.id for x in self._merge(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if piece.isascii():  # a word and the mark after it are a part each
             if piece.isalpha():
-                return self._merged("Ġ" + piece, f" {piece}")
+                return self._merged("Ġ" + piece)
             if piece[-1:] in {",", "."} and (word := piece[:-1]).isalpha():
                 return self._after_space[word] + self._parts[piece[-1]]
         return self._text(f" {piece}")
@@ -159,14 +156,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+def last_pair(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | None:
+    """The two parts that a token is made of in the end, when parts are merged by the ranks, lowest and leftmost first."""
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        found = [(rank, i) for i in range(len(parts) - 1) if (rank := ranks.get(parts[i] + parts[i + 1])) is not None]
+        if not found:
+            return None
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return (parts[0], parts[1]) if len(parts) == 2 else None
+
+
 @lru_cache(maxsize=2)
 def rank_encoder(path: str, pattern: str) -> Encoder:
-    """Of a rank file: the tokenizers library with merges derived from the ranks.
+    """Of a rank file: the tokenizers library with one merge for each token, in the ranks' order.
 
-    The library orders merges by pair, the ranks by merged token. Where several pairs make one
-    token these can differ, so each part's ids are compared with tiktoken's, which count.
+    Ranks let any two neighbours merge that make a token; the library merges listed pairs. Both
+    give the same: where two neighbours make up a token, nothing has merged across the token's
+    borders, so what lies between them has become what it becomes alone, and the pair is the one
+    that the token alone ends with.
     """
-    import tiktoken
     from tokenizers import Regex
     from tokenizers.models import BPE
     from tokenizers.pre_tokenizers import Split
@@ -175,13 +185,11 @@ def rank_encoder(path: str, pattern: str) -> Encoder:
         raise ValueError("the places where a text may be cut hold for the byte-level pattern only")
     ranks, chars = read_ranks(path), byte_chars()
     shown = {token: "".join(chars[b] for b in token) for token in ranks}
-    merges = []
-    for token in sorted(ranks, key=ranks.get):
-        merges += [(shown[token[:i]], shown[token[i:]]) for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+    pairs = (last_pair(token, ranks) for token in sorted(ranks, key=ranks.get))
+    merges = [(shown[a], shown[b]) for a, b in filter(None, pairs)]
     model = BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0)
     split = Split(Regex(pattern), "isolated")
-    exact = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return Encoder(lambda text: [part for part, _ in split.pre_tokenize_str(text)], model, exact.encode_ordinary)
+    return Encoder(lambda text: [part for part, _ in split.pre_tokenize_str(text)], model)
 
 
 @lru_cache(maxsize=2)
@@ -207,43 +215,52 @@ def decode_pieces(ids: Iterable[int], table: list[bytes]) -> Iterator[str]:
     yield decoder.decode(b"", final=True)
 
 
-def token_offsets(ids: bytes, text: str, table: list[bytes]) -> list[tuple[int, int]]:
-    """First and last-but-one code point of each token; a token of part of a character covers it whole."""
-    sizes = np.array([len(table[i]) for i in np.frombuffer(ids, "<u4").tolist()], dtype=np.int64)
-    ends = np.cumsum(sizes)
-    leads = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
+def token_offsets(ids: bytes, decoded: bytes, sizes: np.ndarray) -> tuple[np.ndarray, int]:
+    """First and last-but-one code point of each token (int32 pairs), and how many tokens hold only a part of a character.
+
+    decoded: the ids' bytes, a whole text in UTF-8; sizes: bytes of a token by id. A token of part of a character covers it whole.
+    """
+    ends = np.cumsum(sizes[np.frombuffer(ids, "<u4")])
+    leads = np.ones(len(decoded) + 1, bool)  # does a character begin here
+    leads[:-1] = (np.frombuffer(decoded, np.uint8) & 0xC0) != 0x80
     number = np.cumsum(leads) - 1  # of the character that a byte belongs to
-    return [(int(number[e - s]), int(number[e - 1]) + 1) for s, e in zip(sizes, ends)] if len(sizes) else []
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    pairs = np.stack([number[starts], number[ends - 1] + 1], axis=1).astype("<i4") if len(ends) else np.zeros((0, 2), "<i4")
+    return pairs, int((~leads[starts] | ~leads[ends]).sum()) if len(ends) else 0
 
 
 def encode_decode(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """Encodes every whole text by a rank file and decodes the ids again.
 
-    Columns: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids and decoded.
-    A null or empty text has no tokens and the digests of nothing. Repeated rows and null
+    Columns: doc_id, n_tokens, ids_sha256, decoded_sha256, offsets_sha256 (of the tokens' first and
+    last-but-one code points, little-endian signed 32-bit pairs), n_split (tokens that hold only a
+    part of a character) and, if asked for, ids, offsets and decoded. A null or empty text has no tokens and the digests of nothing. Repeated rows and null
     doc_ids stay, one result a row; other columns are not read. No shuffle.
     """
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
-    extra = ", ids array<int>, decoded string" if with_ids else ""
+    extra = ", ids array<int>, offsets array<int>, decoded string" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = rank_encoder(vocabulary, pattern), rank_decoder(vocabulary)
-        for batch in batches:
-            texts = strings(batch.column("text"))
-            ids_sha, decoded_sha, counts, ids_out, decoded_out = [], [], [], [], []
-            for a, b in text_groups(texts):
-                for ids in encoder.encode(texts[a:b]):
-                    decoded = decode_bytes(ids, table)
-                    counts.append(len(ids) // 4)
-                    ids_sha.append(hashlib.sha256(ids).hexdigest())
-                    decoded_sha.append(hashlib.sha256(decoded).hexdigest())
-                    if with_ids:
-                        ids_out.append(np.frombuffer(ids, "<i4"))
-                        decoded_out.append(decoded.decode())
-            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string())}
+        sizes = np.array([len(x) for x in table], np.int64)
+        for batch in (part for whole in batches for part in slices(whole)):
+            ids_sha, decoded_sha, offsets_sha, counts, splits, ids_out, offsets_out, decoded_out = ([] for _ in range(8))
+            for ids in encoder.encode(strings(batch.column("text"))):
+                decoded = decode_bytes(ids, table)
+                counts.append(len(ids) // 4)
+                ids_sha.append(hashlib.sha256(ids).hexdigest())
+                decoded_sha.append(hashlib.sha256(decoded).hexdigest())
+                offsets, split = token_offsets(ids, decoded, sizes)
+                offsets_sha.append(hashlib.sha256(offsets.tobytes()).hexdigest())
+                splits.append(split)
+                if with_ids:
+                    ids_out.append(np.frombuffer(ids, "<i4"))
+                    offsets_out.append(offsets.ravel())
+                    decoded_out.append(decoded.decode())
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string()), "offsets_sha256": pa.array(offsets_sha, pa.string()), "n_split": pa.array(splits, pa.int64())}
             if with_ids:
-                columns |= {"ids": pa.array(ids_out, pa.list_(pa.int32())), "decoded": pa.array(decoded_out, pa.string())}
+                columns |= {"ids": pa.array(ids_out, pa.list_(pa.int32())), "offsets": pa.array(offsets_out, pa.list_(pa.int32())), "decoded": pa.array(decoded_out, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string, n_split long{extra}")

@@ -1,9 +1,10 @@
 """Packing of documents into sequences of a fixed length by harmonic classes.
 
-A document is cut into whole sequences, then its rest into pieces of capacity/2, /4, ... down
-to least tokens, and a tail below that. A piece with capacity/(k+1) < length <= capacity/k is of
-class k, and k pieces of a class fill a sequence: without padding where the length is
-capacity/k, as for all pieces but tails. Each task fills the bins of its classes from its own
+A piece with capacity/(k+1) < length <= capacity/k is of class k, and k pieces of a class fill a
+sequence. A document is cut into whole sequences, then its rest into the largest pieces that are
+just a k-th of the capacity, rounded down, so that a sequence of them lacks fewer than k tokens;
+what is shorter than least tokens stays a piece as it is, of which at least capacity/least go
+into a sequence. Each task fills the bins of its classes from its own
 rows alone, so there is no shuffle; what its last bins lack at the end is laid end to end, cut
 where a sequence is full, and the last sequence is cut to powers of two, which need no padding.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.bpe import json_encoder
-from gridspark.llm.common import strings, text_groups
+from gridspark.llm.common import slices, strings
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Sequences of one task have ids from task * 2**40 on.
@@ -30,13 +31,12 @@ TASK_IDS = 1 << 40
 
 def piece_lengths(n: int, capacity: int, least: int) -> list[int]:
     """Lengths that a document of n tokens is cut into, in order."""
-    out = [capacity] * (n // capacity)
-    rest, size = n % capacity, capacity // 2
-    while size >= least:
-        if rest >= size:
-            out.append(size)
-            rest -= size
-        size //= 2
+    out, rest = [capacity] * (n // capacity), n % capacity
+    while rest >= least:
+        k = capacity // rest  # rest is of class k, and longer than a part of class k + 1
+        size = capacity // k if rest == capacity // k else capacity // (k + 1)
+        out.append(size)
+        rest -= size
     return out + [rest] * (rest > 0)
 
 
@@ -82,16 +82,16 @@ class _Bins:
         self.open = {}
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, least: int = 64, added: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, least: int = 128, added: bool = False) -> DataFrame:
     """Encodes every whole text, appends end_id, and packs all documents' ids.
 
     One row a piece: doc_id, start (its document's ids before it), length, ids_crc32,
     doc_tokens, sequence_id and offset there. Null and empty texts have end_id alone. Rows are
     documents, whatever their doc_id: repeated or null doc_ids are packed once a row. An empty
-    table has no pieces. Other columns are not read. capacity and least: powers of two.
+    table has no pieces. Other columns are not read. capacity: a power of two; least: from 2 to it.
     """
-    if capacity & (capacity - 1) or least & (least - 1):
-        raise ValueError("capacity and least have to be powers of two")
+    if capacity < 2 or capacity & (capacity - 1) or not 2 <= least <= capacity:
+        raise ValueError("capacity has to be a power of two, least from 2 to capacity")
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,15 +104,13 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, en
             bins.rows = []
             return made
 
-        for batch in batches:
-            texts, names = strings(batch.column("text")), batch.column("doc_id").to_pylist()
-            for a, b in text_groups(texts):
-                for name, ids in zip(names[a:b], encoder.encode(texts[a:b])):
-                    ids += end
-                    n, start = len(ids) // 4, 0
-                    for size in piece_lengths(n, capacity, least):
-                        bins.add((name, start, ids[4 * start : 4 * (start + size)], n))
-                        start += size
+        for batch in (part for whole in batches for part in slices(whole)):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(strings(batch.column("text")))):
+                ids += end
+                n, start = len(ids) // 4, 0
+                for size in piece_lengths(n, capacity, least):
+                    bins.add((name, start, ids[4 * start : 4 * (start + size)], n))
+                    start += size
             yield out()
         bins.close()
         yield out()

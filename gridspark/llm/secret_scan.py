@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import sampled
+from gridspark.llm.common import sampled, slices
 from gridspark.llm.text_hash import LOWER, bytes_of, runs
 
 # The patterns, the fewest characters of a secret in each, and their order.
@@ -480,13 +480,13 @@ def redact_secrets(docs: DataFrame, model: Field | None = None) -> DataFrame:
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             names = batch.schema.names
-            texts = batch.column("text").to_pylist()
             changed = [(i, spans) for i, (_, spans) in enumerate(scan_texts(model.value, batch.column("text"))) if spans]
-            for i, spans in changed:
-                texts[i] = redact(texts[i], spans)
             if changed:
+                texts = batch.column("text").to_pylist()
+                for i, spans in changed:
+                    texts[i] = redact(texts[i], spans)
                 at = names.index("text")
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
                 if "n_chars" in names:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm.bpe import json_encoder
-from gridspark.llm.common import shared_dir, strings, text_groups
+from gridspark.llm.common import shared_dir, slices, strings
 
 BLOCK, SHARE = 256, 0.97
 #: Ids after which a segment ends with the document at hand.
@@ -72,8 +72,14 @@ def _unpack(packed: np.ndarray, width: int, size: int) -> np.ndarray:
     return ((word >> shift) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
+def _check(block: int, share: float) -> None:
+    if not (1 <= block <= 1 << 16 and 0 < share <= 1):
+        raise ValueError("block has to be from 1 to 65,536, share above 0 and at most 1")
+
+
 def encode_segment(ids: np.ndarray, block: int = BLOCK, share: float = SHARE) -> bytes:
     """ids (unsigned 32-bit) as a segment. No ids: a head and no blocks."""
+    _check(block, share)
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     n = len(ids)
     count = -(-n // block)
@@ -159,11 +165,13 @@ def decode_block(segment: bytes, i: int) -> np.ndarray:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, block: int = BLOCK, share: float = SHARE, added: bool = False) -> None:
     """Encodes every whole text, appends end_id to each, and writes segments in ascending doc_id order.
 
-    Null and empty texts have end_id alone. Null doc_ids come first; rows that repeat a doc_id
-    follow each other, in the order of their texts. Other columns are not read. An empty table
-    gives no segments. One range shuffle by doc_id; each task streams its documents.
+    Null and empty texts have end_id alone. block: from 1 to 65,536 ids, as positions of exceptions
+    are 16 bits; share: above 0, to 1. Null doc_ids come first; rows that repeat a doc_id
+    follow each other, in an order that their texts give. Other columns are not read. An empty table
+    gives no segments. One range shuffle; each task streams its documents.
     """
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
+    _check(block, share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = json_encoder(tokenizer, added), TaskContext.get().partitionId()
@@ -181,22 +189,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=[x.split()[0] for x in SEGMENT.split(", ")])
 
         total = 0
-        for batch in batches:
-            texts, names = strings(batch.column("text")), batch.column("doc_id").to_pylist()
-            for a, b in text_groups(texts):
-                for name, ids in zip(names[a:b], encoder.encode(texts[a:b])):
-                    doc_ids.append(name or 0)
-                    null.append(name is None)
-                    sizes.append(len(ids) // 4 + 1)
-                    held.append(ids + end)
-                    total += sizes[-1]
-                    if total >= SEGMENT_IDS:
-                        yield segment()
-                        total = 0
+        for batch in (part for whole in batches for part in slices(whole)):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(strings(batch.column("text")))):
+                doc_ids.append(name or 0)
+                null.append(name is None)
+                sizes.append(len(ids) // 4 + 1)
+                held.append(ids + end)
+                total += sizes[-1]
+                if total >= SEGMENT_IDS:
+                    yield segment()
+                    total = 0
         if doc_ids:
             yield segment()
 
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share a doc_id, or have none, are dealt to several tasks by a hash of their texts.
+    place = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(*place[:2]).sortWithinPartitions(*place)
     ordered.mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(path)
 
 
