@@ -1,12 +1,13 @@
 """Near-duplicate vectors by int8 tile products with quantisation error bounds.
 
-Equal vectors are one from the start. The others are dealt to groups; each pair of groups is a
-tile, which one task works through: the vectors' int8 forms are multiplied (exact integers, in
-float32 or float64 by dimension), and a bound on what each vector lost by rounding says which
-pairs can reach the threshold at all. Those alone are computed again in double precision from the
-vectors themselves. A tile returns, for each vector, how many vectors it is linked with there and
-one link to the first vector of its component within the tile: rows grow with vectors, not pairs.
-Tiles whose vectors lie too far apart by their angles to some pivots are not made.
+Equal vectors are one from the start. The others are dealt to groups, and groups that lie near each
+other to bands; each pair of groups is a tile, and the tiles of two bands are one task's, which gets
+each of their groups once. In a tile the vectors' int8 forms are multiplied (exact integers, in
+float32 or float64 by dimension), and bounds on what both vectors of a pair lost by rounding say
+which pairs can reach the threshold at all. Those alone are computed again in double precision from
+the vectors themselves. A task returns, for each vector, how many vectors it is linked with there and
+one link to the first vector of its component within the task: rows grow with vectors, not pairs.
+Bands and tiles whose vectors lie too far apart by their angles to some pivots are not made.
 """
 
 from __future__ import annotations
@@ -21,9 +22,13 @@ from pyspark.sql import functions as F
 from gridspark.llm.common import stored
 from gridspark.llm.components import components
 
-#: Vectors of a group, about; rows of a tile multiplied at once; pivots, a bounded sample of the vectors.
-GROUP, ROWS, PIVOTS = 8192, 512, 16
-_GROUP = "g long, dim int, size int, ids binary, copies binary, vectors binary, codes binary, scales binary, errors binary, lows array<double>, highs array<double>"
+#: Vectors of a group, about; groups of a band at most; rows of a tile multiplied at once; pivots, a bounded sample of the vectors.
+GROUP, BAND, ROWS, PIVOTS = 8192, 4, 512, 16
+#: Parts that the pairs of bands are dealt to tasks by.
+PARTS = 64
+#: What a product of unit vectors can be off in double precision, with much to spare.
+_OFF = 1e-9
+_GROUP = "g long, band long, wide boolean, dim int, size int, ids binary, copies binary, vectors binary, codes binary, scales binary, errors binary, lows array<double>, highs array<double>"
 
 
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,9 +40,9 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
-    """float32 rows as double-precision unit vectors; scaled first, so that no square over- or underflows."""
+    """Rows as double-precision unit vectors; scaled first, so that no square over- or underflows."""
     wide = vectors.astype(np.float64)
-    wide /= np.abs(wide).max(axis=1, keepdims=True)
+    wide = wide / np.abs(wide).max(axis=1, keepdims=True)
     return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
@@ -57,6 +62,15 @@ class _Forest:
                 self.least = self.least[self.least]
 
 
+def _linked(unit_a: np.ndarray, unit_b: np.ndarray, u: np.ndarray, v: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs (u, v) those whose product reaches the threshold, each summed in the same way, whatever stands beside it."""
+    found = [np.zeros((2, 0), np.int64)]
+    for k in range(0, len(u), 1 << 18):
+        i, j = u[k : k + (1 << 18)], v[k : k + (1 << 18)]
+        found.append(np.stack([i, j])[:, np.einsum("ij,ij->i", unit_a[i], unit_b[j]) >= threshold])
+    return tuple(np.concatenate(found, axis=1))
+
+
 def tile_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of linked vectors (copies count) and components of the vectors of a, then of b.
 
@@ -66,27 +80,27 @@ def tile_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, n
     b = a if same else b
     n_a, n_b, dim = len(a["scales"]), len(b["scales"]), a["codes"].shape[1]
     kind = np.float32 if 127 * 127 * dim < 1 << 24 else np.float64  # holds every product exactly
-    unit_a, unit_b = unit_rows(a["vectors"]), unit_rows(b["vectors"])
+    unit_a, unit_b = (x["unit"] if "unit" in x else unit_rows(x["vectors"]) for x in (a, b))
     right = b["codes"].astype(kind).T.copy()
     counts, forest = np.zeros(n_a + (0 if same else n_b), np.int64), _Forest(n_a + (0 if same else n_b))
     shift = 0 if same else n_a
-    error_b = b["errors"].max()
     for r in range(0, n_a, ROWS):
         own = slice(r, min(n_a, r + ROWS))
         products = a["codes"][own].astype(kind) @ right
         products *= b["scales"].astype(kind)
-        error_a = a["errors"][own]
+        error_a, scale_a = a["errors"][own], a["scales"][own]
         # |x.y - x'.y'| <= |x - x'| |y| + |x'| |y - y'|; 1e-6 for the rounding of scales.
-        reach = (threshold - (error_a + error_b * (1 + error_a)) - 1e-6) / a["scales"][own]
-        maybe = products >= reach[:, None].astype(kind)
+        products += ((1 + error_a) / scale_a)[:, None].astype(kind) * b["errors"].astype(kind)
+        maybe = products >= ((threshold - error_a - 1e-6) / scale_a)[:, None].astype(kind)
         if same:
             maybe &= np.arange(n_b) > np.arange(own.start, own.stop)[:, None]
-        if maybe.sum() * 16 > maybe.size:  # a dense part: one product in double precision
-            u, v = np.nonzero(maybe & (unit_a[own] @ unit_b.T >= threshold))
+        if maybe.sum() * 16 > maybe.size:  # many: one product tells most of them, the sums of pairs those that it leaves in doubt
+            exact = unit_a[own] @ unit_b.T
+            u, v = np.nonzero(maybe & (exact >= threshold + _OFF))
+            more = _linked(unit_a[own], unit_b, *np.nonzero(maybe & (np.abs(exact - threshold) < _OFF)), threshold)
+            u, v = np.concatenate([u, more[0]]), np.concatenate([v, more[1]])
         else:
-            u, v = np.nonzero(maybe)
-            exact = np.einsum("ij,ij->i", unit_a[own][u], unit_b[v])
-            u, v = u[exact >= threshold], v[exact >= threshold]
+            u, v = _linked(unit_a[own], unit_b, *np.nonzero(maybe), threshold)
         u = u + r
         counts[:n_a] += np.bincount(u, b["copies"][v], n_a).astype(np.int64)
         counts[shift : shift + n_b] += np.bincount(v, a["copies"][u], n_b).astype(np.int64)
@@ -94,14 +108,19 @@ def tile_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, n
     return counts, forest.least
 
 
+def _apart(a: dict, b: dict, far: float) -> bool:
+    """Angles to some pivot say that no vector of a is within far of one of b."""
+    return bool(((a["lows"] - b["highs"] > far) | (b["lows"] - a["highs"] > far)).any())
+
+
 def _unpacked(row: dict) -> dict:
     n, dim = row["size"], row["dim"]
-    return {"ids": np.frombuffer(row["ids"], "<i8"), "copies": np.frombuffer(row["copies"], "<i8"), "vectors": np.frombuffer(row["vectors"], "<f4").reshape(n, dim), "codes": np.frombuffer(row["codes"], np.int8).reshape(n, dim), "scales": np.frombuffer(row["scales"], "<f8"), "errors": np.frombuffer(row["errors"], "<f8")}
+    return {"g": row["g"], "band": row["band"], "lows": np.array(row["lows"]), "highs": np.array(row["highs"]), "ids": np.frombuffer(row["ids"], "<i8"), "copies": np.frombuffer(row["copies"], "<i8"), "vectors": np.frombuffer(row["vectors"], "<f8" if row["wide"] else "<f4").reshape(n, dim), "codes": np.frombuffer(row["codes"], np.int8).reshape(n, dim), "scales": np.frombuffer(row["scales"], "<f8"), "errors": np.frombuffer(row["errors"], "<f8")}
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
 def _groups(distinct: DataFrame, group: int) -> DataFrame:
@@ -110,7 +129,9 @@ def _groups(distinct: DataFrame, group: int) -> DataFrame:
     by_dim: dict[int, list] = {}
     for p in pivots:
         by_dim.setdefault(p["dim"], []).append(p["embedding"])
-    by_dim = {d: unit_rows(np.array(x, np.float32)) for d, x in by_dim.items()}
+    by_dim = {d: unit_rows(np.array(x, np.float64)) for d, x in by_dim.items()}
+    kind = dict(distinct.dtypes)["embedding"]
+    wide = kind == "array<double>"
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,11 +143,12 @@ def _groups(distinct: DataFrame, group: int) -> DataFrame:
                     out[mine] = (unit_rows(_matrix(batch.column("embedding").take(pa.array(mine)), dim)) @ by_dim[dim].T).argmax(axis=1)
             yield batch.append_column("pivot", pa.array(out))
 
-    near = distinct.mapInArrow(nearest, "rep long, copies long, embedding array<float>, dim int, pivot int")
+    near = distinct.mapInArrow(nearest, f"rep long, copies long, embedding {kind}, dim int, pivot int")
     near = stored(near)
-    # Rows: pivots times dimensions. A full cell is cut by hash, so no group grows with the table.
-    cells = near.groupBy("dim", "pivot").count().select("dim", "pivot", F.ceil(F.col("count") / group).alias("cuts"))
-    near = near.join(F.broadcast(cells), ["dim", "pivot"]).withColumn("g", F.xxhash64("dim", "pivot", F.pmod(F.xxhash64("rep"), "cuts")))
+    # Rows: pivots times dimensions. A full cell is cut by hash, so no group grows with the table; long vectors have smaller groups.
+    cells = near.groupBy("dim", "pivot").count().select("dim", "pivot", F.ceil(F.col("count") * F.greatest(F.col("dim"), F.lit(64)) / (64 * group)).alias("cuts"))
+    near = near.join(F.broadcast(cells), ["dim", "pivot"]).withColumn("cut", F.pmod(F.xxhash64("rep"), "cuts"))
+    near = near.withColumns({"g": F.xxhash64("dim", "pivot", "cut"), "band": F.xxhash64("dim", "pivot", F.floor(F.col("cut") / BAND))})
 
     def packed(key, table):
         dim = table.column("dim")[0].as_py()
@@ -134,11 +156,11 @@ def _groups(distinct: DataFrame, group: int) -> DataFrame:
         unit = unit_rows(vectors)
         codes, scales, errors = quantise(unit)
         angles = np.arccos(np.clip(unit @ by_dim[dim].T, -1, 1)) if dim in by_dim else np.zeros((len(unit), 0))
-        row = {"g": key[0].as_py(), "dim": dim, "size": len(unit), "ids": table.column("rep").to_numpy().astype("<i8").tobytes(), "copies": table.column("copies").to_numpy().astype("<i8").tobytes(), "vectors": vectors.astype("<f4").tobytes(), "codes": codes.tobytes(), "scales": scales.astype("<f8").tobytes(), "errors": errors.astype("<f8").tobytes(), "lows": angles.min(axis=0).tolist(), "highs": angles.max(axis=0).tolist()}
-        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 6, pa.list_(pa.float64()), pa.list_(pa.float64())]
+        row = {"g": key[0].as_py(), "band": key[1].as_py(), "wide": wide, "dim": dim, "size": len(unit), "ids": table.column("rep").to_numpy().astype("<i8").tobytes(), "copies": table.column("copies").to_numpy().astype("<i8").tobytes(), "vectors": vectors.astype("<f8" if wide else "<f4").tobytes(), "codes": codes.tobytes(), "scales": scales.astype("<f8").tobytes(), "errors": errors.astype("<f8").tobytes(), "lows": angles.min(axis=0).tolist(), "highs": angles.max(axis=0).tolist()}
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), *[pa.binary()] * 6, pa.list_(pa.float64()), pa.list_(pa.float64())]
         return pa.Table.from_arrays([pa.array([x], k) for x, k in zip(row.values(), kinds)], names=list(row))
 
-    return stored(near.select("g", "rep", "copies", "embedding", "dim").groupBy("g").applyInArrow(packed, _GROUP))
+    return stored(near.select("g", "band", "rep", "copies", "embedding", "dim").groupBy("g", "band").applyInArrow(packed, _GROUP))
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, group: int = GROUP) -> DataFrame:
@@ -151,7 +173,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, group: i
     without vec_id counts, but names nothing. Rows of one vec_id are one node. An empty table
     gives no rows; other columns are not read.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    kind = dict(vectors.dtypes)["embedding"]
+    kind = kind if kind == "array<float>" else "array<double>"  # other numbers are read as doubles
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     good = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("good", good).withColumn("hash", F.when(good, F.xxhash64("embedding")))
@@ -161,23 +185,36 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, group: i
     groups = _groups(distinct.select("rep", "copies", "embedding", "dim"), group)
 
     far = float(np.arccos(threshold)) + 1e-9
-    ends = groups.select("g", "dim", "lows", "highs")
-    other = ends.toDF("h", "dim", "other_lows", "other_highs")
-    # One row a group on either side, and no vectors: the pairs of groups that can hold a link.
-    apart = F.exists(F.arrays_zip("lows", "highs", "other_lows", "other_highs"), lambda x: (x["lows"] - x["other_highs"] > far) | (x["other_lows"] - x["highs"] > far))
-    tiles = stored(ends.join(other, "dim").where((F.col("g") <= F.col("h")) & ~apart).select("g", "h"))
-    body = groups.drop("lows", "highs")
-    left = tiles.join(body, "g").select("g", "h", F.lit(0).alias("side"), *body.columns[1:])
-    right = tiles.where("g < h").join(body.withColumnRenamed("g", "h"), "h").select("g", "h", F.lit(1).alias("side"), *body.columns[1:])
+    # One row a band and no vectors: the pairs of bands that can hold a link, dealt to tasks by parts of one side.
+    ends = groups.select("band", "dim", F.posexplode(F.arrays_zip("lows", "highs")).alias("pivot", "x")).groupBy("band", "dim", "pivot").agg(F.min("x.lows").alias("low"), F.max("x.highs").alias("high"))
+    ends = ends.groupBy("band", "dim").agg(F.array_sort(F.collect_list(F.struct("pivot", "low", "high"))).alias("x"))
+    ends = groups.select("band", "dim").distinct().join(ends, ["band", "dim"], "left").withColumn("x", F.coalesce("x", F.array().cast("array<struct<pivot:int,low:double,high:double>>")))
+    other = ends.toDF("to", "dim", "y").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    pairs = ends.withColumn("part", F.pmod(F.xxhash64("band"), F.lit(PARTS)).cast("int")).join(other, ["dim", "part"])
+    apart = F.exists(F.arrays_zip("x", "y"), lambda p: (p["x"]["low"] - p["y"]["high"] > far) | (p["y"]["low"] - p["x"]["high"] > far))
+    pairs = stored(pairs.where((F.col("band") <= F.col("to")) & ~apart).select(F.col("band").alias("lo"), F.col("to").alias("hi")))
+    left = pairs.join(groups.withColumn("lo", F.col("band")), "lo").select("lo", "hi", *groups.columns)
+    right = pairs.where("lo < hi").join(groups.withColumn("hi", F.col("band")), "hi").select("lo", "hi", *groups.columns)
 
     def linked(key, table):
-        sides = [_unpacked(x) for x in sorted(table.to_pylist(), key=lambda x: x["side"])]
-        counts, least = tile_links(sides[0], sides[1] if len(sides) > 1 else None, threshold)
-        ids = np.concatenate([x["ids"] for x in sides])
-        at = np.flatnonzero(counts)
-        return pa.table({"rep": ids[at], "links": counts[at], "first": ids[least[at]]})
-
-    found = left.unionByName(right).groupBy("g", "h").applyInArrow(linked, "rep long, links long, first long")
+        lo, hi = key[0].as_py(), key[1].as_py()
+        all_groups = [_unpacked(x) for x in sorted(table.to_pylist(), key=lambda x: (x["band"] != lo, x["g"]))]
+        for x in all_groups:
+            x["unit"] = unit_rows(x["vectors"])
+        starts = np.concatenate([[0], np.cumsum([len(x["ids"]) for x in all_groups])])
+        counts, forest = np.zeros(starts[-1], np.int64), _Forest(int(starts[-1]))
+        for i, a in enumerate(all_groups):
+            for j, b in enumerate(all_groups[i:], i):
+                if (lo != hi and not (a["band"] == lo and b["band"] == hi)) or _apart(a, b, far):
+                    continue
+                own = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in ({i, j} if i == j else (i, j))])
+                n, least = tile_links(a, None if i == j else b, threshold)
+                counts[own] += n
+                forest.join(own, own[least])
+        ids, at = np.concatenate([x["ids"] for x in all_groups]), np.flatnonzero(counts)
+        return pa.table({"rep": ids[at], "links": counts[at], "first": ids[forest.least[at]]})
+
+    found = left.unionByName(right).groupBy("lo", "hi").applyInArrow(linked, "rep long, links long, first long")
     found = stored(found)
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("first").alias("b")))

@@ -60,9 +60,10 @@ def test_exact_duplicates(spark):
     rng = random.Random(1)
     texts = [None, "", "a", "A", "É", "é", "x" * 9000, "X" * 9000, "İ", "i̇", "a "]
     rows = [(i, texts[min(int(rng.expovariate(0.4)), len(texts) - 1)]) for i in range(300)] + [(None, "a"), (None, "only null"), (5, "a"), (5, "a")]
+    rows += [(None, "no id at all")] * 200 + [(7, "one id")] * 200
     want = exact(rows)
-    for least in (1, 10, 10_000):  # most texts hot, some, none
-        got = exact_dedup.exact_duplicates(table(spark, rows), hot_least=least, salts=3)
+    for salts in (1, 3, 64):
+        got = exact_dedup.exact_duplicates(table(spark, rows).repartition(7), salts=salts)
         assert sorted((tuple(r) for r in got.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=str) == want
     assert exact_dedup.exact_duplicates(table(spark, [])).count() == 0
 
@@ -79,6 +80,14 @@ def test_dropping_exact_duplicates_keeps_columns(spark):
     assert sorted((r["doc_id"] for r in out.collect()), key=str) == [2, 3, None]
 
 
+def test_dropping_exact_duplicates_goes_by_row(spark):
+    # A repeated row stays once; a row goes although its doc_id is another text's winner.
+    rows = [(1, "a"), (1, "a"), (1, "A"), (2, "b"), (2, "b "), (3, "b"), (None, "c"), (None, "c"), (None, "b"), (4, None), (5, "")]
+    out = exact_dedup.drop_exact_duplicates(table(spark, rows)).collect()
+    assert sorted(((r["doc_id"], (r["text"] or "").lower()) for r in out), key=str) == sorted([(1, "a"), (2, "b "), (3, "b"), (None, "c"), (5, "")], key=str)
+    assert exact_dedup.drop_exact_duplicates(table(spark, [])).count() == 0
+
+
 def shingles(text, size):
     words = (text or "").encode().lower().split()
     if not words:
@@ -183,3 +192,38 @@ def test_error_bounds_hold():
     assert (np.linalg.norm(unit - back, axis=1) <= errors).all()
     gap = np.abs(unit @ unit.T - back @ back.T)
     assert (gap <= errors[:, None] + errors * (1 + errors[:, None]) + 1e-12).all()
+
+
+def test_vectors_are_compared_in_double_precision(spark):
+    # Two vectors whose cosine reaches the threshold in double precision only, and values beyond float.
+    near, just = [1.0, 0.0], [0.95 + 1e-12, (1 - (0.95 + 1e-12) ** 2) ** 0.5]
+    rows = [(1, near), (2, just), (3, [1e300, 1e299]), (4, [1e-300, 1e-301]), (5, [float("nan"), 1.0]), (6, None)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got[1][0] >= 1 and got[2][0] >= 1 and got[2][1] == 1
+    assert got[4][1] == got[3][1] and got[5] == (0, 5) and got[6] == (0, 6)
+
+
+def test_links_do_not_depend_on_what_stands_beside_them():
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(16)
+    close = base + 0.32 * rng.standard_normal((400, 16))  # many pairs about the threshold
+    far = rng.standard_normal((400, 16))
+
+    def packed(x):
+        unit = embedding_dedup.unit_rows(x)
+        codes, scales, errors = embedding_dedup.quantise(unit)
+        return {"codes": codes, "scales": scales, "errors": errors, "vectors": x, "copies": np.ones(len(x), np.int64)}
+
+    unit = embedding_dedup.unit_rows(close)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    alone, _ = embedding_dedup.tile_links(packed(close), None, 0.95)
+    among, _ = embedding_dedup.tile_links(packed(np.concatenate([close, far])), None, 0.95)
+    assert (alone == want).all() and (among[:400] == want).all()
+
+
+def test_one_large_component_and_an_outsider(spark):
+    # Near copies of one text, more than a block of them, and a text that shares a rare passage with all.
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[:50], f"x{i}"])) for i in range(700)] + [(5000, " ".join([*words[:6], *(f"y{i}" for i in range(60))]))]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.near_duplicates(table(spark, rows)).collect()}
+    assert all(got[i] == 0 for i in range(700)) and got[5000] == 5000
