@@ -25,10 +25,10 @@ from gridspark.llm.common import sampled
 
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp svg math object select button".split())
+RAW = frozenset("script style title textarea template iframe noembed noframes xmp select button".split())
 #: Of these, what is never closed reaches to the end of the page.
 TO_END = frozenset("script style title textarea xmp".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var br img wbr button input".split())
+BLOCKS = frozenset("html head body li dd dt tr td th thead tbody tfoot caption colgroup legend option optgroup frameset marquee search".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th", "tbody", "thead"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("table ul ol dl article section div body main aside nav form".split())
@@ -48,6 +48,12 @@ _NAMING = ("class", "id", "role", "itemprop", "aria-label")
 _UNSHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 
+
+def is_inline(tag: str) -> bool:
+    """Elements that HTML doesn't know are inline, but for custom ones (with a hyphen), which sites build parts of."""
+    return tag not in CLOSES_P and tag not in BLOCKS and "-" not in tag and tag not in {"hr", "base", "link", "meta"}
+
+
 #: Names of parts in classes, ids and roles.
 NAMES = {
     "advert": re.compile(r"(^|[\s_-])(ads?|adv|advert\w*|sponsor\w*|promo\w*|banner|outbrain|taboola)([\s_\d-]|$)", re.I),
@@ -105,6 +111,10 @@ def parse(source: str, written: bool = True) -> Page:
     page = Page([Node("#root", -1)])
     nodes, blocks = page.nodes, page.blocks
     stack: list[tuple[str, int]] = [("#root", 0)]  # tag, and its node: of an inline element that of its block
+    # Places in the stack by tag, of block elements, and of those that bound what an end closes: no walk through the stack.
+    places: dict[str, list[int]] = {}
+    block_at, scope_at = [0], [0]
+    endless: set[str] = set()  # raw elements without an end tag from here on
     held: list[str] = []
     linked = 0
     at = 0
@@ -131,10 +141,26 @@ def parse(source: str, written: bool = True) -> Page:
             if any(t == "a" for t, _ in stack[-4:]):
                 linked += len(text.strip())
 
+    def last(tag: str) -> int:
+        return places[tag][-1] if places.get(tag) else 0
+
+    def push(tag: str, node: int, block: bool) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        if block:
+            block_at.append(len(stack))
+        if tag in SCOPES:
+            scope_at.append(len(stack))
+        stack.append((tag, node))
+
     def close_to(i: int) -> None:
-        if any(t not in INLINE for t, _ in stack[i:]):
+        if block_at[-1] >= i:
             flush()
+        for tag, _ in stack[i:]:
+            places[tag].pop()
         del stack[i:]
+        for kind in (block_at, scope_at):
+            while kind[-1] >= i:
+                kind.pop()
 
     while True:
         found = _MARKUP.search(source, at)
@@ -146,44 +172,34 @@ def parse(source: str, written: bool = True) -> Page:
         tag = (found[2] or "").lower()
         if not tag:
             continue
+        inline = is_inline(tag)
         if found[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close_to(i)
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break
+            i = last(tag)
+            if i and (not inline or i > block_at[-1]):
+                close_to(i)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
-            if end is None and tag not in TO_END:
-                continue
-            at = len(source) if end is None else end.start()
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
+            if end is None:
+                endless.add(tag)
+                at = len(source) if tag in TO_END else at
+            else:
+                at = end.start()
             continue
         if tag == "br":
             held.append(" ")
             continue
-        if tag in INLINE:
+        if inline:
             if tag not in VOID and not found[3].endswith("/"):
-                stack.append((tag, stack[-1][1]))
+                push(tag, stack[-1][1], False)
             continue
         if tag in VOID:
             flush()
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close_to(i)
-                    break
-                if stack[i][0] in SCOPES:
-                    break
-        if tag in SIBLINGS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in SIBLINGS[tag]:
-                    close_to(i)
-                    break
-                if stack[i][0] in SCOPES:
-                    break
+        if tag in CLOSES_P and last("p") > scope_at[-1]:
+            close_to(last("p"))
+        if tag in SIBLINGS and (i := max(map(last, SIBLINGS[tag]))) > scope_at[-1]:
+            close_to(i)
         flush()
         parent = stack[-1][1]
         said = attributes(found[3])
@@ -191,7 +207,7 @@ def parse(source: str, written: bool = True) -> Page:
         label = int(label) if written and label in {"0", "1"} else nodes[parent].label
         nodes.append(Node(tag, parent, " ".join(said[x] for x in _NAMING if x in said), label, hidden=_hidden(said)))
         nodes[parent].children += 1
-        stack.append((tag, len(nodes) - 1))
+        push(tag, len(nodes) - 1, True)
     flush()
     for node in reversed(nodes):
         node.below += node.chars
@@ -249,6 +265,8 @@ def features(page: Page) -> list[tuple[tuple[str, ...], str]]:
             *(f"named {x}" for x in names),
             *(f"within {x}" for x in above),
         ]
+        if node.tag in PARTS:
+            said.append(f"{node.tag} in article {bool(above & {'article', 'main'})}")
         if node.copyright:
             said.append("copyright")
         out.append((tuple(said), "marked" if own - {"content", "article", "main"} else "main" if own else "plain"))
@@ -362,6 +380,8 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
 
     def article() -> str:
         out = [f"<h1>{say(3, 10)}</h1>"] if some(0.8) else []
+        if out and some(0.3):  # an article's own header
+            out = [part("header", pick("", "entry-header", "post-title"), out[0] + pick("", f"<p>{say(2, 6)}</p>", f"<div>{say(1, 3)} <time>{say(1, 3)}</time></div>"), 1, True)]
         for _ in range(int(rng.integers(1, 10))):
             kind = rng.random()
             if kind < 0.7:
@@ -387,7 +407,20 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
     foot = part("footer", pick("footer", "site-footer", "copyright", "legal"), pick(f"&copy; {say(1, 3)} &middot; {sentence()}", f"<p>Copyright {say(2, 5)}</p>{links(5)}", f"<p>{sentence()}</p>"), 0)
     if not named and not semantic:
         named = True
-    body = part(pick("article", "article", "main"), pick("content", "post", "entry-content", "article-body", "story", "main"), article(), 1)
+
+    def bare() -> str:
+        """Content without an element of its own, in plain ones, or in short posts."""
+        short = lambda: pick(sentence(4, 14), sentence(8, 30), say(3, 12), prose(4))
+        kind = int(rng.integers(0, 4))
+        if kind == 0:
+            return "".join(f"<p {LABEL}=1>{prose(pick(3, 8))}</p>" for _ in range(int(rng.integers(1, 7))))
+        if kind == 1:
+            return f'<div class="{pick("post", "entry", "content", "text")}" {LABEL}=1>{pick("<p>{}</p>", "{}", "<h1>{}</h1>").format(short())}{pick("", f"<p>{short()}</p>")}</div>'
+        if kind == 2:
+            return f"<div {LABEL}=1>{article()}</div>"
+        return f"<{(t := pick('div', 'section', 'center', 'td'))}>" + f"<h1 {LABEL}=1>{say(3, 9)}</h1>" + "".join(f"<p {LABEL}=1>{short()}</p>" for _ in range(int(rng.integers(1, 5)))) + f"</{t}>"
+
+    body = bare() if some(0.25) else part(pick("article", "article", "main"), pick("content", "post", "entry-content", "article-body", "story", "main"), article(), 1)
     if some(0.3):
         body = part("main", pick("container", "wrapper", "page"), body + pick("", comments()), None)
     parts = [*([head] if some(0.6) else []), *([menu] if some(0.8) else []), *([advert()] if some(0.4) else []), *([notice()] if some(0.3) else []), *([side] if some(0.3) else []), body, *([comments()] if some(0.4) else []), *([side] if some(0.3) else []), *([form()] if some(0.3) else []), *([foot] if some(0.85) else [])]
