@@ -25,6 +25,8 @@ from gridspark.llm.text_hash import bytes_of, runs
 SIZES, BUCKETS_LOG2, DIM = (2, 3, 4), 16, 12
 #: Labelled rows sampled for a language, about; epochs; share kept for calibration.
 PER_LANGUAGE, EPOCHS, KEPT_SHARE = 500, 4, 0.25
+#: Languages learned at most, those with most labelled rows.
+LANGUAGES = 500
 #: Bounds for a language: this quantile of its kept rows and pieces, if they are so many; the known share
 #: may be lower by MARGIN, as other texts have other words, and a score from SURE on is no reason to reject.
 LOW, ENOUGH, MARGIN, SURE = 0.01, 20, 0.08, 0.9
@@ -178,21 +180,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], list[str]]:
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> tuple[list[str], list[str]]:
     """Texts and languages of about per_language labelled rows of each language that are not held out.
 
-    The rows are those with the smallest hashes of their ids: a share of each language by its
-    count over all documents.
+    The rows are those with the smallest hashes of id and text: a share of each language by its
+    count over all documents; rows that repeat count once. At most twice as many rows in all are
+    taken, and the languages with most rows, so many at most.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    labelled = labelled.select("doc_id", "lang", "text")
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return [], []
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        chosen |= (F.col("lang") == lang) & (place < int((1 << 30) * min(1.0, per_language / n)))
-    rows = labelled.where(chosen).select("doc_id", "lang", "text").collect()
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, per_language / r["count"]))) for r in counts], "lang string, share long")
+    chosen = labelled.join(F.broadcast(shares), "lang").where(place < F.col("share")).dropDuplicates(["doc_id", "lang", "text"])
+    rows = chosen.orderBy(place, "doc_id", "lang", "text").limit(2 * per_language * len(counts)).select("doc_id", "lang", "text").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 

@@ -1,10 +1,12 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by comparison with templates.
 
-Each line is a paragraph, and so are neighbouring lines over which a notice is wrapped. A sparse logistic regression over its words, word pairs and word
-triples says which licence family it names, or none; it is trained in numpy on variations of
-the templates and on ordinary lines from a bounded sample of documents. A paragraph counts for a
-family only if the calibrated probability is high enough and a template of that family agrees
-with it word by word; one that looks like a notice and isn't confirmed is 'unknown'.
+Each line is a paragraph, and so are neighbouring lines over which a notice is wrapped. A sparse
+logistic regression over its words, word pairs and word triples says which licence family it names,
+or none, or that it is a notice of no known family; it is trained in numpy on variations of the
+templates and on ordinary lines from a bounded sample of documents. The likeliest family counts if
+its calibrated probability is high enough and a template of that family agrees with the paragraph
+word by word; what looks like a notice otherwise is 'unknown'. Both bounds are low quantiles of
+lines that are kept from training.
 """
 
 from __future__ import annotations
@@ -25,17 +27,20 @@ from gridspark.llm.text_hash import LOWER, NOT_ALNUM, U, Words, bytes_of, mix, r
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "MIT": (
         "Released under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
         "SPDX-License-Identifier: MIT",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see http://www.gnu.org/licenses/",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "LGPL": ("This library is licensed under the GNU Lesser General Public License, version 2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later"),
@@ -43,14 +48,21 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "BSD": (
         "Distributed under the BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0", "SPDX-License-Identifier: MPL-2.0"),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/", "SPDX-License-Identifier: MPL-2.0"),
     "CC-BY-NC": ("Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     "CC-BY-SA": ("Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     "CC-BY": ("Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     "CC0": ("Released under CC0 1.0 Universal", "To the extent possible under law, the author has dedicated this work to the public domain"),
     "ISC": ("Released under the ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    "Unlicense": ("This is free and unencumbered software released into the public domain", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose", "SPDX-License-Identifier: Unlicense"),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0", "SPDX-License-Identifier: BSL-1.0"),
+    "Zlib": ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software", "SPDX-License-Identifier: Zlib"),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "SPDX-License-Identifier: EPL-2.0"),
 }
 # Notices of no family above, and ordinary uses of the same words.
 OTHER_NOTICES = ("All rights reserved. No licence is granted.", "Licensed under the terms of our proprietary licence agreement.", "Released under the Example Public License, version 7.", "This software is licensed, not sold.", "Subject to the terms of the Acme Community License 2.1", "Use of this material is governed by a commercial license.")
@@ -59,6 +71,8 @@ NONE, UNKNOWN = "none", "unknown"
 BUCKETS_LOG2, EPOCHS = 16, 6
 #: Ordinary lines and documents sampled for training, about.
 LINES, DOCUMENTS = 3000, 300
+#: Quantile of kept lines that bounds are set at.
+LOW = 0.002
 #: Least share of a template's word pairs in the paragraph that confirms its family.
 AGREES = 0.6
 #: Longer lines aren't hard-wrapped; a notice is looked for in so many lines before and after one that holds a word of notices.
@@ -102,7 +116,8 @@ class Model:
     bias: np.ndarray
     used: np.ndarray  # buckets with weights
     temperature: float = 1.0
-    least: float = 0.5
+    least: float = 0.5  # probability among families from which the likeliest counts
+    most_none: float = 0.5  # probability of none below which a line looks like a notice
 
     def probabilities(self, w: Words) -> np.ndarray:
         """Of each family for each line; a line's evidence is divided by the root of its number of n-grams."""
@@ -173,11 +188,18 @@ def fit(ordinary: list[str], seed: int = 4) -> Model:
     model = Model(families, weights.astype(np.float32), bias, np.abs(weights).max(axis=1) > 0)
     check = np.flatnonzero(kept)
     w, y = _words_of([lines[i] for i in check]), np.array([labels[i] for i in check], np.int64)
-    losses, tried = [], np.geomspace(0.2, 5, 30)
+    losses, tried = [], np.geomspace(0.02, 5, 40)
     for t in tried:
         model.temperature = float(t)
         losses.append(-np.log(np.maximum(model.probabilities(w)[np.arange(len(y)), y], 1e-9)).mean())
     model.temperature = float(tried[int(np.argmin(losses))])
+    # Both bounds are low quantiles of lines kept from training: of ordinary ones, and of notices of the families.
+    p = model.probabilities(w)
+    ordinary_lines, notices = y == 0, y > 1
+    if ordinary_lines.any():
+        model.most_none = float(min(0.5, np.quantile(p[ordinary_lines, 0], LOW)))
+    if notices.any():
+        model.least = float(min(0.5, np.quantile(p[notices][np.arange(int(notices.sum())), y[notices]], 10 * LOW)))
     return model
 
 
@@ -196,16 +218,10 @@ def agreement(family: str, text: str) -> float:
 
 
 def decide(model: Model, p: np.ndarray, text: str) -> str:
-    """The family of a paragraph that looks like a notice: confirmed, or unknown.
-
-    Among families a template of which agrees fully, the one with the longest such template
-    counts ("CC BY-NC" says more than "CC BY"); else the likeliest, if it is likely and agrees.
-    """
-    best = max(TEMPLATES, key=lambda f: p[model.families.index(f)])
-    full = [(max(len(t) for t in _TEMPLATE_TOKENS[f]), f) for f in TEMPLATES if p[model.families.index(f)] > 0.01 and agreement(f, text) == 1]
-    if full and (f := max(full)[1]) and (f == best or agreement(best, text) < 1):
-        return f
-    return best if p[model.families.index(best)] >= model.least and agreement(best, text) >= AGREES else UNKNOWN
+    """The family of a paragraph that looks like a notice: the likeliest, if it is likely enough and a template confirms it; else unknown."""
+    best = 2 + int(p[2:].argmax())
+    family = model.families[best]
+    return family if p[best] >= model.least and agreement(family, text) >= AGREES else UNKNOWN
 
 
 def wrapped_notice(model: Model, lines: list[str], at: int) -> tuple[str, int, int] | None:
@@ -283,19 +299,16 @@ def scan_texts(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple
         worded = np.diff(w.first) > 0
         filled = np.bincount(doc[worded], minlength=b - a)
         verdicts: dict[int, tuple[str, float]] = {}
-        for i in np.flatnonzero(p[:, 0] < 0.5).tolist():
-            line = data[bounds[i] : bounds[i + 1]].tobytes().decode()
-            family = decide(model, p[i], line)
-            if family == UNKNOWN and not re.search(r"licen[cs]|copyright|permission|rights reserved|redistribut", line, re.I):
-                continue
-            verdicts[i] = family, float(1 - p[i, 0])
+        for i in np.flatnonzero(p[:, 0] < model.most_none).tolist():
+            verdicts[i] = decide(model, p[i], data[bounds[i] : bounds[i + 1]].tobytes().decode()), float(1 - p[i, 0])
         joined = join_wrapped(model, data, bounds, doc, worded, verdicts)
         spans = [(i, i + 1, family, share) for i, (family, share) in verdicts.items()] + [(i, j, family, float(1 - p[i:j, 0].min())) for i, (j, family) in joined.items()]
         found: dict[int, list] = {}
+        begin = int(offsets[a])
+        before = np.concatenate([[0], np.cumsum((data[begin : int(offsets[b])] & 0xC0) != 0x80, dtype=np.int64)]) if spans else None  # code points
         for i, j, family, share in sorted(spans):
             d = int(doc[i])
-            base = int(offsets[a + d])
-            start = len(data[base : bounds[i]].tobytes().decode())
+            start = int(before[bounds[i] - begin] - before[offsets[a + d] - begin])
             text = data[bounds[i] : bounds[j]].tobytes().decode()
             found.setdefault(d, []).append((family, start, start + len(text.rstrip("\r\n")), share))
         for d in range(b - a):

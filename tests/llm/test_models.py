@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -211,6 +212,81 @@ def test_wrapped_licences(spark):
     assert not {*got[len(want)]["families"].split(",")} - {"", "unknown"}
 
 
+def test_licence_probabilities_against_brute_force():
+    """Line by line and n-gram by n-gram, in plain Python."""
+    texts = [t for _, t, _ in documents("sf0.001") if t][:60] + ["Released under the MIT License.\nplain words, é\n\nAll rights reserved. No licence is granted.", ""]
+    model = license_scan.fit([x for t in texts for x in t.split("\n")][:1500])
+
+    def plain(line):
+        h = [int(x) for x in license_scan._words_of([line]).hashes]
+        sums, n = np.zeros(len(model.families)), 0
+        for size in (1, 2, 3):
+            for i in range(len(h) - size + 1):
+                x = (sum(h[i + j] * int(license_scan._FACTORS[j]) for j in range(size)) + size) % 2**64
+                bucket = int(license_scan.mix(np.array([x], np.uint64))[0]) >> (64 - license_scan.BUCKETS_LOG2)
+                n += 1
+                sums += model.weights[bucket]
+        z = (model.bias + sums / np.sqrt(max(n, 1))) / model.temperature
+        z = np.exp(z - z.max())
+        return z / z.sum()
+
+    got = list(license_scan.scan_texts(model, pa.array(texts)))
+    for text, (_, found) in zip(texts, got):
+        at, want = 0, []
+        for line in text.split("\n"):
+            p = plain(line)
+            if p[0] < model.most_none:
+                want.append((license_scan.decide(model, p, line), at, at + len(line.rstrip("\r"))))
+            at += len(line) + 1
+        single = [(f, a, b) for f, a, b, _ in found if "\n" not in text[a:b]]
+        assert single == [x for x in want if x in single]
+        assert {x for x in want if x[0] != "unknown"} <= {*single}
+
+
+def test_language_scores_against_brute_force():
+    rows = [(t, x) for i, t, x in documents() if x and t and i % 7 == 0][:400]
+    model = language_id.fit([t for t, _ in rows], [x for _, x in rows])
+
+    def plain(text):
+        low = bytearray()
+        for c in text:
+            b = c.encode()
+            if len(b) == 1:
+                low += c.lower().encode() if c.isalpha() else b" "
+            elif "À" <= c <= "Þ" and c != "×":
+                low += chr(ord(c) + 32).encode()
+            else:
+                low += b
+        padded, sums, n = b" " + bytes(low) + b" ", np.zeros(model.scores.shape[1]), 0
+        for size in language_id.SIZES:
+            for i in range(len(padded) - size + 1):
+                gram = padded[i : i + size]
+                if b" " in gram[1:-1] or gram[0] == gram[-1] == 32:
+                    continue
+                code = (int.from_bytes(gram, "little") + size) * 0x9E3779B1 % 2**32
+                bucket = (code ^ code >> 15) * 0x85EBCA77 % 2**32 >> (32 - language_id.BUCKETS_LOG2)
+                sums += model.scores[bucket]
+                n += 1
+        z = (sums[:-1] / max(n, 1) + model.bias) / model.temperature
+        z = np.exp(z - z.max())
+        return z / z.sum()
+
+    texts = [t[:3000] for t, _ in rows[:25]] + ["ÀÉ× ÿ Über", "a", "12"]
+    got = language_id.predict(model, pa.array(texts))
+    for text, name, score in zip(texts, got["lang_pred"].to_pylist(), got["score"].to_pylist()):
+        p = plain(text)
+        if any(map(str.isalpha, text)):
+            assert abs(p.max() - score) < 1e-4 and (model.languages[int(p.argmax())] == name or np.sort(p)[-1] - np.sort(p)[-2] < 1e-4)
+        else:
+            assert name == "und"
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(7, "the same text", "en", "")] * 3000 + [(i, f"text {i}", f"l{i % 40}", "") for i in range(2000)]
+    texts, labels = language_id.sample(spark.createDataFrame(rows, DOCS), per_language=10, languages=5)
+    assert len({*labels}) <= 5 and len(texts) <= 100
+
+
 @pytest.fixture(scope="module")
 def pages():
     return [h for (h,) in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet' ORDER BY page_id").fetchall()]
@@ -274,6 +350,27 @@ def test_page_edges(spark, tree):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("source", ["<b>" * 200_000 + "</i>" * 200_000, "<select>" * 120_000, "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000, "<div>" * 150_000, "<p>" * 200_000, "<svg>" * 200_000, "<" * 1_000_000, '<a x="' * 150_000, "<table><tr><td>" * 50_000])
+def test_malformed_pages_take_time_in_proportion(source):
+    began = time.perf_counter()
+    html_text.parse(source, written=False)
+    assert time.perf_counter() - began < 15
+
+
+def test_layouts_that_no_training_page_has(tree):
+    prose = ["The river rose overnight, and by morning the lower road was closed.", "Nobody had seen it so high; even the old mill stood in water.", "By noon, the rain had stopped at last, and people came to look."]
+    paragraphs, text = "".join(f"<p>{x}</p>" for x in prose), "\n\n".join(prose)
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Item {k}</a></li>" for k in range(6)) + "</ul>"
+    foot = "<footer><p>Copyright 2020, all of it.</p></footer>"
+    assert html_text.main_text(tree, f"<html><body>{paragraphs}</body></html>") == text
+    assert html_text.main_text(tree, f"<body><nav>{menu}</nav>{paragraphs}{foot}</body>") == text
+    assert html_text.main_text(tree, f"<body><nav>{menu}</nav><div class=post><p>A short post with few words in it</p></div>{foot}</body>") == "A short post with few words in it"
+    assert html_text.main_text(tree, f"<body><nav>{menu}</nav><article><header><h1>The flood of the year</h1></header>{paragraphs}</article>{foot}</body>") == f"The flood of the year\n\n{text}"
+    assert html_text.main_text(tree, f"<body><table><tr><td class=menu>{menu}</td><td class=content>{paragraphs}</td></tr></table>{foot}</body>") == text
+    inner = "Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be given, as it was."
+    assert html_text.main_text(tree, f"<body><article><p>{inner}</p>{paragraphs}<noscript><p>Shown where no scripts run, as some do.</p></noscript></article></body>") == f"Let x=2 be given, as it was.\n\n{text}\n\nShown where no scripts run, as some do."
+
+
 def test_data_labels_of_sites_are_no_training_labels(spark, tree):
     source = '<body><article data-label=""><p>A sentence, which stays here.</p><table><tr><td data-label="Price">Ten, and two more.</td><td data-label=0>Red, and green.</td></tr></table></article></body>'
     assert html_text.main_text(tree, source) == html_text.main_text(tree, re.sub(r" data-label=[^>]*", "", source)) != ""
