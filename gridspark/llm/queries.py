@@ -7,21 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridspark.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, license_scan, ngram_jaccard, packing, secret_scan, token_blocks
-from gridspark.llm.common import table
+from gridspark.llm.common import configure, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def query(name: str, operator: Callable[..., DataFrame], **parameters) -> Query:
+    """The operator over a whole table, in a session with the settings of a large job."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return operator(table(spark, sf_dir, name), **parameters)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    "op1_token_blocks": lambda spark, d: token_blocks.token_block_report(table(spark, d, "documents"), added=True),
-    "op2_license_scan": lambda spark, d: license_scan.scan(table(spark, d, "documents")),
-    "op3_ngram_jaccard": lambda spark, d: ngram_jaccard.near_duplicates(table(spark, d, "documents"), size=4, percent=85),
-    "op4_embedding_dedup": lambda spark, d: embedding_dedup.near_duplicate_vectors(table(spark, d, "embeddings")),
-    "op5_byte_bpe": lambda spark, d: bpe.encode_decode(table(spark, d, "documents")),
-    "op6_exact_dedup": lambda spark, d: exact_dedup.exact_duplicates(table(spark, d, "documents")),
-    "op7_html_text": lambda spark, d: html_text.extract(table(spark, d, "pages")),
-    "op8_packing": lambda spark, d: packing.pack(table(spark, d, "documents"), added=True),
-    "op9_language_id": lambda spark, d: language_id.identify(table(spark, d, "documents")),
-    "op10_secret_scan": lambda spark, d: secret_scan.find_secrets(table(spark, d, "documents")),
+    "op1_token_blocks": query("documents", token_blocks.token_block_report, added=True),
+    "op2_license_scan": query("documents", license_scan.scan),
+    "op3_ngram_jaccard": query("documents", ngram_jaccard.near_duplicates, size=4, percent=85),
+    "op4_embedding_dedup": query("embeddings", embedding_dedup.near_duplicate_vectors),
+    "op5_byte_bpe": query("documents", bpe.encode_decode),
+    "op6_exact_dedup": query("documents", exact_dedup.exact_duplicates),
+    "op7_html_text": query("pages", html_text.extract),
+    "op8_packing": query("documents", packing.pack, added=True),
+    "op9_language_id": query("documents", language_id.identify),
+    "op10_secret_scan": query("documents", secret_scan.find_secrets),
 }
 
 #: Every pair of sets that share an n-gram, and recursion to the smallest doc_id.
