@@ -2,10 +2,11 @@
 
 The field tags tokens as secret begin, inside or outside (B, I, O). Tokens are runs of value
 characters; plain ones (short, or letters without a digit, and beside no secret word or
-assignment mark) can only be outside, so the best path splits at them and is decoded by Viterbi over each run of other tokens, with features of
-their shapes, the words and marks beside them and their file. It is trained in numpy on a
+assignment mark) can only be outside, so the best path splits at them and is decoded by Viterbi
+over each run of other tokens, with features of their shapes, the words and marks beside them,
+whether the sampled documents hold them as words, and their file. It is trained in numpy on a
 bounded sample of documents: what the patterns find there is secret, and secrets of other
-kinds and harmless numbers are written into them.
+kinds and harmless numbers and words are written into them.
 """
 
 from __future__ import annotations
@@ -48,14 +49,19 @@ _MARK[[58, 61]] = True  # : and =
 SHORT, LONG = 8, 24
 #: Documents sampled for training, about; epochs.
 SAMPLE, EPOCHS = 300, 12
+#: Words of the sampled documents that a model knows at most.
+WORDS = 20_000
 _NEAR = re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|private|jwt|sig", re.I)
 _TAGS = "OBI"
 #: A value beside a word that names secrets or after an assignment mark, password characters included.
 _NAMED = r"(?:pass(?:words?|wd|phrase|code|wort)?|pwd|secrets?|tokens?|keys?|auth|bearer|credentials?|private|jwt|sig|signature)"
 _STRONG = re.compile(r"(?:passwords?|passwd|passphrase|passcode|passwort|pwd|secrets?|credentials?)[^A-Za-z]*$", re.I)
+_IS = re.compile(r"\b(?:is|was)\s+[\"']?$")
 _NAMES_SECRET = re.compile(rf"{_NAMED}[0-9_-]{{0,4}}[\"']?\s{{0,3}}$", re.I)
 _PASSWORD = r"[A-Za-z0-9+/_.=@!#$%&*^~?-]+"
 _PLACED = re.compile(rf"[:=]>?[\"'\x20]{{0,4}}({_PASSWORD})")
+#: After such a name and a verb any value can be secret, plain letters too.
+_TOLD = re.compile(rf"(?:passwords?|passwd|passphrase|passcode|passwort|pwd|secrets?|credentials?)\x20+(?:is|was)\x20+[\"']?({_PASSWORD})", re.I)
 _SAID = re.compile(rf"{_NAMED}(?:\x20+(?:is|was))?\x20+[\"']?({_PASSWORD})", re.I)
 #: What _SAID needs, in bytes of lower case; assignment marks are found one by one.
 _SAID_WORDS = re.compile(rb"(?:pass(?:word|wd|phrase|code|wort)?|pwd|secret|token|key|auth|bearer|credential|private|jwt|sig|signature)s?(?: +(?:is|was))? ")
@@ -114,8 +120,8 @@ def _shape(value: str) -> list[str]:
     return out
 
 
-def sequences(text: str, at: list[tuple[int, int]]) -> list[list[Token]]:
-    """The candidate tokens at these places, in runs between which plain words stand, with features."""
+def sequences(text: str, at: list[tuple[int, int]], vocabulary: frozenset[str] = frozenset()) -> list[list[Token]]:
+    """The candidate tokens at these places, in runs between which plain words stand, with features. vocabulary: words that documents hold."""
     file = [f"file numbers {min(len(at).bit_length(), 6)}", f"file names secrets {bool(_NEAR.search(text))}"]
     out: list[list[Token]] = []
     last = -1
@@ -130,6 +136,7 @@ def sequences(text: str, at: list[tuple[int, int]]) -> list[list[Token]]:
         words = re.findall(r"[A-Za-z_]+", before)
         features.append(f"word before {bool(words and _NEAR.search(words[-1]))}")
         features.append(f"names secret {bool(_STRONG.search(before))} {bool(mark)}")
+        features.append(f"told {bool(_IS.search(before))} known {text[a:b].lower() in vocabulary} letters {text[a:b].isalpha()}")
         features.append(f"words before {any(_NEAR.search(x) for x in words[-3:-1])}")
         features.append(f"after {after[:1]}" if after[:1] in {'"', "'", ",", ";", ")"} else "after else")
         if any(c.isalpha() for c in gap):
@@ -145,6 +152,7 @@ class Field:
 
     weights: dict[str, np.ndarray] = field(default_factory=dict)
     moves: np.ndarray = field(default_factory=lambda: np.zeros((3, 3)))
+    vocabulary: frozenset[str] = frozenset()
 
     def scores(self, tokens: list[Token]) -> np.ndarray:
         zero = np.zeros(3)
@@ -212,13 +220,14 @@ def candidates(text: str) -> list[tuple[int, int]]:
 def placed(text: str) -> list[tuple[int, int]]:
     """Values that can be secret because of where they stand.
 
-    After a secret word and a mark any value; after the word alone or another mark one that mixes
-    letters with digits or password characters.
+    After a secret word and a mark, or a word for passwords and "is" or "was", any value; after the
+    word alone or another mark one that mixes letters with digits or password characters.
     """
     found = []
     for m in _PLACED.finditer(text):
         if _NAMES_SECRET.search(text, max(0, m.start() - 24), m.start()) or _mixed(m[1]):
             found.append((m.start(1), m.end(1)))
+    found += [(m.start(1), m.end(1)) for m in _TOLD.finditer(text)]
     return found + [(m.start(1), m.end(1)) for m in _SAID.finditer(text) if _mixed(m[1])]
 
 
@@ -296,7 +305,7 @@ def _written_password(rng: np.random.Generator, words: list[str]) -> tuple[str,
     strong = pick(("password", "pwd", "Password", "passwd", "db_password", "passphrase", "secret", "credential"))
     weak = pick(("auth", "token", "key", "api key"))
     plain = value.isalpha()
-    lead = pick((f"{strong}: ", f"{strong}=", f"{strong} = ", f'{strong}: "', *(() if plain else (f"{weak}: ", f"{weak}=", f"{strong} is ", f"the {strong} "))))
+    lead = pick((f"{strong}: ", f"{strong}=", f"{strong} = ", f'{strong}: "', f"{strong} is ", f"{strong} was ", *(() if plain else (f"{weak}: ", f"{weak}=", f"the {strong} "))))
     return lead, value
 
 
@@ -304,7 +313,8 @@ def _harmless_value(rng: np.random.Generator, words: list[str]) -> str:
     """A value after a mark or a secret word that is none."""
     pick = lambda x: x[int(rng.integers(0, len(x)))]
     n, word = int(rng.integers(1, 1000)), pick(words)
-    return pick((f"key: {word}", f"the key = {n}", f"note: {word}", f"size: {n}px", f"width={n}", f"x={n}a{n}", f"at {n % 24}:{n % 60:02d}pm", f"see: chapter{n}", f"a key {word}", f"token {n}", f"tokens: {n}", f"ratio: {n}%", f"mail: {word}@example.org", f"https://example.org/{word}{n}", f"author: {word}{n % 10}", f"monkey: {word}", f"version: v{n}", f"id=item{n}", f"private: {word}", f"sig: {n}"))
+    word, strong = re.sub(r"[^A-Za-z]", "", word) or word, pick(("password", "secret", "passphrase", "credential"))
+    return pick((f"the {strong} is {word}", f"{strong} was {word}", f"a {strong} is {word}", f"key: {word}", f"the key = {n}", f"note: {word}", f"size: {n}px", f"width={n}", f"x={n}a{n}", f"at {n % 24}:{n % 60:02d}pm", f"see: chapter{n}", f"a key {word}", f"token {n}", f"tokens: {n}", f"ratio: {n}%", f"mail: {word}@example.org", f"https://example.org/{word}{n}", f"author: {word}{n % 10}", f"monkey: {word}", f"version: v{n}", f"id=item{n}", f"private: {word}", f"sig: {n}"))
 
 
 def fit(texts: list[str], seed: int = 9) -> Field:
@@ -312,9 +322,11 @@ def fit(texts: list[str], seed: int = 9) -> Field:
     rng = np.random.default_rng(seed)
     texts = texts or ["the one and the other"]
     data = []
+    counts = Counter(w for x in texts for w in {w.strip(_BARE).lower() for w in x.split()})
+    known = frozenset(w for w, n in counts.most_common(WORDS) if n > 1)
 
     def learn(text: str, secrets: list[tuple[int, int]]) -> None:
-        for tokens in sequences(text, candidates(text)):
+        for tokens in sequences(text, candidates(text), known):
             tags, inside = "", -1
             for t in tokens:
                 own = next((i for i, (a, b) in enumerate(secrets) if a <= t.start < b), -1)
@@ -348,7 +360,7 @@ def fit(texts: list[str], seed: int = 9) -> Field:
         else:
             text, added = f"{head} {_harmless_value(rng, vocabulary)} {tail}", []
         learn(text, added + [(a, b) for a, _, b in base_spans(text) if not any(c < b and a < d for c, d in added)])
-    return Field().train(data)
+    return Field(vocabulary=known).train(data)
 
 
 def sample(docs: DataFrame, n: int = SAMPLE) -> list[str]:
@@ -359,7 +371,7 @@ def sample(docs: DataFrame, n: int = SAMPLE) -> list[str]:
 def added_spans(model: Field, text: str, at: list[tuple[int, int]], base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
     """What the field tags as secret beside the patterns' spans."""
     found = []
-    for tokens in sequences(text, at):
+    for tokens in sequences(text, at, model.vocabulary):
         tags = model.viterbi(tokens)
         for t, tag in zip(tokens, tags):
             if tag == "I":
