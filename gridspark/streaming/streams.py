@@ -53,8 +53,8 @@ def revise_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str
         spark = batch.sparkSession
         rows = batch
         if _there(spark, path):
-            touched = batch.select(year).distinct()
-            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(path).join(touched, year, "left_semi"))
+            touched = [r[0] for r in batch.select(year).distinct().collect()]  # few, and other years' files aren't opened
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(path).where(F.col(year).isin(touched)))
         latest_revision(rows, keys, [F.desc(revision), F.desc_nulls_last(value)]).write.mode("overwrite").parquet(scratch)
         spark.read.schema(batch.schema).parquet(scratch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
 
