@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from gridspark.llm import exact_dedup, language_id, ngram_jaccard, packing, secret_scan
-from gridspark.llm.common import configure, stored, table
+from gridspark.llm.common import configure, discard, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -69,5 +69,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before, docs = docs, stored(stage(spark, docs, sf_dir))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
