@@ -27,7 +27,8 @@ def _salted(docs: DataFrame, salts: int, *more: Column) -> DataFrame:
         raise ValueError("salts has to be from 1 to 64")
     doc_id, text = docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(doc_id.alias("doc_id"), ascii_lower(text).alias("norm"), F.pmod(F.xxhash64(doc_id), F.lit(salts)).cast("int").alias("salt"), *more)
-    return rows.withColumn("text_sha256", F.sha2("norm", 256))
+    # Said not to be null, or a join's filter would work the digest out once more.
+    return rows.withColumn("text_sha256", F.coalesce(F.sha2("norm", 256), F.lit("")))
 
 
 def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
