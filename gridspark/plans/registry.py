@@ -190,7 +190,7 @@ SELECT short_name, 'dimension', 'longitude', count(DISTINCT lon) FROM grid_raw G
 SELECT short_name, 'variable', 'expver', count(expver) FROM grid_raw GROUP BY 1 UNION ALL
 SELECT short_name, 'variable', 'band1', count(band1) FROM grid_raw GROUP BY 1""")
 def describe(spark, d):
-    return stats.describe(wrapped(spark, d).withColumn("longitude", F.pmod(F.col("longitude") + 360, F.lit(360.0))), ("time", "latitude", "longitude"), ("expver", "band1"))
+    return stats.describe(raw(spark, d).withColumnRenamed("short_name", "dataset"), ("time", "latitude", "longitude"), ("expver", "band1"))
 
 
 def listing(spark, d) -> DataFrame:
