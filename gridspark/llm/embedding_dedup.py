@@ -16,13 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import stored
 from gridspark.llm.components import components
+from gridspark.session import small
 
-#: Vectors of a group, about; groups of a band at most; rows of a tile multiplied at once; pivots, a bounded sample of the vectors.
+#: Vectors of a group, about; full groups of a band, about; rows of a tile multiplied at once; pivots, a bounded sample of the vectors.
 GROUP, BAND, ROWS, PIVOTS = 8192, 4, 512, 16
 #: Parts that the pairs of bands are dealt to tasks by.
 PARTS = 64
@@ -145,10 +146,14 @@ def _groups(distinct: DataFrame, group: int) -> DataFrame:
 
     near = distinct.mapInArrow(nearest, f"rep long, copies long, embedding {kind}, dim int, pivot int")
     near = stored(near)
-    # Rows: pivots times dimensions. A full cell is cut by hash, so no group grows with the table; long vectors have smaller groups.
-    cells = near.groupBy("dim", "pivot").count().select("dim", "pivot", F.ceil(F.col("count") * F.greatest(F.col("dim"), F.lit(64)) / (64 * group)).alias("cuts"))
-    near = near.join(F.broadcast(cells), ["dim", "pivot"]).withColumn("cut", F.pmod(F.xxhash64("rep"), "cuts"))
-    near = near.withColumns({"g": F.xxhash64("dim", "pivot", "cut"), "band": F.xxhash64("dim", "pivot", F.floor(F.col("cut") / BAND))})
+    # Rows: pivots times lengths of vectors. A full cell is cut by hash, so no group grows with the table; long vectors have smaller groups.
+    cells = near.groupBy("dim", "pivot").agg((F.count(F.lit(1)) * F.greatest(F.col("dim"), F.lit(64)) / (64 * group)).alias("fills"))
+    before = F.sum("fills").over(Window.partitionBy("dim").orderBy("pivot")) - F.col("fills")
+    cells = cells.select("dim", "pivot", "fills", F.ceil("fills").alias("cuts"), before.alias("before"))
+    near = near.join(small(cells), ["dim", "pivot"]).withColumn("cut", F.pmod(F.xxhash64("rep"), "cuts"))
+    # Groups in the order of their cells fill bands of BAND groups' size, so that small cells share one.
+    place = F.floor((F.col("before") + (F.col("cut") + 0.5) / F.col("cuts") * F.col("fills")) / BAND)
+    near = near.withColumns({"g": F.xxhash64("dim", "pivot", "cut"), "band": F.xxhash64("dim", place)})
 
     def packed(key, table):
         dim = table.column("dim")[0].as_py()
