@@ -31,14 +31,16 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _PLAIN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-#: Longer pieces are encoded but not kept; so many pieces are kept.
-KEPT_CHARS, KEPT_PIECES = 200, 300_000
+#: Longer pieces are encoded but not kept; so many pieces are kept, and parts of pieces.
+KEPT_CHARS, KEPT_PIECES, KEPT_PARTS = 200, 500_000, 100_000
 
 # The byte-level pattern's classes.
 #: Up to U+024F, where a table of classes is short: what the byte-level pattern calls white space, letters and numbers.
 _S, _L, _N = "\\t-\\r \x85\xa0", "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _LATIN = re.compile("[\0-ɏ]*")
 _LATIN_PRETOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+#: A word and marks after it, which are a part each.
+_LATIN_WORD_MARKS = re.compile(f"([{_L}]+)([!-/:-@\\[-`{{-~]+)").fullmatch
 
 
 def byte_chars() -> list[str]:
@@ -58,14 +60,14 @@ def _pieces(text: str) -> list[str]:
 class _Kept(dict):
     """What make gives for a key; long keys aren't kept, and a full table starts anew."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self._make = make
+        self._make, self._most = make, most
 
     def __missing__(self, key: str) -> bytes:
         value = self._make(key)
         if len(key) <= KEPT_CHARS:
-            if len(self) >= KEPT_PIECES:
+            if len(self) >= self._most:
                 self.clear()
             self[key] = value
         return value
@@ -81,7 +83,7 @@ class Encoder:
     def __init__(self, pretokens: Callable[[str], list[str]], model):
         self._pretokens, self._merge = pretokens, model.tokenize
         self._shown = dict(enumerate(byte_chars()))
-        self._parts, self._after_space = _Kept(self._part), _Kept(self._piece)
+        self._parts, self._after_space = _Kept(self._part, KEPT_PARTS), _Kept(self._piece, KEPT_PIECES)
 
     def _part(self, part: str) -> bytes:
         return self._merged(part.encode().decode("latin-1").translate(self._shown))
@@ -95,6 +97,10 @@ class Encoder:
                 return self._merged("Ġ" + piece)
             if piece[-1:] in {",", "."} and (word := piece[:-1]).isalpha():
                 return self._after_space[word] + self._parts[piece[-1]]
+        elif piece.isalpha() and _LATIN.fullmatch(piece):  # one part as well
+            return self._part(f" {piece}")
+        if m := _LATIN_WORD_MARKS(piece):
+            return self._after_space[m[1]] + self._parts[m[2]]
         return self._text(f" {piece}")
 
     def _text(self, text: str) -> bytes:
