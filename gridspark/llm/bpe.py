@@ -106,6 +106,11 @@ class Encoder:
     def _text(self, text: str) -> bytes:
         return b"".join(map(self._parts.__getitem__, _LATIN_PRETOKENS(text) if _LATIN.fullmatch(text) else self._pretokens(text)))
 
+    def forget(self) -> None:
+        """Gives back the memory of what is kept."""
+        self._parts.clear()
+        self._after_space.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         ids = self._after_space.__getitem__
         cut = map(_pieces, texts)
@@ -117,6 +122,7 @@ class AddedEncoder:
 
     def __init__(self, encoder: Encoder, added: dict[str, int]):
         self._encoder, self._ids = encoder, {x: array("I", [i]).tobytes() for x, i in added.items()}
+        self.forget = encoder.forget
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
 
     def encode(self, texts: list[str]) -> list[bytes]:

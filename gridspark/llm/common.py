@@ -62,16 +62,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Characters of a text that a training sample takes at most.
+SAMPLED_CHARS = 250_000
+
+
 def sampled(df: DataFrame, key: str, text: str, n: int) -> list[str]:
     """Texts of about n distinct rows of key and text, and at most 2 n: those with the smallest hashes of both.
 
-    Rows that repeat count once and rows without a key are drawn like others.
+    Rows that repeat count once and rows without a key are drawn like others. Of a longer text the
+    first SAMPLED_CHARS are taken, so that the driver holds a bounded sample.
     """
     place = F.pmod(F.xxhash64(key, text), F.lit(1 << 30))
     rows = df.where(F.col(text).isNotNull()).select(key, text)
     distinct = rows.select(F.approx_count_distinct(F.xxhash64(key, text))).first()[0]
     share = int((1 << 30) * min(1.0, n / max(distinct, 1)))
-    chosen = rows.where(place < share).groupBy(key, text).agg(F.first(place).alias("place")).orderBy("place", key, text).limit(2 * n).collect()
+    chosen = rows.where(place < share).groupBy(key, text).agg(F.first(place).alias("place")).orderBy("place", key, text).limit(2 * n)
+    chosen = chosen.select(key, F.substring(text, 1, SAMPLED_CHARS).alias(text)).collect()
     return [r[text] for r in sorted(chosen, key=lambda r: (r[key] is None, r[key] or 0, r[text]))]
 
 

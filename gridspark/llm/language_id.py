@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.llm.common import SAMPLED_CHARS
 from gridspark.llm.text_hash import bytes_of, runs
 
 SIZES, BUCKETS_LOG2, DIM = (2, 3, 4), 16, 12
@@ -30,6 +31,8 @@ LANGUAGES = 500
 #: Bounds for a language: this quantile of its kept rows and pieces, if they are so many; the known share
 #: may be lower by MARGIN, as other texts have other words, and a score from SURE on is no reason to reject.
 LOW, ENOUGH, MARGIN, SURE = 0.01, 20, 0.08, 0.9
+#: The known share of a text is raised by SPREAD over the root of its number of subwords before it is compared, as that of short texts varies.
+SPREAD = 1.0
 _BORDER = np.uint8(32)
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[65:91] = np.arange(97, 123)
@@ -78,8 +81,8 @@ class Model:
     least_known: np.ndarray
     temperature: float = 1.0
 
-    def averages(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Average scores and share of known subwords of each text of a run."""
+    def averages(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Average scores and share of known subwords of each text of a run, and its number of subwords."""
         sums = np.zeros((len(offsets) - 1, self.scores.shape[1]), np.float64)
         total = np.zeros(len(offsets) - 1)
         for buckets, first in subwords(data, offsets):
@@ -88,7 +91,7 @@ class Model:
             if len(full):
                 sums[full] += np.add.reduceat(self.scores[buckets], first[full], axis=0)
             total += counts
-        return sums / np.maximum(total, 1)[:, None]
+        return sums / np.maximum(total, 1)[:, None], total
 
     def probabilities(self, averages: np.ndarray) -> np.ndarray:
         z = (averages[:, :-1] + self.bias) / self.temperature
@@ -96,6 +99,11 @@ class Model:
         return z / z.sum(axis=1, keepdims=True)
 
 
+def _tolerance(total: np.ndarray) -> np.ndarray:
+    """By how much the known share of a text of so many subwords can be off by chance."""
+    return SPREAD / np.sqrt(np.maximum(total, 1))
+
+
 def _pack_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
 
@@ -148,7 +156,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
     scores = np.concatenate([table @ weights, seen[:, None]], axis=1).astype(np.float32)
     model = Model(languages, scores, bias.astype(np.float64), least_score=np.full(len(languages), min(1.2 / len(languages), 0.5)), least_known=np.zeros(len(languages)))
     check = np.flatnonzero(kept) if kept.any() else np.arange(len(texts))
-    averages = model.averages(*_pack_texts([whole[i] for i in check]))
+    averages, _ = model.averages(*_pack_texts([whole[i] for i in check]))
     temperatures = np.geomspace(0.05, 20, 60)
     losses = []
     for t in temperatures:
@@ -164,8 +172,8 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
             pieces.append((b" ".join(words[a : a + int(rng.integers(5, 30))]), y[i]))
     rows = [(text, label) for text, label in [*((whole[i], y[i]) for i in check), *pieces] if len(text) >= 20]
     if rows:
-        averages, label = model.averages(*_pack_texts([x for x, _ in rows])), np.array([x for _, x in rows])
-        score, known = model.probabilities(averages).max(axis=1), averages[:, -1]
+        (averages, total), label = model.averages(*_pack_texts([x for x, _ in rows])), np.array([x for _, x in rows])
+        score, known = model.probabilities(averages).max(axis=1), averages[:, -1] + _tolerance(total)
         for k in range(len(languages)):
             own = label == k
             enough = kept.any() and own.sum() >= ENOUGH
@@ -185,7 +193,8 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = L
 
     The rows are those with the smallest hashes of id and text: a share of each language by its
     count over all documents; rows that repeat count once. At most twice as many rows in all are
-    taken, and the languages with most rows, so many at most.
+    taken, and the languages with most rows, so many at most. Of a longer text the first SAMPLED_CHARS
+    are taken.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     labelled = labelled.select("doc_id", "lang", "text")
@@ -193,9 +202,11 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = L
     if not counts:
         return [], []
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    shares = docs.sparkSession.createDataFrame([(r["lang"], int((1 << 30) * min(1.0, per_language / r["count"]))) for r in counts], "lang string, share long")
+    each = [F.struct(F.lit(r["lang"]).alias("lang"), F.lit(int((1 << 30) * min(1.0, per_language / r["count"]))).alias("share")) for r in counts]
+    shares = docs.sparkSession.range(1).select(F.inline(F.array(*each)))
     chosen = labelled.join(F.broadcast(shares), "lang").where(place < F.col("share")).dropDuplicates(["doc_id", "lang", "text"])
-    rows = chosen.orderBy(place, "doc_id", "lang", "text").limit(2 * per_language * len(counts)).select("doc_id", "lang", "text").collect()
+    chosen = chosen.orderBy(place, "doc_id", "lang", "text").limit(2 * per_language * len(counts))
+    rows = chosen.select("doc_id", "lang", F.substring("text", 1, SAMPLED_CHARS).alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
@@ -206,7 +217,7 @@ def predict(model: Model, texts: pa.Array) -> dict[str, pa.Array]:
     out: dict[str, list] = {"lang_pred": [], "score": [], "known": [], "rejected": []}
     for a, b in runs(offsets):
         own = offsets[a : b + 1]
-        averages, letters = model.averages(data, own), _has_letter(data, own)
+        (averages, total), letters = model.averages(data, own), _has_letter(data, own)
         pred, score, known = np.full(b - a, "und", object), np.zeros(b - a), averages[:, -1]
         rejected = ~letters
         if model.languages:
@@ -214,7 +225,7 @@ def predict(model: Model, texts: pa.Array) -> dict[str, pa.Array]:
             best = p.argmax(axis=1)
             pred = np.where(letters, np.array(model.languages, object)[best], "und")
             score = np.where(letters, p[np.arange(b - a), best], 0.0)
-            rejected |= (score < model.least_score[best]) | (known < model.least_known[best])
+            rejected |= (score < model.least_score[best]) | (known + _tolerance(total) < model.least_known[best])
         rejected |= pred == "und"
         for column, x in zip(out.values(), (pred, score, known, rejected)):
             column.append(x)

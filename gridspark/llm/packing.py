@@ -82,13 +82,15 @@ class _Bins:
         self.open = {}
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, least: int = 128, added: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, least: int = 128, added: bool = False, forget: bool = False) -> DataFrame:
     """Encodes every whole text, appends end_id, and packs all documents' ids.
 
     One row a piece: doc_id, start (its document's ids before it), length, ids_crc32,
     doc_tokens, sequence_id and offset there. Null and empty texts have end_id alone. Rows are
     documents, whatever their doc_id: repeated or null doc_ids are packed once a row. An empty
     table has no pieces. Other columns are not read. capacity: a power of two; least: from 2 to it.
+    forget: tasks give back the pieces of text that they keep encoded, where a job's other stages
+    need the memory; else a worker's next task finds them.
     """
     if capacity < 2 or capacity & (capacity - 1) or not 2 <= least <= capacity:
         raise ValueError("capacity has to be a power of two, least from 2 to capacity")
@@ -113,6 +115,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, en
                     start += size
             yield out()
         bins.close()
+        if forget:
+            encoder.forget()
         yield out()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECE)

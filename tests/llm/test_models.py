@@ -292,6 +292,12 @@ def test_language_scores_against_brute_force():
             assert name == "und"
 
 
+def test_samples_take_a_bounded_part_of_a_text(spark):
+    docs = spark.createDataFrame([(1, "ab " * 400_000, "en", ""), (None, None, None, "")], DOCS)
+    assert [len(x) for x in secret_scan.sample(docs, 5)] == [250_000]
+    assert [len(x) for x in language_id.sample(spark.createDataFrame([(i, "ab " * 400_000, "en", "") for i in range(3)], DOCS))[0]] in ([250_000] * 3, [250_000] * 2)
+
+
 def test_language_sample_is_bounded(spark):
     rows = [(7, "the same text", "en", "")] * 3000 + [(i, f"text {i}", f"l{i % 40}", "") for i in range(2000)]
     texts, labels = language_id.sample(spark.createDataFrame(rows, DOCS), per_language=10, languages=5)
