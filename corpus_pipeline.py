@@ -51,7 +51,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 @as_job
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
-    return packing.pack(docs, added=True)
+    return packing.pack(docs, added=True, forget=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
