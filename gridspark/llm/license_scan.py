@@ -149,8 +149,9 @@ def fit(ordinary: list[str], seed: int = 4) -> Model:
     vocabulary = [w for x in ordinary[:500] for w in x.split()[:50]] or "the of and to in a".split()
     lines, labels = [], []
 
+    say = lambda n, least=0: " ".join(vocabulary[i] for i in rng.integers(0, len(vocabulary), int(rng.integers(least, n))))
+
     def vary(text: str) -> str:
-        say = lambda n: " ".join(vocabulary[i] for i in rng.integers(0, len(vocabulary), int(rng.integers(0, n))))
         text = text if rng.random() < 0.7 else text.lower() if rng.random() < 0.5 else text.upper()
         before = ("", "", f"{say(6)} ", f"Copyright (c) {int(rng.integers(1990, 2026))} {say(4)}. ", "# ", " * ", "// ")[int(rng.integers(0, 7))]
         return f"{before}{text}{('', '.', f'. {say(10)}', f' {say(6)}')[int(rng.integers(0, 4))]}"
@@ -164,6 +165,9 @@ def fit(ordinary: list[str], seed: int = 4) -> Model:
         labels.append(1)
         lines.append(vary(ORDINARY[int(rng.integers(0, len(ORDINARY)))]))
         labels.append(0)
+    for _ in range(600):  # what stands around notices is none by itself
+        lines.append(say(12, 1))
+        labels.append(0)
     for x in ordinary:
         if not re.search(r"licen[cs]|copyright|permission|redistribut|\bCC[ -]?(BY|0)", x, re.I):
             lines.append(x)
