@@ -17,10 +17,10 @@ def filled(cells: str, size: Column, absent: Column | None = None) -> Column:
     of = F.col(cells)
 
     def run(x: Column, i: Column) -> Column:
-        before = x["k"] - F.coalesce(F.get(of["k"], i - 1), F.lit(-1)) - 1
+        before = x["k"] - F.coalesce(F.get(of, i - 1)["k"], F.lit(-1)) - 1
         return F.when(before >= 0, F.concat(F.array_repeat(absent, before), F.array(x["v"]))).otherwise(F.raise_error(F.lit("two rows of one cell")))
 
-    rest = size - 1 - F.coalesce(F.get(of["k"], F.size(of) - 1), F.lit(-1))
+    rest = size - 1 - F.coalesce(F.get(of, F.size(of) - 1)["k"], F.lit(-1))
     return F.concat(F.flatten(F.transform(of, run)), F.array_repeat(absent, rest))
 
 
