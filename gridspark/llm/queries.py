@@ -6,18 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, license_scan, ngram_jaccard, packing, secret_scan, token_blocks
+from gridspark.llm import bpe, centroids, embedding_dedup, exact_dedup, filter_audit, html_text, language_id, license_scan, ngram_jaccard, packing, secret_scan, token_blocks, word_bpe
 from gridspark.llm.common import configure, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def query(name: str, operator: Callable[..., DataFrame], **parameters) -> Query:
-    """The operator over a whole table, in a session with the settings of a large job."""
+def query(names: str, operator: Callable[..., DataFrame], **parameters) -> Query:
+    """The operator over whole tables, in a session with the settings of a large job."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
-        return operator(table(spark, sf_dir, name), **parameters)
+        return operator(*(table(spark, sf_dir, name) for name in names.split()), **parameters)
 
     return run
 
@@ -33,6 +33,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": query("documents", packing.pack, added=True),
     "op9_language_id": query("documents", language_id.identify),
     "op10_secret_scan": query("documents", secret_scan.find_secrets),
+    "op11_centroids": query("embeddings", centroids.cluster_vectors),
+    "op12_word_bpe": query("documents", word_bpe.encode_decode_words),
+    "op13_filter_audit": query("documents labels", filter_audit.audit),
 }
 
 #: Every pair of sets that share an n-gram, and recursion to the smallest doc_id.
@@ -68,4 +71,6 @@ ORACLES: dict[str, str] = {
     "op3_ngram_jaccard": NGRAM_JACCARD,
     "op4_embedding_dedup": EMBEDDING_DEDUP,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op11_centroids": centroids.oracle(),
+    "op13_filter_audit": filter_audit.ORACLE,
 }
