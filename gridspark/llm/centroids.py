@@ -22,7 +22,8 @@ from gridspark.llm.common import stored
 PLAIN = 1 << 27
 #: Bits of the parts in which larger integers are summed.
 PART_BITS = 32
-_LONGS = range(-(1 << 63), 1 << 63)
+#: The first integer that a long can't hold.
+BEYOND = 1 << 63
 SCHEMA = "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string"
 
 
@@ -105,7 +106,7 @@ def _sums(vectors: DataFrame, centroids: list[list[int]], scale: int) -> DataFra
 def next_centroids(vectors: DataFrame, centroids: list[list[int]], scale: int) -> list[list[int]]:
     """Each centroid's vectors' componentwise floor(sum / count); one without vectors stays. k rows a part come to the driver."""
     size = len(centroids[0])
-    wide = [F.sum(F.col("sums")[i].cast("decimal(20,0)")).alias(f"s{i}") for i in range(size)]
+    wide = [F.expr(f"sum(CAST(sums[{i}] AS decimal(20,0))) AS s{i}") for i in range(size)]
     n, total = [0] * len(centroids), [[0] * size for _ in centroids]
     for row in _sums(vectors, centroids, scale).groupBy("cluster", "part").agg(F.sum("n").alias("n"), *wide).collect():
         n[row["cluster"]] += row["n"]
@@ -124,7 +125,7 @@ def _assigned(vectors: DataFrame, centroids: list[list[int]], scale: int) -> Dat
             for at, x in integers(batch.column("embedding"), size, scale):
                 cluster[at] = won = bisectors.nearest(x)
                 distance[at] = bisectors.distances(x, won)
-            held = pa.array([int(d) if d in _LONGS else None for d in distance.tolist()], pa.int64())
+            held = pa.array([int(d) if d < BEYOND else None for d in distance.tolist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(cluster), held], ["vec_id", "cluster", "distance"])
 
     return vectors.mapInArrow(run, "vec_id long, cluster int, distance long")
@@ -160,7 +161,7 @@ def cluster_vectors(vectors: DataFrame, k: int = 16, rounds: int = 3, size: int
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
 
     def long(value: int | None) -> Column:
-        return F.lit(value if value in _LONGS else None).cast("long")
+        return F.lit(None if value is None or value >= BEYOND else value).cast("long")
 
     def by_cluster(values: list[Column]) -> Column:
         return F.array(*values)[F.col("cluster")]

@@ -28,12 +28,14 @@ RANGE_DOCS = 1 << 16
 
 def failures(text: Column) -> Column:
     """Bits of the filters A to D that a text fails: few words, repetition, capitals, symbols."""
-    words = F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
-    n = F.struct(F.size(words).alias("words"), F.size(F.array_distinct(words)).alias("distinct"))
+    white = " \t\n\x0b\f\r"
+    inner = F.btrim(text, F.lit(white))  # so that no word is empty, but for a text without words
+    words, blank = F.split(inner, f"[{white}]+"), inner == ""
+    n, distinct = F.size(words), F.size(F.array_distinct(words))
     capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
-    fails = lambda said: [said["words"] < 200, 100 * said["distinct"] < 50 * said["words"], 100 * capitals > 2 * F.length(text), text.rlike("[#$%&*|]")]
-    # Words are split once: an array of one element, transformed, is a let.
-    return F.transform(F.array(n), lambda said: sum((F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(fails(said))), F.lit(0)))[0]
+    fails = [blank | (n < 200), ~blank & (100 * distinct < 50 * n), 100 * capitals > 2 * F.length(text), text.rlike("[#$%&*|]")]
+    # Sums of bits, not conditions, so that a text is split once.
+    return sum((F.shiftleft(fail.cast("int"), i) for i, fail in enumerate(fails)), F.lit(0))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -138,19 +140,29 @@ def sizes(lists: DataFrame) -> DataFrame:
             yield row(part, n, sums)
 
     found = lists.select("part", "n", "lists").mapInArrow(run, "part string, n long, sizes array<long>")
-    summed = found.groupBy("part").agg(F.sum("n").alias("n"), *(F.sum(F.col("sizes")[i]).alias(f"s{i}") for i in range(3 * _UNIONS)))
-    return summed.select("part", "n", F.array(*(f"s{i}" for i in range(3 * _UNIONS))).alias("sizes"))
+    places = range(3 * _UNIONS)
+    summed = found.groupBy("part").agg(F.sum("n").alias("n"), *(F.expr(f"sum(sizes[{i}]) AS s{i}") for i in places))
+    return summed.select("part", "n", F.expr(f"array({', '.join(f's{i}' for i in places)}) AS sizes"))
 
 
-def _steps() -> list[tuple[str, int, int, int, int]]:
-    """Of every order's steps: order, step, filter, bits of the filters before it, bits with it."""
+def _steps() -> str:
+    """Of every order's steps, as an array: ord, step, filter (0-4), bits of the filters before it, bits with it."""
     out = []
     for order in permutations(range(len(LETTERS))):
         before = 0
         for i, f in enumerate(order):
-            out.append(("".join(LETTERS[x] for x in order), i + 1, f, before, before | 1 << f))
+            out.append(f"named_struct('ord', '{''.join(LETTERS[x] for x in order)}', 'step', {i + 1}, 'f', {f}, 'a', {before}, 'b', {before | 1 << f})")
             before |= 1 << f
-    return out
+    return f"array({', '.join(out)})"
+
+
+def _shapley(f: int) -> str:
+    """What filter f removes, summed over all orders: by the set before it, as many orders as arrange that set and the rest."""
+    terms = []
+    for s in (s for s in range(_UNIONS) if not s >> f & 1):
+        orders = factorial(s.bit_count()) * factorial(len(LETTERS) - 1 - s.bit_count())
+        terms.append(f"{orders} * (sizes[{s | 1 << f}] - sizes[{s}])")
+    return " + ".join(terms)
 
 
 def audit(docs: DataFrame, labels: DataFrame, range_docs: int = RANGE_DOCS) -> DataFrame:
@@ -164,30 +176,20 @@ def audit(docs: DataFrame, labels: DataFrame, range_docs: int = RANGE_DOCS) -> D
     beyond doc_id, text, source, quality and toxic, are not read.
     """
     found = sizes(postings(judged(docs, labels), range_docs))
-    steps = F.array(*(F.struct(F.lit(o).alias("order"), F.lit(s).alias("step"), F.lit(f).alias("f"), F.lit(a).alias("a"), F.lit(b).alias("b")) for o, s, f, a, b in _steps()))
-    u = lambda i: F.col("sizes")[i]
-
-    def shapley(f: int) -> Column:
-        rest = [s for s in range(_UNIONS) if not s >> f & 1]
-        weight = lambda s: factorial(s.bit_count()) * factorial(len(LETTERS) - 1 - s.bit_count())
-        return sum(((u(s | 1 << f) - u(s)) * weight(s) for s in rest), F.lit(0))
-
-    shares = F.array(*(shapley(f) for f in range(len(LETTERS))))
-    rows = found.select("part", "n", "sizes", shares.alias("shares"), F.explode(steps).alias("at"))
-    at, bit = F.col("at"), F.call_function("shiftleft", F.lit(1), F.col("at.f"))
-    removed = u(at["b"]) - u(at["a"])
-    return rows.select(
-        "part",
-        at["order"].alias("filter_order"),
-        at["step"].alias("step"),
-        (F.col("n") - u(at["b"])).alias("kept"),
-        removed.alias("removed"),
-        (u(bit) - removed).alias("redundant"),
-        (u(ALL) - u(F.lit(ALL) - bit)).alias("unique_fails"),
-        (u(at["b"] + _UNIONS) - u(at["a"] + _UNIONS)).alias("good_lost"),
-        (u(at["b"] + 2 * _UNIONS) - u(at["a"] + 2 * _UNIONS)).alias("toxic_lost"),
-        F.col("shares")[at["f"]].alias("shapley"),
-    )
+    shares = F.expr(f"array({', '.join(map(_shapley, range(len(LETTERS))))})")
+    rows = found.select("part", "n", "sizes", shares.alias("shares"), F.explode(F.expr(_steps())).alias("at"))
+    said = {
+        "filter_order": "at.ord",
+        "step": "at.step",
+        "kept": "n - sizes[at.b]",
+        "removed": "sizes[at.b] - sizes[at.a]",
+        "redundant": "sizes[shiftleft(1, at.f)] - (sizes[at.b] - sizes[at.a])",
+        "unique_fails": f"sizes[{ALL}] - sizes[{ALL} - shiftleft(1, at.f)]",
+        "good_lost": f"sizes[{_UNIONS} + at.b] - sizes[{_UNIONS} + at.a]",
+        "toxic_lost": f"sizes[{2 * _UNIONS} + at.b] - sizes[{2 * _UNIONS} + at.a]",
+        "shapley": "shares[at.f]",
+    }
+    return rows.select("part", *(F.expr(e).alias(name) for name, e in said.items()))
 
 
 ORACLE = r"""

@@ -1,7 +1,7 @@
 """BPE with word ends by a table of distinct words: each word of the corpus is encoded once.
 
-Texts are split at white space, where the tokenizer drops it, so a text's ids are its words' ids in
-turn. Documents are numbered off in blocks: a block holds the words that its documents have, each
+Texts are split at white space, which the tokenizer drops, and before marks, so a text's ids are its
+words' ids in turn. Documents are numbered off in blocks: a block holds the words that its documents have, each
 once, and the documents as numbers of words. The words of all blocks are made distinct, encoded,
 decoded by a join of their ids with the vocabulary's pieces, and joined back to the blocks by word;
 in a block, ids are then put in the words' positions. What is shuffled is a block's words and its
@@ -29,8 +29,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A block ends after the batch that brings it to so many bytes of text or distinct words.
 BLOCK_BYTES, BLOCK_WORDS = 8 << 20, 1 << 16
-#: White space that parts words here; the tokenizer drops all of it, and other white space within a word as well.
-SPACE = r"[ \t\n\x0B\f\r]+"
+#: Where texts are split: at white space, all of which the tokenizer drops (other white space within a word as well), and
+#: between an ASCII letter and a mark that neither a contraction nor an added token begins with, where its pattern always
+#: ends a part and normalisation joins nothing.
+SPLIT = r"[ \t\n\x0B\f\r]+|(?<=[A-Za-z])(?=[,.;:!?)\]\"])"
 
 
 @lru_cache(maxsize=2)
@@ -148,7 +150,7 @@ def encode_decode_words(docs: DataFrame, vocabulary: str | None = None, with_ids
     often its documents say it.
     """
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
-    words = F.split(F.coalesce(docs["text"].cast("string"), F.lit("")), SPACE)
+    words = F.split(F.coalesce(docs["text"].cast("string"), F.lit("")), SPLIT)
     numbered = stored(_numbered(docs.select(docs["doc_id"].cast("long").alias("doc_id"), words.alias("words")), block_bytes, block_words))
     uses = numbered.where("words is not null").select("block", "first", F.posexplode("words").alias("place", "word"))
     uses = uses.select("block", (F.col("first") + F.col("place")).alias("number"), "word")
