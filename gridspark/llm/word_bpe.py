@@ -1,11 +1,12 @@
 """BPE with word ends by a table of distinct words: each word of the corpus is encoded once.
 
 Texts are split at white space, which the tokenizer drops, and before marks, so a text's ids are its
-words' ids in turn. Documents are numbered off in blocks: a block holds the words that its documents have, each
-once, and the documents as numbers of words. The words of all blocks are made distinct, encoded,
-decoded by a join of their ids with the vocabulary's pieces, and joined back to the blocks by word;
-in a block, ids are then put in the words' positions. What is shuffled is a block's words and its
-documents' numbers, never a row for each word of each text.
+words' ids in turn. Documents are numbered off in blocks: a block holds the words that its documents
+have, each once, and the documents as numbers of these. Blocks deal their words to buckets by hash; a
+bucket's task holds the table of its distinct words, encodes each once, and joins the ids back to the
+blocks. In a block ids are put in the words' positions, and ids are decoded by a join with the
+vocabulary's pieces. What is shuffled is a block's words, their ids and its documents' numbers, all
+compressed, never a row for each word of each text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,11 +22,9 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import slices, stored
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A block ends after the batch that brings it to so many bytes of text or distinct words.
@@ -51,89 +51,144 @@ def word_encoder(path: str):
     return made
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The vocabulary as a table: id and piece; its size is the file's."""
+@lru_cache(maxsize=2)
+def pieces(path: str) -> list[str]:
+    """The table of the vocabulary's pieces by id, added tokens too; its size is the file's."""
     vocabulary = word_encoder(path).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(pa.table({"id": pa.array(list(vocabulary.values()), pa.int32()), "piece": pa.array(list(vocabulary))}))
+    table = [""] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        table[i] = piece
+    return table
 
 
-def _numbered(words: DataFrame, block_bytes: int, block_words: int) -> DataFrame:
-    """Documents as numbers of words, and each block's words: rows (block, doc_id, wide, codes) and rows (block, first, words).
+def _numbers(values: np.ndarray) -> bytes:
+    """Unsigned integers of 2 or 4 bytes, as the first byte says, the low bytes of all before the next ones, compressed."""
+    kind = "<u4" if values.max(initial=0) >= 1 << 16 else "<u2"
+    wide = np.dtype(kind).itemsize
+    return bytes([wide]) + zlib.compress(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, wide).T).tobytes(), 1)
+
+
+def _read_numbers(data: bytes) -> np.ndarray:
+    wide, planes = data[0], np.frombuffer(zlib.decompress(data[1:]), np.uint8)
+    return np.ascontiguousarray(planes.reshape(wide, -1).T).view(f"<u{wide}").ravel()
+
+
+def _joined(words: list[str]) -> bytes:
+    """Words hold no line feed, as texts are split there."""
+    return zlib.compress("\n".join(words).encode(), 1)
+
+
+def _split(data: bytes) -> list[str]:
+    text = zlib.decompress(data).decode()
+    return text.split("\n") if text else []
+
+
+def _dealt(words: list[str], buckets: int) -> dict[int, list[int]]:
+    """Numbers of words by bucket, a hash of the word."""
+    out: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        out.setdefault(zlib.crc32(word.encode()) % buckets, []).append(i)
+    return out
 
-    wide: are the numbers of 4 bytes each, or of 2. first: the number of the first of the row's words.
-    """
+
+BLOCKS = "block long, doc_ids array<long>, counts binary, codes binary, words binary"
+
+
+def _numbered(words: DataFrame, block_bytes: int, block_words: int) -> DataFrame:
+    """Rows of documents (doc_ids, how many words each has, the words' numbers) and at the end of each block a row of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(*values) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, kinds)], ["block", "doc_ids", "counts", "codes", "words"])
+
         block, known, size = TaskContext.get().partitionId() << 32, {}, 0
         for batch in batches:
-            if size >= block_bytes or len(known) >= block_words:
-                block, known, size = block + 1, {}, 0
             lists = batch.column("words")
             found, begins = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-            coded, first = found.dictionary_encode(), len(known)
+            coded = found.dictionary_encode()
             place = np.array([known.setdefault(w, len(known)) if w else -1 for w in coded.dictionary.to_pylist()] or [0], np.int64)
             codes = place[coded.indices.to_numpy(zero_copy_only=False)]
-            wide = len(known) > 1 << 16
-            kept = codes >= 0
-            ends = np.concatenate([[0], np.cumsum(kept)])[begins]
-            data = codes[kept].astype("<u4" if wide else "<u2").tobytes()
-            step = 4 if wide else 2
-            docs = [data[step * a : step * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            n, new = len(batch), list(known)[first:] if len(known) > first else None
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * (n + 1), pa.int64()), pa.concat_arrays([batch.column("doc_id"), pa.nulls(1, pa.int64())]), pa.array([*[wide] * n, None], pa.bool_()), pa.array([*docs, None], pa.binary()), pa.array([*[None] * n, first], pa.int32()), pa.array([*[None] * n, new], pa.list_(pa.string()))],
-                ["block", "doc_id", "wide", "codes", "first", "words"],
-            )
+            counts = np.diff(np.concatenate([[0], np.cumsum(codes >= 0)])[begins])
+            yield row(block, batch.column("doc_id").to_pylist(), _numbers(counts), _numbers(codes[codes >= 0]), None)
             size += found.nbytes
+            if size >= block_bytes or len(known) >= block_words:
+                yield row(block, None, None, None, _joined(list(known)))
+                block, known, size = block + 1, {}, 0
+        if size:
+            yield row(block, None, None, None, _joined(list(known)))
 
-    return words.mapInArrow(run, "block long, doc_id long, wide boolean, codes binary, first int, words array<string>")
+    return words.mapInArrow(run, BLOCKS)
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """The distinct ones of a column `word` with their ids, in order, and the text that the ids decode to: word, ids, decoded."""
+def _bucketed(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The blocks' words by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
-        for batch in (part for whole in batches for part in slices(whole, "word")):
-            ids = [x.ids for x in encoder.encode_batch(batch.column("word").to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
+        for batch in batches:
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist()):
+                words = _split(data) if data else []
+                rows = [(bucket, block, _joined([words[i] for i in at])) for bucket, at in _dealt(words, buckets).items()]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], ["bucket", "block", "words"])
 
-    encoded = words.select("word").distinct().mapInArrow(run, "word string, ids array<int>")
-    each = encoded.select("word", F.posexplode("ids").alias("place", "id")).join(F.broadcast(pieces(words.sparkSession, path)), "id")
-    said = each.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("place", "id", "piece"))).alias("said"))
-    return said.select("word", F.col("said.id").alias("ids"), F.concat_ws(" ", "said.piece").alias("decoded"))
+    return blocks.mapInArrow(run, "bucket int, block long, words binary")
 
 
-def _positioned(rows: DataFrame, with_ids: bool) -> DataFrame:
-    """Documents' ids and texts from rows that are sorted by block, a block's words (number, ids, decoded) before its documents."""
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
+def _encoded(bucketed: DataFrame, path: str) -> DataFrame:
+    """For each block and bucket the ids of its words: how many each has, the ids, and a checksum of the words. Rows come sorted by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids, texts = None, {}, {}
+        encoder, bucket, table = word_encoder(path), None, {}
         for batch in batches:
-            out = [[] for _ in range(6)]
-            doc_ids, n_words = batch.column("doc_id"), 0
-            columns = (batch.column(c).to_pylist() for c in ("block", "number", "ids", "decoded", "wide", "codes"))
-            kept = []
-            for i, (b, number, word_ids, text, wide, codes) in enumerate(zip(*columns)):
-                if b != block:
-                    block, ids, texts = b, {}, {}
-                if codes is None:
-                    ids[number], texts[number], n_words = np.array(word_ids, "<u4").tobytes(), text, n_words + 1
-                    continue
-                # A word that has no ids has no row: it says nothing.
-                words = [w for w in np.frombuffer(codes, "<u4" if wide else "<u2").tolist() if w in ids]
-                all_ids, decoded = b"".join(map(ids.__getitem__, words)), " ".join(map(texts.__getitem__, words))
-                kept.append(i)
-                for x, value in zip(out, (len(all_ids) // 4, hashlib.sha256(all_ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), np.frombuffer(all_ids, "<i4") if with_ids else None, decoded if with_ids else None)):
+            for own, block, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "words"))):
+                if own != bucket:
+                    bucket, table = own, {}
+                words = _split(data)
+                new = [w for w in words if w not in table]
+                table |= {w: np.array(x.ids, np.uint32) for w, x in zip(new, encoder.encode_batch(new, add_special_tokens=False))}
+                ids = [table[w] for w in words]
+                values = (block, own, _numbers(np.array([len(x) for x in ids])), _numbers(np.concatenate(ids)), zlib.crc32("\n".join(words).encode()))
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))], ["block", "bucket", "counts", "ids", "checksum"])
+
+    return bucketed.mapInArrow(run, "block long, bucket int, counts binary, ids binary, checksum long")
+
+
+def _cut(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    return np.split(values, np.cumsum(counts[:-1])) if len(counts) else []
+
+
+def _positioned(blocks: DataFrame, encoded: DataFrame, path: str, buckets: int, with_ids: bool) -> DataFrame:
+    """Documents' ids in the positions of their words, and what the ids decode to; a group is a block."""
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        table = pieces(path)
+        words = next(_split(x) for x in rows.column("words").to_pylist() if x is not None)
+        at, ids, texts = _dealt(words, buckets), [b""] * len(words), [None] * len(words)
+        for bucket, counts, own, checksum in zip(*(found.column(c).to_pylist() for c in ("bucket", "counts", "ids", "checksum"))):
+            numbers = at.pop(bucket, [])
+            if zlib.crc32("\n".join(words[i] for i in numbers).encode()) != checksum:
+                raise ValueError("the documents were read in another order the second time; give a written table")
+            for i, x in zip(numbers, _cut(_read_numbers(own), _read_numbers(counts))):
+                if len(x):  # a word without ids says nothing
+                    ids[i], texts[i] = x.astype("<u4").tobytes(), " ".join(map(table.__getitem__, x.tolist()))
+        if at:
+            raise ValueError("words of a block are missing")
+        out: list[list] = [[] for _ in range(6 if with_ids else 4)]
+        for doc_ids, counts, codes in zip(*(rows.column(c).to_pylist() for c in ("doc_ids", "counts", "codes"))):
+            if codes is None:
+                continue
+            for doc_id, numbers in zip(doc_ids, _cut(_read_numbers(codes), _read_numbers(counts))):
+                numbers = numbers.tolist()
+                all_ids, decoded = b"".join(map(ids.__getitem__, numbers)), " ".join(filter(None, map(texts.__getitem__, numbers)))
+                values = (doc_id, len(all_ids) // 4, hashlib.sha256(all_ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+                for x, value in zip(out, (*values, np.frombuffer(all_ids, "<i4"), decoded) if with_ids else values):
                     x.append(value)
-            arrays = [doc_ids.take(pa.array(kept, pa.int64())), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                arrays, names = [*arrays, pa.array(out[3], pa.list_(pa.int32())), pa.array(out[4], pa.string())], [*names, "ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string())
+        return pa.table([pa.array(x, t) for x, t in zip(out, kinds)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(out)])
 
-    return rows.mapInArrow(run, schema)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
+    return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(run, schema)
 
 
 def encode_decode_words(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False, block_bytes: int = BLOCK_BYTES, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -145,18 +200,14 @@ def encode_decode_words(docs: DataFrame, vocabulary: str | None = None, with_ids
     rows and null doc_ids stay, one result a row; other columns are not read; an empty table gives
     no rows.
 
-    The numbered documents are written once to the shared folder, as blocks are made as batches
-    come and have to be the same wherever they are read. A word is joined once a block, however
-    often its documents say it.
+    Blocks are shuffled once and read from there twice. They are made as batches come, so docs has to
+    give the same rows in the same order if a lost task is run again, as tables do; a checksum of
+    each block's words ends the job where it doesn't. A task holds one block, and the distinct words
+    of one bucket, of which there are eight times spark.sql.shuffle.partitions.
     """
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
+    buckets = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = F.split(F.coalesce(docs["text"].cast("string"), F.lit("")), SPLIT)
-    numbered = stored(_numbered(docs.select(docs["doc_id"].cast("long").alias("doc_id"), words.alias("words")), block_bytes, block_words))
-    uses = numbered.where("words is not null").select("block", "first", F.posexplode("words").alias("place", "word"))
-    uses = uses.select("block", (F.col("first") + F.col("place")).alias("number"), "word")
-    none = {"number": "int", "ids": "array<int>", "decoded": "string", "doc_id": "long", "wide": "boolean", "codes": "binary"}
-    shaped = lambda df: df.select("block", *(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in none.items()))
-    said = shaped(uses.join(encode_words(uses, vocabulary), "word").drop("word"))
-    documents = shaped(numbered.where("codes is not null").select("block", "doc_id", "wide", "codes"))
-    rows = said.union(documents).repartition("block").sortWithinPartitions("block", F.col("codes").isNotNull())
-    return _positioned(rows, with_ids)
+    blocks = _numbered(docs.select(docs["doc_id"].cast("long").alias("doc_id"), words.alias("words")), block_bytes, block_words).repartition("block")
+    bucketed = _bucketed(blocks, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    return _positioned(blocks, _encoded(bucketed, vocabulary), vocabulary, buckets, with_ids)
