@@ -24,11 +24,12 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A block ends after the batch that brings it to so many bytes of text or distinct words.
-BLOCK_BYTES, BLOCK_WORDS = 8 << 20, 1 << 16
+BLOCK_BYTES, BLOCK_WORDS = 16 << 20, 1 << 17
 #: Where texts are split: at white space, all of which the tokenizer drops (other white space within a word as well), and
 #: between an ASCII letter and a mark that neither a contraction nor an added token begins with, where its pattern always
 #: ends a part and normalisation joins nothing.
@@ -65,21 +66,21 @@ def _numbers(values: np.ndarray) -> bytes:
     """Unsigned integers of 2 or 4 bytes, as the first byte says, the low bytes of all before the next ones, compressed."""
     kind = "<u4" if values.max(initial=0) >= 1 << 16 else "<u2"
     wide = np.dtype(kind).itemsize
-    return bytes([wide]) + zlib.compress(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, wide).T).tobytes(), 1)
+    return bytes([wide]) + ZstdCompressor(level=5).compress(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, wide).T).tobytes())
 
 
 def _read_numbers(data: bytes) -> np.ndarray:
-    wide, planes = data[0], np.frombuffer(zlib.decompress(data[1:]), np.uint8)
+    wide, planes = data[0], np.frombuffer(ZstdDecompressor().decompress(data[1:]), np.uint8)
     return np.ascontiguousarray(planes.reshape(wide, -1).T).view(f"<u{wide}").ravel()
 
 
 def _joined(words: list[str]) -> bytes:
     """Words hold no line feed, as texts are split there."""
-    return zlib.compress("\n".join(words).encode(), 1)
+    return ZstdCompressor(level=5).compress("\n".join(words).encode())
 
 
 def _split(data: bytes) -> list[str]:
-    text = zlib.decompress(data).decode()
+    text = ZstdDecompressor().decompress(data).decode()
     return text.split("\n") if text else []
 
 
