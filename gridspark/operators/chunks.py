@@ -42,6 +42,38 @@ def pack_chunks(obs: DataFrame, sizes: tuple[int | Column, int | Column, int | C
     return chunks.withColumn("values", filled("_cells", F.col("t_len") * F.col("y_len") * F.col("x_len"), F.lit(None).cast(kind))).drop("_cells")
 
 
+def changed_chunks(stored: DataFrame, new: DataFrame, sizes: tuple[int, int, int], shape: tuple[int, int, int], keys: tuple[str, ...] = ("dataset",)) -> DataFrame:
+    """The chunks that new cells change or begin, and those that the grown time axis lengthens, as they are afterwards.
+
+    stored: of pack_chunks; new: cells as for pack_chunks, with indices on the grown array of
+    these sizes. Cells take their places in the stored arrays by offset; a cell that was there
+    gets the new value, also a missing one. The other axes can't grow.
+    """
+    place, lens = [f"{d}_chunk" for d in "tyx"], [f"{d}_len" for d in "tyx"]
+    new_len = {f"{d}_len": F.least(F.lit(c), F.lit(size) - F.col(f"{d}_chunk") * c).cast("int") for (d, _), size, c in zip(DIMS, sizes, shape)}
+    grown = {f"_{d}": n for d, n in new_len.items()}
+    both = [*keys, *place]
+    packed = pack_chunks(new.withColumn("value", F.struct("value")), sizes, shape, keys).withColumnRenamed("values", "_new")
+    old = stored.withColumns(grown)
+    fits = F.when((F.col("_y_len") == F.col("y_len")) & (F.col("_x_len") == F.col("x_len")) & (F.col("_t_len") >= F.col("t_len")), True).otherwise(F.raise_error(F.lit("only time can grow")).cast("boolean"))
+    touched = packed.select(*both)
+    open_chunks = old.where(fits & (F.col("_t_len") > F.col("t_len"))).union(old.where(fits & (F.col("_t_len") == F.col("t_len"))).join(touched, both, "left_semi").select(*old.columns))
+    joined = open_chunks.select(*both, "values").join(packed.select(*both, "_new"), both, "full_outer").withColumns(new_len)
+    kind = dict(stored.dtypes)["values"]
+    n = F.col("t_len") * F.col("y_len") * F.col("x_len")
+    # Time is the slowest index: what is new of it comes after what is there.
+    longer = F.concat(F.coalesce("values", F.array().cast(kind)), F.array_repeat(F.lit(None).cast(kind[len("array<") : -1]), n - F.coalesce(F.size("values"), F.lit(0))))
+    merged = F.when(F.col("_new").isNull(), longer).otherwise(F.zip_with(longer, F.col("_new"), lambda a, b: F.when(b.isNull(), a).otherwise(b["value"])))
+    return joined.select(*both, *lens, merged.alias("values"))
+
+
+def append_chunks(stored: DataFrame, new: DataFrame, sizes: tuple[int, int, int], shape: tuple[int, int, int], keys: tuple[str, ...] = ("dataset",)) -> DataFrame:
+    """stored with the new cells: the chunks that change in place of what they were; closed chunks aren't unpacked or shuffled by their values."""
+    changed = changed_chunks(stored, new, sizes, shape, keys)
+    both = [*keys, *(f"{d}_chunk" for d in "tyx")]
+    return stored.join(changed.select(*both), both, "left_anti").unionByName(changed)
+
+
 def unpack_chunks(chunks: DataFrame, shape: tuple[int, int, int], keys: tuple[str, ...] = ("dataset",)) -> DataFrame:
     """keys, t_idx, lat_idx, lon_idx, value of the cells that have a value."""
     cells = chunks.select(*keys, *(f"{d}_{k}" for k in ("chunk", "len") for d in "tyx"), F.posexplode("values").alias("_pos", "value")).where("value is not null")

@@ -44,8 +44,9 @@ def densify(df: DataFrame, axes: dict[str, DataFrame]) -> DataFrame:
 
 
 def append_new(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of new whose keys aren't stored: doing it twice adds nothing."""
-    return new.join(existing.select(*keys), keys, "left_anti")
+    """The rows of new whose keys aren't stored: doing it twice adds nothing. A null in a key equals a null."""
+    stored = existing.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    return new.join(stored, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys)), "left_anti")
 
 
 def append_aligned(existing: DataFrame, new: DataFrame, time: str = "time") -> DataFrame:
@@ -55,10 +56,10 @@ def append_aligned(existing: DataFrame, new: DataFrame, time: str = "time") -> D
     return both.join(F.broadcast(start), F.col(time) >= F.col("_start")).drop("_start")
 
 
-def supersede(prelim: DataFrame, final: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Of each key the final row if there is one, else the preliminary; is_final says which."""
+def supersede(prelim: DataFrame, final: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Of each key the final row if there is one, else the preliminary, with the largest values of `by`; is_final says which."""
     both = prelim.withColumn("is_final", F.lit(False)).unionByName(final.withColumn("is_final", F.lit(True)))
-    return latest_revision(both, keys, [F.desc("is_final"), *order])
+    return latest_revision(both, keys, ["is_final", *by])
 
 
 def missing_periods(calendar: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.columns import isclose, seeded
+from gridspark.operators.stats import dim_sizes
 
 
 def qc_dims(df: DataFrame, dims: tuple[str, ...] = ("time", "latitude", "longitude")) -> None:
@@ -19,20 +22,31 @@ def qc_dim_counts(df: DataFrame, expected: DataFrame, dims: tuple[str, ...], dat
 
     expected: dataset, n_<dim>.
     """
-    have = df.groupBy(dataset).agg(*(F.count_distinct(d).alias(f"have_{d}") for d in dims))
+    have = dim_sizes(df, dims, dataset).withColumnsRenamed({f"n_{d}": f"have_{d}" for d in dims})
     joined = have.join(expected, dataset, "full_outer")
     agree = [F.coalesce(F.col(f"have_{d}") == F.col(f"n_{d}"), F.lit(False)) for d in dims]
     return joined.select(dataset, *(f"have_{d}" for d in dims), *(f"n_{d}" for d in dims), F.forall(F.array(*agree), lambda x: x).alias("agrees"))
 
 
-def qc_sample_diff(raw: DataFrame, stored: DataFrame, keys: list[str], number: str, one_in: int, seed: int, value: str = "value") -> DataFrame:
-    """Sampled keys whose values differ; missing equals missing, a missing key on one side differs.
+def sample_cells(df: DataFrame, slab: Column, number: Column, cells: int, seed: int, keys: list[str]) -> DataFrame:
+    """The same number of rows of each slab, whatever its size: those with the smallest pseudo-random integers of number, ties by keys.
+
+    A task keeps so many rows of a slab before the shuffle (a limited window), so a large slab is no task's burden.
+    """
+    by = Window.partitionBy("_slab").orderBy("_at", *keys)
+    placed = df.withColumns({"_slab": slab, "_at": seeded(number, seed)})
+    return placed.withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= cells).drop("_slab", "_at", "_n")
+
+
+def qc_sample_diff(raw: DataFrame, stored: DataFrame, keys: list[str], slab: Column, number: Column, cells: int = 150, seed: int = 0, value: str = "value") -> DataFrame:
+    """Sampled keys of raw whose stored values differ: keys, raw, stored. Missing equals missing; a key that isn't stored differs.
 
-    The sample: rows whose fixed pseudo-random integer of column number is divisible by one_in.
+    `cells` keys a slab are drawn from raw, one row a key; of the stored rows only theirs are compared.
     """
-    pick = lambda df, name: df.where(seeded(F.col(number), seed) % one_in == 0).select(*keys, F.col(value).alias(name), F.lit(True).alias(f"has_{name}"))
-    joined = pick(raw, "raw").join(pick(stored, "stored"), keys, "full_outer")
-    same = F.coalesce(F.col("has_raw") & F.col("has_stored"), F.lit(False)) & isclose(F.col("raw"), F.col("stored"))
+    drawn = sample_cells(raw, slab, number, cells, seed, keys).select(*keys, F.col(value).alias("raw"))
+    there = stored.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(value).alias("stored"), F.lit(True).alias("_there"))
+    joined = drawn.join(there, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys)), "left")
+    same = F.col("_there").isNotNull() & isclose(F.col("raw"), F.col("stored"))
     return joined.where(~same).select(*keys, "raw", "stored")
 
 

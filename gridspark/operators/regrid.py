@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.columns import axis_position, pixel_centre
@@ -22,18 +24,34 @@ def raster_to_points(tiles: DataFrame) -> DataFrame:
     return pixels.select("path", "time", "band", row.alias("pix_row"), col.alias("pix_col"), (t(5) + t(4) * (row + 0.5)).alias("latitude"), (t(2) + t(0) * (col + 0.5)).alias("longitude"), F.when(~gone, F.col("_v")).alias("value"))
 
 
+def overlaps(index: Column, size: int, out: int) -> Column:
+    """Of a source pixel, the target pixels that it lies in when size pixels are stretched over out: an array of (out, weight).
+
+    Weights are whole numbers, in proportion to the shares of the pixel's length.
+    """
+    g = math.gcd(size, out)
+    wide, long = out // g, size // g  # lengths of a source and of a target pixel
+    first, last = F.floor(index * wide / long), F.floor(((index + 1) * wide - 1) / long)
+    weight = lambda j: F.least((index + 1) * wide, (j + 1) * long) - F.greatest(index * wide, j * long)
+    return F.transform(F.sequence(first.cast("long"), last.cast("long")), lambda j: F.struct(j.cast("int").alias("out"), weight(j).cast("long").alias("weight")))
+
+
 def downsample_mean(pixels: DataFrame, k: int, height: int, width: int, keys: tuple[str, ...] = ("path",), transform: tuple[float, ...] | None = None) -> DataFrame:
-    """keys, out_row, out_col, value: averages of blocks on a grid of height // k x width // k.
+    """keys, out_row, out_col, value: averages by area on a grid of height // k x width // k.
 
     transform: of the source; with it, also latitude and longitude of the coarse pixels' centres.
 
-    Where k doesn't divide a side, row r goes to floor(r * out / side), the stretched grid's
-    row; pixels aren't split. Missing pixels don't count; a block without any is missing.
+    The coarse grid covers the source exactly. Where k doesn't divide a side, a source pixel lies
+    in up to four coarse ones and counts in each by its share of area. Missing pixels don't count;
+    a block without any other is missing. Tasks sum their own pixels before the shuffle.
     """
     rows, cols = height // k, width // k
-    out_row = F.floor(F.col("pix_row") * F.lit(rows) / F.lit(height)).cast("int")
-    out_col = F.floor(F.col("pix_col") * F.lit(cols) / F.lit(width)).cast("int")
-    out = pixels.groupBy(*keys, out_row.alias("out_row"), out_col.alias("out_col")).agg(F.avg("value").alias("value"))
+    if not 0 < rows <= height or not 0 < cols <= width:
+        raise ValueError("k has to be from 1 to the shorter side")
+    split = pixels.select(*keys, "value", "pix_col", F.inline(overlaps(F.col("pix_row"), height, rows)).alias("out_row", "_w_row"))
+    split = split.select(*keys, "value", "out_row", "_w_row", F.inline(overlaps(F.col("pix_col"), width, cols)).alias("out_col", "_w_col"))
+    weight = F.when(F.col("value").isNotNull(), F.col("_w_row") * F.col("_w_col"))
+    out = split.groupBy(*keys, "out_row", "out_col").agg((F.sum(F.col("value") * weight) / F.sum(weight)).alias("value"))
     if transform is None:
         return out
     latitude, longitude = pixel_centre(transform, F.col("out_row"), F.col("out_col"), (height / rows, width / cols))

@@ -25,11 +25,17 @@ def axes(df: DataFrame, dims: tuple[str, ...], dataset: str = "dataset") -> Data
     return numbered(labels.where("coord is not null").distinct(), "coord", ("dataset", "dim"))
 
 
+def labels(df: DataFrame, dims: tuple[str, ...], dataset: str = "dataset") -> DataFrame:
+    """dataset, dim, label (as text): the distinct labels of each dimension, missing ones left out, in one pass; tasks combine their own first."""
+    pairs = F.array(*(F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("label")) for d in dims))
+    return df.select(F.col(dataset).alias("dataset"), F.inline(pairs)).where("label is not null").distinct()
+
+
 def dim_sizes(df: DataFrame, dims: tuple[str, ...], dataset: str = "dataset") -> DataFrame:
-    """Number of distinct labels of each dimension; a dimension that df lacks is an error."""
+    """Number of distinct labels of each dimension; a dimension that df lacks is an error. Datasets without any label have no row."""
     if missing := [d for d in dims if d not in df.columns]:
         raise ValueError(f"no dimension {missing[0]}")
-    return df.groupBy(dataset).agg(*(F.count_distinct(d).alias(f"n_{d}") for d in dims))
+    return labels(df, dims, dataset).groupBy(F.col("dataset").alias(dataset)).agg(*(F.count_if(F.col("dim") == d).alias(f"n_{d}") for d in dims))
 
 
 def describe(df: DataFrame, dims: tuple[str, ...], variables: tuple[str, ...], dataset: str = "dataset", time: str = "time") -> DataFrame:
@@ -58,10 +64,15 @@ def chunk_count(df: DataFrame, length: int, dataset: str = "dataset", time: str
     return df.groupBy(dataset).agg(F.ceil(F.count_distinct(time) / F.lit(length)).cast("long").alias("n_chunks"))
 
 
-def latest_revision(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row for each key: the first by order, which has to break all ties that matter."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_n", first).where("_n = 1").drop("_n")
+def latest_revision(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """One row for each key: that with the largest values of the columns `by`, null being the smallest; ties by the other columns.
+
+    An aggregate, so a task combines its own rows of a key before the shuffle, and a key with many
+    revisions is no task's burden.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in by]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*by, *rest)).alias("_best"))
+    return best.select(*(c if c in keys else F.col("_best")[c].alias(c) for c in df.columns))
 
 
 def latest_n_times(df: DataFrame, n: int, dataset: str = "dataset", time: str = "time", strict: bool = True) -> DataFrame:
@@ -85,13 +96,15 @@ def step_gaps(df: DataFrame, step_hours: int, dataset: str = "dataset", time: st
 
 
 def retention(df: DataFrame, key: str, ts: str, tie: str, last: int = 4, weekly: int = 4, monthly: int = 6) -> DataFrame:
-    """Rows to keep of each key: the newest, the newest of each of the latest weeks and of the latest months."""
-    new = [F.desc(ts), F.desc(tie)]
-    periods = {p: F.date_trunc(p, ts) for p in ("week", "month")}
-    out = df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*new)))
-    for p, start in periods.items():
-        out = out.withColumn(f"_{p}", start)
-        out = out.withColumn(f"_n_{p}", F.row_number().over(Window.partitionBy(key, f"_{p}").orderBy(*new)))
-        out = out.withColumn(f"_r_{p}", F.dense_rank().over(Window.partitionBy(key).orderBy(F.desc(f"_{p}"))))
-    kept = (F.col("_n") <= last) | ((F.col("_n_week") == 1) & (F.col("_r_week") <= weekly)) | ((F.col("_n_month") == 1) & (F.col("_r_month") <= monthly))
-    return out.where(kept).select(*df.columns)
+    """Rows to keep of each key: the newest, the newest of each of the latest weeks and of the latest months.
+
+    tie tells rows of one key and time apart. What a task sends of a key is bounded: its newest
+    rows, and a row a week and month, however many rows the key has; these are merged.
+    """
+    row = F.struct(ts, tie, *(c for c in df.columns if c not in (key, ts, tie)))
+    newest = df.groupBy(key, F.date_trunc("month", ts).alias("_month"), F.date_trunc("week", ts).alias("_week")).agg(F.max(row).alias("_row"))
+    first = lambda rows, n, order: rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= n)
+    of = lambda p, n: first(newest.groupBy(key, p).agg(F.max("_row").alias("_row")), n, [F.desc(p)])
+    kept = [first(df, last, [F.desc(ts), F.desc(tie)]).select(key, row.alias("_row")), *(of(p, n).select(key, "_row") for p, n in (("_week", weekly), ("_month", monthly)))]
+    rows = kept[0].union(kept[1]).union(kept[2]).distinct()
+    return rows.select(*(key if c == key else F.col("_row")[c].alias(c) for c in df.columns))

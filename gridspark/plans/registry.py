@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import calendars as cal
 from gridspark.functions import columns as fn
 from gridspark.operators import catalog, chunks, combine, manifest, quality, regrid, select, standardize, stats
-from gridspark.session import scratch, small
+from gridspark.session import scratch, small, written
 from gridspark.sources import files, store
 from gridspark.sources.fixtures import view, with_views
 from gridspark.streaming import streams
@@ -39,7 +39,7 @@ def raw(spark: SparkSession, d: str) -> DataFrame:
 
 def latest(spark: SparkSession, d: str) -> DataFrame:
     """The dense cube: one value a cell and month."""
-    return stats.latest_revision(view(spark, d, "grid_dense"), ["time", "lat_idx", "lon_idx"], [F.desc("revision"), F.desc_nulls_last("value")])
+    return stats.latest_revision(view(spark, d, "grid_dense"), ["time", "lat_idx", "lon_idx"], ["revision", "value"])
 
 
 LATEST = """
@@ -52,19 +52,20 @@ LONG = "CASE short_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fn.LON
 # Sources ------------------------------------------------------------------------------------
 
 
-@query("SELECT short_name, valid_time AS time, lat AS latitude, lon AS longitude, revision, expver, band1 FROM grid_raw")
+LINES = {"l_returnflag": "short_name", "l_shipdate": "valid_time", "l_suppkey": "lat", "l_partkey": "lon", "l_linenumber": "revision", "l_quantity": "band1"}
+ORDERS = {"o_orderstatus": "short_name", "o_orderdate": "valid_time", "o_custkey": "lat", "o_orderkey": "lon", "o_totalprice": "band1"}
+
+
+@query("SELECT l_returnflag AS short_name, l_shipdate AS time, l_suppkey AS latitude, l_partkey AS longitude, l_linenumber AS revision, l_quantity AS band1 FROM lineitem")
 def scan_grid(spark, d):
-    path = scratch(spark)
-    view(spark, d, "grid_raw").write.parquet(path)
-    return files.read_grid(spark, path)
+    return files.read_grid(spark, f"{d}/lineitem.parquet", names=LINES)
 
 
-@query("SELECT short_name, valid_time AS time, lat AS latitude, lon AS longitude, revision, CASE WHEN short_name <> 't2m' THEN expver END AS expver, band1 FROM grid_raw")
+@query("""
+SELECT l_returnflag AS short_name, l_shipdate AS time, l_suppkey AS latitude, l_partkey AS longitude, l_linenumber AS revision, l_quantity AS band1 FROM lineitem UNION ALL
+SELECT o_orderstatus, o_orderdate, o_custkey, o_orderkey, NULL, o_totalprice FROM orders""")
 def scan_multi(spark, d):
-    grid, path = view(spark, d, "grid_raw"), scratch(spark)
-    grid.where("short_name <> 't2m'").write.parquet(f"{path}/a")
-    grid.where("short_name = 't2m'").drop("expver").write.parquet(f"{path}/b")
-    return files.read_grid(spark, f"{path}/a", f"{path}/b")
+    return files.read_grid(spark, f"{d}/lineitem.parquet", f"{d}/orders.parquet", names=LINES | ORDERS)
 
 
 TRANSFORM = (0.5, 0.0, -10.0, 0.0, -0.25, 60.0)
@@ -102,12 +103,11 @@ def slab_assign(spark, d):
 SHAPE = (12, 4, 10)
 
 
-def cube(spark, d) -> tuple[DataFrame, Column]:
-    """Cells of the dense cube by index, and the number of its times, a column of them."""
-    rows = latest(spark, d)
-    axis = stats.numbered(view(spark, d, "grid_dense").select("time").distinct(), "time").withColumnRenamed("idx", "t_idx")
-    size = axis.agg(F.count(F.lit(1)).cast("int").alias("n_t"))  # one row
-    return rows.join(small(axis), "time").crossJoin(F.broadcast(size)).select(F.lit("dense").alias("dataset"), "t_idx", "lat_idx", "lon_idx", "value", "n_t"), F.col("n_t")
+def cube(spark, d) -> tuple[DataFrame, int]:
+    """Cells of the dense cube by index, and the number of its times. The axis is numbered once and written."""
+    axis = written(stats.numbered(view(spark, d, "grid_dense").select("time").distinct(), "time").withColumnRenamed("idx", "t_idx"))
+    cells = latest(spark, d).join(small(axis), "time").select(F.lit("dense").alias("dataset"), "t_idx", "lat_idx", "lon_idx", "value")
+    return cells, axis.count()
 
 
 CELLS = f""", {LATEST},
@@ -130,6 +130,20 @@ def chunk_pack(spark, d):
     return packed.withColumn("cell_values", shown).drop("values")
 
 
+@query()
+def chunk_append(spark, d):
+    """As chunk_pack, of which the first 30 months are packed first and the others are appended."""
+    cells, n = cube(spark, d)
+    cells = written(cells)
+    first = written(chunks.pack_chunks(cells.where("t_idx < 30"), (30, 10, 36), SHAPE))
+    packed = chunks.append_chunks(first, cells.where("t_idx >= 30"), (n, 10, 36), SHAPE)
+    shown = F.array_join(F.transform("values", lambda v: F.coalesce(v.cast("int").cast("string"), F.lit("-"))), ",")
+    return packed.withColumn("cell_values", shown).drop("values")
+
+
+ORACLES["chunk_append"] = ORACLES["chunk_pack"]
+
+
 @query(CELLS + " SELECT * FROM cells WHERE value IS NOT NULL")
 def chunk_roundtrip(spark, d):
     cells, n = cube(spark, d)
@@ -170,7 +184,8 @@ def wrapped(spark, d) -> DataFrame:
 
 
 def grid_axes(spark, d) -> DataFrame:
-    return stats.axes(wrapped(spark, d), ("latitude", "longitude"))
+    """Written, as a store keeps its axes: who uses them reads labels, not observations."""
+    return written(stats.axes(wrapped(spark, d), ("latitude", "longitude")))
 
 
 @query(f", {AXES} SELECT * FROM axes")
@@ -287,6 +302,13 @@ def select_band(spark, d):
     return standardize.select_band(view(spark, d, "grid_dense"), 1, "revision")
 
 
+@query("SELECT time, lat_idx, lon_idx, value FROM grid_dense WHERE revision = (SELECT max(revision) FROM grid_dense)")
+def squeeze(spark, d):
+    grid = view(spark, d, "grid_dense")
+    last = F.broadcast(grid.agg(F.max("revision").alias("revision")))  # one row
+    return standardize.squeeze(grid.join(last, "revision"), "revision").select("time", "lat_idx", "lon_idx", "value")
+
+
 @query("SELECT o_orderkey, concat('{', CASE WHEN o_orderkey % 2 <> 0 THEN concat('\"x_', o_orderpriority, '\":\"', o_orderstatus, '\",') ELSE '' END, '\"units\":\"K\"}') AS attrs FROM orders")
 def prune_attrs(spark, d):
     attrs = F.create_map(F.concat(F.when(F.col("o_orderkey") % 2 == 0, "GRIB_").otherwise("x_"), F.col("o_orderpriority")), F.col("o_orderstatus"), F.lit("units"), F.lit("K"))
@@ -415,9 +437,9 @@ first_axis AS (SELECT DISTINCT lat_idx, lon_idx FROM latest WHERE time = (SELECT
 SELECT t.time, a.lat_idx, a.lon_idx, l.revision, l.value FROM (SELECT DISTINCT time FROM latest) t CROSS JOIN first_axis a
 LEFT JOIN latest l ON l.time = t.time AND l.lat_idx = a.lat_idx AND l.lon_idx = a.lon_idx""")
 def concat_left(spark, d):
-    start = F.broadcast(view(spark, d, "grid_dense").agg(F.min("time").alias("start")))  # one row
-    rows = latest(spark, d).crossJoin(start)
-    return combine.concat_time([rows.where("time = start").drop("start"), rows.where("time > start").drop("start")], "left")
+    rows = written(latest(spark, d))
+    start = F.lit(rows.agg(F.min("time")).first()[0]).cast("timestamp_ntz")
+    return combine.concat_time([rows.where(F.col("time") == start), rows.where(F.col("time") > start)], "left")
 
 
 @query(f""", {LATEST}
@@ -455,7 +477,7 @@ def freshness(spark, d):
 SELECT time, lat_idx, lon_idx, revision, value, is_final FROM m QUALIFY row_number() OVER (PARTITION BY time, lat_idx, lon_idx ORDER BY is_final DESC, revision DESC, value DESC NULLS LAST) = 1""")
 def supersede(spark, d):
     grid = view(spark, d, "grid_dense")
-    return combine.supersede(grid.where("revision < 5"), grid.where("revision >= 5"), ["time", "lat_idx", "lon_idx"], [F.desc("revision"), F.desc_nulls_last("value")])
+    return combine.supersede(grid.where("revision < 5"), grid.where("revision >= 5"), ["time", "lat_idx", "lon_idx"], ["revision", "value"])
 
 
 @query("SELECT collection, item, 'item' AS rel, concat('ver://', version) AS href, item AS title FROM catalog_input WHERE version <> 'null'")
@@ -473,6 +495,13 @@ def catalog_listing(spark, d):
     return catalog.listing(catalog.walk_catalog(catalog.build_catalog(view(spark, d, "catalog_input"))))
 
 
+@query("""
+, v AS (SELECT item, max(version) AS version FROM catalog_input WHERE version <> 'null' GROUP BY 1)
+SELECT concat('{', string_agg(concat('"', item, '":"', version, '"'), ',' ORDER BY item), '}') AS document FROM v""")
+def listing_json(spark, d):
+    return catalog.listing_json(catalog.walk_catalog(catalog.build_catalog(view(spark, d, "catalog_input"))))
+
+
 @query("""
 SELECT path, CAST(r.range AS INT) AS out_row, CAST(c.range AS INT) AS out_col, value FROM grid_pixels, range(17) r, range(20) c
 WHERE pix_row = floor((r.range + 0.5) * 42 / 17) AND pix_col = floor((c.range + 0.5) * 50 / 20)""")
@@ -485,9 +514,11 @@ def regrid_nearest(spark, d):
 
 
 @query("""
-SELECT path, CAST(floor(pix_row * 10 / 42) AS INT) AS out_row, CAST(floor(pix_col * 12 / 50) AS INT) AS out_col, avg(value) AS value,
-       60::DOUBLE + (-0.25::DOUBLE * (42::DOUBLE / 10)) * (floor(pix_row * 10 / 42) + 0.5::DOUBLE) AS latitude, -10::DOUBLE + (0.5::DOUBLE * (50::DOUBLE / 12)) * (floor(pix_col * 12 / 50) + 0.5::DOUBLE) AS longitude
-FROM grid_pixels GROUP BY 1, 2, 3, 5, 6""")
+SELECT path, CAST(r AS INT) AS out_row, CAST(c AS INT) AS out_col, sum(value * w) / sum(w) FILTER (value IS NOT NULL) AS value,
+       60::DOUBLE + (-0.25::DOUBLE * (42::DOUBLE / 10)) * (r + 0.5::DOUBLE) AS latitude, -10::DOUBLE + (0.5::DOUBLE * (50::DOUBLE / 12)) * (c + 0.5::DOUBLE) AS longitude
+FROM (SELECT path, value, r.range AS r, c.range AS c, (least((pix_row + 1) * 10, (r.range + 1) * 42) - greatest(pix_row * 10, r.range * 42)) * (least((pix_col + 1) * 12, (c.range + 1) * 50) - greatest(pix_col * 12, c.range * 50)) AS w FROM grid_pixels, range(10) r, range(12) c
+      WHERE least((pix_row + 1) * 10, (r.range + 1) * 42) > greatest(pix_row * 10, r.range * 42) AND least((pix_col + 1) * 12, (c.range + 1) * 50) > greatest(pix_col * 12, c.range * 50))
+GROUP BY ALL""")
 def downsample_mean(spark, d):
     return regrid.downsample_mean(view(spark, d, "grid_pixels"), 4, 42, 50, transform=TRANSFORM)
 
@@ -705,18 +736,24 @@ def qc_dim_counts(spark, d):
     return quality.qc_dim_counts(grid, expected, ("time", "latitude"))
 
 
-SAMPLED = "(lat_idx * 36 + lon_idx) * CAST(2654435761 AS BIGINT)"
-
-
 @query(f""", {LATEST},
-a AS (SELECT time, lat_idx, lon_idx, value AS raw FROM latest WHERE ({SAMPLED} + 5) % 2147483647 % 7 = 0),
-b AS (SELECT time, lat_idx, lon_idx, CASE WHEN revision = 3 THEN value + 1 ELSE value END AS stored FROM latest WHERE ({SAMPLED} + 5) % 2147483647 % 7 = 0 AND revision <> 2)
+a AS (SELECT time, lat_idx, lon_idx, value AS raw FROM latest
+      QUALIFY row_number() OVER (PARTITION BY year(time) ORDER BY (((year(time) * 12 + month(time)) * 360 + lat_idx * 36 + lon_idx) * CAST(2654435761 AS BIGINT) + 5) % 2147483647, time, lat_idx, lon_idx) <= 150),
+b AS (SELECT time, lat_idx, lon_idx, CASE WHEN revision = 3 THEN value + 1 ELSE value END AS stored FROM latest WHERE revision <> 2)
 SELECT a.time, a.lat_idx, a.lon_idx, raw, stored FROM a LEFT JOIN b USING (time, lat_idx, lon_idx)
 WHERE b.time IS NULL OR NOT ((raw IS NULL AND stored IS NULL) OR coalesce(abs(raw - stored) <= 1e-8::DOUBLE + 1e-5::DOUBLE * abs(stored), false))""")
 def qc_sample_diff(spark, d):
-    rows = latest(spark, d).withColumn("cell", F.col("lat_idx") * 36 + F.col("lon_idx"))
+    rows = written(latest(spark, d))
     stored = rows.where("revision <> 2").withColumn("value", F.when(F.col("revision") == 3, F.col("value") + 1).otherwise(F.col("value")))
-    return quality.qc_sample_diff(rows, stored, ["time", "lat_idx", "lon_idx"], "cell", 7, 5)
+    number = (F.year("time") * 12 + F.month("time")).cast("long") * 360 + F.col("lat_idx") * 36 + F.col("lon_idx")
+    return quality.qc_sample_diff(rows, stored, ["time", "lat_idx", "lon_idx"], F.year("time"), number, 150, 5)
+
+
+@query("SELECT short_name AS dataset, count(*) AS n, count(DISTINCT valid_time) AS n_time FROM grid_raw GROUP BY 1")
+def qc_dims(spark, d):
+    grid = raw(spark, d).withColumnRenamed("short_name", "dataset")
+    quality.qc_dims(grid)
+    return grid.groupBy("dataset").agg(F.count(F.lit(1)).alias("n")).join(stats.dim_sizes(grid, ("time",)), "dataset")
 
 
 @query("SELECT time, lat_idx, lon_idx, revision, count(*) AS n FROM grid_dense GROUP BY 1, 2, 3, 4 HAVING count(*) > 1")
@@ -738,7 +775,7 @@ CELL = ["dataset", "time", "lat_idx", "lon_idx"]
 SELECT 'dense' AS dataset, time, lat_idx, lon_idx, revision, value FROM grid_dense
 QUALIFY row_number() OVER (PARTITION BY time, lat_idx, lon_idx ORDER BY revision DESC, value DESC NULLS LAST) = 1""")
 def store_versions(spark, d):
-    rows = stats.latest_revision(view(spark, d, "grid_dense").withColumn("dataset", F.lit("dense")), [*CELL, "revision"], [F.desc_nulls_last("value")])
+    rows = stats.latest_revision(view(spark, d, "grid_dense").withColumn("dataset", F.lit("dense")), [*CELL, "revision"], ["value"])
     root = scratch(spark)
     store.instantiate(rows.where("revision <= 3"), root)
     store.append(rows.where("revision >= 3"), root)

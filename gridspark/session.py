@@ -28,6 +28,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df written to a fresh folder and read from there: what is used several times is worked out once, and a lost executor costs no more than a read."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """df marked for broadcast if it has no more than so many rows (a count tells, which stops there); a larger one is shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +11,25 @@ from gridspark.functions.columns import compact_date
 from gridspark.operators.standardize import rename_dims
 
 
-def read_grid(spark: SparkSession, *paths: str, schema: str | None = None, form: str = "parquet") -> DataFrame:
-    """One grid of one or several files, dimensions by their usual names.
+def read_grid(spark: SparkSession, *paths: str, schema: str | None = None, form: str = "parquet", names: dict[str, str] | None = None, periods: str | None = None) -> DataFrame:
+    """One grid of one or several files, dimensions by their usual names. A column that a file lacks is null there.
 
-    Without a schema the files' schemas are merged: a column that a file lacks is null there.
+    names: the columns to read, by their names in the files, and what they are called. periods: a
+    time column that parts the files; if the spans of two files overlap, that is an error (each
+    file's least and largest time is read from its statistics where it has them).
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true") if form == "parquet" else spark.read
-    return rename_dims(reader.format(form).load(list(paths)))
+    reader = spark.read.schema(schema) if schema else spark.read
+    grids = []
+    for path in paths:
+        df = reader.format(form).load(path)
+        grids.append(rename_dims(df.select(*(F.col(c).alias(names[c]) for c in df.columns if c in names)) if names else df))
+    if periods:
+        spans = [tuple(df.agg(F.min(periods), F.max(periods)).first()) + (path,) for df, path in zip(grids, paths)]
+        spans = sorted((x for x in spans if x[0] is not None), key=lambda x: x[:2])
+        for (_, end, a), (start, _, b) in zip(spans, spans[1:]):
+            if start <= end:
+                raise ValueError(f"{a} and {b} overlap in {periods}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), grids)
 
 
 def parse_listing(lines: DataFrame, line: str = "value") -> DataFrame:
