@@ -782,6 +782,17 @@ def store_versions(spark, d):
     return store.read_version(spark, root)
 
 
+@query("""
+, l AS (SELECT DISTINCT 'time' AS dim, time, NULL::BIGINT AS coord FROM grid_dense WHERE time IS NOT NULL UNION SELECT 'lat_idx', NULL, lat_idx FROM grid_dense UNION SELECT 'lon_idx', NULL, lon_idx FROM grid_dense)
+SELECT 'dense' AS dataset, dim, CAST(row_number() OVER (PARTITION BY dim ORDER BY time, coord) - 1 AS INT) AS idx, time, coord FROM l""")
+def store_axes(spark, d):
+    """The axes that a store keeps with its second version."""
+    grid, root = view(spark, d, "grid_dense").withColumn("dataset", F.lit("dense")), scratch(spark)
+    store.instantiate(grid.where("time < '1995-01-01'"), root)
+    store.append(grid.where("time >= '1994-06-01'"), root)
+    return store.read_axes(spark, root)
+
+
 def event_stream(spark, d) -> DataFrame:
     """The events file as a stream, with its columns as a batch reads them; a stream takes one file by a pattern only."""
     return spark.readStream.schema(view(spark, d, "events").schema).parquet(f"{d}/[e]vents.parquet")

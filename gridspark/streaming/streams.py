@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridspark.operators.combine import append_new
 from gridspark.operators.stats import latest_revision
+from gridspark.sources import store
 
 
 def _there(spark: SparkSession, path: str) -> bool:
@@ -26,26 +27,45 @@ def append_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str
     """Appends the rows whose keys aren't stored, once a key: a replay of old files adds nothing.
 
     Of what is stored only rows between the batch's least and largest value of the first key are
-    read, as files say which they hold; so the first key had better grow with time.
+    read, as files say which they hold; so the first key had better grow with time. A null in a
+    key equals a null.
     """
 
     def write(batch: DataFrame) -> None:
         spark = batch.sparkSession
         new = batch.dropDuplicates(keys)
         if _there(spark, path):
-            a, b = batch.agg(F.min(keys[0]), F.max(keys[0])).first()
+            first = F.col(keys[0])
+            a, b, nulls = batch.agg(F.min(first), F.max(first), F.count_if(first.isNull())).first()
+            within = first.between(F.lit(a), F.lit(b)) if a is not None else F.lit(False)
             stored = spark.read.schema(new.schema).parquet(path)
-            stored = stored.where(F.col(keys[0]).between(F.lit(a), F.lit(b))) if a is not None else stored.limit(0)
-            new = append_new(stored, new, keys)
+            new = append_new(stored.where(within | first.isNull() if nulls else within), new, keys)
         new.write.mode("append").parquet(path)
 
     return _each_batch(stream, checkpoint, write)
 
 
+def append_store_stream(stream: DataFrame, root: str, checkpoint: str, name: str) -> StreamingQuery:
+    """Appends batches to a store of versions, each once: a batch's id, of name and its number, is part of the commit.
+
+    A batch that failed after its version was made, or that a second run with the same checkpoint
+    gives again, finds its id there; other writers may append meanwhile. The first batch makes the store.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        if store.latest_version(batch.sparkSession, root):
+            store.append(batch, root, batch=f"{name}:{number}")
+        else:
+            store.instantiate(batch, root, batch=f"{name}:{number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def revise_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str, scratch: str, revision: str = "revision", value: str = "value", year: str = "year") -> StreamingQuery:
     """Higher revisions take the place of lower ones; only the years that a batch touches are rewritten.
 
-    stream has a column year, by which the store is laid out. The new years are written to
+    stream has a column year, by which the store is laid out; rows without one have a place of their
+    own, which is touched like a year. The new years are written to
     scratch first, as a job can't overwrite what it reads.
     """
 
@@ -54,8 +74,9 @@ def revise_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str
         rows = batch
         if _there(spark, path):
             touched = [r[0] for r in batch.select(year).distinct().collect()]  # few, and other years' files aren't opened
-            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(path).where(F.col(year).isin(touched)))
-        latest_revision(rows, keys, [F.desc(revision), F.desc_nulls_last(value)]).write.mode("overwrite").parquet(scratch)
+            own = F.col(year).isin([y for y in touched if y is not None])
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(path).where(own | F.col(year).isNull() if None in touched else own))
+        latest_revision(rows, keys, [revision, value]).write.mode("overwrite").parquet(scratch)
         spark.read.schema(batch.schema).parquet(scratch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
 
     return _each_batch(stream, checkpoint, write)

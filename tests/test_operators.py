@@ -1,7 +1,9 @@
 """Operators on small tables, with every boundary that they have to keep."""
 
 import datetime as dt
+import random
 import time
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,14 +136,68 @@ def test_raster_points_and_block_means(spark):
     assert means == {(0, 0): None, (0, 1): block(0, 4), (1, 0): block(4, 0), (1, 1): block(4, 4)}
 
 
-def test_block_means_stretch_where_sides_do_not_divide(spark):
-    points = regrid.raster_to_points(tile(spark, 7, 10))
-    got = {(r["out_row"], r["out_col"]): r["value"] for r in regrid.downsample_mean(points, 4, 7, 10).collect()}
-    want = {}
-    for r in range(7):
-        for c in range(10):
-            want.setdefault((r * 1 // 7, c * 2 // 10), []).append(r * 10 + c)
-    assert got == {k: sum(v) / len(v) for k, v in want.items()}
+@pytest.mark.parametrize("height, width, k", [(7, 10, 4), (42, 50, 4), (11, 9, 2), (5, 5, 5), (6, 7, 1)])
+def test_block_means_split_pixels_where_sides_do_not_divide(spark, height, width, k):
+    """Against shares of areas, as fractions."""
+    gone = {(r, c) for r in range(min(3, height - 1)) for c in range(min(4, width - 1))}
+    points = regrid.raster_to_points(tile(spark, height, width, gone))
+    got = {(r["out_row"], r["out_col"]): r["value"] for r in regrid.downsample_mean(points, k, height, width).collect()}
+    rows, cols = height // k, width // k
+    share = lambda i, size, out, j: max(0, min(Fraction(i + 1) * out / size, j + 1) - max(Fraction(i) * out / size, j))
+    assert {*got} == {(j, i) for j in range(rows) for i in range(cols)}
+    for (j, i), value in got.items():
+        weights = {(r, c): share(r, height, rows, j) * share(c, width, cols, i) for r in range(height) for c in range(width) if (r, c) not in gone}
+        total = sum(weights.values())
+        assert (value is None) == (total == 0)
+        if total:
+            assert value == pytest.approx(float(sum(w * (r * width + c) for (r, c), w in weights.items()) / total))
+
+
+def test_coarse_pixels_need_room(spark):
+    with pytest.raises(ValueError):
+        regrid.downsample_mean(regrid.raster_to_points(tile(spark, 3, 3)), 4, 3, 3)
+
+
+def test_appended_chunks_are_those_of_all_cells(spark):
+    """Into open and closed chunks, new and old cells, missing values, and chunks that weren't there."""
+    rng = random.Random(4)
+    sizes, shape = (11, 5, 7), (4, 3, 3)
+    cell = lambda t: ("a", t, rng.randrange(5), rng.randrange(7), rng.choice([None, float(rng.randrange(99))]))
+    old = {c[:4]: c for c in (cell(rng.randrange(6)) for _ in range(60))}
+    new = {c[:4]: c for c in (cell(rng.choice([1, 5, 6, 7, 8, 10])) for _ in range(40))}
+    obs = lambda cells: spark.createDataFrame([*cells], "dataset string, t_idx int, lat_idx int, lon_idx int, value double")
+    stored = chunks.pack_chunks(obs(old.values()), (6, 5, 7), shape)
+    got = chunks.append_chunks(stored, obs(new.values()), sizes, shape)
+    want = chunks.pack_chunks(obs((old | new).values()), sizes, shape)
+    shown = lambda df: sorted(map(tuple, df.select(want.columns).collect()), key=str)
+    assert shown(got) == shown(want)
+    changed = {tuple(r) for r in chunks.changed_chunks(stored, obs(new.values()), sizes, shape).select("t_chunk", "y_chunk", "x_chunk").collect()}
+    touched = {(t // 4, y // 3, x // 3) for _, t, y, x in new}
+    assert {c for c in changed if c[0] == 0} == {c for c in touched if c[0] == 0}  # of closed chunks those with new cells
+    assert shown(chunks.append_chunks(stored, obs([]), (6, 5, 7), shape)) == shown(stored)
+    with pytest.raises(Exception, match="only time can grow"):
+        chunks.append_chunks(stored, obs([]), (6, 5, 8), shape).collect()
+
+
+def test_a_slab_gives_as_many_cells_whatever_its_size(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 7, 0).otherwise(1).alias("slab"), "id")
+    got = quality.sample_cells(df, F.col("slab"), F.col("id"), 50, 3, ["id"]).groupBy("slab").count().collect()
+    assert {r["slab"]: r["count"] for r in got} == {0: 7, 1: 50}
+    again = {r["id"] for r in quality.sample_cells(df.repartition(7), F.col("slab"), F.col("id"), 50, 3, ["id"]).collect()}
+    assert again == {r["id"] for r in quality.sample_cells(df, F.col("slab"), F.col("id"), 50, 3, ["id"]).collect()}
+
+
+def test_latest_revision_of_ties_and_nulls(spark):
+    df = spark.createDataFrame([(1, None, 5.0, "a"), (1, 2, None, "b"), (1, 2, 1.0, "c"), (1, 2, 1.0, "d"), (None, 1, 1.0, "e"), (None, 3, None, "f")], "k int, revision int, value double, s string")
+    got = stats.latest_revision(df, ["k"], ["revision", "value"])
+    assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=str) == [(1, 2, 1.0, "d"), (None, 3, None, "f")]
+
+
+def test_appends_compare_nulls(spark):
+    g = "a int, b string, v int"
+    old = spark.createDataFrame([(1, None, 1), (None, "x", 2)], g)
+    assert combine.append_new(old, old, ["a", "b"]).count() == 0
+    assert rows(combine.append_new(old, spark.createDataFrame([(1, "x", 3), (None, None, 4)], g), ["a", "b"]), "v") == [(3,), (4,)]
 
 
 def test_chunks_round_trip_whatever_the_partitions(spark):
@@ -183,7 +239,7 @@ def test_retention_keeps_rows_of_the_input(spark):
 
 def test_supersede(spark):
     g = "k int, revision int, value double"
-    out = combine.supersede(spark.createDataFrame([(1, 9, 1.0), (2, 1, 1.0)], g), spark.createDataFrame([(1, 2, 5.0), (1, 3, 6.0)], g), ["k"], [F.desc("revision")])
+    out = combine.supersede(spark.createDataFrame([(1, 9, 1.0), (2, 1, 1.0)], g), spark.createDataFrame([(1, 2, 5.0), (1, 3, 6.0)], g), ["k"], ["revision"])
     assert rows(out, "k", "value", "is_final") == [(1, 6.0, True), (2, 1.0, False)]
 
 
@@ -207,8 +263,8 @@ def test_quality(spark):
     assert quality.qc_coord_range(axis(("latitude", 0, -90.0), ("latitude", 1, 90.0), ("longitude", 0, 180.0))).count() == 0
     assert quality.qc_coord_range(axis(("latitude", 0, -90.5), ("longitude", 0, 5.0), ("longitude", 1, 5.0))).count() == 2
     g = "k int, n int, value double"
-    diff = quality.qc_sample_diff(spark.createDataFrame([(1, 1, 1.0), (2, 2, None), (3, 3, 1.0)], g), spark.createDataFrame([(1, 1, 1.000001), (2, 2, None), (4, 4, 1.0)], g), ["k"], "n", 1, 0)
-    assert rows(diff, "k") == [(3,), (4,)]
+    diff = quality.qc_sample_diff(spark.createDataFrame([(1, 1, 1.0), (2, 2, None), (3, 3, 1.0)], g), spark.createDataFrame([(1, 1, 1.000001), (2, 2, None), (4, 4, 1.0)], g), ["k"], F.lit(1), F.col("n"))
+    assert rows(diff, "k") == [(3,)]  # stored rows beyond the sample aren't read
     with pytest.raises(ValueError):
         quality.qc_dims(diff)
     assert rows(quality.qc_duplicates(spark.createDataFrame([(1,), (1,), (2,)], "k int"), ["k"]), "k", "n") == [(1, 2)]

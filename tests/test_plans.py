@@ -36,6 +36,32 @@ def test_no_python_in_the_path(spark, name):
     assert not re.search(r"EvalPython|InPandas|InArrow", plan(QUERIES[name](spark, DATA)))
 
 
+@pytest.mark.parametrize("name, scans", [("isel", 1), ("sort_axes", 1), ("scan_grid", 1), ("dim_sizes", 1), ("qc_dim_counts", 2), ("latest_revision", 1), ("concat_left", 0)])
+def test_facts_are_scanned_once(spark, name, scans):
+    """Axes and cubes that are used several times are written first; qc_dim_counts also scans for what it expects."""
+    assert len(re.findall(r"Location: [^\n]*lineitem", plan(QUERIES[name](spark, DATA)))) == scans
+
+
+@pytest.mark.parametrize("name", ["dim_sizes", "describe", "qc_dims"])
+def test_labels_are_counted_without_copies_of_rows(spark, name):
+    assert "Expand" not in plan(QUERIES[name](spark, DATA))
+
+
+@pytest.mark.parametrize("name", ["latest_revision", "supersede", "chunk_pack"])
+def test_revisions_are_combined_before_the_shuffle(spark, name):
+    said = plan(QUERIES[name](spark, DATA))
+    assert "Window" not in said and "partial_max" in said
+
+
+def test_retention_bounds_what_a_task_sends_of_a_key(spark):
+    said = plan(QUERIES["retention"](spark, DATA))
+    assert "WindowGroupLimit" in said and "partial_max" in said and "Exchange" in said[said.index("WindowGroupLimit") :]
+
+
+def test_samples_are_cut_before_the_shuffle(spark):
+    assert "WindowGroupLimit" in plan(QUERIES["qc_sample_diff"](spark, DATA))
+
+
 def test_years_are_pruned(spark, tmp_path):
     import datetime as dt
 

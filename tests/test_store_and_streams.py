@@ -44,14 +44,115 @@ def test_versions(spark, tmp_path):
 def test_version_ids_are_of_contents(spark, tmp_path):
     a = obs(spark, ((2020, 1, 1), 0, 1.0, 1), ((2021, 1, 1), 1, None, 1))
     ids = [store.instantiate(df, str(tmp_path / str(i))).id for i, df in enumerate((a, a.repartition(5, "lon_idx"), a.limit(1), a.union(a)))]
-    assert ids[0] == ids[1] and len({*ids}) == 3
+    assert ids[0] == ids[1] == ids[3] and len({*ids}) == 2  # a row that is there twice counts once
 
 
 def test_versions_are_never_written_twice(spark, tmp_path):
     root = str(tmp_path / "store")
     store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root)
-    with pytest.raises(Exception, match="(?i)exists"):  # as a writer that has read version 0 would
-        spark.range(1).write.parquet(f"{root}/versions/version=1")
+    with pytest.raises(FileExistsError):  # as a writer that has read version 0 would
+        store._claim(spark, root, 1, "other")
+    assert store.commits(spark, root, 1) != ["other"]
+
+
+def test_a_second_writer_starts_again(spark, tmp_path, monkeypatch):
+    """Two appends read one version; the second to finish finds its number taken and adds what is still new."""
+    root = str(tmp_path / "store")
+    store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root)
+    publish, others = store._publish, [obs(spark, ((2020, 1, 2), 0, 2.0, 1), ((2020, 1, 3), 0, 3.0, 1))]
+
+    def late(*args, **kwargs):
+        if others:
+            store.append(others.pop(), root)
+        return publish(*args, **kwargs)
+
+    monkeypatch.setattr(store, "_publish", late)
+    got = store.append(obs(spark, ((2020, 1, 3), 0, 3.0, 1), ((2020, 1, 4), 0, 4.0, 1)), root)
+    assert got.number == 3 and [v for *_, v in values(store.read_version(spark, root))] == [1.0, 2.0, 3.0, 4.0]
+    rows = store._rows(spark, root, store.commits(spark, root))
+    assert rows.count() == 4  # nothing is stored twice
+
+
+def test_batches_are_stored_once(spark, tmp_path):
+    root = str(tmp_path / "store")
+    store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root, batch="s:0")
+    first = store.append(obs(spark, ((2020, 1, 2), 0, 2.0, 1)), root, batch="s:1")
+    assert store.append(obs(spark, ((2020, 1, 2), 0, 9.0, 2)), root, batch="s:1") == first
+    compacted = store.compact(spark, root)
+    assert compacted.id == first.id
+    for b in ("s:0", "s:1"):
+        assert store.append(obs(spark, ((2021, 1, 2), 0, 9.0, 2)), root, batch=b) == compacted
+    assert store.append(obs(spark, ((2021, 1, 2), 0, 9.0, 2)), root, batch="s:2").number == 4
+
+
+def test_a_stream_that_comes_again_is_stored_once(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "store")
+    obs(spark, ((2020, 1, 1), 0, 1.0, 1), ((2020, 1, 2), 0, 2.0, 1)).write.parquet(source)
+    for run in "ab":  # the second run has lost its checkpoint
+        streams.append_store_stream(spark.readStream.schema(OBS).parquet(source), root, str(tmp_path / run), "obs").awaitTermination()
+    assert store.latest_version(spark, root) == 1
+    obs(spark, ((2020, 1, 3), 0, 3.0, 1)).write.mode("append").parquet(source)
+    streams.append_store_stream(spark.readStream.schema(OBS).parquet(source), root, str(tmp_path / "b"), "obs").awaitTermination()
+    assert [v for *_, v in values(store.read_version(spark, root))] == [1.0, 2.0, 3.0]
+
+
+def test_one_content_has_one_id_by_any_history(spark, tmp_path):
+    """At once, with revisions in two orders, compacted in between; and an append reads no more than its years."""
+    final = [((2020, 1, 1), 0, 5.0, 3), ((2020, 1, 2), 1, None, 1), ((2021, 1, 1), 0, 2.0, 1)]
+    old = [((2020, 1, 1), 0, 1.0, 1), ((2020, 1, 1), 0, 4.0, 2)]
+    histories = [[final], [[*old, *final]], [old[:1], old[1:] + final[1:2], final], [final[:1], final[1:], old], [old, "compact", final[2:], "compact", final[:2]]]
+    got = []
+    for i, (first, *later) in enumerate(histories):
+        root = str(tmp_path / str(i))
+        store.instantiate(obs(spark, *first), root)
+        for step in later:
+            store.compact(spark, root) if step == "compact" else store.append(obs(spark, *step), root)
+        got.append((store.version_id(spark, root), values(store.read_version(spark, root).fillna(-1.0))))
+        assert store.state(store.read_version(spark, root)).said() == store._listed(spark, root, None)[-1]["content"]
+    assert len({i for i, _ in got}) == 1 and all(v == got[0][1] for _, v in got)
+    store.append(obs(spark, ((2020, 1, 2), 1, 0.0, 2)), str(tmp_path / "0"))
+    assert store.version_id(spark, str(tmp_path / "0")) != got[0][0] == store.version_id(spark, str(tmp_path / "0"), 1)
+
+
+def test_axes_are_kept_with_versions(spark, tmp_path):
+    root = str(tmp_path / "store")
+    store.instantiate(obs(spark, ((2020, 1, 1), 4, 1.0, 1), ((2020, 1, 1), 2, 1.0, 1)), root)
+    store.append(obs(spark, ((2019, 1, 1), 3, 1.0, 1), ((2020, 1, 1), 4, 2.0, 2)), root)
+    shown = lambda v: sorted((r["dim"], r["idx"], r["time"] or r["coord"]) for r in store.read_axes(spark, root, v).collect())
+    assert shown(1) == [("lat_idx", 0, 0), ("lon_idx", 0, 2), ("lon_idx", 1, 4), ("time", 0, D(2020, 1, 1))]
+    assert shown(2) == [("lat_idx", 0, 0), ("lon_idx", 0, 2), ("lon_idx", 1, 3), ("lon_idx", 2, 4), ("time", 0, D(2019, 1, 1)), ("time", 1, D(2020, 1, 1))]
+    store.compact(spark, root)
+    assert shown(3) == shown(2)
+    assert all("/axes/" in x for x in store.read_axes(spark, root).inputFiles())
+
+
+def test_nulls_in_keys_are_stored_once(spark, tmp_path):
+    root = str(tmp_path / "store")
+    odd = spark.createDataFrame([(None, D(2020, 1, 1), 0, 0, 1.0, 1), ("a", None, 0, 0, 2.0, 1), ("a", D(2020, 1, 1), None, 0, 3.0, None)], OBS)
+    first = store.instantiate(odd, root)
+    assert store.append(odd, root) == first and store.read_version(spark, root).count() == 3
+    assert store.append(odd.where("time is null"), root) == first
+    assert store.append(odd.withColumn("revision", F.lit(2)), root).number == 2
+    assert store.read_version(spark, root).count() == 3 and store.state(store.read_version(spark, root)).said() == store._listed(spark, root, None)[-1]["content"]
+
+
+def test_streams_with_nulls(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    odd = spark.createDataFrame([(None, D(2020, 1, 1), 0, 0, 1.0, 1), ("a", None, None, 0, 2.0, 1), ("b", D(2020, 1, 1), 0, 0, 3.0, 1)], OBS)
+    odd.write.parquet(source)
+    for run in "ab":
+        streams.append_stream(spark.readStream.schema(OBS).parquet(source), path, ["dataset", "time", "lat_idx", "lon_idx"], str(tmp_path / run)).awaitTermination()
+    assert spark.read.parquet(path).count() == 3
+    years, out = str(tmp_path / "years"), str(tmp_path / "revised")
+    schema = OBS + ", year int"
+    with_year = odd.withColumn("year", F.year("time"))
+    with_year.write.parquet(years)
+    run = lambda: streams.revise_stream(spark.readStream.schema(schema).parquet(years), out, ["dataset", "time", "lat_idx", "lon_idx"], str(tmp_path / "c"), str(tmp_path / "new")).awaitTermination()
+    run()
+    spark.createDataFrame([("z", None, 1, 1, 4.0, 1, None), ("a", None, None, 0, 5.0, 2, None)], schema).write.mode("append").parquet(years)
+    run()
+    got = sorted((str(r["dataset"]), r["value"]) for r in spark.read.schema(schema).parquet(out).collect())
+    assert got == [("None", 1.0), ("a", 5.0), ("b", 3.0), ("z", 4.0)]
 
 
 def test_append_stream_replays_add_nothing(spark, tmp_path):
@@ -102,5 +203,12 @@ def test_files(spark, tmp_path):
     grid.withColumn("v", F.lit(3)).write.parquet(str(tmp_path / "g2"))
     both = files.read_grid(spark, str(tmp_path / "g1"), str(tmp_path / "g2"))
     assert {*both.columns} == {"latitude", "longitude", "v"} and both.count() == 2
+    times = spark.createDataFrame([(D(2020, 1, d), float(d)) for d in (1, 2, 3, 4)], "valid_time timestamp_ntz, t2m double")
+    for name, part in (("p1", "day(valid_time) < 3"), ("p2", "day(valid_time) > 2"), ("p3", "day(valid_time) = 2"), ("p4", "false")):
+        times.where(part).write.parquet(str(tmp_path / name))
+    at = lambda *names: [str(tmp_path / x) for x in names]
+    assert files.read_grid(spark, *at("p1", "p2", "p4"), periods="time", names={"valid_time": "valid_time", "t2m": "band1"}).columns == ["time", "band1"]
+    with pytest.raises(ValueError, match="p1 and .*p3 overlap"):
+        files.read_grid(spark, *at("p2", "p3", "p1"), periods="time")
     (tmp_path / "ids.json").write_text('{\n "x": "v1",\n "y": "null"\n}')
     assert {(r["item"], r["version"]) for r in files.read_versions(spark, str(tmp_path / "ids.json")).collect()} == {("x", "v1"), ("y", None)}
