@@ -16,12 +16,14 @@ keys that they revise, and stores of the same rows have one id, however these ca
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridspark.operators.combine import append_new
 from gridspark.operators.stats import latest_revision
@@ -94,21 +96,26 @@ def latest_version(spark: SparkSession, root: str) -> int:
     return max((int(x) for x in names if x.isdigit()), default=0)
 
 
-def _claim(spark: SparkSession, root: str, number: int, commit: str) -> None:
-    """Makes the list of commit the version of this number; FileExistsError where there is one."""
-    fs, at = _fs(spark, f"{root}/versions/{number}")
+def _create(spark: SparkSession, path: str, text: str) -> None:
+    """A file with this text; FileExistsError where there is one."""
+    fs, at = _fs(spark, path)
     try:
         out = fs.create(at, False)
     except Exception:
         if fs.exists(at):
-            raise FileExistsError(f"{root}/versions/{number}") from None
+            raise FileExistsError(path) from None
         raise
     try:
-        out.write(bytearray(commit.encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
+def _claim(spark: SparkSession, root: str, number: int, commit: str) -> None:
+    """Makes the list of commit the version of this number; FileExistsError where there is one."""
+    _create(spark, f"{root}/versions/{number}", commit)
+
+
 def _listed(spark: SparkSession, root: str, version: int | None) -> list:
     version = version or latest_version(spark, root)
     fs, at = _fs(spark, f"{root}/versions/{version}")
@@ -137,7 +144,8 @@ def commits(spark: SparkSession, root: str, version: int | None = None) -> list[
 
 
 def _rows(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    first, *rest = (spark.read.parquet(f"{root}/data/{c}") for c in names)
+    schema = lambda c: StructType.fromJson(json.loads(spark.read.text(f"{root}/data/{c}-schema").first()[0]))
+    first, *rest = (spark.read.schema(schema(c)).parquet(f"{root}/data/{c}") for c in names)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rest, first)
 
 
@@ -159,6 +167,7 @@ def _write(df: DataFrame, root: str) -> tuple[str, DataFrame]:
     commit, df = uuid.uuid4().hex, df.withColumn("year", F.year("time"))
     tile = [F.floor(F.col(c) / TILE) for c in ("lat_idx", "lon_idx")]
     df.repartition("dataset", "year", *tile).sortWithinPartitions("dataset", "year", "lat_idx", "lon_idx", "time").write.partitionBy("dataset", "year").parquet(f"{root}/data/{commit}")
+    _create(df.sparkSession, f"{root}/data/{commit}-schema", df.schema.json())  # a commit without rows has no file that says it
     return commit, df.sparkSession.read.schema(df.schema).parquet(f"{root}/data/{commit}")
 
 

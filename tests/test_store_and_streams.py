@@ -126,6 +126,14 @@ def test_axes_are_kept_with_versions(spark, tmp_path):
     assert all("/axes/" in x for x in store.read_axes(spark, root).inputFiles())
 
 
+def test_a_store_can_begin_empty(spark, tmp_path):
+    root = str(tmp_path / "store")
+    first = store.instantiate(obs(spark, ((2020, 1, 1), 0, 1.0, 1)).limit(0), root)
+    assert store.read_version(spark, root).count() == 0 and store.read_axes(spark, root).count() == 0
+    store.append(obs(spark, ((2020, 1, 1), 0, 1.0, 1)), root)
+    assert store.version_id(spark, root) != first.id and store.read_version(spark, root).count() == 1
+
+
 def test_nulls_in_keys_are_stored_once(spark, tmp_path):
     root = str(tmp_path / "store")
     odd = spark.createDataFrame([(None, D(2020, 1, 1), 0, 0, 1.0, 1), ("a", None, 0, 0, 2.0, 1), ("a", D(2020, 1, 1), None, 0, 3.0, None)], OBS)
