@@ -25,24 +25,22 @@ from gridspark.llm.common import sampled
 
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template iframe noembed noframes xmp select button".split())
+RAW = frozenset("script style title textarea template iframe noembed noframes select button".split())
 #: Of these, what is never closed reaches to the end of the page.
-TO_END = frozenset("script style title textarea xmp".split())
+TO_END = frozenset("script style title textarea".split())
 BLOCKS = frozenset("html head body li dd dt tr td th thead tbody tfoot caption colgroup legend option optgroup frameset marquee search".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th", "tbody", "thead"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 SCOPES = frozenset("table ul ol dl article section div body main aside nav form".split())
-#: Of these, those that can stand around a whole page: around these parts, or so much prose in blocks of so many characters.
-WRAPPERS = frozenset("form fieldset".split())
 PARTS = frozenset("article main nav header footer".split())
-PROSE_CHARS, WRAPPED_CHARS = 80, 500
-#: Never main text, whatever the model says: they hold controls. Nor is what a page hides.
-CONTROLS = frozenset("form fieldset menu dialog".split())
+#: Tags that say of what is in them what a name would.
+TELLING = PARTS | frozenset("aside form fieldset menu dialog".split())
 
 #: The attribute of written training pages that says what is content (1) and what is not (0).
 LABEL = "data-gridspark-label"
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
+#: Quotes open a value after an equals sign only; elsewhere they are characters like others.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s"'>][^\s>]*+)?+)*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
 _NAMING = ("class", "id", "role", "itemprop", "aria-label")
 _UNSHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
@@ -54,18 +52,33 @@ def is_inline(tag: str) -> bool:
     return tag not in CLOSES_P and tag not in BLOCKS and "-" not in tag and tag not in {"hr", "base", "link", "meta"}
 
 
-#: Names of parts in classes, ids and roles.
+#: Words that name parts in classes, ids and roles.
 NAMES = {
-    "advert": re.compile(r"(^|[\s_-])(ads?|adv|advert\w*|sponsor\w*|promo\w*|banner|outbrain|taboola)([\s_\d-]|$)", re.I),
-    "menu": re.compile(r"nav|menu|breadcrumb|toc\b|tabs|pager|paginat|tags\b|categor", re.I),
-    "header": re.compile(r"header|masthead|logo|topbar|site-title|branding", re.I),
-    "footer": re.compile(r"foot|copyright|legal|colophon|imprint", re.I),
-    "side": re.compile(r"side|widget|related|recommend|trending|popular|more-|read-next|share|social|rail", re.I),
-    "comment": re.compile(r"comment|reply|replies|discuss|respond|disqus|feedback", re.I),
-    "notice": re.compile(r"cookie|consent|notice|gdpr|alert|newsletter|subscri|popup|modal|overlay|paywall|disclaimer|warning|signup", re.I),
-    "form": re.compile(r"form|login|search|contact|captcha", re.I),
-    "content": re.compile(r"content|article|post|entry|story|main|body|text|page|prose", re.I),
+    "advert": "ad ads adv advert advertisement advertising sponsor sponsored promo banner outbrain taboola",
+    "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc tabs pager pagination tags category categories",
+    "header": "header masthead logo topbar branding",
+    "footer": "footer foot copyright legal colophon imprint contentinfo",
+    "side": "sidebar side widget related recommended recommendations trending popular more share social rail aside complementary",
+    "comment": "comment comments reply replies discussion discuss respond responses disqus feedback",
+    "notice": "cookie cookies consent notice gdpr alert newsletter subscribe subscription popup modal overlay paywall disclaimer warning signup",
+    "form": "form login search contact captcha",
+    "content": "content article post posts entry story main body text page prose",
 }
+_KIND = {word: kind for kind, words in NAMES.items() for word in words.split()}
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: A name that begins so tells what its element has, or hasn't, beside it.
+_HAVING = frozenset("has no not with without is".split())
+
+
+def named(names: str) -> tuple[frozenset[str], frozenset[str]]:
+    """Kinds of parts that names say: by a name's last word or only word, and by its other words (category-news is news)."""
+    last, other = set(), set()
+    for name in names.split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if words and words[0] not in _HAVING:
+            last.update(k for k in [_KIND.get(words[-1])] if k)
+            other.update(k for w in words[:-1] if (k := _KIND.get(w)))
+    return frozenset(last), frozenset(other - last)
 
 
 @dataclass
@@ -215,41 +228,33 @@ def parse(source: str, written: bool = True) -> Page:
         if node.parent >= 0:
             nodes[node.parent].below += node.below
             nodes[node.parent].below_linked += node.below_linked
-    _unwrap(nodes)
     return page
 
 
-def _unwrap(nodes: list[Node]) -> None:
-    """Forms and fieldsets around an article, a page's parts or its prose are read as plain divisions."""
-    if not any(n.tag in WRAPPERS for n in nodes):
-        return
-    prose, parts = [0] * len(nodes), [False] * len(nodes)
-    for i in range(len(nodes) - 1, -1, -1):
-        node = nodes[i]
-        if node.chars >= PROSE_CHARS and node.marks >= 2 and 2 * node.linked < node.chars:
-            prose[i] += node.chars
-        if node.parent >= 0:
-            prose[node.parent] += prose[i]
-            parts[node.parent] |= parts[i] or node.tag in PARTS and node.below > 0
-    for i, node in enumerate(nodes):
-        if node.tag in WRAPPERS and (parts[i] or prose[i] >= WRAPPED_CHARS or 2 * prose[i] > prose[0]):
-            node.tag, node.names = "div", ""
-
-
 def _size(n: int) -> int:
     return min(n.bit_length(), 12)
 
 
 def features(page: Page) -> list[tuple[tuple[str, ...], str]]:
-    """Of each node its features, and the kind of its link to its parent."""
+    """Of each node its features, and the kind of its link to its parent.
+
+    Names and tags of an element that holds most of a page's text, and that it is hidden, are
+    features of their own, as few parts are that large; names of html and body are of the page.
+    """
     out: list[tuple[tuple[str, ...], str]] = []
     inside: list[frozenset[str]] = []
+    whole_page: list[bool] = []  # does the node hold most of the page, and nothing tells that it is content
     total = page.nodes[0].below or 1
     before = 0
     for node in page.nodes:
-        names = frozenset(k for k, pattern in NAMES.items() if pattern.search(node.names)) if node.names else frozenset()
+        whole = node.tag in ("html", "body", "#root")
+        last, other = named(node.names) if node.names and not whole else (frozenset(), frozenset())
         above = inside[node.parent] if node.parent >= 0 else frozenset()
-        own = names | ({node.tag} & {"nav", "header", "footer", "aside", "form", "article", "main"})
+        telling = last | ({node.tag} & TELLING)
+        if node.hidden:
+            telling |= {"hidden"}
+        wide = "wide " if 2 * node.below > total else ""
+        own = frozenset(wide + x for x in telling)
         inside.append(above | own)
         density = int(4 * node.below_linked / max(node.below, 1))
         sentences = int(min(40, 1000 * node.marks / max(node.chars, 1)) / 10) if node.chars else -1
@@ -262,14 +267,21 @@ def features(page: Page) -> list[tuple[tuple[str, ...], str]]:
             f"marks {sentences}",
             f"place {int(4 * before / total)}",
             f"links {density} size {_size(node.below) // 3}",
-            *(f"named {x}" for x in names),
+            *(f"is {x}" for x in own),
+            *(f"is {x} links {density} inside {bool(above)}" for x in own),
+            *(f"{wide}in part {x}" for x in other),
             *(f"within {x}" for x in above),
         ]
+        if all(x.startswith("wide ") for x in inside[-1]):  # no name or tag of a part tells what it is
+            said.append(f"untold {node.tag} own {_size(node.chars)}")
         if node.tag in PARTS:
-            said.append(f"{node.tag} in article {bool(above & {'article', 'main'})}")
+            said.append(f"{node.tag} in article {any(x in above for x in ('article', 'main', 'wide article', 'wide main'))}")
         if node.copyright:
             said.append("copyright")
-        out.append((tuple(said), "marked" if own - {"content", "article", "main"} else "main" if own else "plain"))
+        content = telling & {"content", "article", "main"}
+        kind = "main" if content and (wide or telling == content) else "marked" if telling and not wide else "page" if node.parent >= 0 and whole_page[node.parent] else "plain"
+        out.append((tuple(said), kind))
+        whole_page.append(whole or bool(wide) and not content)
         before += node.chars
     return out
 
@@ -279,7 +291,7 @@ class TreeModel:
     """Potentials: by feature (content less not), and 2 x 2 by kind of link (parent, child)."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    links: dict[str, np.ndarray] = field(default_factory=lambda: {k: np.zeros((2, 2)) for k in ("marked", "main", "plain")})
+    links: dict[str, np.ndarray] = field(default_factory=lambda: {k: np.zeros((2, 2)) for k in ("marked", "main", "page", "plain")})
 
     def marginals(self, page: Page) -> tuple[list[float], list[tuple]]:
         """Of each node the probability of content, and of each link the 2 x 2 probabilities."""
@@ -319,8 +331,9 @@ class TreeModel:
         return [b for _, b in belief], pairs
 
     def train(self, pages: list[Page], epochs: int = 8, seed: int = 1) -> TreeModel:
-        """Stochastic gradient descent on the labels' likelihood given the pages."""
+        """Stochastic gradient descent on the labels' likelihood given the pages; potentials are means over the ends of the later epochs."""
         rng = np.random.default_rng(seed)
+        ends: list[tuple[dict[str, float], dict[str, np.ndarray]]] = []
         for epoch in range(epochs):
             rate = 0.2 / (1 + epoch / 2)
             for k in rng.permutation(len(pages)):
@@ -337,6 +350,10 @@ class TreeModel:
                         table = self.links[kind]
                         table -= 0.2 * rate * np.array(pairs[i]).reshape(2, 2)
                         table[gold[page.nodes[i].parent], gold[i]] += 0.2 * rate
+            if 2 * epoch >= epochs:
+                ends.append((dict(self.weights), {k: v.copy() for k, v in self.links.items()}))
+        self.weights = {f: sum(w.get(f, 0.0) for w, _ in ends) / len(ends) for f in self.weights}
+        self.links = {k: sum(links[k] for _, links in ends) / len(ends) for k in self.links}
         return self
 
 
@@ -345,11 +362,10 @@ def label_by_article(page: Page) -> bool:
     found = False
     for node in page.nodes:
         above = page.nodes[node.parent].label if node.parent >= 0 else 0
-        names = [k for k, p in NAMES.items() if k != "content" and p.search(node.names)] if node.names else []
-        if node.tag in {"nav", "footer", "aside", "form", "menu"} or names:
-            node.label = 0
-        elif node.tag in {"article", "main"} and node.below:
+        if node.tag in {"article", "main"} and node.below:
             node.label, found = 1, True
+        elif node.tag in TELLING - {"header"} or node.hidden or named(node.names)[0] - {"content"}:
+            node.label = 0
         else:
             node.label = above
     return found
@@ -364,18 +380,36 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
     prose = lambda n: " ".join(sentence() for _ in range(int(rng.integers(1, n))))
     semantic, named = some(0.5), some(0.8)
 
+    slug = lambda: words[int(rng.integers(0, len(words)))].strip(".,!?").lower()
+
+    def builder() -> str:
+        """Names that site builders give what is content: of categories, tags, kinds and what stands beside it."""
+        return pick(
+            f"post-{rng.integers(1, 999)} post type-post status-publish hentry category-{pick(slug(), 'news', 'comment')} tag-{pick(slug(), 'menu', 'header')}",
+            f"node node--type-article node--{pick('promoted', 'sticky', 'view-mode-full')} {pick('', 'clearfix')}",
+            f"{pick('with', 'has')}-{pick('sidebar', 'header', 'comments', 'ads')} {pick('content', 'col', 'single')}",
+            f"{pick('legal', 'category', 'promo', 'newsletter', 'comment', 'header', 'social', 'contact')}-{pick('news', 'archive', 'item', 'text', 'article', 'story', slug())}",
+            f"{pick('article', 'post')} {pick('commentary', 'sidebar-left', 'search-result', 'opinion', 'legal-brief')}",
+            f"{pick('mw-body', 'mw-parser-output', 'blog-posts hfeed', 'issue', 'post hentry uncustomized-post-template')}",
+        )
+
     def part(tag: str, name: str, body: str, label: int | None = None, only: bool = False) -> str:
         tag = tag if semantic or only else "div"
+        if label == 1 and some(0.4):
+            return f'<{tag} class="{builder()}" {LABEL}=1>{body}</{tag}>'
         name = f' {pick("class", "id", "class")}="{name}"' if name and (named or tag == "div" and label == 0) else ""
         return f"<{tag}{name}{'' if label is None else f' {LABEL}={label}'}>{body}</{tag}>"
 
     links = lambda n: "<ul>" + "".join(f'<li><a href="/{k}">{say(1, 4)}</a></li>' for k in range(int(rng.integers(2, n)))) + "</ul>"
     advert = lambda: part("div", pick("ad", "advert", "ad-banner", "sponsored", "promo", "ads box"), pick(sentence(), f'<a href="#">{say(2, 8)}</a>', f"<p>{sentence()}</p>"), 0, True)
     notice = lambda: part("div", pick("cookie-notice", "notice", "newsletter", "consent", "alert", "paywall"), f"<p>{prose(3)}</p>" + pick("", "<button>OK</button>", f'<a href="#">{say(1, 3)}</a>'), 0, True)
+    hidden = lambda: f'<{pick("div", "section", "p")} {pick("hidden", "aria-hidden=true", "style=display:none")} {LABEL}=0>{pick(sentence(), f"<p>{prose(3)}</p>", links(4))}'
+    unseen = lambda: (lambda x: x + f"</{x[1:].split()[0]}>")(hidden())
+    dialog = lambda: part("dialog", pick("", "modal"), f"<p>{prose(2)}</p><button>OK</button>", 0, True)
     form = lambda: part("form", pick("search", "login", "contact-form", ""), f"<label>{say(1, 3)}</label><input name=q><p>{sentence()}</p><button>{say(1, 2)}</button>", 0, True)
 
     def comments() -> str:
-        each = "".join(part("div", pick("comment", "reply", "comment-body"), f"<p>{prose(5)}</p>", None, True) for _ in range(int(rng.integers(1, 6))))
+        each = "".join(part("div", pick("comment", "reply", "comment-body"), f"<p>{prose(5)}</p>", None, True) for _ in range(int(rng.integers(1, pick(6, 6, 30)))))
         return part("section", pick("comments", "discussion", "comment-list", "responses"), f"<h3>{say(1, 3)}</h3>{each}" + pick("", form()), 0)
 
     def article() -> str:
@@ -398,10 +432,10 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
             elif kind < 0.92:
                 out.append("<table>" + "".join(f"<tr><td>{say(1, 5)}</td><td>{say(1, 5)}</td></tr>" for _ in range(3)) + "</table>")
             else:
-                out.append(pick(advert, advert, notice, lambda: part("aside", pick("related", "sidebar", "share"), links(5), 0))())
+                out.append(pick(advert, advert, notice, unseen, dialog, form, lambda: part("aside", pick("related", "sidebar", "share"), links(5), 0))())
         return "".join(out)
 
-    head = part("header", pick("header", "site-header", "masthead", "topbar"), pick(f"<h1>{say(1, 4)}</h1>", f"<a href='/'>{say(1, 3)}</a><p>{say(2, 6)}</p>", f"<p>{sentence(3, 9)}</p>"), 0)
+    head = part("header", pick("header", "site-header", "masthead", "topbar"), pick(f"<h1>{say(1, 4)}</h1>", f"<a href='/'>{say(1, 3)}</a>", f"<a href='/'>{say(1, 3)}</a><p>{say(2, 6)}</p>", f"<p>{sentence(3, 9)}</p>"), 0)
     menu = part("nav", pick("nav", "menu", "main-menu", "breadcrumbs"), links(9), 0)
     side = part("aside", pick("sidebar", "widget", "related-posts", "popular"), f"<h3>{say(1, 3)}</h3>" + pick(links(8), f"<p>{prose(4)}</p>", links(4) + advert()), 0)
     foot = part("footer", pick("footer", "site-footer", "copyright", "legal"), pick(f"&copy; {say(1, 3)} &middot; {sentence()}", f"<p>Copyright {say(2, 5)}</p>{links(5)}", f"<p>{sentence()}</p>"), 0)
@@ -423,12 +457,20 @@ def write_page(rng: np.random.Generator, words: list[str]) -> str:
     body = bare() if some(0.25) else part(pick("article", "article", "main"), pick("content", "post", "entry-content", "article-body", "story", "main"), article(), 1)
     if some(0.3):
         body = part("main", pick("container", "wrapper", "page"), body + pick("", comments()), None)
-    parts = [*([head] if some(0.6) else []), *([menu] if some(0.8) else []), *([advert()] if some(0.4) else []), *([notice()] if some(0.3) else []), *([side] if some(0.3) else []), body, *([comments()] if some(0.4) else []), *([side] if some(0.3) else []), *([form()] if some(0.3) else []), *([foot] if some(0.85) else [])]
+    if some(0.08):  # nothing else
+        return f"<html><body>{pick('', '<div>', '<center>')}" + "".join(f"<{(t := pick('p', 'p', 'p', 'div', 'article'))} {LABEL}=1>{pick(prose(4), sentence(), sentence(1, 6))}</{t}>" for _ in range(pick(1, 1, 3, 6)))
+    parts = [*([unseen()] if some(0.15) else []), *([dialog()] if some(0.1) else []), *([head] if some(0.6) else []), *([menu] if some(0.8) else []), *([advert()] if some(0.4) else []), *([notice()] if some(0.3) else []), *([side] if some(0.3) else []), body, *([comments()] if some(0.4) else []), *([side] if some(0.3) else []), *([form()] if some(0.3) else []), *([foot] if some(0.85) else [])]
+    inner = "".join(parts)
+    if some(0.12):
+        inner = f'<form id="{pick("aspnetForm", "form1", "mainform")}" method=post>{inner}</form>'
+    elif some(0.05):
+        inner = f'<div {pick("hidden", "style=display:none", "class=header-wrapper", "class=overlay", "id=sidebar-page")}>{inner}</div>'
+    look = pick("", "", f' class="{pick("right", "left", "no")}-sidebar {pick("home", "single-post", "page-template", "has-header")}"', ' id="comments" class="category legal"')
     end = "" if some(0.15) else "</body></html>"
-    return f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{say(2, 8)}</title><style>p{{margin:0}}</style><script>var t='<p>';</script></head><body>{''.join(parts)}{end}"
+    return f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{say(2, 8)}</title><style>p{{margin:0}}</style><script>var t='<p>';</script></head><body{look}>{inner}{end}"
 
 
-def fit(sources: list[str], written: int = 260, seed: int = 2) -> TreeModel:
+def fit(sources: list[str], written: int = 500, seed: int = 2) -> TreeModel:
     """Trains on these pages, where they have an article or main element, and on written ones."""
     rng = np.random.default_rng(seed)
     pages = [p for p in (parse(x, written=False) for x in sources) if label_by_article(p)]
@@ -448,10 +490,7 @@ def main_text(model: TreeModel, source: str) -> str:
     if not page.blocks:
         return ""
     belief, _ = model.marginals(page)
-    barred = [False] * len(page.nodes)
-    for i, node in enumerate(page.nodes):
-        barred[i] = node.tag in CONTROLS or node.hidden or node.parent >= 0 and barred[node.parent]
-    return "\n\n".join(text for i, text in page.blocks if belief[i] > 0.5 and not barred[i])
+    return "\n\n".join(text for i, text in page.blocks if belief[i] > 0.5)
 
 
 def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:

@@ -115,7 +115,7 @@ def _shape(value: str) -> list[str]:
         out.append("prefix")
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(value, value[1:]))
     out.append(f"changes {min(int(8 * changes / n), 5)}")
-    if "/" in value and re.fullmatch(r"[A-Za-z0-9._/-]*/[A-Za-z0-9._/-]*", value) and max(map(len, re.split(r"[/._-]", value))) < 16:
+    if "/" in value and re.fullmatch(r"[A-Za-z0-9._/-]+", value) and max(map(len, re.split(r"[/._-]", value))) < 16:
         out.append("path")
     return out
 
