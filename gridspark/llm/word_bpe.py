@@ -17,6 +17,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +67,7 @@ def _numbers(values: np.ndarray) -> bytes:
     """Unsigned integers of 2 or 4 bytes, as the first byte says, the low bytes of all before the next ones, compressed."""
     kind = "<u4" if values.max(initial=0) >= 1 << 16 else "<u2"
     wide = np.dtype(kind).itemsize
-    return bytes([wide]) + ZstdCompressor(level=5).compress(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, wide).T).tobytes())
+    return bytes([wide]) + ZstdCompressor(level=3).compress(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, wide).T).tobytes())
 
 
 def _read_numbers(data: bytes) -> np.ndarray:
@@ -76,7 +77,7 @@ def _read_numbers(data: bytes) -> np.ndarray:
 
 def _joined(words: list[str]) -> bytes:
     """Words hold no line feed, as texts are split there."""
-    return ZstdCompressor(level=5).compress("\n".join(words).encode())
+    return ZstdCompressor(level=3).compress("\n".join(words).encode())
 
 
 def _split(data: bytes) -> list[str]:
@@ -147,9 +148,9 @@ def _encoded(bucketed: DataFrame, path: str) -> DataFrame:
                     bucket, table = own, {}
                 words = _split(data)
                 new = [w for w in words if w not in table]
-                table |= {w: np.array(x.ids, np.uint32) for w, x in zip(new, encoder.encode_batch(new, add_special_tokens=False))}
+                table |= {w: x.ids for w, x in zip(new, encoder.encode_batch(new, add_special_tokens=False))}
                 ids = [table[w] for w in words]
-                values = (block, own, _numbers(np.array([len(x) for x in ids])), _numbers(np.concatenate(ids)), zlib.crc32("\n".join(words).encode()))
+                values = (block, own, _numbers(np.array([len(x) for x in ids])), _numbers(np.array([*chain.from_iterable(ids)], np.int64)), zlib.crc32("\n".join(words).encode()))
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))], ["block", "bucket", "counts", "ids", "checksum"])
 
     return bucketed.mapInArrow(run, "block long, bucket int, counts binary, ids binary, checksum long")
@@ -163,27 +164,31 @@ def _positioned(blocks: DataFrame, encoded: DataFrame, path: str, buckets: int,
     """Documents' ids in the positions of their words, and what the ids decode to; a group is a block."""
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        table = pieces(path)
+        table = [x.encode() for x in pieces(path)]
         words = next(_split(x) for x in rows.column("words").to_pylist() if x is not None)
         at, ids, texts = _dealt(words, buckets), [b""] * len(words), [None] * len(words)
         for bucket, counts, own, checksum in zip(*(found.column(c).to_pylist() for c in ("bucket", "counts", "ids", "checksum"))):
             numbers = at.pop(bucket, [])
             if zlib.crc32("\n".join(words[i] for i in numbers).encode()) != checksum:
                 raise ValueError("the documents were read in another order the second time; give a written table")
-            for i, x in zip(numbers, _cut(_read_numbers(own), _read_numbers(counts))):
-                if len(x):  # a word without ids says nothing
-                    ids[i], texts[i] = x.astype("<u4").tobytes(), " ".join(map(table.__getitem__, x.tolist()))
+            own = _read_numbers(own)
+            data, said, a = own.astype("<u4").tobytes(), [table[x] for x in own.tolist()], 0
+            for i, b in zip(numbers, np.cumsum(_read_numbers(counts), dtype=np.int64).tolist()):
+                if a < b:  # a word without ids says nothing
+                    ids[i], texts[i] = data[4 * a : 4 * b], b" ".join(said[a:b])
+                a = b
         if at:
             raise ValueError("words of a block are missing")
+        silent = None in texts
         out: list[list] = [[] for _ in range(6 if with_ids else 4)]
         for doc_ids, counts, codes in zip(*(rows.column(c).to_pylist() for c in ("doc_ids", "counts", "codes"))):
             if codes is None:
                 continue
             for doc_id, numbers in zip(doc_ids, _cut(_read_numbers(codes), _read_numbers(counts))):
                 numbers = numbers.tolist()
-                all_ids, decoded = b"".join(map(ids.__getitem__, numbers)), " ".join(filter(None, map(texts.__getitem__, numbers)))
-                values = (doc_id, len(all_ids) // 4, hashlib.sha256(all_ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
-                for x, value in zip(out, (*values, np.frombuffer(all_ids, "<i4"), decoded) if with_ids else values):
+                all_ids, decoded = b"".join(map(ids.__getitem__, numbers)), b" ".join(filter(None, map(texts.__getitem__, numbers)) if silent else map(texts.__getitem__, numbers))
+                values = (doc_id, len(all_ids) // 4, hashlib.sha256(all_ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                for x, value in zip(out, (*values, np.frombuffer(all_ids, "<i4"), decoded.decode()) if with_ids else values):
                     x.append(value)
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string())
         return pa.table([pa.array(x, t) for x, t in zip(out, kinds)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(out)])
