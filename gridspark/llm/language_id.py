@@ -3,10 +3,12 @@
 A text is the average of the embeddings of its subwords, the byte n-grams of its words with
 their borders, hashed to a table. Embeddings and softmax are trained in numpy by stochastic
 gradient descent on a bounded sample of labelled rows. Both are linear, so for prediction each
-subword carries its scores and a text's are their average. A temperature and two lower bounds,
-for the score and for the share of subwords seen in training, are low quantiles of labelled rows
-kept from training, by language; texts below a bound are rejected. Languages with few kept rows
-take half the quantile of all.
+subword carries its scores and a text's are their average; subwords not seen in training say
+nothing, so that a text of other words comes near the languages' shares. Labelled rows kept from
+training, whole, in pieces down to a word and with letters exchanged, give the temperature, with
+which scores are probabilities, and by language two lower bounds, for the score and for the
+share of subwords seen in training: low quantiles of these rows. Texts below a bound are
+rejected. Languages with few kept rows take half the quantile of all.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ SIZES, BUCKETS_LOG2, DIM = (2, 3, 4), 16, 12
 PER_LANGUAGE, EPOCHS, KEPT_SHARE = 500, 4, 0.25
 #: Languages learned at most, those with most labelled rows.
 LANGUAGES = 500
-#: Bounds for a language: this quantile of its kept rows and pieces, if they are so many; the known share
-#: may be lower by MARGIN, as other texts have other words, and a score from SURE on is no reason to reject.
-LOW, ENOUGH, MARGIN, SURE = 0.01, 20, 0.08, 0.9
+#: Bounds for a language: these quantiles of the known shares and of the scores of its kept rows and pieces, if they
+#: are so many; the known share may be lower by MARGIN, as other texts have other words.
+LOW, LOW_SCORE, ENOUGH, MARGIN = 0.01, 0.002, 20, 0.08
+#: Share of letters exchanged in noised pieces, at most.
+NOISE = 0.6
 #: The known share of a text is raised by SPREAD over the root of its number of subwords before it is compared, as that of short texts varies.
 SPREAD = 1.0
 _BORDER = np.uint8(32)
@@ -153,17 +157,20 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
             bias -= 0.1 * rate * p
             # Subwords of an average share its step; scaled up so that each moves about as in a text of 20.
             table[at] -= (rate * np.minimum(1.0, n * 20))[:, None] * back
-    scores = np.concatenate([table @ weights, seen[:, None]], axis=1).astype(np.float32)
-    model = Model(languages, scores, bias.astype(np.float64), least_score=np.full(len(languages), min(1.2 / len(languages), 0.5)), least_known=np.zeros(len(languages)))
+    scores = np.concatenate([(table @ weights) * seen[:, None], seen[:, None]], axis=1).astype(np.float32)
+    model = Model(languages, scores, bias.astype(np.float64), least_score=np.zeros(len(languages)), least_known=np.zeros(len(languages)))
     check = np.flatnonzero(kept) if kept.any() else np.arange(len(texts))
-    averages, _ = model.averages(*_pack_texts([whole[i] for i in check]))
-    temperatures = np.geomspace(0.05, 20, 60)
+    tried = harder([whole[i] for i in check], rng)
+    averages, _ = model.averages(*_pack_texts([*(whole[i] for i in check), *tried]))
+    all_labels = np.concatenate([y[check], y[check]])
+    temperatures = np.geomspace(0.01, 10_000, 140)
     losses = []
     for t in temperatures:
         model.temperature = float(t)
-        losses.append(-np.log(np.maximum(model.probabilities(averages)[np.arange(len(check)), y[check]], 1e-9)).mean())
+        losses.append(-np.log(np.maximum(model.probabilities(averages)[np.arange(len(all_labels)), all_labels], 1e-9)).mean())
     model.temperature = float(temperatures[int(np.argmin(losses))])
-    # Bounds: what nearly all kept rows of a language reach, whole and in short pieces.
+    # Bounds: what nearly all kept rows of a language reach, whole and in short pieces; the score's counts the harder pieces too.
+    spread = model.probabilities(averages).max(axis=1)
     pieces = []
     for i in check:
         words = whole[i].split()
@@ -175,14 +182,28 @@ def fit(texts: list[str], labels: list[str], seed: int = 5) -> Model:
         (averages, total), label = model.averages(*_pack_texts([x for x, _ in rows])), np.array([x for _, x in rows])
         score, known = model.probabilities(averages).max(axis=1), averages[:, -1] + _tolerance(total)
         for k in range(len(languages)):
-            own = label == k
+            own, scored = label == k, all_labels == k
             enough = kept.any() and own.sum() >= ENOUGH
-            own, part = (own, 1.0) if enough else (np.ones(len(rows), bool), 0.5)
+            own, scored, part = (own, scored, 1.0) if enough else (np.ones(len(rows), bool), np.ones(len(all_labels), bool), 0.5)
             model.least_known[k] = part * max(0.0, float(np.quantile(known[own], LOW)) - MARGIN)
-            model.least_score[k] = max(model.least_score[k], min(part * np.quantile(score[own], LOW), SURE))
+            model.least_score[k] = part * float(np.quantile(np.concatenate([score[own], spread[scored]]), LOW_SCORE))
     return model
 
 
+def harder(texts: list[bytes], rng: np.random.Generator) -> list[bytes]:
+    """A piece of one to eight words of each text, in every second one of which letters are exchanged for others."""
+    out = []
+    for k, text in enumerate(texts):
+        words = text.split() or [b""]
+        a = int(rng.integers(0, len(words)))
+        piece = np.frombuffer(b" ".join(words[a : a + int(rng.integers(1, 9))]), np.uint8).copy()
+        if k % 2:
+            at = np.flatnonzero((_LETTERS[piece] != _BORDER) & (piece < 128) & (rng.random(len(piece)) < NOISE * rng.random()))
+            piece[at] = rng.integers(97, 123, len(at))
+        out.append(piece.tobytes())
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows no model may learn from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
