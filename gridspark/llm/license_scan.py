@@ -3,15 +3,18 @@
 Each line is a paragraph, and so are neighbouring lines over which a notice is wrapped. A sparse
 logistic regression over its words, word pairs and word triples says which licence family it names,
 or none, or that it is a notice of no known family; it is trained in numpy on variations of the
-templates and on ordinary lines from a bounded sample of documents. The likeliest family counts if
-its calibrated probability is high enough and a template of that family agrees with the paragraph
-word by word; what looks like a notice otherwise is 'unknown'. Both bounds are low quantiles of
-lines that are kept from training.
+templates and on ordinary lines from a bounded sample of documents. All classes compete; the
+likeliest family counts if its calibrated probability is high enough and a template of that family
+agrees with the paragraph word by word; what looks like a notice otherwise is 'unknown'. The
+temperature and the bound come from models that were trained without some templates, whole
+families among them, and are asked about these; the bound is where families that a template
+confirms are nearly all right.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,12 +74,11 @@ NONE, UNKNOWN = "none", "unknown"
 BUCKETS_LOG2, EPOCHS = 16, 6
 #: Ordinary lines and documents sampled for training, about.
 LINES, DOCUMENTS = 3000, 300
-#: Quantile of kept lines that bounds are set at.
-LOW = 0.002
-#: Least share of a template's word pairs in the paragraph that confirms its family.
-AGREES = 0.6
-#: Longer lines aren't hard-wrapped; a notice is looked for in so many lines before and after one that holds a word of notices.
-WRAPPED_CHARS, AROUND = 120, 7
+#: Parts in which templates, families and lines are left out for calibration, and the share of notices above the bound that have to be right.
+FOLDS, RIGHT = 3, 0.95
+#: Least share of a template's word pairs in the paragraph that confirms its family; in a paragraph over several lines
+#: they stand within so many times the template's words.
+AGREES, STRETCH = 0.6, 2
 _NOTICE_WORDS = re.compile(rb"licen[cs]|permission|redistribut|domain|cc0")
 _LEADER = re.compile(r"\s*(?:(?:/\*+|\*+|//+|#+|--+|;+|%+|!+|<!--|>+|\||\(\*|dnl\b|rem\b|\.\\\")\s*)*", re.I)
 _FACTORS = np.random.Generator(np.random.PCG64(23)).integers(1, 2**63, 3, dtype=np.uint64) | U(1)
@@ -116,11 +118,10 @@ class Model:
     bias: np.ndarray
     used: np.ndarray  # buckets with weights
     temperature: float = 1.0
-    least: float = 0.5  # probability among families from which the likeliest counts
-    most_none: float = 0.5  # probability of none below which a line looks like a notice
+    least: float = 0.0  # probability from which a family counts
 
-    def probabilities(self, w: Words) -> np.ndarray:
-        """Of each family for each line; a line's evidence is divided by the root of its number of n-grams."""
+    def evidence(self, w: Words) -> np.ndarray:
+        """For each family and line, divided by the root of the line's number of n-grams."""
         buckets, lines = grams(w)
         n = len(w.first) - 1
         totals = np.maximum(np.bincount(lines, minlength=n), 1)
@@ -133,8 +134,15 @@ class Model:
             first = np.flatnonzero(np.concatenate([[True], lines[1:] != lines[:-1]]))
             at = lines[first]
             z[at] += np.add.reduceat(self.weights[buckets], first, axis=0) / np.sqrt(totals[at])[:, None]
-        z = np.exp((z - z.max(axis=1, keepdims=True)) / self.temperature)
-        return z / z.sum(axis=1, keepdims=True)
+        return z
+
+    def probabilities(self, w: Words) -> np.ndarray:
+        return _softmax(self.evidence(w), self.temperature)
+
+
+def _softmax(z: np.ndarray, temperature: float) -> np.ndarray:
+    z = np.exp((z - z.max(axis=1, keepdims=True)) / temperature)
+    return z / z.sum(axis=1, keepdims=True)
 
 
 def _words_of(lines: list[str]) -> Words:
@@ -142,12 +150,19 @@ def _words_of(lines: list[str]) -> Words:
     return words(np.frombuffer(b"".join(whole), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in whole])]).astype(np.int64), _SEPARATORS)
 
 
-def fit(ordinary: list[str], seed: int = 4) -> Model:
-    """Trains on variations of the templates and on lines that name no licence."""
+@dataclass
+class Line:
+    """A line to learn from: its class, and the template or other text that it varies, if any."""
+
+    text: str
+    label: str
+    source: tuple[str, int] | None = None
+
+
+def examples(ordinary: list[str], each: int, seed: int = 4) -> list[Line]:
+    """Variations of the templates, each of these families so often, of other notices, and lines that name no licence."""
     rng = np.random.default_rng(seed)
-    families = [NONE, UNKNOWN, *TEMPLATES]
     vocabulary = [w for x in ordinary[:500] for w in x.split()[:50]] or "the of and to in a".split()
-    lines, labels = [], []
 
     say = lambda n, least=0: " ".join(vocabulary[i] for i in rng.integers(0, len(vocabulary), int(rng.integers(least, n))))
 
@@ -156,30 +171,28 @@ def fit(ordinary: list[str], seed: int = 4) -> Model:
         before = ("", "", f"{say(6)} ", f"Copyright (c) {int(rng.integers(1990, 2026))} {say(4)}. ", "# ", " * ", "// ")[int(rng.integers(0, 7))]
         return f"{before}{text}{('', '.', f'. {say(10)}', f' {say(6)}')[int(rng.integers(0, 4))]}"
 
-    for family, templates in TEMPLATES.items():
-        for _ in range(60):
-            lines.append(vary(templates[int(rng.integers(0, len(templates)))]))
-            labels.append(families.index(family))
-    for _ in range(150):
-        lines.append(vary(OTHER_NOTICES[int(rng.integers(0, len(OTHER_NOTICES)))]))
-        labels.append(1)
-        lines.append(vary(ORDINARY[int(rng.integers(0, len(ORDINARY)))]))
-        labels.append(0)
-    for _ in range(600):  # what stands around notices is none by itself
-        lines.append(say(12, 1))
-        labels.append(0)
-    for x in ordinary:
-        if not re.search(r"licen[cs]|copyright|permission|redistribut|\bCC[ -]?(BY|0)", x, re.I):
-            lines.append(x)
-            labels.append(0)
-    buckets, of = grams(_words_of(lines))
-    bags = [buckets[of == i] for i in range(len(lines))]
+    out = []
+    sources = [*TEMPLATES.items(), (UNKNOWN, OTHER_NOTICES), (NONE, ORDINARY)]
+    for label, texts in sources:
+        for _ in range(each if label in TEMPLATES else 5 * each // 2):
+            i = int(rng.integers(0, len(texts)))
+            out.append(Line(vary(texts[i]), label, (label, i)))
+    out += [Line(say(12, 1), NONE) for _ in range(10 * each)]  # what stands around notices is none by itself
+    return out + [Line(x, NONE) for x in ordinary if not re.search(r"licen[cs]|copyright|permission|redistribut|\bCC[ -]?(BY|0)", x, re.I)]
+
+
+def train(lines: list[Line], seed: int = 4) -> Model:
+    """A model by stochastic gradient descent on these lines, not calibrated."""
+    rng = np.random.default_rng(seed)
+    families = [NONE, UNKNOWN, *TEMPLATES]
+    labels = [families.index(x.label) for x in lines]
+    buckets, of = grams(_words_of([x.text for x in lines]))
+    order = np.argsort(of, kind="stable")
+    bags = np.split(buckets[order], np.cumsum(np.bincount(of, minlength=len(lines)))[:-1])
     weights, bias = np.zeros((1 << BUCKETS_LOG2, len(families))), np.zeros(len(families))
-    kept = rng.random(len(lines)) < 0.2
-    train = np.flatnonzero(~kept)
     for epoch in range(EPOCHS):
         rate = 0.5 / (1 + epoch)
-        for i in rng.permutation(train):
+        for i in rng.permutation(len(lines)):
             bag = bags[i]
             scale = 1 / np.sqrt(max(len(bag), 1))
             z = weights[bag].sum(axis=0) * scale + bias
@@ -189,21 +202,53 @@ def fit(ordinary: list[str], seed: int = 4) -> Model:
             np.subtract.at(weights, bag, rate * scale * p)
             bias -= 0.1 * rate * p
     weights[np.abs(weights).max(axis=1) < 0.02] = 0  # sparse
-    model = Model(families, weights.astype(np.float32), bias, np.abs(weights).max(axis=1) > 0)
-    check = np.flatnonzero(kept)
-    w, y = _words_of([lines[i] for i in check]), np.array([labels[i] for i in check], np.int64)
-    losses, tried = [], np.geomspace(0.02, 5, 40)
-    for t in tried:
-        model.temperature = float(t)
-        losses.append(-np.log(np.maximum(model.probabilities(w)[np.arange(len(y)), y], 1e-9)).mean())
+    return Model(families, weights.astype(np.float32), bias, np.abs(weights).max(axis=1) > 0)
+
+
+def left_out(lines: list[Line], part: int, parts: int = FOLDS) -> tuple[list[Line], list[Line]]:
+    """Lines to learn from, and others to ask about: of templates, families and other texts that none of these vary, and every second variation of those that they do.
+
+    Lines of a family that is left out whole are notices of no known family.
+    """
+    names = list(TEMPLATES)
+    gone = {f for i, f in enumerate(names) if i % (2 * parts) == part}
+    learn, ask = [], []
+    for k, x in enumerate(lines):
+        if x.source is None:
+            (ask if k % parts == part else learn).append(x)
+            continue
+        label, i = x.source
+        some = len(TEMPLATES.get(label, OTHER_NOTICES)) > 1
+        if label in gone:
+            ask.append(Line(x.text, UNKNOWN, x.source))
+        elif some and i % parts == part:
+            ask.append(x)
+        else:
+            (ask if k % 2 else learn).append(x)
+    return learn, ask
+
+
+def fit(ordinary: list[str], seed: int = 4) -> Model:
+    """Trains on variations of the templates and on lines that name no licence, and calibrates on what other models never saw."""
+    model = train(examples(ordinary, 60, seed), seed)
+    evidence, truth, texts = [], [], []
+    for part in range(FOLDS):
+        learn, ask = left_out(examples(ordinary[part::FOLDS], 60, seed + 1 + part), part)
+        evidence.append(train(learn, seed).evidence(_words_of([x.text for x in ask])))
+        truth += [model.families.index(x.label) for x in ask]
+        texts += [x.text for x in ask]
+    z, y = np.concatenate(evidence), np.array(truth, np.int64)
+    tried = np.geomspace(0.01, 50, 80)
+    losses = [-np.log(np.maximum(_softmax(z, t)[np.arange(len(y)), y], 1e-9)).mean() for t in tried]
     model.temperature = float(tried[int(np.argmin(losses))])
-    # Both bounds are low quantiles of lines kept from training: of ordinary ones, and of notices of the families.
-    p = model.probabilities(w)
-    ordinary_lines, notices = y == 0, y > 1
-    if ordinary_lines.any():
-        model.most_none = float(min(0.5, np.quantile(p[ordinary_lines, 0], LOW)))
-    if notices.any():
-        model.least = float(min(0.5, np.quantile(p[notices][np.arange(int(notices.sum())), y[notices]], 10 * LOW)))
+    # The bound: from it on, so many of the families that a template confirms are right.
+    p = _softmax(z, model.temperature)
+    best = p.argmax(axis=1)
+    named = np.array([i for i in np.flatnonzero(best > 1) if agreement(model.families[best[i]], texts[i]) >= AGREES], np.int64)
+    order = named[np.argsort(-p[named, best[named]], kind="stable")]
+    right = np.cumsum(best[order] == y[order]) / np.arange(1, len(order) + 1)
+    good = np.flatnonzero(right >= RIGHT)
+    model.least = float(p[order[good[-1]], best[order[good[-1]]]]) if len(good) else 1.0
     return model
 
 
@@ -222,74 +267,128 @@ def agreement(family: str, text: str) -> float:
 
 
 def decide(model: Model, p: np.ndarray, text: str) -> str:
-    """The family of a paragraph that looks like a notice: the likeliest, if it is likely enough and a template confirms it; else unknown."""
-    best = 2 + int(p[2:].argmax())
+    """The class of a paragraph: the likeliest of all; a family only if it is likely enough and a template confirms it, else unknown."""
+    best = int(p.argmax())
+    if best < 2:
+        return model.families[best]
     family = model.families[best]
     return family if p[best] >= model.least and agreement(family, text) >= AGREES else UNKNOWN
 
 
-def wrapped_notice(model: Model, lines: list[str], at: int) -> tuple[str, int, int] | None:
-    """Family and first and past-the-last line of the notice that is wrapped over lines around this one, if there is one.
+#: Family, number of words and word pairs of each template, and the templates that hold a pair.
+_SHAPES = [(family, len(t), len({*zip(t, t[1:])})) for family, templates in _TEMPLATE_TOKENS.items() for t in templates]
+_HOLDING: dict[tuple[str, str], list[int]] = {}
+for _k, _t in enumerate(t for templates in _TEMPLATE_TOKENS.values() for t in templates):
+    for _pair in sorted({*zip(_t, _t[1:])}):
+        _HOLDING.setdefault(_pair, []).append(_k)
+
+
+def stretches(tokens: list[str]) -> Iterator[tuple[float, str, int, int]]:
+    """Share, family, first and last token of where enough of a template's word pairs stand close together.
 
-    lines: neighbours without blank ones between them. Lines are taken from both ends as long as
-    the best template's agreement doesn't fall, then the joined lines are judged as a paragraph.
+    For each template, from the left: the shortest stretch with the most of its pairs, then on
+    behind that. Time is in proportion to the tokens.
     """
-    lines = [x[_LEADER.match(x).end() :].strip() for x in lines]
-    joined = " ".join(lines)
-    share = {f: agreement(f, joined) for f in TEMPLATES}
-    found = []
-    for family, best in share.items():
-        if best < AGREES:
-            continue
-        a, b = 0, len(lines)
-        while b - 1 > at and agreement(family, " ".join(lines[a : b - 1])) >= best:
-            b -= 1
-        while a < at and agreement(family, " ".join(lines[a + 1 : b])) >= best:
-            a += 1
-        text = " ".join(lines[a:b])
-        if b - a > 1 and decide(model, model.probabilities(_words_of([text]))[0], text) == family:
-            found.append((best, b - a, family, a, b))
-    return max(found)[2:] if found else None
-
-
-def join_wrapped(model: Model, data: np.ndarray, bounds: np.ndarray, doc: np.ndarray, filled: np.ndarray, verdicts: dict[int, tuple[str, float]]) -> dict[int, tuple[int, str]]:
-    """Notices over several lines, by first line: past-the-last line and family.
-
-    Looked for around lines that hold a word of notices and name no family alone. filled: lines
-    that hold words; verdicts: of single lines; those of joined lines leave it, as do unknown ones in the
-    same unbroken lines.
+    hits: dict[int, list[int]] = {}
+    pairs = list(zip(tokens, tokens[1:]))
+    for at, pair in enumerate(pairs):
+        for k in _HOLDING.get(pair, ()):
+            hits.setdefault(k, []).append(at)
+    for k, found in hits.items():
+        family, size, of = _SHAPES[k]
+        counts: Counter = Counter()
+        low, i, most, first, last = 0, 0, 0, 0, 0
+        while True:
+            if most and (i == len(found) or found[i] - found[first] > STRETCH * size):
+                yield most / of, family, found[first], found[last] + 1
+                low = i = last + 1
+                most = 0
+                counts.clear()
+            elif i == len(found):
+                break
+            else:
+                counts[pairs[found[i]]] += 1
+                while found[i] - found[low] > STRETCH * size or counts[pairs[found[low]]] > 1:
+                    counts[pairs[found[low]]] -= 1
+                    if not counts[pairs[found[low]]]:
+                        del counts[pairs[found[low]]]
+                    low += 1
+                if len(counts) >= AGREES * of and len(counts) > most:
+                    most, first, last = len(counts), low, i
+                i += 1
+
+
+Notice = tuple[int, int, str, float]  # first line, past-the-last line, family, probability of being a notice
+
+
+def wrapped_notices(model: Model, lines: list[str]) -> list[Notice]:
+    """Notices over several of these lines, between which no blank ones stand.
+
+    Templates say where such a notice can begin and end; what the joined lines are the classifier
+    decides. Of stretches that share lines the one with the larger share of its template comes first.
+    """
+    bare = [x[_LEADER.match(x).end() :].strip() for x in lines]
+    tokens, of = [], []
+    for i, x in enumerate(bare):
+        own = _tokens(x)
+        tokens += own
+        of += [i] * len(own)
+    found = sorted({(-share, of[a] - of[b], of[a], of[b] + 1, family) for share, family, a, b in stretches(tokens) if of[a] < of[b]})
+    if not found:
+        return []
+    texts = [" ".join(bare[a:b]) for _, _, a, b, _ in found]
+    out, taken = [], set()
+    for p, text, (_, _, a, b, family) in zip(model.probabilities(_words_of(texts)), texts, found):
+        if taken.isdisjoint(range(a, b)) and decide(model, p, text) == family:
+            out.append((a, b, family, float(1 - p[0])))
+            taken.update(range(a, b))
+    return out
+
+
+def notices(model: Model, data: np.ndarray, bounds: np.ndarray, doc: np.ndarray, filled: np.ndarray, single: dict[int, tuple[str, float]]) -> list[Notice]:
+    """All notices of a run of texts, in order: of single lines, and over lines around one that holds a word of notices.
+
+    filled: lines that hold words; single: family and probability of lines that are notices by
+    themselves. A notice over several lines takes the place of those of its lines, and unknown
+    ones in the same unbroken lines go. A further notice of its family that follows at once, or
+    after blank and unknown lines only, is a part of it.
     """
-    out: dict[int, tuple[int, str]] = {}
-    begin, done = int(bounds[0]), -1
+    begin = int(bounds[0])
     low = LOWER[data[begin : int(bounds[-1])]].tobytes()
-    known = lambda i: i in verdicts and verdicts[i][0] != UNKNOWN
-    goes = lambda i, d: doc[i] == d and filled[i] and bounds[i + 1] - bounds[i] <= 4 * WRAPPED_CHARS and not known(i)
     seeds = np.unique(np.searchsorted(bounds, np.array([m.start() for m in _NOTICE_WORDS.finditer(low)], np.int64) + begin, side="right") - 1)
-    for i in seeds.tolist():
-        d = doc[i]
-        if i < done or not goes(i, d):
-            continue
-        a, b = i, i + 1
-        while a > max(done, 0) and i - a < AROUND and goes(a - 1, d):
-            a -= 1
-        while b < len(doc) and b - i <= AROUND and goes(b, d):
-            b += 1
+    broken = np.flatnonzero(np.concatenate([[True], ~filled[1:] | ~filled[:-1] | (doc[1:] != doc[:-1]), [True]]))
+    left, wrapped = dict(single), {}
+    for k in np.unique(np.searchsorted(broken, seeds, side="right") - 1).tolist():
+        a, b = int(broken[k]), int(broken[k + 1])
         if b - a < 2:
             continue
-        lines = [data[bounds[j] : bounds[j + 1]].tobytes().decode() for j in range(a, b)]
-        # Only as far as lines are short enough to be wrapped.
-        while lines and a < i and any(len(x) > WRAPPED_CHARS for x in lines[: i - a]):
-            a, lines = a + 1, lines[1:]
-        stop = next((j for j in range(i - a, len(lines)) if len(lines[j]) > WRAPPED_CHARS), len(lines))
-        lines = lines[:stop]
-        if len(lines) < 2 or stop <= i - a:
-            continue
-        if found := wrapped_notice(model, lines, i - a):
-            family, first, last = found
-            out[a + first] = (a + last, family)
-            done = a + last
-            for j in range(a, a + len(lines)):
-                verdicts.pop(j, None)
+        found = wrapped_notices(model, [data[bounds[j] : bounds[j + 1]].tobytes().decode() for j in range(a, b)])
+        for first, last, family, share in found:
+            wrapped[a + first] = (a + last, family, share)
+            for j in range(a + first, a + last):
+                left.pop(j, None)
+        for j in range(a, b) if found else ():
+            if j in left and left[j][0] == UNKNOWN:
+                left.pop(j)
+    every = sorted([(i, i + 1, family, share) for i, (family, share) in left.items()] + [(i, j, family, share) for i, (j, family, share) in wrapped.items()])
+    out: list[Notice] = []
+    at = 0
+    while at < len(every):
+        a, b, family, share = every[at]
+        at += 1
+        over = b - a > 1
+        while True:
+            ahead = at
+            while ahead < len(every) and every[ahead][2] == UNKNOWN:
+                ahead += 1
+            if ahead == len(every) or every[ahead][2] != family or family == UNKNOWN or doc[every[ahead][0]] != doc[a] or not (over or every[ahead][1] - every[ahead][0] > 1):
+                break
+            between = [*range(b, every[ahead][0])]
+            gone = {j for x in every[at:ahead] for j in range(x[0], x[1])}
+            if len(between) > 4 * (len(gone) + 4) or any(filled[j] and j not in gone for j in between):
+                break
+            b, share, over, at = every[ahead][1], max(share, every[ahead][3]), True, ahead + 1
+        out.append((a, b, family, share))
     return out
 
 
@@ -302,15 +401,14 @@ def scan_texts(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple
         p = model.probabilities(w)
         worded = np.diff(w.first) > 0
         filled = np.bincount(doc[worded], minlength=b - a)
-        verdicts: dict[int, tuple[str, float]] = {}
-        for i in np.flatnonzero(p[:, 0] < model.most_none).tolist():
-            verdicts[i] = decide(model, p[i], data[bounds[i] : bounds[i + 1]].tobytes().decode()), float(1 - p[i, 0])
-        joined = join_wrapped(model, data, bounds, doc, worded, verdicts)
-        spans = [(i, i + 1, family, share) for i, (family, share) in verdicts.items()] + [(i, j, family, float(1 - p[i:j, 0].min())) for i, (j, family) in joined.items()]
+        single: dict[int, tuple[str, float]] = {}
+        for i in np.flatnonzero(p.argmax(axis=1) > 0).tolist():
+            single[i] = decide(model, p[i], data[bounds[i] : bounds[i + 1]].tobytes().decode()), float(1 - p[i, 0])
+        spans = notices(model, data, bounds, doc, worded, single)
         found: dict[int, list] = {}
         begin = int(offsets[a])
         before = np.concatenate([[0], np.cumsum((data[begin : int(offsets[b])] & 0xC0) != 0x80, dtype=np.int64)]) if spans else None  # code points
-        for i, j, family, share in sorted(spans):
+        for i, j, family, share in spans:
             d = int(doc[i])
             start = int(before[bounds[i] - begin] - before[offsets[a + d] - begin])
             text = data[bounds[i] : bounds[j]].tobytes().decode()
@@ -329,8 +427,8 @@ def sample(docs: DataFrame) -> list[str]:
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row a row of docs: doc_id, n_paragraphs, n_notices, families, spans.
 
-    Every line of the whole text is classified, and short lines without blank ones between them,
-    comment leaders removed, together around words of notices. n_paragraphs: lines with a word; families: the
+    Every line of the whole text is classified, and lines without blank ones between them, comment
+    leaders removed, together where they hold words of notices and most of a template. n_paragraphs: lines with a word; families: the
     distinct families found, 'unknown' among them, sorted and joined by commas; spans:
     family:start:end of each notice's line or lines in code points, joined by commas. Null, empty and
     blank texts have none. Repeated rows are scanned each; other columns are not read; an empty

@@ -263,12 +263,101 @@ def test_licence_probabilities_against_brute_force():
         at, want = 0, []
         for line in text.split("\n"):
             p = plain(line)
-            if p[0] < model.most_none:
+            if p.argmax() > 0:
                 want.append((license_scan.decide(model, p, line), at, at + len(line.rstrip("\r"))))
             at += len(line) + 1
         single = [(f, a, b) for f, a, b, _ in found if "\n" not in text[a:b]]
         assert single == [x for x in want if x in single]
         assert {x for x in want if x[0] != "unknown"} <= {*single}
+        if len(single) == len(found):
+            assert single == want
+
+
+def test_stretches_of_templates_against_brute_force():
+    """Hit by hit from the left, with every stretch that ends there counted anew."""
+    rng = random.Random(5)
+    templates = [(f, t) for f, all_of in license_scan._TEMPLATE_TOKENS.items() for t in all_of]
+    for _ in range(60):
+        tokens = []
+        for _ in range(rng.randrange(1, 9)):
+            _, t = rng.choice(templates)
+            a = rng.randrange(0, max(1, len(t) // 3))
+            tokens += [w for w in t[a:] if rng.random() < 0.95] + ["word"] * rng.randrange(0, 20)
+        pairs, want = list(zip(tokens, tokens[1:])), []
+        for family, t in templates:
+            own, reach = {*zip(t, t[1:])}, license_scan.STRETCH * len(t)
+            start = 0
+            while start < len(pairs):
+                best = None
+                for end in range(start, len(pairs)):
+                    if pairs[end] not in own:
+                        continue
+                    if best and end - best[1] > reach:
+                        break
+                    held = {pairs[k] for k in range(max(start, end - reach), end + 1) if pairs[k] in own}
+                    low = max(k for k in range(max(start, end - reach), end + 1) if held <= {pairs[j] for j in range(k, end + 1)})
+                    if len(held) >= license_scan.AGREES * len(own) and (best is None or len(held) > best[0]):
+                        best = (len(held), low, end)
+                if best is None:
+                    break
+                want.append((best[0] / len(own), family, best[1], best[2] + 1))
+                start = best[2] + 1
+        assert sorted(license_scan.stretches(tokens)) == sorted(want)
+
+
+@pytest.fixture(scope="module")
+def ordinary_lines():
+    return [x for _, t, _ in documents() if t for x in t.split("\n") if x.strip()][:2000]
+
+
+def test_licence_scores_are_probabilities(ordinary_lines):
+    """On templates, families and lines that a model has not seen, and on other variations of those that it has."""
+    model = license_scan.fit(ordinary_lines)
+    assert 0.011 < model.temperature < 45 and 0.2 < model.least < 0.9
+    score, right = [], []
+    for part in range(license_scan.FOLDS):
+        learn, ask = license_scan.left_out(license_scan.examples(ordinary_lines[part::3], 60, 70 + part), part)
+        other = license_scan.train(learn, 70 + part)
+        other.temperature = model.temperature
+        p = other.probabilities(license_scan._words_of([x.text for x in ask]))
+        score += p.max(axis=1).tolist()
+        right += [other.families[k] == x.label for k, x in zip(p.argmax(axis=1), ask)]
+    assert abs(np.mean(score) - np.mean(right)) < 0.05
+
+
+def test_whole_licence_headers_are_one_notice(ordinary_lines):
+    import textwrap
+
+    model = license_scan.fit(ordinary_lines)
+    # What notices say.
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'
+    clauses = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.")
+    grant = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction.'
+    texts, want = [apache], [[("Apache-2.0", apache)]]
+    for width in (40, 72, 110, 155, 400):
+        bsd = "\n".join(x for c in clauses for x in textwrap.wrap(c, width))
+        if width < 130:  # elsewhere each clause is a line, and each a notice
+            texts.append(f"Some words before it.\n\n{bsd}\n\nAnd after it.")
+            want.append([("BSD", bsd)])
+        mit = "\n".join(textwrap.wrap(grant, width))
+        texts.append(f"Some words before it.\n\n{mit}\n\nAnd after it.")
+        want.append([("MIT", mit)])
+    twice = "Released under the MIT License.\nReleased under the MIT License."
+    texts += [twice, "SPDX-License-Identifier: EUPL-1.2", ""]
+    want += [[("MIT", "Released under the MIT License.")] * 2, [("unknown", "SPDX-License-Identifier: EUPL-1.2")], []]
+    for text, expected, (_, found) in zip(texts, want, license_scan.scan_texts(model, pa.array(texts))):
+        assert [(f, text[a:b]) for f, a, b, _ in found] == expected
+    for text in ("license here\n" * 80_000, "Licensed under the Apache License, Version 2.0\n" * 20_000, "license " * 130_000 + "\nx"):
+        start = time.time()
+        list(license_scan.scan_texts(model, pa.array([text])))
+        assert time.time() - start < 10
+
+
+def test_licences_of_repeated_and_nameless_rows(spark):
+    text = "Released under the MIT License.\nPlain words."
+    docs = [(1, text, None, ""), (1, text, None, ""), (None, text, None, ""), (None, None, None, "")]
+    rows = license_scan.scan(spark.createDataFrame(docs, DOCS)).collect()
+    assert sorted((r["doc_id"] or 0, r["families"]) for r in rows) == [(0, ""), (0, "MIT"), (1, "MIT"), (1, "MIT")]
 
 
 def test_language_scores_against_brute_force():
