@@ -584,7 +584,7 @@ def test_training_samples_are_bounded(spark):
 
 def test_sql_of_registered_queries(spark):
     db = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "labels"):
         db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     for name, sql in ORACLES.items():
         df = QUERIES[name](spark, DATA)
