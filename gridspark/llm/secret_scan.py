@@ -1,10 +1,11 @@
 """Secrets in texts: three fixed patterns, and a linear-chain conditional random field for others.
 
 The field tags tokens as secret begin, inside or outside (B, I, O). Tokens are runs of value
-characters; plain ones (short, or letters without a digit, and beside no secret word or
-assignment mark) can only be outside, so the best path splits at them and is decoded by Viterbi
-over each run of other tokens, with features of their shapes, the words and marks beside them,
-whether the sampled documents hold them as words, and their file. It is trained in numpy on a
+characters. Where no line names logins or passwords, plain ones (short, or letters without a
+digit, and beside no secret word or assignment mark) can only be outside, so the best path splits
+at them and is decoded by Viterbi over each run of other tokens; of a line that names these all
+tokens are tagged. Features are of shapes, the words and marks beside a token, whether the
+sampled documents hold it as a word, and its file. It is trained in numpy on a
 bounded sample of documents: what the patterns find there is secret, and secrets of other
 kinds and harmless numbers and words are written into them.
 """
@@ -53,12 +54,21 @@ SAMPLE, EPOCHS = 300, 12
 WORDS = 20_000
 _NEAR = re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|private|jwt|sig", re.I)
 _TAGS = "OBI"
+#: Marks between a login and its password.
+_PARTS = frozenset("/|:=,")
 #: A value beside a word that names secrets or after an assignment mark, password characters included.
-_NAMED = r"(?:pass(?:words?|wd|phrase|code|wort)?|pwd|secrets?|tokens?|keys?|auth|bearer|credentials?|private|jwt|sig|signature)"
-_STRONG = re.compile(r"(?:passwords?|passwd|passphrase|passcode|passwort|pwd|secrets?|credentials?)[^A-Za-z]*$", re.I)
+_NAMED = r"(?:pass(?:words?|wd|phrase|code|wort)?|(?<![a-z])pw|pwd|secrets?|tokens?|keys?|auth|bearer|credentials?|private|jwt|sig|signature)"
+_STRONG = re.compile(r"(?:passwords?|passwd|passphrase|passcode|passwort|(?<![a-z])pw|pwd|secrets?|credentials?)[^A-Za-z]*$", re.I)
 _IS = re.compile(r"\b(?:is|was)\s+[\"']?$")
 _NAMES_SECRET = re.compile(rf"{_NAMED}[0-9_-]{{0,4}}[\"']?\s{{0,3}}$", re.I)
-_PASSWORD = r"[A-Za-z0-9+/_.=@!#$%&*^~?-]+"
+_PASSWORD = r"[\w+/.=@!#$%&*^~?-]+"
+#: The password in an address: it ends at the mark before the host.
+_USERINFO = re.compile(r"://[^\s/@:\"'<>]*:([^\s/@\"'<>]+)@")
+#: Words that make all tokens of their line worth a look; the same in bytes of lower case.
+_LINE_WORDS = r"(?<![a-z])(?:log-?in|logon|username|pass(?:word|wd|phrase|code|wort)|pwd?|credential|secret)s?(?![a-z])"
+_NAMES_LINE, _NAMES_LINE_BYTES = re.compile(_LINE_WORDS, re.I | re.A), re.compile(_LINE_WORDS.encode())
+_IN_LINE = re.compile(r"[\w+/.@!#$%&*^~?-]{3,}")
+_SAID_AFTER = re.compile(rf"\s{{1,3}}(?:is|was)\s{{1,3}}(?:my|our|your|the|his|her|their)\s{{1,3}}(?:\w{{1,20}}\s{{1,3}})?{_LINE_WORDS}", re.I | re.A)
 _PLACED = re.compile(rf"[:=]>?[\"'\x20]{{0,4}}({_PASSWORD})")
 #: After such a name and a verb any value can be secret, plain letters too.
 _TOLD = re.compile(rf"(?:passwords?|passwd|passphrase|passcode|passwort|pwd|secrets?|credentials?)\x20+(?:is|was)\x20+[\"']?({_PASSWORD})", re.I)
@@ -137,6 +147,10 @@ def sequences(text: str, at: list[tuple[int, int]], vocabulary: frozenset[str] =
         features.append(f"word before {bool(words and _NEAR.search(words[-1]))}")
         features.append(f"names secret {bool(_STRONG.search(before))} {bool(mark)}")
         features.append(f"told {bool(_IS.search(before))} known {text[a:b].lower() in vocabulary} letters {text[a:b].isalpha()}")
+        said, login = bool(_SAID_AFTER.match(text, b)), bool(_NAMES_LINE.search(before))
+        features.append(f"said after {said} known {text[a:b].lower() in vocabulary} letters {text[a:b].isalpha()} long {b - a >= 12}")
+        features.append(f"login before {login} parted {before.rstrip()[-1:] in _PARTS} mixed {_mixed(text[a:b])}")
+        features.append(f"address {after[:1] == '@' and bool(re.search(r'://[^/@:]*:$', before))}")
         features.append(f"words before {any(_NEAR.search(x) for x in words[-3:-1])}")
         features.append(f"after {after[:1]}" if after[:1] in {'"', "'", ",", ";", ")"} else "after else")
         if any(c.isalpha() for c in gap):
@@ -170,44 +184,57 @@ class Field:
             path.append(int(b[path[-1]]))
         return "".join(_TAGS[i] for i in reversed(path))
 
-    def marginals(self, tokens: list[Token]) -> tuple[np.ndarray, np.ndarray]:
-        """Of each token's tag, and sums over neighbours of each pair of tags."""
-        scores, moves = self.scores(tokens), self.moves + _FORBIDDEN
-        n = len(scores)
-        forth, back = np.full((n, 3), -np.inf), np.zeros((n, 3))
-        forth[0] = scores[0] + [0, 0, -np.inf]
-        for i in range(1, n):
-            forth[i] = np.logaddexp.reduce(forth[i - 1][:, None] + moves, axis=0) + scores[i]
-        for i in range(n - 2, -1, -1):
-            back[i] = np.logaddexp.reduce(moves + scores[i + 1] + back[i + 1], axis=1)
-        total = np.logaddexp.reduce(forth[-1])
-        pairs = np.zeros((3, 3))
-        for i in range(1, n):
-            pairs += np.exp(forth[i - 1][:, None] + moves + scores[i] + back[i] - total)
-        return np.exp(forth + back - total), pairs
-
     def train(self, data: list[tuple[list[Token], str]], epochs: int = EPOCHS, seed: int = 3) -> Field:
         """Stochastic gradient descent on the paths' likelihood, with weight decay."""
         rng = np.random.default_rng(seed)
-        sums = {f: np.zeros(3) for tokens, _ in data for t in tokens for f in t.features}
-        self.weights = sums
+        number: dict[str, int] = {}
+        rows = []
+        for tokens, tags in data:
+            of = [[number.setdefault(f, len(number)) for f in t.features] for t in tokens]
+            sizes = np.array([len(x) for x in of])
+            rows.append((np.concatenate(of).astype(np.int64), np.cumsum(sizes) - sizes, np.repeat(np.arange(len(of)), sizes), [_TAGS.index(t) for t in tags]))
+        table = np.zeros((len(number), 3))
         for epoch in range(epochs):
             rate = 0.3 / (1 + epoch)
-            for i in rng.permutation(len(data)):
-                tokens, tags = data[i]
-                gold = [_TAGS.index(t) for t in tags]
-                single, pairs = self.marginals(tokens)
-                for t, g, p in zip(tokens, gold, single):
-                    step = -rate * p
-                    step[g] += rate
-                    for f in t.features:
-                        sums[f] += step - rate * 0.002 * sums[f]
+            for i in rng.permutation(len(rows)):
+                features, first, of, gold = rows[i]
+                values = table[features]
+                single, pairs = marginals(np.add.reduceat(values, first), self.moves)
+                step = -rate * single
+                step[np.arange(len(gold)), gold] += rate
+                change = step[of] - rate * 0.002 * values
+                if len(gold) == 1:
+                    table[features] += change
+                    continue
+                np.add.at(table, features, change)
                 self.moves -= rate * pairs
-                for a, b in zip(gold, gold[1:]):
-                    self.moves[a, b] += rate
+                np.add.at(self.moves, (gold[:-1], gold[1:]), rate)
+        self.weights = {f: table[i] for f, i in number.items()}
         return self
 
 
+def marginals(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token's tag, and sums over neighbours of each pair of tags: forward and backward, scaled at each token."""
+    own = np.exp(scores - scores.max(axis=1, keepdims=True))
+    if len(own) == 1:
+        own[0, 2] = 0
+        return own / own.sum(), np.zeros((3, 3))
+    step = np.exp(moves - moves.max() + _FORBIDDEN)
+    own[0, 2] = 0
+    n = len(own)
+    forth, back, scale = np.empty((n, 3)), np.ones((n, 3)), np.empty(n)
+    at = own[0]
+    for i in range(n):
+        at = at if i == 0 else (at @ step) * own[i]
+        scale[i] = at.sum()
+        forth[i] = at = at / scale[i]
+    at = back[-1]
+    for i in range(n - 1, 0, -1):
+        back[i - 1] = at = step @ (own[i] * at) / scale[i]
+    pairs = (forth[:-1].T @ (own[1:] * back[1:] / scale[1:, None])) * step
+    return forth * back, pairs
+
+
 _FORBIDDEN = np.zeros((3, 3))
 _FORBIDDEN[0, 2] = -np.inf
 
@@ -223,21 +250,42 @@ def placed(text: str) -> list[tuple[int, int]]:
     After a secret word and a mark, or a word for passwords and "is" or "was", any value; after the
     word alone or another mark one that mixes letters with digits or password characters.
     """
-    found = []
+    found = [(m.start(1), m.end(1)) for m in _USERINFO.finditer(text)]
+    within = {a for a, _ in found}
     for m in _PLACED.finditer(text):
+        if m.start(1) in within:
+            continue
         if _NAMES_SECRET.search(text, max(0, m.start() - 24), m.start()) or _mixed(m[1]):
             found.append((m.start(1), m.end(1)))
     found += [(m.start(1), m.end(1)) for m in _TOLD.finditer(text)]
     return found + [(m.start(1), m.end(1)) for m in _SAID.finditer(text) if _mixed(m[1])]
 
 
+def in_lines(text: str) -> Iterator[tuple[int, int]]:
+    """Tokens of the lines that name logins or passwords, but for these names."""
+    done = 0
+    for m in _NAMES_LINE.finditer(text):
+        if m.start() < done:
+            continue
+        start = text.rfind("\n", 0, m.start()) + 1
+        done = text.find("\n", m.end())
+        done = len(text) if done < 0 else done
+        for t in _IN_LINE.finditer(text, start, done):
+            if not (_NEAR.search(t[0]) or _NAMES_LINE.search(t[0])) or any(map(str.isdigit, t[0])):
+                yield t.start(), t.end()
+
+
 def _mixed(value: str) -> bool:
     value = value.rstrip(".=-!?")
     return len(value) >= 4 and any(map(str.isalpha, value)) and any(c.isdigit() or c in "@!#$%&*^~?" for c in value) and not value.startswith("//")
 
 
 def with_placed(text: str, at: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """at and the placed values; where they overlap one candidate from the placed value's start to the later end."""
+    """at, the placed values and the tokens of lines that name secrets.
+
+    Where at and a placed value overlap, one candidate goes from the placed value's start to the
+    later end; a token of a line gives way to a placed value and is joined with others.
+    """
     out: list[tuple[int, int]] = []
     more = {}
     for a, b in placed(text):
@@ -251,6 +299,10 @@ def with_placed(text: str, at: list[tuple[int, int]]) -> list[tuple[int, int]]:
             more[starts[i]] = max(more[starts[i]], b)
         else:
             rest.append((a, b))
+    for a, b in in_lines(text):
+        i = bisect_right(starts, a)
+        if not (i and more[starts[i - 1]] > a or i < len(starts) and starts[i] < b):
+            rest.append((a, b))
     for a, b in sorted([*more.items(), *rest]):
         if out and a < out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]))
@@ -287,8 +339,8 @@ def _harmless(rng: np.random.Generator) -> str:
     return (f"{n(1900, 2030)}-{n(10, 13)}-{n(10, 29)}", f"+{n(1, 99)}-{n(200, 999)}-{n(1000, 9999)}-{n(100, 999)}", f"{n(1, 255)}.{n(1, 255)}.{n(100, 255)}.{n(10, 255)}", f"{n(10**15, 10**16 - 1)}", f"version-{n(1, 30)}.{n(0, 20)}.{n(100, 999)}", f"user{n(10, 9999)}.name", f"www.example{n(1, 99)}.org/page/{n(1, 999)}", f"data/part-{n(10000, 99999)}.parquet", f"chapter_{n(1, 40)}_section_{n(1, 99)}", f"{n(10**8, 10**10)}")[n(0, 10)]
 
 
-def _written_password(rng: np.random.Generator, words: list[str]) -> tuple[str, str]:
-    """What leads to a password, and a password: short, of letters, or with other characters."""
+def _written_password(rng: np.random.Generator, words: list[str]) -> tuple[str, str, str]:
+    """What leads to a password, a password (short, of letters, or with other characters), and what follows it."""
     pick = lambda x: x[int(rng.integers(0, len(x)))]
     letters = lambda n: "".join(chr(97 + int(i)) for i in rng.integers(0, 26, n))
     word = lambda: re.sub(r"[^A-Za-z]", "", pick(words)) or letters(5)
@@ -300,13 +352,22 @@ def _written_password(rng: np.random.Generator, words: list[str]) -> tuple[str,
         f"{word().lower()}{word().lower()}{word().lower()}",
         f"{letters(3)}{n % 100}",
         f"{letters(2)}{mark}{letters(3)}{n}",
+        f"{pick('äöüßéñ')}{word()}{n}",
         letters(int(rng.integers(5, 14))),
     ))
-    strong = pick(("password", "pwd", "Password", "passwd", "db_password", "passphrase", "secret", "credential"))
+    strong = pick(("password", "pwd", "pw", "Password", "passwd", "db_password", "passphrase", "secret", "credential"))
     weak = pick(("auth", "token", "key", "api key"))
-    plain = value.isalpha()
+    plain, user = value.isalpha(), pick(("admin", "root", word().lower(), f"{word().lower()}{n % 100}"))
+    way = int(rng.integers(0, 10))
+    if way == 0 and not plain:
+        return f"{pick(('postgres', 'mysql', 'https', 'ftp', 'amqp'))}://{user}:", value.replace("@", "%"), f"@{word().lower()}.example.{pick(('com', 'org', 'net'))}{pick(('', '/data', ':5432'))}"
+    if way == 1 and not plain:
+        return f"{pick(('login', 'Login', 'username', 'logon'))}{pick((': ', '=', ' '))}{user}{pick((' / ', ' | ', ', ', ' : '))}", value, ""
+    if way == 2:
+        value = f"{word().lower()}{word().lower()}{word().lower()}{letters(3)}" if plain else value
+        return "", value, f" {pick(('is', 'was'))} {pick(('my', 'our', 'the'))} {pick(('login', 'password', 'passphrase', 'secret', 'pw'))}"
     lead = pick((f"{strong}: ", f"{strong}=", f"{strong} = ", f'{strong}: "', f"{strong} is ", f"{strong} was ", *(() if plain else (f"{weak}: ", f"{weak}=", f"the {strong} "))))
-    return lead, value
+    return lead, value, ""
 
 
 def _harmless_value(rng: np.random.Generator, words: list[str]) -> str:
@@ -314,7 +375,7 @@ def _harmless_value(rng: np.random.Generator, words: list[str]) -> str:
     pick = lambda x: x[int(rng.integers(0, len(x)))]
     n, word = int(rng.integers(1, 1000)), pick(words)
     word, strong = re.sub(r"[^A-Za-z]", "", word) or word, pick(("password", "secret", "passphrase", "credential"))
-    return pick((f"the {strong} is {word}", f"{strong} was {word}", f"a {strong} is {word}", f"key: {word}", f"the key = {n}", f"note: {word}", f"size: {n}px", f"width={n}", f"x={n}a{n}", f"at {n % 24}:{n % 60:02d}pm", f"see: chapter{n}", f"a key {word}", f"token {n}", f"tokens: {n}", f"ratio: {n}%", f"mail: {word}@example.org", f"https://example.org/{word}{n}", f"author: {word}{n % 10}", f"monkey: {word}", f"version: v{n}", f"id=item{n}", f"private: {word}", f"sig: {n}"))
+    return pick((f"the {strong} is {word}", f"{strong} was {word}", f"a {strong} is {word}", f"key: {word}", f"the key = {n}", f"note: {word}", f"size: {n}px", f"width={n}", f"x={n}a{n}", f"at {n % 24}:{n % 60:02d}pm", f"see: chapter{n}", f"a key {word}", f"token {n}", f"tokens: {n}", f"ratio: {n}%", f"mail: {word}@example.org", f"https://example.org/{word}{n}", f"author: {word}{n % 10}", f"monkey: {word}", f"version: v{n}", f"id=item{n}", f"private: {word}", f"sig: {n}", f"login: {word} / {word.lower()}", f"{word} is my login", f"{word} was the {strong}", f"the login of {word} at {n % 24}:{n % 60:02d}", f"username {word} and {word}", f"https://example.org:{8000 + n}/{word}@{n}"))
 
 
 def fit(texts: list[str], seed: int = 9) -> Field:
@@ -354,9 +415,9 @@ def fit(texts: list[str], seed: int = 9) -> Field:
         a = int(rng.integers(0, len(words)))
         head, tail = " ".join(words[a : a + int(rng.integers(1, 12))]), " ".join(words[: int(rng.integers(1, 12))])
         if k % 2:
-            lead, value = _written_password(rng, vocabulary)
+            lead, value, trail = _written_password(rng, vocabulary)
             start = len(head) + 1 + len(lead)
-            text, added = f"{head} {lead}{value} {tail}", [(start, start + len(value))]
+            text, added = f"{head} {lead}{value}{trail} {tail}", [(start, start + len(value))]
         else:
             text, added = f"{head} {_harmless_value(rng, vocabulary)} {tail}", []
         learn(text, added + [(a, b) for a, _, b in base_spans(text) if not any(c < b and a < d for c, d in added)])
@@ -433,7 +494,8 @@ def scan_texts(model: Field, column: pa.Array) -> Iterator[tuple[list, list]]:
         look |= np.diff(first) > 0
         near = np.zeros(b - a, bool)  # a mark that a value may follow, or a secret word before one
         near[np.searchsorted(own, np.flatnonzero(_MARK[raw]), side="right") - 1] = True
-        near[np.searchsorted(own, np.array([m.start() for m in _SAID_WORDS.finditer(low)], np.int64), side="right") - 1] = True
+        for words in (_SAID_WORDS, _NAMES_LINE_BYTES):
+            near[np.searchsorted(own, np.array([m.start() for m in words.finditer(low)], np.int64), side="right") - 1] = True
         look |= near
         for d in range(b - a):
             if not look[d]:

@@ -145,6 +145,50 @@ def test_field_finds_short_and_odd_passwords(field):
         assert [*secret_scan.scan_texts(field, pa.array([text]))][0][1] == []
 
 
+def test_field_finds_secrets_in_lines_that_name_logins_and_in_addresses(field):
+    for text, secret in (
+        ("login: admin / Tr0ub4dor&3", "Tr0ub4dor&3"),
+        ("postgres://admin:s3cr3tpw@db.example.com", "s3cr3tpw"),
+        ("mysql://root:hunter2@localhost:3306/db and https://example.org/page?x=1", "hunter2"),
+        ("passcode: ÄÖü12345", "ÄÖü12345"),
+        ("correcthorsebattery is my login", "correcthorsebattery"),
+        ("key SG.abcdefghijklmnop.QRSTUVWXYZabcdefghijkl0123456789ABCD in use", "SG.abcdefghijklmnop.QRSTUVWXYZabcdefghijkl0123456789ABCD"),
+    ):
+        [(_, spans)] = secret_scan.scan_texts(field, pa.array([text]))
+        assert [text[a:b] for a, _, b in spans] == [secret], (text, spans)
+    for text in ("see https://example.org:8080/a/b@c", "mail to anna.b99@example.org", "user: anna / see you", "the meeting is at 10:30 and the note: all is well"):
+        assert [*secret_scan.scan_texts(field, pa.array([text]))][0][1] == [], text
+
+
+def test_marginals_against_all_paths():
+    import itertools
+
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 4):
+        scores, moves = rng.normal(size=(n, 3)) * 3, rng.normal(size=(3, 3))
+        single, pairs, total = np.zeros((n, 3)), np.zeros((3, 3)), 0.0
+        for path in itertools.product(range(3), repeat=n):
+            if path[0] == 2 or any(a == 0 and b == 2 for a, b in zip(path, path[1:])):
+                continue
+            w = np.exp(sum(scores[i, t] for i, t in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:])))
+            total += w
+            for i, t in enumerate(path):
+                single[i, t] += w
+            for a, b in zip(path, path[1:]):
+                pairs[a, b] += w
+        got = secret_scan.marginals(scores, moves)
+        assert np.allclose(got[0], single / total) and np.allclose(got[1], pairs / total)
+
+
+def test_field_reads_long_lines_in_linear_time(field):
+    import time
+
+    for text in ("a" * 1_000_000, "://" * 300_000, "login " + "x:" * 300_000, "://a:" + "b" * 1_000_000, "1:" * 300_000):
+        began = time.perf_counter()
+        [*secret_scan.scan_texts(field, pa.array([text]))]
+        assert time.perf_counter() - began < 20, text[:9]
+
+
 def test_field_finds_plain_passwords_that_are_told(field):
     texts = [t for _, t, _ in documents() if t][:200]
     words = [w for w in texts[0].split() if w.isalpha()][:6]
