@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,10 @@ from gridspark.llm.text_hash import U, Words, bytes_of, mix, runs, words
 
 #: Counters of words: a table of this size is made over all documents and sent to the tasks.
 COUNTERS_LOG2 = 18
+#: Counters of a packed row: a task sends that many in one value, and no row for each.
+PACKED = 1 << 12
+#: Groups in which the tasks' packed rows of one range are summed before the last sum.
+BRANCHES = 256
 #: Seeds of the orders after the first.
 ORDERS = (0x1F3D5B79A2C4E68F, 0x7A96B5D4E3F20189)
 #: Parts of the hash range in which each set's tokens are counted.
@@ -120,8 +125,9 @@ def _texts(batches: Iterator[pa.RecordBatch], size: int, levels: np.ndarray | No
 
 
 def _summary(docs: DataFrame, size: int) -> DataFrame:
-    """A row a document: doc_id, n, k1, k2, parts; and rows counter, seen of word counts."""
+    """A row a document: doc_id, n, k1, k2, parts; and a task's rows of word counts: counter (the first of PACKED counters), seen (these)."""
     names = ["doc_id", "n", "k1", "k2", "parts", "counter", "seen"]
+    seen_type = pa.list_(pa.int64())
     parts_type = pa.list_(pa.int16())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,19 +136,46 @@ def _summary(docs: DataFrame, size: int) -> DataFrame:
             seen += np.bincount((w.hashes >> U(64 - COUNTERS_LOG2)).astype(np.int64), minlength=len(seen))
             n, (k1, k2) = np.diff(first), _digests(tokens, first)
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(n), pa.array(k1), pa.array(k2), _part_counts(tokens, first), none, none], names=names)
-        at = np.flatnonzero(seen)
-        none = pa.nulls(len(at), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(at), parts_type), pa.array(at), pa.array(seen[at])], names=names)
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(n), pa.array(k1), pa.array(k2), _part_counts(tokens, first), none, pa.nulls(len(n), seen_type)], names=names)
+        for at in range(0, len(seen), PACKED):
+            if seen[at : at + PACKED].any():
+                none = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(1, parts_type), pa.array([at]), pa.array([seen[at : at + PACKED]], seen_type)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, parts array<short>, counter long, seen long")
+    return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, parts array<short>, counter long, seen array<long>")
+
+
+def _counted(summary: DataFrame) -> DataFrame:
+    """counter, seen: the sum of all tasks' packed rows, one for each range of counters.
+
+    Rows are summed within the tasks that read them, then in BRANCHES groups a range, then by
+    range, so that a group holds a small part of the tasks' rows and no row stands for a counter.
+    """
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows = batch.column("seen").flatten().to_numpy().reshape(-1, PACKED)
+            for at, row in zip(batch.column("counter").to_pylist(), rows):
+                sums[at] = sums[at] + row if at in sums else row.copy()
+        branch = TaskContext.get().partitionId() % BRANCHES
+        for at, row in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([branch]), pa.array([row], pa.list_(pa.int64()))], names=["counter", "branch", "seen"])
+
+    def summed(table: pa.Table) -> pa.Table:
+        rows = table.column("seen").combine_chunks().flatten().to_numpy().reshape(-1, PACKED)
+        return table.slice(0, 1).set_column(table.schema.get_field_index("seen"), "seen", pa.array([rows.sum(axis=0)], pa.list_(pa.int64())))
+
+    rows = summary.where("counter is not null").select("counter", "seen").mapInArrow(within, "counter long, branch long, seen array<long>")
+    rows = rows.groupBy("counter", "branch").applyInArrow(summed, "counter long, branch long, seen array<long>")
+    return rows.select("counter", "seen").groupBy("counter").applyInArrow(summed, "counter long, seen array<long>")
 
 
 def _rarity(summary: DataFrame) -> np.ndarray:
     """0 (rare) to 15 by counter: how many times twice the median count."""
     seen = np.zeros(1 << COUNTERS_LOG2)
-    counted = summary.where("counter is not null").groupBy("counter").agg(F.sum("seen").alias("seen")).toPandas()
-    seen[counted["counter"].to_numpy(np.int64)] = counted["seen"].to_numpy(np.float64)
+    for row in _counted(summary).collect():
+        seen[row["counter"] : row["counter"] + PACKED] = row["seen"]
     usual = max(1.0, float(np.median(seen)))
     return np.clip(np.floor(np.log2(np.maximum(seen, 1) / usual)), 0, 15).astype(np.uint8)
 
