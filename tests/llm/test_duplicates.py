@@ -227,19 +227,3 @@ def test_one_large_component_and_an_outsider(spark):
     rows = [(i, " ".join([*words[:50], f"x{i}"])) for i in range(700)] + [(5000, " ".join([*words[:6], *(f"y{i}" for i in range(60))]))]
     got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.near_duplicates(table(spark, rows)).collect()}
     assert all(got[i] == 0 for i in range(700)) and got[5000] == 5000
-
-
-def test_word_counters_are_summed_whole(spark):
-    words = [f"w{i % 97} v{i % 13} same" for i in range(400)]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(words)], "doc_id long, text string").repartition(7)
-    summary = ngram_jaccard.stored(ngram_jaccard._summary(docs, 5))
-    got = np.zeros(1 << ngram_jaccard.COUNTERS_LOG2, np.int64)
-    rows = ngram_jaccard._counted(summary).collect()
-    assert len({r["counter"] for r in rows}) == len(rows) <= len(got) // ngram_jaccard.PACKED
-    for r in rows:
-        got[r["counter"] : r["counter"] + ngram_jaccard.PACKED] = r["seen"]
-    want = np.zeros_like(got)
-    for _, w, _, _ in ngram_jaccard._texts(iter(docs.toArrow().to_batches()), 5):
-        np.add.at(want, (w.hashes >> np.uint64(64 - ngram_jaccard.COUNTERS_LOG2)).astype(np.int64), 1)
-    assert got.sum() == 1200 and (got == want).all()
-    assert not ngram_jaccard._rarity(summary.limit(0)).any()
