@@ -13,7 +13,7 @@ from gridspark.functions import columns as fn
 from gridspark.operators import catalog, chunks, combine, manifest, quality, regrid, select, standardize, stats
 from gridspark.session import scratch, small, written
 from gridspark.sources import files, store
-from gridspark.sources.fixtures import view, with_views
+from gridspark.sources.fixtures import over, view, with_views
 from gridspark.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +56,9 @@ LINES = {"l_returnflag": "short_name", "l_shipdate": "valid_time", "l_suppkey":
 ORDERS = {"o_orderstatus": "short_name", "o_orderdate": "valid_time", "o_custkey": "lat", "o_orderkey": "lon", "o_totalprice": "band1"}
 
 
-@query("SELECT l_returnflag AS short_name, l_shipdate AS time, l_suppkey AS latitude, l_partkey AS longitude, l_linenumber AS revision, l_quantity AS band1 FROM lineitem")
+@query("SELECT short_name, valid_time AS time, lat AS latitude, lon AS longitude, revision, expver, band1 FROM grid_raw")
 def scan_grid(spark, d):
-    return files.read_grid(spark, f"{d}/lineitem.parquet", names=LINES)
+    return files.read_grid(spark, f"{d}/lineitem.parquet", decode=lambda rows: over(spark, "grid_raw", {"lineitem": rows}))
 
 
 @query("""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +12,19 @@ from gridspark.functions.columns import compact_date
 from gridspark.operators.standardize import rename_dims
 
 
-def read_grid(spark: SparkSession, *paths: str, schema: str | None = None, form: str = "parquet", names: dict[str, str] | None = None, periods: str | None = None) -> DataFrame:
+def read_grid(spark: SparkSession, *paths: str, schema: str | None = None, form: str = "parquet", names: dict[str, str] | None = None, periods: str | None = None, decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One grid of one or several files, dimensions by their usual names. A column that a file lacks is null there.
 
     names: the columns to read, by their names in the files, and what they are called. periods: a
     time column that parts the files; if the spans of two files overlap, that is an error (each
-    file's least and largest time is read from its statistics where it has them).
+    file's least and largest time is read from its statistics where it has them). decode: what
+    makes a grid of a file's rows where other names alone don't.
     """
     reader = spark.read.schema(schema) if schema else spark.read
     grids = []
     for path in paths:
         df = reader.format(form).load(path)
+        df = decode(df) if decode else df
         grids.append(rename_dims(df.select(*(F.col(c).alias(names[c]) for c in df.columns if c in names)) if names else df))
     if periods:
         spans = [tuple(df.agg(F.min(periods), F.max(periods)).first()) + (path,) for df, path in zip(grids, paths)]

@@ -61,8 +61,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view, or one of the given tables."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in VIEWS[name]}
-    return spark.sql(VIEWS[name].format(ts="TIMESTAMP_NTZ", **{t: f"{{{t}}}" for t in used}), **used)
+    return over(spark, name, {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in VIEWS[name]})
+
+
+def over(spark: SparkSession, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """A view over these tables."""
+    return spark.sql(VIEWS[name].format(ts="TIMESTAMP_NTZ", **{t: f"{{{t}}}" for t in tables}), **tables)
 
 
 def with_views(sql: str) -> str:

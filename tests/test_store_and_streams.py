@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gridspark.plans.registry import QUERIES
 from gridspark.sources import files, store
+from gridspark.sources.fixtures import view
 from gridspark.streaming import streams
 
 D = dt.datetime
@@ -220,3 +222,20 @@ def test_files(spark, tmp_path):
         files.read_grid(spark, *at("p2", "p3", "p1"), periods="time")
     (tmp_path / "ids.json").write_text('{\n "x": "v1",\n "y": "null"\n}')
     assert {(r["item"], r["version"]) for r in files.read_versions(spark, str(tmp_path / "ids.json")).collect()} == {("x", "v1"), ("y", None)}
+
+
+def test_files_are_decoded_as_they_are_read(spark, tmp_path):
+    for name in "ab":
+        spark.createDataFrame([(40, 3.0), (60, None)], "row int, v double").write.parquet(str(tmp_path / name))
+    got = files.read_grid(spark, str(tmp_path / "a"), str(tmp_path / "b"), decode=lambda df: df.select((90 - F.col("row") * 0.25).alias("lat"), "v"))
+    assert sorted((r["latitude"], r["v"]) for r in got.where("v is not null").collect()) == [(80.0, 3.0)] * 2 and got.count() == 4
+
+
+def test_a_scan_gives_the_whole_grid(spark):
+    """Every column and value of the raw grid, not only what the file's own columns say under other names."""
+    data = "/root/testdata/sf0.001"
+    got, grid = QUERIES["scan_grid"](spark, data), view(spark, data, "grid_raw").withColumnsRenamed({"valid_time": "time", "lat": "latitude", "lon": "longitude"})
+    assert got.columns == ["short_name", "time", "latitude", "longitude", "revision", "expver", "band1"] == grid.columns
+    assert got.exceptAll(grid).count() == 0 == grid.exceptAll(got).count()
+    assert {r[0] for r in got.select("short_name").distinct().collect()} == {"t2m", "tp", "sp"}
+    assert {r[0] for r in got.select("expver").distinct().collect()} == {1, 5} and got.where("band1 = -9999").count() > 0
