@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Types whose largest value is found by hashing.
+_FIXED = re.compile("tinyint|smallint|int$|bigint|float|double|decimal|boolean|date|timestamp")
+
 
 def numbered(axis: DataFrame, coord: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """axis with idx, from 0 by coord within keys. axis: distinct labels, never observations."""
@@ -64,14 +69,27 @@ def chunk_count(df: DataFrame, length: int, dataset: str = "dataset", time: str
     return df.groupBy(dataset).agg(F.ceil(F.count_distinct(time) / F.lit(length)).cast("long").alias("n_chunks"))
 
 
+def leading(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """keys and order of the rows among which the largest of each key is, by the columns `order`: one for each combination of all but the last.
+
+    Tasks hash what they read, and so hold a row a combination. A largest struct they would find by
+    sorting all their input, which well-packed files make many rows. Where hashing can't be (a last
+    column that isn't of a fixed size) or would change a value (-0.0 among those grouped by), all rows are given.
+    """
+    types, (*first, last) = dict(df.dtypes), order
+    if not _FIXED.match(types[last]) or any("float" in types[c] or "double" in types[c] for c in first):
+        return df.select(*keys, *order)
+    return df.groupBy(*keys, *first).agg(F.max(last).alias(last))
+
+
 def latest_revision(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """One row for each key: that with the largest values of the columns `by`, null being the smallest; ties by the other columns.
 
     An aggregate, so a task combines its own rows of a key before the shuffle, and a key with many
     revisions is no task's burden.
     """
-    rest = [c for c in df.columns if c not in keys and c not in by]
-    best = df.groupBy(*keys).agg(F.max(F.struct(*by, *rest)).alias("_best"))
+    order = [*by, *(c for c in df.columns if c not in keys and c not in by)]
+    best = leading(df, keys, order).groupBy(*keys).agg(F.max(F.struct(*order)).alias("_best"))
     return best.select(*(c if c in keys else F.col("_best")[c].alias(c) for c in df.columns))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,3 +40,18 @@ def written(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """df marked for broadcast if it has no more than so many rows (a count tells, which stops there); a larger one is shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+@contextmanager
+def cut_to(spark: SparkSession, megabytes: int) -> Iterator[None]:
+    """Within, adaptive execution aims at shuffle partitions of so many MB at most; the session's own lower aim stays."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    own = spark.conf.get(name, None)
+    if own and spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own) <= megabytes << 20:
+        yield
+        return
+    spark.conf.set(name, f"{megabytes}m")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own) if own else spark.conf.unset(name)

@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridspark.operators.combine import append_new
-from gridspark.operators.stats import latest_revision
+from gridspark.operators.stats import latest_revision, leading
+from gridspark.session import cut_to
 
 KEYS = ["dataset", "time", "lat_idx", "lon_idx"]
 #: Of rows of one key the one with the largest counts.
 BY = ["revision", "value"]
 #: Cells of a side of the squares that a dataset's year is dealt to tasks and files by.
 TILE = 128
+#: MB of shuffled rows of a square's year above which it goes to several tasks and files.
+PART = 16
 _LISTED = "n int, commit string, content string, latest boolean, batch string"
 #: Sums of hashes are of so many bits.
 _HASHES, _BITS = 3, 40
@@ -165,8 +168,10 @@ def read_axes(spark: SparkSession, root: str, version: int | None = None) -> Dat
 def _write(df: DataFrame, root: str) -> tuple[str, DataFrame]:
     """A commit of df, and its rows as written, with their year."""
     commit, df = uuid.uuid4().hex, df.withColumn("year", F.year("time"))
-    tile = [F.floor(F.col(c) / TILE) for c in ("lat_idx", "lon_idx")]
-    df.repartition("dataset", "year", *tile).sortWithinPartitions("dataset", "year", "lat_idx", "lon_idx", "time").write.partitionBy("dataset", "year").parquet(f"{root}/data/{commit}")
+    tile = {f"_{c}": F.floor(F.col(c) / TILE) for c in ("lat_idx", "lon_idx")}
+    dealt = df.withColumns(tile).hint("rebalance", *map(F.col, ("dataset", "year", *tile))).drop(*tile)
+    with cut_to(df.sparkSession, PART):
+        dealt.sortWithinPartitions("dataset", "year", "lat_idx", "lon_idx", "time").write.partitionBy("dataset", "year").parquet(f"{root}/data/{commit}")
     _create(df.sparkSession, f"{root}/data/{commit}-schema", df.schema.json())  # a commit without rows has no file that says it
     return commit, df.sparkSession.read.schema(df.schema).parquet(f"{root}/data/{commit}")
 
@@ -201,9 +206,10 @@ def _change(stored: DataFrame, new: DataFrame) -> State:
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS))
     touched = new.select(*(F.col(k).alias(f"_{k}") for k in KEYS)).distinct()
     columns = _columns(new)
-    row = F.struct(*BY, *(c for c in columns if c not in BY))
+    order = [*BY, *(c for c in columns if c not in BY and c not in KEYS)]
+    row = F.struct(*order, *KEYS)
     both = stored.join(touched, same, "left_semi").select(*columns, F.lit(True).alias("_old")).unionByName(new.select(*columns, F.lit(False).alias("_old")))
-    best = both.groupBy(*KEYS).agg(F.max(row).alias("now"), F.max(F.when(F.col("_old"), row)).alias("before"))
+    best = leading(both, [*KEYS, "_old"], order).groupBy(*KEYS).agg(F.max(row).alias("now"), F.max(F.when(F.col("_old"), row)).alias("before"))
     each = [_sums([F.col(side)[c] for c in columns], F.col(side).isNotNull()) for side in ("now", "before")]
     found = list(map(int, best.agg(*(c for side in each for c in side)).first()))
     now, before = (State(x[0], tuple(x[1:])) for x in (found[: _HASHES + 1], found[_HASHES + 1 :]))

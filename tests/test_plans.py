@@ -72,3 +72,12 @@ def test_years_are_pruned(spark, tmp_path):
     data = spark.read.parquet(f"{tmp_path}/s/data/{store.commits(spark, f'{tmp_path}/s')[0]}")
     said = plan(sel_range(data, "time", dt.datetime(2020, 1, 1), dt.datetime(2020, 12, 31), partition="year"))
     assert re.search(r"PartitionFilters: \[.*year.*>= 2020.*year.*<= 2020", said)
+
+
+@pytest.mark.parametrize("name", ["latest_revision", "store_versions", "supersede", "chunk_pack"])
+def test_revisions_are_hashed_where_they_are_read(spark, name):
+    """A task that reads a well-packed file holds a row a key and revision, not a sort of all rows."""
+    tree = plan(QUERIES[name](spark, DATA)).split("\n\n")[0].splitlines()
+    scans = [i for i, line in enumerate(tree) if " Scan " in line]
+    shuffle = max(i for i, line in enumerate(tree) if "Exchange" in line and i < scans[0])
+    assert "HashAggregate" in "".join(tree[shuffle:]) and "Sort" not in "".join(tree[shuffle:])

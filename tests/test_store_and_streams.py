@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gridspark.operators.stats import latest_revision
 from gridspark.plans.registry import QUERIES
+from gridspark.session import cut_to
 from gridspark.sources import files, store
 from gridspark.sources.fixtures import view
 from gridspark.streaming import streams
@@ -239,3 +241,48 @@ def test_a_scan_gives_the_whole_grid(spark):
     assert got.exceptAll(grid).count() == 0 == grid.exceptAll(got).count()
     assert {r[0] for r in got.select("short_name").distinct().collect()} == {"t2m", "tp", "sp"}
     assert {r[0] for r in got.select("expver").distinct().collect()} == {1, 5} and got.where("band1 = -9999").count() > 0
+
+
+def test_a_large_year_goes_to_several_tasks(spark, tmp_path, monkeypatch):
+    """However many rows the few cells of a year have, a task of the write sorts a bounded part of them."""
+    monkeypatch.setattr(store, "PART", 1, raising=False)
+    number, before = F.col("id"), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    columns = [F.lit("a").alias("dataset"), F.lit(D(2020, 1, 1)).cast("timestamp_ntz").alias("time"), (number % 3).cast("int").alias("lat_idx"), F.lit(0).alias("lon_idx"), F.rand(1).alias("value"), number.cast("int").alias("revision")]
+    rows, root = spark.range(0, 600_000, 1, 8).select(*columns), str(tmp_path / "store")
+    store.instantiate(rows.where("revision < 300000"), root)
+    store.append(rows, root)
+    for commit in store.commits(spark, root):
+        kept = spark.read.parquet(f"{root}/data/{commit}")
+        counts = [r["count"] for r in kept.groupBy(F.input_file_name()).count().collect()]
+        assert sum(counts) == 300_000 and len(counts) > 2 and max(counts) < 150_000
+    assert sorted(r["revision"] for r in store.read_version(spark, root).collect()) == [599_997, 599_998, 599_999]
+    assert store.state(store.read_version(spark, root)).said() == store._listed(spark, root, None)[-1]["content"]
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) == before
+
+
+def test_a_lower_aim_of_the_session_stays(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "16k")
+    try:
+        with cut_to(spark, 16):
+            assert spark.conf.get(name) == "16k"
+        spark.conf.set(name, "64MB")
+        with cut_to(spark, 16):
+            assert spark.conf.get(name) == "16m"
+        assert spark.conf.get(name) == "64MB"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_latest_revisions_keep_their_values(spark):
+    """Nulls, NaN, -0.0 and texts, with other columns and without, as the largest row of each key has them."""
+    odd = [("a", 1, 2.0, "x"), ("a", 1, None, "z"), ("b", None, 1.0, "x"), ("b", 1, -0.0, "y"), ("c", 2, float("nan"), None), ("c", 2, 5.0, "x"), ("d", None, None, None), ("e", 1, 3.0, "a"), ("e", 1, 3.0, "b")]
+    df = spark.createDataFrame(odd * 3, "k string, revision int, value double, more string")
+    want = [("a", "1", "2.0", "x"), ("b", "1", "-0.0", "y"), ("c", "2", "nan", "None"), ("d", "None", "None", "None"), ("e", "1", "3.0", "b")]
+    for columns in (["k", "revision", "value", "more"], ["k", "revision", "value"], ["k", "more", "revision"], ["k", "revision"]):
+        of = df.select(*columns).where("more is null or more <> 'z'" if columns[1] == "more" else "true")
+        got = sorted(tuple(map(str, r)) for r in latest_revision(of, ["k"], columns[1:2]).collect())
+        if columns[1] == "revision":
+            assert got == [w[: len(columns)] for w in want]
+        else:
+            assert got == [("a", "x", "1"), ("b", "y", "1"), ("c", "x", "2"), ("d", "None", "None"), ("e", "b", "1")]
